@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
+from ..session import cut_lineage
 
 
 def _parts(df: DataFrame, n: int | None) -> int:
@@ -35,7 +36,10 @@ def running_scan(
     """
     by = list(by)
     n = _parts(df, partitions)
-    r = df.repartitionByRange(n, *[F.col(c) for c in by + order]).withColumn("_pid", F.spark_partition_id())
+    # Range bounds are re-sampled each time an exchange runs, so partition ids are only stable inside
+    # one materialisation: checkpoint (reliable, shared folder) once and derive both the local
+    # running values and the per-partition totals from that copy.
+    r = cut_lineage(df.repartitionByRange(n, *[F.col(c) for c in by + order]).withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local_cols = [F.count(F.lit(1)).over(w).alias("_lrn")]
     stat_cols = [F.count(F.lit(1)).alias("_cnt")]

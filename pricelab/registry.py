@@ -43,4 +43,4 @@ def r6(expr: str) -> str:
 
 
 # importing the query modules fills the registry
-from .queries import q_features, q_metrics  # noqa: E402,F401
+from .queries import q_features, q_metrics, q_predictions, q_quality, q_windows  # noqa: E402,F401
