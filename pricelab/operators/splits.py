@@ -42,3 +42,12 @@ def stratified_split(df: DataFrame, value: str = "price", key: str = "sample_id"
 def shuffle_order(df: DataFrame, key: str = "sample_id", seed: int = C.RANDOM_STATE) -> DataFrame:
     """A seeded shuffled order (sort by a key hash)."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key))
+
+
+def train_val_test_split(df: DataFrame, key: str = "sample_id", val_share: float = C.VALIDATION_SHARE,
+                         test_share: float = C.VALIDATION_SHARE, seed: int = C.RANDOM_STATE, col: str = "split") -> DataFrame:
+    """X01 with a held-out test side: buckets [0, v) validation, [v, v + t) test, the rest train."""
+    b = split_bucket(F.col(key), seed)
+    v = int(round(val_share * SPLIT_BUCKETS))
+    t = int(round(test_share * SPLIT_BUCKETS))
+    return df.withColumn(col, F.when(b < v, F.lit("validation")).when(b < v + t, F.lit("test")).otherwise(F.lit("train")))
