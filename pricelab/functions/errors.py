@@ -119,3 +119,22 @@ def range_label(lo: Column, hi: Column) -> Column:
 def split_title(name: Column) -> Column:
     """F18."""
     return F.concat(F.upper(name), F.lit(" METRICS"))
+
+
+def md5_uniform(key: Column, seed: int, stream: int) -> Column:
+    """Deterministic uniform in (0, 1) from md5 of (seed, stream, key): 52 bits of the hash."""
+    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(stream)), key.cast("string"))), 1, 13), 16, 10)
+    return (h.cast("double") + 1.0) / (float(16 ** 13) + 1.0)
+
+
+def gaussian_noise(key: Column, seed: int) -> Column:
+    """Standard normal per key by Box-Muller on two md5 uniforms (same value on every rerun)."""
+    import math
+
+    u1, u2 = md5_uniform(key, seed, 1), md5_uniform(key, seed, 2)
+    return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * u2)
+
+
+def noisy_prediction(pred: Column, key: Column, seed: int, sd: float = 0.001, floor: float = 0.01) -> Column:
+    """Pred * (1 + N(0, sd)), floored at ``floor``; reproducible per key and seed."""
+    return F.greatest(pred * (1.0 + sd * gaussian_noise(key, seed)), F.lit(floor))

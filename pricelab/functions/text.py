@@ -114,7 +114,7 @@ def brand_plan_columns(text: Column) -> list[Column]:
     caps = F.regexp_extract(t, r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+)*)\b", 1)
     poss = F.regexp_extract(t, r"([A-Z][a-z]+'s)", 1)
     found = F.when(caps != "", caps).when(poss != "", poss)
-    pos = (F.locate(found, t) - 1).cast("double") / F.greatest(F.length(t), F.lit(1))
+    pos = (F.position(found, t) - 1).cast("double") / F.greatest(F.length(t), F.lit(1))
     has = t.isNotNull() & (first_ok | found.isNotNull())
     return [
         F.coalesce(has, F.lit(False)).alias("has_brand"),
