@@ -145,3 +145,21 @@ def vector_to_columns(df: DataFrame, k: int, col: str = "tfidf", prefix: str = "
     """Array column -> ``tfidf_0 .. tfidf_{k-1}`` in one select."""
     others = [c for c in df.columns if c != col]
     return df.select(*others, *[F.col(col)[i].alias(f"{prefix}{i}") for i in range(k)])
+
+
+def id_sequences(model: TfidfModel, df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
+                 length: int = C.ID_SEQUENCE_LENGTH) -> DataFrame:
+    """Fixed-length id sequence per text - unigram tokens mapped through the fitted vocabulary
+    (index + 2; 1 = unknown; 0 = padding), truncated / padded to ``length``, with an attention mask.
+
+    The vocabulary (at most max_features entries) becomes a map literal, so no join or shuffle."""
+    terms = [r["term"] for r in model.vocab.select("term", "term_index").orderBy("term_index").collect()]
+    vmap = F.create_map(*[x for i, t in enumerate(terms) for x in (F.lit(t), F.lit(i + 2))])
+    low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    toks = F.regexp_extract_all(strip_accents(low), F.lit(TOKEN_RX), 0)
+    x = df.select(F.col(id_col), toks.alias("_tok"))
+    ids = F.transform(F.slice("_tok", 1, length), lambda t: F.coalesce(F.try_element_at(vmap, t), F.lit(1)))
+    x = x.select(F.col(id_col), ids.alias("_ids"))
+    pad = F.array_repeat(F.lit(0), F.lit(length) - F.size("_ids"))
+    return x.select(F.col(id_col), F.concat("_ids", pad).alias("input_ids"),
+                    F.concat(F.array_repeat(F.lit(1), F.size("_ids")), pad).alias("attention_mask"))

@@ -32,13 +32,17 @@ def integrity(files: DataFrame) -> DataFrame:
 
 
 def verify_images(files: DataFrame, ids: DataFrame | None = None, key: str = "sample_id") -> DataFrame:
-    """Q06: status per id - 'valid', 'corrupted', or 'missing' (id without a file) when ``ids`` is given."""
+    """Q06: ``status`` per id - 'valid' or 'corrupted' - and a ``reason`` ('bad_bytes', or 'no_file' for
+    an id without a readable file; zero-length files are skipped by the file source, so they count here).
+    With ``ids`` every listed id is reported (a missing id is corrupted); without, every file."""
     chk = integrity(files)
-    status = F.when(F.col("valid"), "valid").otherwise("corrupted")
     if ids is None:
-        return chk.select(key, status.alias("status"))
+        return chk.select(key, F.when(F.col("valid"), "valid").otherwise("corrupted").alias("status"),
+                          F.when(~F.col("valid"), "bad_bytes").alias("reason"))
     j = ids.select(key).distinct().join(chk.select(key, "valid"), key, "left")
-    return j.select(key, F.when(F.col("valid").isNull(), "missing").otherwise(status).alias("status"))
+    ok = F.coalesce(F.col("valid"), F.lit(False))
+    reason = F.when(F.col("valid").isNull(), "no_file").when(~F.col("valid"), "bad_bytes")
+    return j.select(key, F.when(ok, "valid").otherwise("corrupted").alias("status"), reason.alias("reason"))
 
 
 def with_fallback(rows: DataFrame, files: DataFrame, key: str = "sample_id") -> DataFrame:
