@@ -93,3 +93,19 @@ def decimal_digit_map() -> tuple[str, str]:
 def py_regex_to_portable(pattern: str) -> str:
     """Rewrite ``\\d`` and ``\\s`` of a Python pattern into explicit classes (same meaning)."""
     return pattern.replace(r"\d", r"\p{Nd}").replace(r"\s", ws_class())
+
+
+def _chars(pred) -> str:
+    return "".join(chr(cp) for cp in range(sys.maxunicode + 1) if not 0xD800 <= cp <= 0xDFFF and pred(chr(cp)))
+
+
+@lru_cache(maxsize=None)
+def ws_chars() -> str:
+    """Every character Python's ``str.isspace`` accepts (29), for ``translate``."""
+    return _chars(str.isspace)
+
+
+@lru_cache(maxsize=None)
+def digit_chars() -> str:
+    """Every character Python's ``str.isdigit`` accepts, for ``translate`` (deleting them counts them)."""
+    return _chars(str.isdigit)

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from .charclass import ALPHA_CLASS, UPPER_CLASS, alnum_or_ws_class, digit_class, non_ws_class, ws_class
+from .charclass import UPPER_CLASS, digit_chars, ws_chars, ws_class
 
 STAT_FIELDS = ["text_length", "word_count", "digit_count", "special_char_count", "uppercase_ratio", "avg_word_length"]
 KEYWORD_FIELDS = ["has_quality_keywords", "quality_keyword_count", "has_discount_keywords", "discount_keyword_count"]
@@ -23,29 +23,60 @@ def clean_text(c: Column) -> Column:
 
 
 def count_class(text: Column, cls: str) -> Column:
+    """Characters of ``text`` in a single-character class (one regex match per character: use for
+    rare classes or short texts; ``count_runs_complement`` is cheaper for common ones)."""
     return F.length(text) - F.length(F.regexp_replace(text, cls, ""))
 
 
+def count_runs_complement(text: Column, complement: str) -> Column:
+    """Characters NOT in ``complement`` (a class body): delete runs of the complement, measure the rest.
+    Deleting runs needs one match per run instead of one per character."""
+    return F.length(F.regexp_replace(text, f"[{complement}]+", ""))
+
+
+def spaces_to_blank(text: Column) -> Column:
+    """Every Python whitespace character -> ' ' (``translate``: no regex)."""
+    ws = ws_chars()
+    return F.translate(text, ws, " " * len(ws))
+
+
+def words_of(blanked: Column) -> Column:
+    """Words of ``str.split()`` from the blank-normalised text: a literal one-character split (no regex
+    compilation per row) without the empty strings between repeated blanks."""
+    return F.array_remove(F.split(blanked, " "), "")
+
+
 def word_count(text: Column) -> Column:
     """number of words of Python's ``str.split()`` (maximal runs of non-space characters)."""
-    return F.regexp_count(text, F.lit(non_ws_class() + "+"))
+    return F.size(words_of(spaces_to_blank(text)))
+
+
+def digit_count(text: Column) -> Column:
+    """``str.isdigit`` characters, counted by deleting them with ``translate``."""
+    return F.length(text) - F.length(F.translate(text, digit_chars(), ""))
+
 
+def text_stat_columns(text: Column, blanked: Column | None = None, words: Column | None = None,
+                      digits: Column | None = None) -> list[Column]:
+    """F05-F09, F11 as six aliased columns. NULL/empty text gives zeros.
 
-def text_stat_columns(text: Column) -> list[Column]:
-    """F05-F09, F11 as six aliased columns. NULL/empty text gives zeros."""
+    ``blanked`` / ``words`` / ``digits`` may be passed in when computed once for several features."""
     t = clean_text(text)
+    b = blanked if blanked is not None else spaces_to_blank(t)
+    w = words if words is not None else words_of(b)
     n = F.length(t).cast("long")
-    words = F.coalesce(word_count(t), F.lit(0)).cast("long")
-    spaces = count_class(t, ws_class())
-    letters = count_class(t, ALPHA_CLASS)
-    upper = count_class(t, UPPER_CLASS)
+    n_words = F.size(w).cast("long")
+    non_space = F.length(F.replace(b, F.lit(" "), F.lit("")))
+    letters = count_runs_complement(t, r"^\p{L}")
+    upper = count_runs_complement(t, r"^\p{Lu}")
+    d = digits if digits is not None else digit_count(t)
     return [
         n.alias("text_length"),
-        words.alias("word_count"),
-        count_class(t, digit_class()).cast("long").alias("digit_count"),
-        F.length(F.regexp_replace(t, alnum_or_ws_class(), "")).cast("long").alias("special_char_count"),
+        n_words.alias("word_count"),
+        d.cast("long").alias("digit_count"),
+        F.length(F.regexp_replace(b, r"[\p{L}\p{N} ]+", "")).cast("long").alias("special_char_count"),
         F.when(letters > 0, upper.cast("double") / letters).otherwise(F.lit(0.0)).alias("uppercase_ratio"),
-        F.when(words > 0, (n - spaces).cast("double") / words).otherwise(F.lit(0.0)).alias("avg_word_length"),
+        F.when(n_words > 0, non_space.cast("double") / n_words).otherwise(F.lit(0.0)).alias("avg_word_length"),
     ]
 
 
@@ -59,7 +90,7 @@ def keyword_count(lowered: Column, keywords: list[str]) -> Column:
     """how many of the keywords occur as substrings."""
     total = None
     for kw in keywords:
-        term = F.when(F.instr(lowered, kw) > 0, F.lit(1)).otherwise(F.lit(0))
+        term = F.when(F.contains(lowered, F.lit(kw)), F.lit(1)).otherwise(F.lit(0))
         total = term if total is None else total + term
     return F.coalesce(total, F.lit(0)).cast("long")
 
@@ -81,18 +112,18 @@ def first_words(text: Column, k: int = 5) -> Column:
     ``split`` with a limit leaves the rest of the text in the last element, so the array is at most
     ``k + 1`` long whatever the text length; only a trailing element can be empty.
     """
-    ws = ws_class()
-    trimmed = F.regexp_replace(text, f"^{ws}+", "")
-    return F.slice(F.split(trimmed, f"{ws}+", k + 1), 1, k)
+    trimmed = F.ltrim(text, F.lit(ws_chars()))
+    return F.slice(F.split(trimmed, f"{ws_class()}+", k + 1), 1, k)
 
 
 BRAND_WORD_RX = r"^[A-Z]([A-Z]+|[a-z]+)$"
 
 
-def brand_columns(text: Column, n_words: Column) -> list[Column]:
+def brand_columns(text: Column, n_words: Column, words: Column | None = None) -> list[Column]:
     """in the first five words, the first whose ASCII letters (more than one) are all capitals or
-    Capitalised; the raw word and its position (index / word count)."""
-    words = first_words(text)
+    Capitalised; the raw word and its position (index / word count). ``words``: the word array if
+    already computed (only its first five elements are used)."""
+    words = F.slice(words, 1, 5) if words is not None else first_words(text)
     tagged = F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     hits = F.filter(tagged, lambda x: F.regexp_replace(x["w"], "[^a-zA-Z]", "").rlike(BRAND_WORD_RX))
     first = F.try_element_at(hits, F.lit(1))

@@ -19,14 +19,32 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from ..session import cut_lineage
 
 DEFAULT_BUCKETS = 64
+SMALL_GROUPS = 10_000  # up to this many groups, bucket statistics are coordinated from the driver
 
 
 def _finite(c):
     return c.isNotNull() & ~F.isnan(c)
 
 
+def count_at_most(value, split, n: int):
+    """Number of the ``n`` ascending split points ``split(i)`` that are <= ``value``, as a balanced tree of
+    CASE expressions: log2(n) code-generated comparisons per row (a ``filter`` lambda over the array
+    would be interpreted and touch every split)."""
+
+    def rec(lo: int, hi: int):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2  # is the count above mid?  <=> split(mid) <= value
+        return F.when(split(mid) <= value, rec(mid + 1, hi)).otherwise(rec(lo, mid))
+
+    return rec(0, n)
+
+
 def _lerp(lo, hi, t):
     """numpy's interpolation: a + (b-a)t for t < 0.5, b - (b-a)(1-t) otherwise."""
     d = hi - lo
@@ -46,16 +64,83 @@ def exact_percentiles(
     base = df.select(*[F.col(b) for b in by], v.alias("_v")).where(_finite(F.col("_v")))
     vc = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
     fracs = [i / buckets for i in range(1, buckets)]
-    if not by:
-        return _ungrouped(vc, probs, fracs)
-    return _grouped(vc, by, probs, fracs)
+    # The distinct-value table is read by several small jobs: keep it (memory, spilling to disk) for
+    # their duration, and hand back the result - at most groups x len(probs) rows - materialised.
+    vc = vc.persist()
+    try:
+        if not by:
+            return _materialise(_ungrouped(vc, probs, fracs))
+        n_groups = vc.select(*by).distinct().count()
+        if n_groups <= SMALL_GROUPS:
+            return _grouped_small(vc, by, probs, fracs)
+        return cut_lineage(_grouped(vc, by, probs, fracs))
+    finally:
+        vc.unpersist()
+
+
+def _materialise(out: DataFrame) -> DataFrame:
+    """Bring a bounded result (len(probs) rows) back as a local relation so the cached inputs can go."""
+    return out.sparkSession.createDataFrame(out.collect(), out.schema)
+
+
+def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float]) -> DataFrame:
+    """Grouped path for a bounded number of groups: split points and bucket totals come to the driver
+    (groups x buckets numbers), only the buckets that hold a needed rank are ranked by a window, and
+    the picked values (groups x probs x 2 rows) are interpolated on the driver. Every join is against a
+    table of at most groups x buckets rows, broadcast on purpose."""
+    spark = vc.sparkSession
+    splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
+    b = vc.join(F.broadcast(splits), by).select(
+        *by, "_v", "_c", count_at_most(F.col("_v"), lambda i: F.col("_s")[i], len(fracs)).alias("_b"))
+    totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc")).collect()  # <= groups x buckets rows
+    per_group: dict = {}
+    for r in totals:
+        per_group.setdefault(tuple(r[c] for c in by), []).append((r["_b"], r["_bc"]))
+    need_rows, plan = [], []  # (group..., bucket, rank, offset)
+    for g, lst in per_group.items():
+        lst.sort()
+        offs, acc = [], 0
+        for bk, bc in lst:
+            offs.append((bk, acc, bc))
+            acc += bc
+        n = acc
+        for i, p in enumerate(probs):
+            h = (n - 1) * p
+            lo = int(math.floor(h))
+            hi = min(lo + 1, n - 1)
+            plan.append((g, i, float(p), lo, hi, float(h - lo)))
+            for rk in {lo, hi}:
+                for bk, off, bc in offs:
+                    if off <= rk < off + bc:
+                        need_rows.append((*g, bk, rk, off))
+                        break
+    key_fields = [vc.schema[c] for c in by]
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    need_schema = StructType(key_fields + [StructField("_b", IntegerType()), StructField("_r", LongType()),
+                                           StructField("_off", LongType())])
+    need = spark.createDataFrame(need_rows, need_schema)
+    w = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cand = b.join(F.broadcast(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
+    cum = cand.withColumn("_cum", F.sum("_c").over(w))
+    picked = cum.join(F.broadcast(need), by + ["_b"]).where(
+        (F.col("_r") >= F.col("_off") + F.col("_cum") - F.col("_c")) & (F.col("_r") < F.col("_off") + F.col("_cum"))
+    ).select(*by, "_r", "_v").collect()  # <= groups x probs x 2 rows
+    value_at = {(tuple(r[c] for c in by), r["_r"]): r["_v"] for r in picked}
+    out = []
+    for g, i, p, lo, hi, t in plan:
+        a, bv = value_at[(g, lo)], value_at[(g, hi)]
+        d = bv - a
+        out.append((*g, i, p, (bv - d * (1 - t)) if t >= 0.5 else (a + d * t)))
+    schema = StructType(key_fields + [StructField("p_idx", IntegerType()), StructField("p", DoubleType()),
+                                      StructField("value", DoubleType())])
+    return spark.createDataFrame(out, schema)
 
 
 def _ungrouped(vc: DataFrame, probs: list[float], fracs: list[float]) -> DataFrame:
     spark = vc.sparkSession
     splits = sorted(set(x for x in vc.approxQuantile("_v", fracs, 0.001) if x is not None))
-    split_arr = F.array(*[F.lit(float(s)) for s in splits]) if splits else F.array().cast("array<double>")
-    b = vc.select("_v", "_c", F.size(F.filter(split_arr, lambda s: s <= F.col("_v"))).alias("_b"))
+    b = vc.select("_v", "_c", count_at_most(F.col("_v"), lambda i: F.lit(float(splits[i])), len(splits)).alias("_b"))
     totals = {r["_b"]: r["_bc"] for r in b.groupBy("_b").agg(F.sum("_c").alias("_bc")).collect()}
     n = sum(totals.values())
     schema = "p_idx int, p double, value double"

@@ -35,7 +35,7 @@ def stratified_split(df: DataFrame, value: str = "price", key: str = "sample_id"
     sized = lab.groupBy("decile").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_scan(lab, ["_h", key], by=["decile"])
     out = ranked.join(sized, "decile", "left")  # one row per stratum on the right
-    is_val = F.col("_rn") <= F.round(F.col("_n") * share)
+    is_val = F.col("_rn") <= F.floor(F.col("_n") * share + 0.5)  # round half up
     return out.select(*df.columns, "decile", F.when(is_val, "validation").otherwise("train").alias(col))
 
 

@@ -22,7 +22,6 @@ import unicodedata
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -50,16 +49,57 @@ def strip_accents(text):
     return F.coalesce(_strip_accents_udf(F.when(non_ascii, text)), text)
 
 
+WORD = r"[\p{L}\p{N}_]"
+
+
+def trie_regex(words: list[str]) -> str:
+    """Alternation of ``words`` shaped as a prefix tree, so the regex engine only follows the branch of
+    the next character (built by rule from the word list)."""
+    import re
+
+    root: dict = {}
+    for w in words:
+        node = root
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = True
+
+    def emit(node) -> str:
+        end = "" in node
+        alts = [re.escape(ch) + emit(node[ch]) for ch in sorted(k for k in node if k)]
+        if not alts:
+            return ""
+        body = alts[0] if len(alts) == 1 and not end else "(?:" + "|".join(alts) + ")"
+        return body + ("?" if end else "")
+
+    return emit(root)
+
+
+def token_regex(stop_words: list[str]) -> str:
+    """Maximal runs of >= 2 word characters that are not a stop word."""
+    if not stop_words:
+        return TOKEN_RX
+    return f"(?<!{WORD})(?!(?:{trie_regex(stop_words)})(?!{WORD})){WORD}{{2,}}"
+
+
+BIGRAM_RX = r"(?:^| )(?=([^ ]+ [^ ]+))"
+
+
 def tokenize(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
              stop_words: list[str] | None = None) -> DataFrame:
-    """(id, terms ARRAY<STRING>) with unigrams then bigrams, in text order."""
+    """(id, terms ARRAY<STRING>) with unigrams then bigrams, in text order.
+
+    Stop words are skipped by the token regex itself (a prefix-tree alternation in a negative
+    lookahead); bigrams are the overlapping pairs of the kept tokens, read by a lookahead regex from
+    the blank-joined tokens (tokens never contain a blank). All JVM-side."""
+    from ..plans.features import spread
+
     stop_words = C.ENGLISH_STOP_WORDS if stop_words is None else stop_words
     low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    base = df.select(F.col(id_col), strip_accents(low).alias("_s"))
-    toks = base.select(F.col(id_col), F.regexp_extract_all(F.col("_s"), F.lit(TOKEN_RX), 0).alias("_tok"))
-    kept = StopWordsRemover(inputCol="_tok", outputCol="_kept", stopWords=list(stop_words), caseSensitive=True).transform(toks)
-    bi = NGram(n=2, inputCol="_kept", outputCol="_bi").transform(kept)
-    return bi.select(F.col(id_col), F.concat("_kept", "_bi").alias("terms"))
+    base = spread(df, id_col).select(F.col(id_col), strip_accents(low).alias("_s"))
+    kept = base.select(F.col(id_col), F.regexp_extract_all(F.col("_s"), F.lit(token_regex(list(stop_words))), 0).alias("_k"))
+    bigrams = F.regexp_extract_all(F.array_join("_k", " "), F.lit(BIGRAM_RX), 1)
+    return kept.select(F.col(id_col), F.concat("_k", bigrams).alias("terms"))
 
 
 def doc_term_counts(terms: DataFrame, id_col: str = "sample_id") -> DataFrame:
@@ -91,22 +131,52 @@ class TfidfModel:
         return TfidfModel(v.drop("n_docs").cache(), int(n[0][0]))
 
 
-def fit(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
-        max_features: int = C.TFIDF_MAX_FEATURES, min_df: int = C.TFIDF_MIN_DF, max_df: float = C.TFIDF_MAX_DF,
-        stop_words: list[str] | None = None) -> TfidfModel:
-    """V02 + V03."""
-    terms = tokenize(df, text_col, id_col, stop_words)
-    n_docs = df.count()
-    dtc = doc_term_counts(terms, id_col)
-    stats = dtc.groupBy("term").agg(F.sum("tf").alias("count"), F.count(F.lit(1)).alias("df"))
+def _term_stats_exact(terms: DataFrame) -> DataFrame:
+    tf = terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("count"))
+    dfc = terms.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return tf.join(dfc, "term")
+
+
+def _select_vocabulary(stats: DataFrame, n_docs: int, max_features: int, min_df: int, max_df) -> DataFrame:
     max_count = max_df * n_docs if isinstance(max_df, float) else max_df
     kept = stats.where((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_count)))
-    top = kept.orderBy(F.col("count").desc(), F.col("term").asc()).limit(max_features)  # bounded top-k
-    rows = top.collect()  # at most max_features rows
-    if not rows:
+    return kept
+
+
+def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col: str = "sample_id",
+        max_features: int = C.TFIDF_MAX_FEATURES, min_df: int = C.TFIDF_MIN_DF, max_df: float = C.TFIDF_MAX_DF,
+        stop_words: list[str] | None = None, terms: DataFrame | None = None, n_docs: int | None = None) -> TfidfModel:
+    """V02 + V03. ``terms`` (from ``tokenize``) may be passed to share the tokenization with a transform.
+
+    Counting runs on 64-bit hashes of the terms (fixed-width keys: fast hash aggregation); strings are
+    fetched only for the candidates of the top-k, and any hash collision among them falls back to the
+    exact string-keyed count."""
+    if terms is None:
+        terms = tokenize(df, text_col, id_col, stop_words)
+    if n_docs is None:
+        n_docs = (df if df is not None else terms).count()
+    h = F.xxhash64(F.col("term"))
+    tf = terms.select(F.explode("terms").alias("term")).select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("count"))
+    dfc = terms.select(F.explode(F.array_distinct("terms")).alias("term")).select(h.alias("h")).groupBy("h").agg(
+        F.count(F.lit(1)).alias("df"))
+    kept = _select_vocabulary(tf.join(dfc, "h"), n_docs, max_features, min_df, max_df).persist()
+    top = kept.orderBy(F.col("count").desc()).limit(max_features).collect()  # bounded: max_features rows
+    if not top:
+        kept.unpersist()
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
+    floor = min(r["count"] for r in top)
+    cand = kept.where(F.col("count") >= floor)  # the top-k plus every tie at its lowest count
+    names = (terms.select(F.explode("terms").alias("term")).select("term", h.alias("h"))
+             .join(F.broadcast(cand.select("h")), "h").distinct())  # candidates only; bounded by the ties
+    resolved = names.join(cand, "h").collect()
+    kept.unpersist()
+    if len({r["h"] for r in resolved}) != len(resolved):  # a collision among candidates: count exactly
+        stats = _select_vocabulary(_term_stats_exact(terms), n_docs, max_features, min_df, max_df)
+        rows = stats.orderBy(F.col("count").desc(), F.col("term").asc()).limit(max_features).collect()
+    else:
+        rows = sorted(resolved, key=lambda r: (-r["count"], r["term"]))[:max_features]
     ordered = sorted(rows, key=lambda r: r["term"])
-    spark = df.sparkSession
+    spark = terms.sparkSession
     import math
 
     vocab = spark.createDataFrame(
@@ -116,18 +186,34 @@ def fit(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_
     return TfidfModel(vocab, n_docs)
 
 
-def transform_long(model: TfidfModel | None, df: DataFrame, text_col: str = "catalog_content",
-                   id_col: str = "sample_id", stop_words: list[str] | None = None) -> DataFrame:
-    """V04 long form: (id, term_index, term, tfidf) for the non-zero entries, L2-normalised per doc."""
+def transform_long(model: TfidfModel | None, df: DataFrame | None = None, text_col: str = "catalog_content",
+                   id_col: str = "sample_id", stop_words: list[str] | None = None, terms: DataFrame | None = None) -> DataFrame:
+    """V04 long form: (id, term_index, term, tfidf) for the non-zero entries, L2-normalised per doc.
+
+    Tokens are matched against the broadcast vocabulary (at most max_features rows) before any
+    shuffle; the hits are partitioned once by document, which serves both the per-(doc, term) count and
+    the per-document norm (window), so there is a single exchange."""
     if model is None:
         raise ValueError("TF-IDF vectorizer not fitted. Call fit() first.")
-    terms = tokenize(df, text_col, id_col, stop_words)
-    v = F.broadcast(model.vocab.select("term", "term_index", "idf"))  # <= max_features rows
-    hits = terms.select(F.col(id_col), F.explode("terms").alias("term")).join(v, "term")
+    from pyspark.sql import Window
+
+    if terms is None:
+        terms = tokenize(df, text_col, id_col, stop_words)
+    v = F.broadcast(model.vocab.select("term", "term_index", "idf"))
+    hits = terms.select(F.col(id_col), F.explode("terms").alias("term")).join(v, "term").repartition(F.col(id_col))
     counts = hits.groupBy(id_col, "term_index", "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
     w = counts.select(id_col, "term_index", "term", (F.col("tf") * F.col("idf")).alias("_w"))
-    norms = w.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return w.join(norms, id_col).select(id_col, "term_index", "term", (F.col("_w") / F.col("_norm")).alias("tfidf"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "term_index", "term", (F.col("_w") / norm).alias("tfidf"))
+
+
+def fit_transform(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
+                  **fit_args) -> tuple[TfidfModel, DataFrame]:
+    """Fit and transform the same rows, tokenizing once (tokens persisted; unpersist with
+    ``terms.unpersist()`` via the returned frame's lineage when done)."""
+    terms = tokenize(df, text_col, id_col, fit_args.pop("stop_words", None)).persist()
+    model = fit(None, text_col, id_col, terms=terms, n_docs=terms.count(), **fit_args)
+    return model, transform_long(model, None, text_col, id_col, terms=terms)
 
 
 def transform_vector(model: TfidfModel, df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",

@@ -14,7 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ipq import IPQ_FIELDS, ipq_finish, ipq_match
-from ..functions.text import BRAND_FIELDS, KEYWORD_FIELDS, STAT_FIELDS, brand_columns, clean_text, keyword_columns, text_stat_columns
+from ..functions.text import (
+    BRAND_FIELDS,
+    KEYWORD_FIELDS,
+    STAT_FIELDS,
+    brand_columns,
+    clean_text,
+    digit_count,
+    keyword_columns,
+    spaces_to_blank,
+    text_stat_columns,
+    words_of,
+)
 
 FEATURE_COLUMNS = IPQ_FIELDS + STAT_FIELDS + KEYWORD_FIELDS + BRAND_FIELDS
 
@@ -26,45 +37,66 @@ def require_columns(df: DataFrame, *names: str) -> None:
         raise ValueError(f"DataFrame must contain column(s): {', '.join(missing)}")
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores (e.g. a file with a single
+    row group) before CPU-heavy row work; a no-op for real inputs, which already come in many splits.
+    Hash partitioning on the key keeps retries deterministic."""
+    spark = df.sparkSession
+    target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        target = max(target, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        pass
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 def engineer_features(
     df: DataFrame,
     text_col: str = "catalog_content",
     id_col: str | None = "sample_id",
     keep: list[str] | tuple[str, ...] = (),
     word_boundary: bool = False,
+    spread_input: bool = True,
 ) -> DataFrame:
     """Feature table. ``keep``: extra input columns carried through (e.g. ``price``).
 
     Without ``id_col`` the row position is not defined on a distributed table; pass an id.
     """
     require_columns(df, text_col)
-    ids: list[Column] = [F.col(id_col)] if id_col else []
-    carry = ids + [F.col(c) for c in keep]
+    if spread_input and not df.isStreaming:
+        df = spread(df, id_col)
+    carried = ([id_col] if id_col else []) + list(keep)
     t = clean_text(F.col(text_col))
-    # Stage 1: text and its lower-case form, each computed once per row.
-    s1 = df.select(*carry, t.alias("_t"), F.lower(t).alias("_low"))
-    # Stage 2: pattern match, statistics and keywords.
-    s2 = s1.select(
-        *[F.col(c) for c in ([id_col] if id_col else []) + list(keep)],
-        F.col("_t"),
-        ipq_match(F.col("_low"), word_boundary).alias("_ipq"),
-        *text_stat_columns(F.col("_t")),
+    # Stage 1: text, lower-case text and blank-normalised text, each once per row.
+    s1 = df.select(*[F.col(c) for c in carried], t.alias("_t"), F.lower(t).alias("_low"), spaces_to_blank(t).alias("_b"))
+    # Stage 2: the word array and the digit count (shared by statistics, brand and the pattern gate).
+    s2 = s1.select(*[F.col(c) for c in carried], "_t", "_low", "_b", words_of(F.col("_b")).alias("_w"),
+                   digit_count(F.col("_t")).alias("_d"))
+    # Stage 3: pattern match (only texts with a digit can match any pattern), statistics, keywords.
+    s3 = s2.select(
+        *[F.col(c) for c in carried], "_t", "_w",
+        F.when(F.col("_d") > 0, ipq_match(F.col("_low"), word_boundary)).alias("_ipq"),
+        *text_stat_columns(F.col("_t"), F.col("_b"), F.col("_w"), F.col("_d")),
         *keyword_columns(F.col("_low")),
     )
-    # Stage 3: finish pack quantity, brand (needs the word count).
-    out = s2.select(
-        *[F.col(c) for c in ([id_col] if id_col else []) + list(keep)],
+    # Stage 4: finish pack quantity, brand from the first five words.
+    out = s3.select(
+        *[F.col(c) for c in carried],
         *ipq_finish(F.col("_ipq")),
         *[F.col(c) for c in STAT_FIELDS + KEYWORD_FIELDS],
-        *brand_columns(F.col("_t"), F.col("word_count")),
+        *brand_columns(F.col("_t"), F.col("word_count"), F.col("_w")),
     )
     return out
 
 
 def text_statistics(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id") -> DataFrame:
     """F05-F11 only."""
-    t = clean_text(F.col(text_col))
-    return df.select(F.col(id_col), *text_stat_columns(t))
+    t = spread(df, id_col).select(F.col(id_col), clean_text(F.col(text_col)).alias("_t"))
+    t = t.select(F.col(id_col), "_t", spaces_to_blank(F.col("_t")).alias("_b"))
+    t = t.select(F.col(id_col), "_t", "_b", words_of(F.col("_b")).alias("_w"))
+    return t.select(F.col(id_col), *text_stat_columns(F.col("_t"), F.col("_b"), F.col("_w")))
 
 
 def pack_quantity(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
@@ -82,8 +114,6 @@ def keywords(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sa
 
 
 def brands(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id") -> DataFrame:
-    from ..functions.text import word_count
-
     t = df.select(F.col(id_col), clean_text(F.col(text_col)).alias("_t"))
-    t = t.select(F.col(id_col), F.col("_t"), F.coalesce(word_count(F.col("_t")), F.lit(0)).alias("_n"))
-    return t.select(F.col(id_col), *brand_columns(F.col("_t"), F.col("_n")))
+    t = t.select(F.col(id_col), "_t", words_of(spaces_to_blank(F.col("_t"))).alias("_w"))
+    return t.select(F.col(id_col), *brand_columns(F.col("_t"), F.size("_w"), F.col("_w")))

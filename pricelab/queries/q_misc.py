@@ -20,7 +20,7 @@ from ..oracle.fixtures import with_fixtures
 from ..oracle.sqlfeatures import ascii_digits, count_class, features_select, q
 from ..plans import submission as SUB
 from ..plans.features import engineer_features
-from ..registry import r6, register, rounded
+from ..registry import r6, register, rnd_sql, round_col, rounded
 from ..session import scratch_path, table
 from ..sources import store as ST
 from ..sources.derived import catalog, download_status, manifest, predictions
@@ -41,7 +41,7 @@ e as (select list_concat(list_transform(range(0, 49), lambda i: a + i * ((b - a)
 xb as (select split, least(len(list_filter(edges, lambda v: v <= _x)) - 1, 48) as bin from x cross join e where _x >= e.a and _x <= e.b),
 c as (select split, bin, count(*) as n from xb group by all),
 g as (select s.split, unnest(range(0, 49)) as bin from (select distinct split from x) s)
-select g.split, cast(g.bin as integer) as bin, round(e.edges[g.bin + 1], 6) as lo, round(e.edges[g.bin + 2], 6) as hi,
+select g.split, cast(g.bin as integer) as bin, {r6('e.edges[g.bin + 1]')} as lo, {r6('e.edges[g.bin + 2]')} as hi,
   coalesce(c.n, 0) as n
 from g cross join e left join c on c.split = g.split and c.bin = g.bin"""))
 def a09_split_histogram(spark, sf_dir):
@@ -143,7 +143,7 @@ _T01_COLS = [c for c in NUMERIC_COLS if c != "price"]
 @register("t01_top_k_features", with_fixtures(f"""
 , f as (select * from ({features_select('catalog', keep=('price',))})),
 c as ({' union all '.join(f"select '{c}' as feature, abs(corr({c}, price)) as importance from f" for c in _T01_COLS)})
-select feature, round(importance, 6) as importance from c where importance is not null and not isnan(importance)
+select feature, {r6('importance')} as importance from c where importance is not null and not isnan(importance)
 order by importance desc, feature limit 5"""))
 def t01_top_k_features(spark, sf_dir):
     """The 5 features with the highest |correlation| with price, descending."""
@@ -275,17 +275,17 @@ def f17_checkpoint_names(spark, sf_dir):
 
 
 @register("f18_report_titles", with_fixtures(
-    "select upper(model) || ' METRICS' as title, round(100 * avg(abs(pred - y_true) / ((abs(y_true) + abs(pred)) / 2.0 + 1e-10)), 4) as smape "
-    "from preds group by model"))
+    "select upper(model) || ' METRICS' as title, " + rnd_sql("100 * avg(abs(pred - y_true) / ((abs(y_true) + abs(pred)) / 2.0 + 1e-10))", 4)
+    + " as smape from preds group by model"))
 def f18_report_titles(spark, sf_dir):
     """report titles and 4-decimal SMAPE per model."""
     s = M.smape(predictions(spark, sf_dir), by=["model"])
-    return s.select(E.split_title(F.col("model")).alias("title"), F.round("smape", 4).alias("smape"))
+    return s.select(E.split_title(F.col("model")).alias("title"), round_col(F.col("smape"), 4).alias("smape"))
 
 
-@register("m06_non_finite_flags", with_fixtures("""
+@register("m06_non_finite_flags", with_fixtures(f"""
 select sample_id, model, isnan(pred) as is_nan, isinf(pred) as is_inf, pred < 0 as is_negative,
-  round(ln(1 + y_true), 6) as log_target from preds"""))
+  {r6('ln(1 + y_true)')} as log_target from preds"""))
 def m06_non_finite_flags(spark, sf_dir):
     """M01 + M06: NaN / infinite / negative flags and the log-space target."""
     p = predictions(spark, sf_dir)
@@ -327,7 +327,7 @@ def s03_s04_feature_store(spark, sf_dir):
 
 
 @register("s05_vectorizer_round_trip", with_fixtures(
-    _vocab_sql("catalog") + _long_sql("catalog") + "select sample_id, term_index, term, round(tfidf, 6) as tfidf from long"))
+    _vocab_sql("catalog") + _long_sql("catalog") + f"select sample_id, term_index, term, {r6('tfidf')} as tfidf from long"))
 def s05_vectorizer_round_trip(spark, sf_dir):
     """Fitted vocabulary saved as Parquet, loaded, and used to transform (same entries as V04)."""
     c = catalog(spark, sf_dir)

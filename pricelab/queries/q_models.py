@@ -16,7 +16,7 @@ from ..plans.features import engineer_features
 from ..plans.models import boost as B
 from ..plans.models import linear as L
 from ..plans.models import stack as ST
-from ..registry import register, rounded
+from ..registry import r6, register, rounded
 from ..session import scratch_path
 from ..sources.derived import MODEL_OFFSETS, catalog, predictions
 
@@ -35,7 +35,7 @@ def _wide(spark, sf_dir):
 
 
 @register("k01_feature_matrix", with_fixtures(
-    f"select sample_id, {SPLIT_SQL} as split, round(ln(1 + price), 6) as label from catalog where price is not null and not isnan(price)"))
+    f"select sample_id, {SPLIT_SQL} as split, {r6('ln(1 + price)')} as label from catalog where price is not null and not isnan(price)"))
 def k01_feature_matrix(spark, sf_dir):
     """Numeric features, NaN -> 0, log target, split, assembled vector (checked: ids, split, label)."""
     m, _cols = _matrix(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import predictions as PR
 from ..operators import sets as S
 from ..oracle.fixtures import with_fixtures
-from ..registry import r6, register, rounded
+from ..registry import r6, register, rnd_sql, round_py, rounded
 from ..session import table
 from ..sources.derived import MODEL_OFFSETS, predictions
 
@@ -32,7 +32,7 @@ def j04_attach_targets(spark, sf_dir):
 
 
 @register("a20_average_predictions", with_fixtures(
-    "select sample_id, round(avg(pred), 8) as pred, count(*) as n_preds from preds group by sample_id"))
+    "select sample_id, " + rnd_sql("avg(pred)", 8) + " as pred, count(*) as n_preds from preds group by sample_id"))
 def a20_average_predictions(spark, sf_dir):
     """Average of the repeated predictions per id. (Means of 4 values with 5 decimals have exact
     decimal ties at the 7th digit, so this one is compared at 8 digits.)"""
@@ -51,12 +51,26 @@ def a22_weight_normalisation(spark, sf_dir):
     return rounded(PR.inverse_smape_weights(predictions(spark, sf_dir)))
 
 
-@register("a21_weighted_combination", with_fixtures(WEIGHTS_SQL + f"""
-select p.sample_id, {r6('sum(w.weight * p.pred)')} as pred from preds p join w on w.model = p.model group by p.sample_id"""))
+_W12 = {m: "(select " + rnd_sql("weight", 12) + f" from w where model = '{m}')" for m in MODELS}
+
+
+@register("a21_weighted_combination", with_fixtures(WEIGHTS_SQL + ", wide as (select sample_id, " + ", ".join(
+    f"max(case when model = '{m}' then pred end) as {m}" for m in MODELS) + " from preds group by sample_id)\n"
+    + "select sample_id, " + rnd_sql(" + ".join(f"{m} * {_W12[m]}" for m in MODELS), 6) + " as pred from wide"))
 def a21_weighted_combination(spark, sf_dir):
-    """Weighted combination of the models per id (weights broadcast: one row per model)."""
+    """Weighted combination per id with inverse-SMAPE weights (A22), evaluated on the pivoted row
+    in sorted model order so that the sum is the same on every run (weights rounded to 12 decimals)."""
+    p = predictions(spark, sf_dir)
+    w = {r["model"]: round_py(r["weight"], 12) for r in PR.inverse_smape_weights(p).collect()}  # one row per model
+    wide = PR.stack_wide(p, MODELS)
+    return rounded(wide.select("sample_id", PR.weighted_expr(MODELS, [w[m] for m in MODELS]).alias("pred")))
+
+
+@register("a21_weighted_combination_long")
+def a21_weighted_combination_long(spark, sf_dir):
+    """A21 on the long table: weights broadcast (one row per model), sum per id."""
     p = predictions(spark, sf_dir)
-    return rounded(PR.weighted_combination(p, PR.inverse_smape_weights(p)))
+    return PR.weighted_combination(p, PR.inverse_smape_weights(p))
 
 
 @register("u05_union_predictions", with_fixtures("select sample_id, model, y_true, pred from preds"))

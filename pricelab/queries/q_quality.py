@@ -9,7 +9,7 @@ from ..operators import splits as X
 from ..oracle.fixtures import with_fixtures
 from ..oracle.sqlfeatures import features_select
 from ..plans.features import FEATURE_COLUMNS, engineer_features
-from ..registry import r6, register, rounded
+from ..registry import r6, register, round_col, rounded
 from ..sources.derived import catalog
 
 FLOAT_COLS = {"ipq_value", "ipq_normalized", "ipq_confidence", "uppercase_ratio", "avg_word_length", "brand_position", "price"}
@@ -58,7 +58,7 @@ def a14_constant_columns(spark, sf_dir):
 _PAIRS = [(a, b) for i, a in enumerate(NUMERIC_COLS) for b in NUMERIC_COLS[i + 1:]]
 A15_SQL = FEATS_CTE + ", c as (" + "\nunion all\n".join(
     f"select '{a}' as col_a, '{b}' as col_b, corr({_present(a)}, {_present(b)}) as corr from f" for a, b in _PAIRS) + \
-    ")\nselect col_a, col_b, round(corr, 6) as corr from c where abs(corr) > 0.95 and not isnan(corr)"
+    ")\nselect col_a, col_b, " + r6("corr") + " as corr from c where abs(corr) > 0.95 and not isnan(corr)"
 
 
 @register("a15_high_correlation", with_fixtures(A15_SQL))
@@ -102,11 +102,11 @@ Q05_SQL = _UNPIVOT + ", m as (" + "\nunion all\n".join(
     """d as (select "column", avg(value) as mean, stddev_samp(value) as std from u group by "column")
 select 'missing_values' as "check", 'total' as item, sum(n) as value from m
 union all select 'constant_column', item, 1.0 from k where is_constant
-union all select 'high_correlation', item, round(corr, 6) from c where abs(corr) > 0.95 and not isnan(corr)
-union all select 'describe_range', 'mean_min', round(min(mean), 6) from d
-union all select 'describe_range', 'mean_max', round(max(mean), 6) from d
-union all select 'describe_range', 'std_min', round(min(std), 6) from d
-union all select 'describe_range', 'std_max', round(max(std), 6) from d"""
+union all select 'high_correlation', item, """ + r6("corr") + """ from c where abs(corr) > 0.95 and not isnan(corr)
+union all select 'describe_range', 'mean_min', """ + r6("min(mean)") + """ from d
+union all select 'describe_range', 'mean_max', """ + r6("max(mean)") + """ from d
+union all select 'describe_range', 'std_min', """ + r6("min(std)") + """ from d
+union all select 'describe_range', 'std_max', """ + r6("max(std)") + """ from d"""
 
 
 @register("q05_feature_audit", with_fixtures(Q05_SQL))
@@ -119,9 +119,9 @@ def q05_feature_audit(spark, sf_dir):
         F.lit("constant_column").alias("check"), F.col("column").alias("item"), F.lit(1.0).alias("value"))
     corr = P.high_correlations(f, NUMERIC_COLS).where(F.col("corr").isNotNull() & ~F.isnan("corr")).select(
         F.lit("high_correlation").alias("check"), F.concat_ws("~", "col_a", "col_b").alias("item"),
-        F.round("corr", 6).alias("value"))
+        round_col(F.col("corr"), 6).alias("value"))
     rng = P.describe_ranges(P.describe(f, NUMERIC_COLS))
-    ranges = rng.select(F.explode(F.array(*[F.struct(F.lit(n).alias("item"), F.round(F.col(n), 6).alias("value"))
+    ranges = rng.select(F.explode(F.array(*[F.struct(F.lit(n).alias("item"), round_col(F.col(n), 6).alias("value"))
                                             for n in ["mean_min", "mean_max", "std_min", "std_max"]])).alias("s")).select(
         F.lit("describe_range").alias("check"), "s.item", "s.value")
     return miss.unionByName(const).unionByName(corr).unionByName(ranges)
@@ -170,7 +170,7 @@ def w10_decile_labels(spark, sf_dir):
 @register("x02_stratified_split", with_fixtures(DECILE_SQL + """
 , r as (select sample_id, decile, row_number() over (partition by decile order by md5('42:' || sample_id), sample_id) as rn,
           count(*) over (partition by decile) as n from lab)
-select sample_id, decile, case when rn <= round(n * 0.1) then 'validation' else 'train' end as split from r"""))
+select sample_id, decile, case when rn <= floor(n * 0.1 + 0.5) then 'validation' else 'train' end as split from r"""))
 def x02_stratified_split(spark, sf_dir):
     """10 % validation within every price decile (partition-parallel ranks)."""
     return X.stratified_split(catalog(spark, sf_dir).select("sample_id", "price")).select("sample_id", "decile", "split")

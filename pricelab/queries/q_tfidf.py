@@ -9,7 +9,7 @@ from ..operators import splits as X
 from ..operators import tfidf as T
 from ..oracle.fixtures import with_fixtures
 from ..oracle.sqlfeatures import q
-from ..registry import register, rounded
+from ..registry import r6, register, rounded
 from ..sources.derived import catalog, documents_as_catalog
 
 _STOP = "[" + ", ".join(q(w) for w in C.ENGLISH_STOP_WORDS) + "]"
@@ -59,38 +59,38 @@ def v01_tokens_documents(spark, sf_dir):
 
 
 @register("v02_vocabulary", with_fixtures(_vocab_sql("catalog") +
-                                          "select term_index, term, df, count, round(idf, 6) as idf from vocab"))
+                                          "select term_index, term, df, count, " + r6("idf") + " as idf from vocab"))
 def v02_vocabulary(spark, sf_dir):
     """V02 + V03: fitted vocabulary (min_df 5, max_df 0.95, top 100 by count) with smoothed idf."""
     return rounded(T.fit(catalog(spark, sf_dir)).vocab)
 
 
 @register("v02_vocabulary_documents", with_fixtures(_vocab_sql("docs") +
-                                                    "select term_index, term, df, count, round(idf, 6) as idf from vocab"))
+                                                    "select term_index, term, df, count, " + r6("idf") + " as idf from vocab"))
 def v02_vocabulary_documents(spark, sf_dir):
     """V02 + V03 fitted on whole documents."""
     return rounded(T.fit(documents_as_catalog(spark, sf_dir)).vocab)
 
 
 @register("v04_tfidf_long", with_fixtures(_vocab_sql("catalog") + _long_sql("catalog") +
-                                          "select sample_id, term_index, term, round(tfidf, 6) as tfidf from long"))
+                                          "select sample_id, term_index, term, " + r6("tfidf") + " as tfidf from long"))
 def v04_tfidf_long(spark, sf_dir):
     """L2-normalised tf-idf entries of every catalog text (long form)."""
-    c = catalog(spark, sf_dir)
-    return rounded(T.transform_long(T.fit(c), c))
+    _model, long = T.fit_transform(catalog(spark, sf_dir))
+    return rounded(long)
 
 
 @register("v04_tfidf_long_documents", with_fixtures(_vocab_sql("docs") + _long_sql("docs") +
-                                                    "select sample_id, term_index, term, round(tfidf, 6) as tfidf from long"))
+                                                    "select sample_id, term_index, term, " + r6("tfidf") + " as tfidf from long"))
 def v04_tfidf_long_documents(spark, sf_dir):
     """V04 on whole documents."""
-    d = documents_as_catalog(spark, sf_dir)
-    return rounded(T.transform_long(T.fit(d), d))
+    _model, long = T.fit_transform(documents_as_catalog(spark, sf_dir))
+    return rounded(long)
 
 
 @register("v05_fit_train_apply_validation", with_fixtures(
     f", train as (select * from catalog where {_SPLIT} = 'train'), val as (select * from catalog where {_SPLIT} = 'validation')"
-    + _vocab_sql("train") + _long_sql("val") + "select sample_id, term_index, term, round(tfidf, 6) as tfidf from long"))
+    + _vocab_sql("train") + _long_sql("val") + "select sample_id, term_index, term, " + r6("tfidf") + " as tfidf from long"))
 def v05_fit_train_apply_validation(spark, sf_dir):
     """Vocabulary fitted on the train split, applied to the validation split."""
     c = X.train_val_split(catalog(spark, sf_dir))
@@ -99,7 +99,7 @@ def v05_fit_train_apply_validation(spark, sf_dir):
 
 
 def _v06_sql() -> str:
-    cols = ", ".join(f"round(coalesce(sum(case when l.term_index = {i} then l.tfidf end), 0.0), 6) as tfidf_{i}" for i in range(100))
+    cols = ", ".join(r6(f"coalesce(sum(case when l.term_index = {i} then l.tfidf end), 0.0)") + f" as tfidf_{i}" for i in range(100))
     return (_vocab_sql("catalog") + _long_sql("catalog") +
             f"select c.sample_id, {cols} from catalog c left join long l on l.sample_id = c.sample_id group by c.sample_id")
 

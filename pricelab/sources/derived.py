@@ -46,8 +46,14 @@ def catalog_from_part(part: DataFrame) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    from ..plans.features import spread
+
+    return spread(df, key)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog_from_part(table(spark, sf_dir, "part"))
+    return catalog_from_part(_spread(table(spark, sf_dir, "part"), "p_partkey"))
 
 
 def documents_as_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +81,7 @@ def predictions_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predictions_from_orders(table(spark, sf_dir, "orders"))
+    return predictions_from_orders(_spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey"))
 
 
 def manifest_from_events(events: DataFrame) -> DataFrame:
@@ -91,7 +97,7 @@ def manifest_from_events(events: DataFrame) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return manifest_from_events(table(spark, sf_dir, "events"))
+    return manifest_from_events(_spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def download_status(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:

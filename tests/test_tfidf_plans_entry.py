@@ -44,10 +44,13 @@ def test_feature_plan_has_no_python_and_prunes_columns(spark):
     from pricelab.plans.features import engineer_features
     from pricelab.sources.derived import documents_as_catalog
 
-    plan = _plan(engineer_features(documents_as_catalog(spark, SF_SMALL)))
+    plan = _plan(engineer_features(documents_as_catalog(spark, SF_SMALL), spread_input=False))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert "Exchange" not in plan  # narrow: no shuffle
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+    # a single-split input is spread once by key before the row work (a no-op for many-split inputs)
+    spread_plan = _plan(engineer_features(documents_as_catalog(spark, SF_SMALL)))
+    assert spread_plan.count("Exchange hashpartitioning") == 1
 
 
 def test_metric_plan_is_one_aggregate_with_pushdown(spark):
