@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 from ..functions.errors import smape_term
 
 
+def cache_for_iterations(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Keep only ``cols`` and persist (memory, spilling to disk) for a driver loop that scans the table
+    many times; at most one partition per core, since each loop step is a small job whose cost is
+    dominated by per-task overhead. At cluster scale the partition count stays in the thousands."""
+    spark = df.sparkSession
+    x = df.select(*cols)
+    cores = spark.sparkContext.defaultParallelism
+    if x.rdd.getNumPartitions() > cores:
+        x = x.coalesce(cores)
+    from pyspark import StorageLevel
+
+    return x.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def model_names(preds: DataFrame, model_col: str = "model") -> list[str]:
     """Sorted model names (bounded: one per model)."""
     return sorted(r[0] for r in preds.select(model_col).distinct().collect())
@@ -64,15 +78,23 @@ def weighted_expr(models: list[str], weights) -> F.Column:
     return sum(F.col(f"`{m}`") * float(w) for m, w in zip(models, weights))
 
 
+def _smape_sql(target: str, models: list[str], w) -> str:
+    """SMAPE of one weight vector as a single SQL aggregate expression (one call to build, instead of a
+    Column tree assembled piece by piece from the driver)."""
+    pred = " + ".join(f"`{m}` * {float(x)!r}" for m, x in zip(models, w))
+    t = f"`{target}`"
+    return f"100.0 * avg(abs(({pred}) - {t}) / ((abs({t}) + abs({pred})) / 2.0 + 1e-10))"
+
+
 def smape_of_weights(wide: DataFrame, models: list[str], target: str, candidates: list[np.ndarray]) -> list[float]:
-    """SMAPE of several candidate weight vectors in ONE aggregate (no cross join)."""
-    aggs = []
+    """SMAPE of several candidate weight vectors (|w| / sum |w|) in ONE aggregate (no cross join)."""
+    exprs = []
     for i, w in enumerate(candidates):
         w = np.abs(np.asarray(w, dtype=float))
         s = w.sum()
         w = w / s if s > 0 else np.full(len(models), 1.0 / len(models))
-        aggs.append((100.0 * F.avg(smape_term(F.col(target), weighted_expr(models, w)))).alias(f"c{i}"))
-    row = wide.agg(*aggs).collect()[0]
+        exprs.append(F.expr(_smape_sql(target, models, w)).alias(f"c{i}"))
+    row = wide.agg(*exprs).collect()[0]
     return [float(row[f"c{i}"]) for i in range(len(candidates))]
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ... import constants as C
-from ...operators.predictions import optimise_weights, smape_of_weights, weighted_expr
+from ...operators.predictions import cache_for_iterations, optimise_weights, smape_of_weights, weighted_expr
 from ...operators.windows import shuffled_folds
 from . import linear as L
 
@@ -78,8 +78,9 @@ class StackingEnsemble:
         self.ridge = L.ridge_cv(tr, self.models, target, "fold")
         self.enet = L.enet_cv(tr, self.models, target, "fold")
         _oof, val_lgbm, self.lgbm = shallow_gbt_oof(tr, val, self.models, target, key, "fold", n_folds)
-        meta_val = val.select(key, target, self.ridge.expr().alias("ridge"), self.enet.expr().alias("elasticnet")).join(
-            val_lgbm, key).persist()
+        meta_val = cache_for_iterations(
+            val.select(key, target, self.ridge.expr().alias("ridge"), self.enet.expr().alias("elasticnet")).join(val_lgbm, key),
+            [key, target, *META])
         if optimize_weights:
             self.weights = optimise_weights(meta_val, META, target)
         else:
@@ -140,7 +141,7 @@ def train_ensemble(wide: DataFrame, models: list[str], target: str = "y_true", k
     Returns (comparison table, fitted ensemble, simple-average weights). Test rows are those whose
     split is neither train nor validation."""
     train = wide.where(F.col(split_col) == "train")
-    val = wide.where(F.col(split_col) == "validation").persist()
+    val = cache_for_iterations(wide.where(F.col(split_col) == "validation"), [c for c in wide.columns])
     base = smape_of_weights(val, models, target, [np.eye(len(models))[i] for i in range(len(models))])
     w_avg = optimise_weights(val, models, target)
     s_avg = smape_of_weights(val, models, target, [w_avg])[0]

@@ -165,7 +165,7 @@ def k21_baseline_ridge(spark, sf_dir):
 def k15_weighted_average_predictions(spark, sf_dir):
     """Optimised simple-average weights applied to every id (weights as a broadcast table)."""
     wide = _wide(spark, sf_dir)
-    val = wide.where("split = 'validation'").persist()
+    val = PR.cache_for_iterations(wide.where("split = 'validation'"), ["y_true", *MODELS])
     w = PR.optimise_weights(val, MODELS, "y_true")
     val.unpersist()
     return wide.select("sample_id", "split", PR.weighted_expr(MODELS, w).alias("pred"))

@@ -96,3 +96,44 @@ def test_corrupt_json_progress_is_ignored(spark, tmp_dir):
         fh.write('{"batch": 0, "completed": ["a", "b"], "failed": ["c"]}\n{not json\n')
     got = {r["sample_id"]: r["status"] for r in ST.read_progress(spark, p).collect()}
     assert got == {"a": "completed", "b": "completed", "c": "failed"}
+
+
+def test_checkpoint_folder_retention(spark, tmp_dir):
+    """W01/W02/I05/Q08 on real files: newest 3 per (stage, type) + best metric kept, other stage untouched."""
+    import time as _t
+
+    from pricelab.sources import checkpoints as CK
+
+    for i in range(6):
+        metric = 1.0 if i == 1 else 10.0 - i
+        name = f"neural_net_quick_2024-01-01T00-00-0{i}_metric{metric:.4f}.pt"
+        with open(os.path.join(tmp_dir, name), "wb") as fh:
+            fh.write(b"x" * (i + 1))
+        os.utime(os.path.join(tmp_dir, name), (1_700_000_000 + i, 1_700_000_000 + i))
+    for i in range(2):
+        with open(os.path.join(tmp_dir, f"gbdt_full_2024-01-01T00-00-0{i}.pt"), "wb") as fh:
+            fh.write(b"y")
+    _t.sleep(0.01)
+    m = CK.manifest_from_folder(spark, tmp_dir)
+    assert {r["stage"] for r in m.collect()} == {"neural_net", "gbdt"}
+    assert CK.latest_checkpoint(m, "neural_net").endswith("00-00-05_metric5.0000.pt")
+    res = CK.apply_retention(spark, tmp_dir).collect()[0]
+    assert (res["to_delete"], res["deleted"]) == (2, 2)
+    left = sorted(os.listdir(tmp_dir))
+    assert "neural_net_quick_2024-01-01T00-00-01_metric1.0000.pt" in left  # best kept
+    assert sum(f.startswith("gbdt") for f in left) == 2
+    assert CK.clear_stage(spark, tmp_dir, "gbdt") == 2
+    with pytest.raises(RuntimeError):
+        CK.check_manifest_columns(m)
+
+
+def test_schema_level_helpers(spark):
+    from pricelab.operators import profile as P
+
+    a = spark.createDataFrame([(1, "x", 1.0, True)], "ipq_value int, text_length string, tfidf_0 double, has_brand boolean")
+    b = spark.createDataFrame([(1, 2.0)], "ipq_value int, other double")
+    groups = {r["column_group"]: r["n_columns"] for r in P.column_groups(a).collect()}
+    assert groups == {"ipq": 1, "text": 1, "tfidf": 1, "has": 1}
+    issues = {(r["issue"], r["column"]) for r in P.column_alignment(a, b).collect()}
+    assert ("missing_in_train", "other") in issues and ("missing_in_test", "tfidf_0") in issues
+    assert P.numeric_columns(a) == ["ipq_value", "tfidf_0"]
