@@ -14,6 +14,7 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
 from .quantiles import exact_percentiles
 
+PAIRS_PER_JOB = 300
 META_COLUMNS = ("sample_id", "catalog_content", "image_link", "price", "potential_brand", "ipq_unit", "ipq_unit_type")
 
 
@@ -73,9 +74,14 @@ def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: f
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
     x = df.select(*[F.when(~missing_expr(df, c), F.col(c).cast("double")).alias(c) for c in cols])
-    wide = x.agg(*[pairwise_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    rows = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}__{b}`").alias("corr")) for a, b in pairs]
-    long = wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+    spark = df.sparkSession
+    found = []
+    # one aggregate per chunk of pairs keeps the generated code small for wide tables
+    for i in range(0, len(pairs), PAIRS_PER_JOB):
+        chunk = pairs[i:i + PAIRS_PER_JOB]
+        r = x.agg(*[pairwise_corr(a, b).alias(f"{a}__{b}") for a, b in chunk]).collect()[0]  # one row
+        found += [(a, b, r[f"{a}__{b}"]) for a, b in chunk]
+    long = spark.createDataFrame(found, "col_a string, col_b string, corr double")  # one row per pair
     return long.where(F.abs(F.col("corr")) > threshold)
 
 

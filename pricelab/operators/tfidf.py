@@ -165,12 +165,20 @@ def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col:
         kept.unpersist()
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     floor = min(r["count"] for r in top)
-    cand = kept.where(F.col("count") >= floor)  # the top-k plus every tie at its lowest count
-    names = (terms.select(F.explode("terms").alias("term")).select("term", h.alias("h"))
-             .join(F.broadcast(cand.select("h")), "h").distinct())  # candidates only; bounded by the ties
-    resolved = names.join(cand, "h").collect()
+    words = terms.select(F.explode("terms").alias("term")).select("term", h.alias("h"))
+    # Terms above the cut count: fewer than max_features, strings fetched through a broadcast semi join.
+    above = kept.where(F.col("count") > floor)
+    above_rows = words.join(F.broadcast(above.select("h")), "h").distinct().join(above, "h").collect()
+    # Terms at the cut count: possibly many ties; the smallest terms are picked by a distributed
+    # top-k, so only the needed ones reach the driver.
+    need = max_features - len({r["h"] for r in above_rows})
+    tied = kept.where(F.col("count") == floor)
+    tied_rows = (words.join(tied.select("h"), "h").distinct().join(tied, "h")
+                 .orderBy("term").limit(need + 1).collect()) if need > 0 else []
     kept.unpersist()
-    if len({r["h"] for r in resolved}) != len(resolved):  # a collision among candidates: count exactly
+    resolved = above_rows + tied_rows
+    collision = len({r["h"] for r in above_rows}) != len(above_rows) or len({r["h"] for r in tied_rows}) != len(tied_rows)
+    if collision:  # two terms share a 64-bit hash among the candidates: count exactly
         stats = _select_vocabulary(_term_stats_exact(terms), n_docs, max_features, min_df, max_df)
         rows = stats.orderBy(F.col("count").desc(), F.col("term").asc()).limit(max_features).collect()
     else:

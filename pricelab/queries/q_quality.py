@@ -186,3 +186,19 @@ def j01_join_keep_rows(spark, sf_dir):
     raw = catalog(spark, sf_dir).select("sample_id", "image_link", "price")
     feats = engineer_features(catalog(spark, sf_dir)).select("sample_id", "text_length", "ipq_unit_type", "has_brand")
     return join_keep_rows(raw, feats)
+
+
+_DOC_COLS = [c for c in NUMERIC_COLS if c != "price"]
+_DOC_PAIRS = [(a, b) for i, a in enumerate(_DOC_COLS) for b in _DOC_COLS[i + 1:]]
+
+
+@register("a15_high_correlation_documents", with_fixtures(
+    f", f as (select * from ({features_select('docs')})), c as (" + "\nunion all\n".join(
+        f"select '{a}' as col_a, '{b}' as col_b, corr({_present(a)}, {_present(b)}) as corr from f" for a, b in _DOC_PAIRS)
+    + ")\nselect col_a, col_b, " + r6("corr") + " as corr from c where abs(corr) > 0.95 and not isnan(corr)"))
+def a15_high_correlation_documents(spark, sf_dir):
+    """A15 on the features of whole documents (length-like columns correlate)."""
+    from ..sources.derived import documents_as_catalog
+
+    c = P.high_correlations(engineer_features(documents_as_catalog(spark, sf_dir)), _DOC_COLS)
+    return rounded(c.where(F.col("corr").isNotNull() & ~F.isnan("corr")))
