@@ -151,7 +151,9 @@ def dataset_profile(df: DataFrame, split_col: str = "split", price: str = "price
 
 def feature_audit(features: DataFrame, threshold: float = 0.95) -> DataFrame:
     """Q05: one report table (check, item, value) - missing values, constant columns, highly
-    correlated pairs, and the ranges of column means and deviations."""
+    correlated pairs, and the ranges of column means and deviations. The input is persisted for the
+    four checks and the (small) report is returned materialised."""
+    features = features.persist()
     miss = missing_counts(features)
     total = miss.agg(F.sum("n_missing").cast("double").alias("value")).select(
         F.lit("missing_values").alias("check"), F.lit("total").alias("item"), "value")
@@ -163,4 +165,7 @@ def feature_audit(features: DataFrame, threshold: float = 0.95) -> DataFrame:
     ranges = rng.select(F.explode(F.array(*[F.struct(F.lit(n).alias("item"), F.col(n).alias("value"))
                                             for n in ["mean_min", "mean_max", "std_min", "std_max"]])).alias("s")).select(
         F.lit("describe_range").alias("check"), "s.item", "s.value")
-    return reduce(DataFrame.unionByName, [total, const, corr, ranges])
+    rep = reduce(DataFrame.unionByName, [total, const, corr, ranges])
+    out = features.sparkSession.createDataFrame(rep.collect(), rep.schema)  # columns + pairs rows
+    features.unpersist()
+    return out

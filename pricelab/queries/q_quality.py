@@ -111,8 +111,9 @@ union all select 'describe_range', 'std_max', """ + r6("max(std)") + """ from d"
 
 @register("q05_feature_audit", with_fixtures(Q05_SQL))
 def q05_feature_audit(spark, sf_dir):
-    """Q05: the feature audit report - missing total, constant columns, correlated pairs, ranges."""
-    f = _features(spark, sf_dir).select(*AUDIT_COLS)
+    """Q05: the feature audit report - missing total, constant columns, correlated pairs, ranges.
+    The features are computed once (persisted) for the four checks; the report is a few rows."""
+    f = _features(spark, sf_dir).select(*AUDIT_COLS).persist()
     miss = P.missing_counts(f).agg(F.sum("n_missing").cast("double").alias("value")).select(
         F.lit("missing_values").alias("check"), F.lit("total").alias("item"), "value")
     const = P.constant_columns(f).where("is_constant").select(
@@ -124,7 +125,10 @@ def q05_feature_audit(spark, sf_dir):
     ranges = rng.select(F.explode(F.array(*[F.struct(F.lit(n).alias("item"), round_col(F.col(n), 6).alias("value"))
                                             for n in ["mean_min", "mean_max", "std_min", "std_max"]])).alias("s")).select(
         F.lit("describe_range").alias("check"), "s.item", "s.value")
-    return miss.unionByName(const).unionByName(corr).unionByName(ranges)
+    rep = miss.unionByName(const).unionByName(corr).unionByName(ranges)
+    out = spark.createDataFrame(rep.collect(), rep.schema)  # bounded: columns + column pairs
+    f.unpersist()
+    return out
 
 
 @register("p06_fill_missing", with_fixtures(FEATS_CTE + "select sample_id, " + ", ".join(
