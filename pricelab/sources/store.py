@@ -85,11 +85,32 @@ def select_source(spark: SparkSession, path: str, source: str) -> DataFrame:
     return df
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a top-level partition column, from the directory listing (no data file is opened)."""
+    jvm = spark.sparkContext._jvm
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hp):
+        return []
+    prefix = column + "="
+    out = []
+    for st in fs.listStatus(hp):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            out.append(_unescape(name[len(prefix):]))
+    return sorted(out)
+
+
+def _unescape(v: str) -> str:
+    from urllib.parse import unquote
+
+    return unquote(v)
+
+
 def available_models(spark: SparkSession, path: str, expected: list[str]) -> DataFrame:
-    """Expected models with a presence flag (anti/semi join against the distinct partitions)."""
-    present = spark.read.schema(PRED_SCHEMA).parquet(path).select("model").distinct().withColumn("present", F.lit(True))
-    exp = spark.createDataFrame([(m,) for m in expected], "model string")
-    return exp.join(present, "model", "left").select("model", F.coalesce("present", F.lit(False)).alias("present"))
+    """Expected models with a presence flag, from the store's partition directories."""
+    present = set(partition_values(spark, path, "model"))
+    return spark.createDataFrame([(m, m in present) for m in expected], "model string, present boolean")
 
 
 def write_progress(batches: DataFrame, path: str, mode: str = "append") -> None:
