@@ -3,6 +3,8 @@ function variants (F04, F10, F15, F17, F18), submission (Q01-Q03) and sources /
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import errors as E
@@ -421,3 +423,37 @@ def a04_lineitem_quintiles(spark, sf_dir):
                   (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("pred"))
     return rounded(M.smape_by_quantile(p))
 
+
+
+def _s14_sql() -> str:
+    from ..sources import synthetic as SY
+
+    def u(stream):
+        return f"((('0x' || substr(md5('42:{stream}:' || cast(p_partkey as varchar)), 1, 13))::bigint + 1.0) / 4503599627370497.0)"
+
+    def pick(stream, n):
+        return f"cast(least(floor({u(stream)} * {n}), {n - 1}) as integer)"
+
+    cats = "[" + ", ".join(q(c) for c, _, _ in SY.CATEGORIES) + "]"
+    los = "[" + ", ".join(repr(math.log(a)) for _, a, _ in SY.CATEGORIES) + "]"
+    his = "[" + ", ".join(repr(math.log(b)) for _, _, b in SY.CATEGORIES) + "]"
+    qts = "[" + ", ".join(q(x) for x in SY.QUANTITIES) + "]"
+    qls = "[" + ", ".join(q(x) for x in SY.QUALITY) + "]"
+    descs = "[" + ", ".join(f"replace(replace({q(t)}, '{{c}}', lower(cat)), '{{C}}', cat)" for t in SY.DESCRIPTIONS) + "]"
+    return f"""
+select sample_id, trim(concat_ws(' ', qual, cat, 'Product', sample_id, qty)) as product_name,
+  {descs}[{pick(5, len(SY.DESCRIPTIONS))} + 1] as catalog_content, cat as category,
+  'https://example.com/images/' || sample_id || '.jpg' as image_link,
+  floor(exp(lo + {u(2)} * (hi - lo)) * 100 + 0.5) / 100 as price
+from (select p_partkey, cast(p_partkey as varchar) as sample_id,
+        {cats}[{pick(1, len(SY.CATEGORIES))} + 1] as cat, {los}[{pick(1, len(SY.CATEGORIES))} + 1] as lo,
+        {his}[{pick(1, len(SY.CATEGORIES))} + 1] as hi, {qts}[{pick(3, len(SY.QUANTITIES))} + 1] as qty,
+        {qls}[{pick(4, len(SY.QUALITY))} + 1] as qual from part)"""
+
+
+@register("s14_synthetic_catalog", _s14_sql())
+def s14_synthetic_catalog(spark, sf_dir):
+    """One synthetic validation product per ``part`` key (deterministic per seed and key)."""
+    from ..sources.synthetic import synthetic_catalog
+
+    return synthetic_catalog(table(spark, sf_dir, "part").select("p_partkey"), "p_partkey")
