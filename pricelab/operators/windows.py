@@ -16,12 +16,6 @@ from .. import constants as C
 from ..session import cut_lineage
 
 
-def _parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def running_scan(
     df: DataFrame,
     order: list[str],
@@ -35,11 +29,14 @@ def running_scan(
     ``order`` must be a total order within each group (add a unique tiebreaker).
     """
     by = list(by)
-    n = _parts(df, partitions)
     # Range bounds are re-sampled each time an exchange runs, so partition ids are only stable inside
     # one materialisation: checkpoint (reliable, shared folder) once and derive both the local
     # running values and the per-partition totals from that copy.
-    r = cut_lineage(df.repartitionByRange(n, *[F.col(c) for c in by + order]).withColumn("_pid", F.spark_partition_id()))
+    keys = [F.col(c) for c in by + order]
+    # Without an explicit count, AQE sizes the range partitions from the data (coalescing neighbours
+    # keeps them in key order).
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    r = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local_cols = [F.count(F.lit(1)).over(w).alias("_lrn")]
     stat_cols = [F.count(F.lit(1)).alias("_cnt")]

@@ -42,11 +42,10 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     row group) before CPU-heavy row work; a no-op for real inputs, which already come in many splits.
     Hash partitioning on the key keeps retries deterministic."""
     spark = df.sparkSession
-    target = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
-        target = max(target, spark.sparkContext.defaultParallelism)
+        target = spark.sparkContext.defaultParallelism  # cores of the cluster
     except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
-        pass
+        return df
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
