@@ -12,18 +12,30 @@ from pyspark.sql import functions as F
 from ..functions.errors import smape_term
 
 
+ROWS_PER_LOOP_PARTITION = 1_000_000
+
+
 def cache_for_iterations(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keep only ``cols`` and persist (memory, spilling to disk) for a driver loop that scans the table
-    many times; at most one partition per core, since each loop step is a small job whose cost is
-    dominated by per-task overhead. At cluster scale the partition count stays in the thousands."""
+    many times. Each loop step is a small job whose cost is dominated by per-task overhead, so the
+    cached copy gets one partition per million (narrow) rows, at most one per core: a single-stage job
+    at small scale, all cores at cluster scale."""
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
-    x = df.select(*cols)
     cores = spark.sparkContext.defaultParallelism
+    x = df.select(*cols)
     if x.rdd.getNumPartitions() > cores:
         x = x.coalesce(cores)
-    from pyspark import StorageLevel
-
-    return x.persist(StorageLevel.MEMORY_AND_DISK)
+    x = x.persist(StorageLevel.MEMORY_AND_DISK)
+    n = x.count()
+    want = max(1, min(cores, -(-n // ROWS_PER_LOOP_PARTITION)))
+    if want < x.rdd.getNumPartitions():
+        y = x.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
+        y.count()
+        x.unpersist()
+        x = y
+    return x
 
 
 def model_names(preds: DataFrame, model_col: str = "model") -> list[str]:
