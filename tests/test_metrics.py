@@ -127,3 +127,21 @@ def test_loss_selection(spark):
     with pytest.raises(ValueError):
         M.loss_function("nope")
     assert callable(M.loss_function("focal_smape"))
+
+
+def test_grouped_percentiles_distributed_path(spark, monkeypatch):
+    """The path used above SMALL_GROUPS groups (no driver coordination) gives the same numbers."""
+    from pricelab.operators import quantiles as Q
+
+    monkeypatch.setattr(Q, "SMALL_GROUPS", 0)
+    rng = np.random.default_rng(4)
+    rows = [(f"g{int(g)}", float(v)) for g, v in zip(rng.integers(0, 6, 2000), rng.gamma(2.0, 50.0, 2000).round(1))]
+    rows += [("hot", 7.0)] * 1500  # one group, one repeated value
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.2, 0.5, 0.8, 1.0]
+    got = exact_percentiles(df, "v", probs, by=["g"]).collect()
+    for g in {r[0] for r in rows}:
+        vals = np.array([v for gg, v in rows if gg == g])
+        exp = np.percentile(vals, [p * 100 for p in probs])
+        mine = [v for _, v in sorted((r["p_idx"], r["value"]) for r in got if r["g"] == g)]
+        assert np.allclose(mine, exp, rtol=0, atol=1e-9), g
