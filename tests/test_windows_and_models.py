@@ -122,3 +122,36 @@ def test_weights_sum_to_one_and_not_worse(spark):
     assert np.isclose(w.sum(), 1.0) and (w >= 0).all()
     s_opt, s_eq = smape_of_weights(df, ["m1", "m2"], "y", [w, np.array([0.5, 0.5])])
     assert s_opt <= s_eq + 1e-9
+
+
+def test_smape_boost_first_round_is_newton_step(spark):
+    """A one-leaf tree's value is the Newton step -sum(g) / sum(h)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from pricelab.plans.models.boost import smape_boost
+
+    rng = np.random.default_rng(7)
+    y = np.log1p(rng.uniform(10, 500, 200))
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame([(float(a), float(b)) for a, b in zip(rng.normal(size=200), y)], "x double, label double"))
+    model, _ = smape_boost(df, rounds=1, rate=1.0, max_depth=0, min_instances=1)
+    f0 = y.mean()
+    p, t = max(np.expm1(f0), 1e-10), np.maximum(np.expm1(y), 1e-10)
+    s = np.abs(t) + abs(p) + 1e-10
+    g = (2 * np.sign(p - t) / s - 2 * np.abs(p - t) * np.sign(p) / s ** 2) * p
+    h = np.clip(2 * p * p / s ** 2, 0.001, 10.0)
+    pred = model.transform(df.limit(1)).collect()[0]["prediction"]
+    assert np.isclose(pred, f0 - g.sum() / h.sum(), rtol=1e-9)
+
+
+def test_isotonic_calibration_is_monotone(spark):
+    from pyspark.ml.regression import IsotonicRegression
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    x = np.sort(rng.uniform(2, 12, 150))
+    rows = [(float(a), float(a + rng.normal(0, 0.5))) for a in x]
+    df = spark.createDataFrame(rows, "p double, y double")
+    out = IsotonicRegression(featuresCol="p", labelCol="y").fit(df).transform(df)
+    vals = [r["c"] for r in out.select(F.greatest("prediction", F.lit(0.0)).alias("c"), "p").orderBy("p").collect()]
+    assert all(b >= a for a, b in zip(vals, vals[1:]))
