@@ -92,3 +92,16 @@ def k15_optimised_weights(spark, sf_dir):
     wide.unpersist()
     rows = [(m, float(x), s) for m, x in zip(MODELS, w)]
     return spark.createDataFrame(rows, "model string, weight double, smape double")
+
+
+@register("k14_pattern_search_weights")
+def k14_pattern_search_weights(spark, sf_dir):
+    """K14 with few jobs: simplex-lattice + pairwise pattern search of the level-2 weights (each step one
+    aggregate over every row); compared with equal weights."""
+    p = predictions(spark, sf_dir)
+    wide = PR.cache_for_iterations(PR.stack_wide(p, MODELS, extra=("y_true",)).where("complete"), ["y_true", *MODELS])
+    w = PR.pattern_search_weights(wide, MODELS, "y_true")
+    s_w, s_eq = PR.smape_of_weights(wide, MODELS, "y_true", [w, [1.0] * len(MODELS)])
+    wide.unpersist()
+    rows = [(m, float(x), s_w, s_eq) for m, x in zip(MODELS, w)]
+    return spark.createDataFrame(rows, "model string, weight double, smape double, smape_equal_weights double")
