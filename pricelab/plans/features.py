@@ -90,6 +90,20 @@ def engineer_features(
     return out
 
 
+def features_with_tfidf(df: DataFrame, model, text_col: str = "catalog_content", id_col: str = "sample_id",
+                        keep: list[str] | tuple[str, ...] = (), as_columns: bool = True) -> DataFrame:
+    """V07 + J02: the feature row joined (left, on the id) with the TF-IDF vector of a fitted model -
+    ``tfidf_0 .. tfidf_{k-1}`` columns, or one array column. The id must be unique (checked first)."""
+    from ..operators import tfidf as T
+    from ..operators.sets import join_keep_rows
+
+    feats = engineer_features(df, text_col, id_col, keep)
+    vec = T.transform_vector(model, df, text_col, id_col)
+    if as_columns:
+        vec = T.vector_to_columns(vec, model.vocab.count())
+    return join_keep_rows(feats, vec, id_col)
+
+
 def text_statistics(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id") -> DataFrame:
     """F05-F11 only."""
     t = spread(df, id_col).select(F.col(id_col), clean_text(F.col(text_col)).alias("_t"))

@@ -18,8 +18,11 @@ def build_submission(preds: DataFrame, key: str = "sample_id", pred: str = "pred
     return preds.select(F.col(key).cast("string").alias(key), clip(p, clip_min, clip_max).alias(price_col))
 
 
+SIZE_LIMIT_BYTES = 5 * 1024 * 1024  # FIXED VALUE: submission file size limit
+
+
 def validation_report(sub: DataFrame, expected: DataFrame, key: str = "sample_id", price_col: str = "price",
-                      expected_rows: int | None = None) -> DataFrame:
+                      expected_rows: int | None = None, size_limit: int | None = None) -> DataFrame:
     """Q01 + Q03: one row per check ``(check, severity, n, ok)``.
 
     Errors: missing columns, missing ids, NaN / negative / infinite prices, row count, duplicate ids,
@@ -38,6 +41,8 @@ def validation_report(sub: DataFrame, expected: DataFrame, key: str = "sample_id
         F.sum((F.abs(p) == F.lit(float("inf"))).cast("long")).alias("infinite"),
         F.sum((~(p > 0) | F.isnan(p) | p.isNull()).cast("long")).alias("non_positive"),
         F.count(F.lit(1)).alias("_n"), F.countDistinct(key).alias("_d"),
+        # bytes of the CSV the table becomes: id, comma, price text, newline per row (UTF-8)
+        F.sum(F.octet_length(F.col(key).cast("string")) + F.octet_length(p.cast("string")) + 2).alias("_bytes"),
     ).collect()[0]
     ids = missing_and_extra(expected.select(key), sub.select(key), key).groupBy("issue").count().collect()
     by_issue = {r["issue"]: r["count"] for r in ids}
@@ -52,6 +57,9 @@ def validation_report(sub: DataFrame, expected: DataFrame, key: str = "sample_id
         ("duplicate_ids", "error", (agg["_n"] or 0) - (agg["_d"] or 0)),
         ("row_count_difference", "error", abs((agg["n_rows"] or 0) - n_exp)),
     ]
+    if size_limit is not None:
+        size = (agg["_bytes"] or 0) + len(f"{key},{price_col}\n")
+        rows.append(("size_over_limit_bytes", "error", max(0, size - size_limit)))
     return spark.createDataFrame(rows, "check string, severity string, n long").withColumn("ok", F.col("n") == 0)
 
 

@@ -111,3 +111,25 @@ def v06_tfidf_columns(spark, sf_dir):
     model = T.fit(c)
     k = model.vocab.count()
     return rounded(T.vector_to_columns(T.transform_vector(model, c), k))
+
+
+def _j02_sql() -> str:
+    from ..oracle.sqlfeatures import features_select
+
+    cols = ", ".join(r6(f"coalesce(sum(case when l.term_index = {i} then l.tfidf end), 0.0)") + f" as tfidf_{i}" for i in range(100))
+    return (_vocab_sql("catalog") + _long_sql("catalog")
+            + f", vec as (select c.sample_id, {cols} from catalog c left join long l on l.sample_id = c.sample_id group by c.sample_id)"
+            + f", feats as (select * from ({features_select('catalog', keep=('price',))}))"
+            + " select feats.*, " + ", ".join(f"vec.tfidf_{i}" for i in range(100))
+            + " from feats left join vec on vec.sample_id = feats.sample_id")
+
+
+@register("j02_features_with_tfidf", with_fixtures(_j02_sql()))
+def j02_features_with_tfidf(spark, sf_dir):
+    """V07 + J02 + V06: 19 features and 100 tf-idf columns per product (left join on the unique id)."""
+    from ..plans.features import features_with_tfidf
+
+    c = catalog(spark, sf_dir)
+    return rounded(features_with_tfidf(c, T.fit(c), keep=["price"]), skip=("price", "ipq_value", "ipq_normalized",
+                                                                         "ipq_confidence", "uppercase_ratio",
+                                                                         "avg_word_length", "brand_position"))

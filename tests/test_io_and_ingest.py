@@ -72,6 +72,8 @@ def test_submission_checks(spark):
     assert rep["missing_ids"] == 1 and rep["extra_ids"] == 1 and rep["nan_prices"] == 1
     assert rep["negative_prices"] == 1 and rep["infinite_prices"] == 1 and rep["duplicate_ids"] == 1
     assert not SUB.passed(SUB.validation_report(sub, exp))
+    size = {r["check"]: r["n"] for r in SUB.validation_report(sub, exp, size_limit=10).collect()}["size_over_limit_bytes"]
+    assert size > 0
     built = SUB.build_submission(spark.createDataFrame([(1, 2.0), (2, -3.0)], "sample_id int, pred double"), from_log_space=True)
     vals = sorted(r["price"] for r in built.collect())
     assert vals[0] == 0.0 and vals[1] > 6.0
