@@ -66,6 +66,20 @@ def constant_columns(df: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
+def column_checks(df: DataFrame) -> DataFrame:
+    """A13 + A14 in one aggregate: (column, n_missing, n_present, is_constant) per column, materialised
+    (one row per column)."""
+    parts = []
+    for c in df.columns:
+        v = F.when(~missing_expr(df, c), F.col(c))
+        parts += [F.sum(missing_expr(df, c).cast("long")).alias(f"{c}__miss"), F.min(v).cast("string").alias(f"{c}__min"),
+                  F.max(v).cast("string").alias(f"{c}__max"), F.count(v).alias(f"{c}__n")]
+    r = df.agg(*parts).collect()[0]
+    rows = [(c, int(r[f"{c}__miss"] or 0), int(r[f"{c}__n"]), r[f"{c}__n"] == 0 or r[f"{c}__min"] == r[f"{c}__max"])
+            for c in df.columns]
+    return df.sparkSession.createDataFrame(rows, "column string, n_missing long, n_present long, is_constant boolean")
+
+
 def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
     """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete
     (``corr`` skips rows where either side is NULL). All pairs in one aggregate."""

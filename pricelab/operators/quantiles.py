@@ -70,9 +70,11 @@ def exact_percentiles(
     try:
         if not by:
             return _materialise(_ungrouped(vc, probs, fracs))
-        n_groups = vc.select(*by).distinct().count()
-        if n_groups <= SMALL_GROUPS:
-            return _grouped_small(vc, by, probs, fracs)
+        splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
+        first = splits.limit(SMALL_GROUPS + 1).collect()  # bounded; tells whether the groups are few
+        if len(first) <= SMALL_GROUPS:
+            local = vc.sparkSession.createDataFrame(first, splits.schema)
+            return _grouped_small(vc, by, probs, fracs, local)
         return cut_lineage(_grouped(vc, by, probs, fracs))
     finally:
         vc.unpersist()
@@ -83,13 +85,12 @@ def _materialise(out: DataFrame) -> DataFrame:
     return out.sparkSession.createDataFrame(out.collect(), out.schema)
 
 
-def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float]) -> DataFrame:
+def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float], splits: DataFrame) -> DataFrame:
     """Grouped path for a bounded number of groups: split points and bucket totals come to the driver
     (groups x buckets numbers), only the buckets that hold a needed rank are ranked by a window, and
     the picked values (groups x probs x 2 rows) are interpolated on the driver. Every join is against a
     table of at most groups x buckets rows, broadcast on purpose."""
     spark = vc.sparkSession
-    splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
     b = vc.join(F.broadcast(splits), by).select(
         *by, "_v", "_c", count_at_most(F.col("_v"), lambda i: F.col("_s")[i], len(fracs)).alias("_b"))
     totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc")).collect()  # <= groups x buckets rows

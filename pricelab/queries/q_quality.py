@@ -114,9 +114,10 @@ def q05_feature_audit(spark, sf_dir):
     """Q05: the feature audit report - missing total, constant columns, correlated pairs, ranges.
     The features are computed once (persisted) for the four checks; the report is a few rows."""
     f = _features(spark, sf_dir).select(*AUDIT_COLS).persist()
-    miss = P.missing_counts(f).agg(F.sum("n_missing").cast("double").alias("value")).select(
+    cols = P.column_checks(f)  # missing counts and constant flags in one pass
+    miss = cols.agg(F.sum("n_missing").cast("double").alias("value")).select(
         F.lit("missing_values").alias("check"), F.lit("total").alias("item"), "value")
-    const = P.constant_columns(f).where("is_constant").select(
+    const = cols.where("is_constant").select(
         F.lit("constant_column").alias("check"), F.col("column").alias("item"), F.lit(1.0).alias("value"))
     corr = P.high_correlations(f, NUMERIC_COLS).where(F.col("corr").isNotNull() & ~F.isnan("corr")).select(
         F.lit("high_correlation").alias("check"), F.concat_ws("~", "col_a", "col_b").alias("item"),
