@@ -14,7 +14,6 @@ from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
 from .quantiles import exact_percentiles
 
-PAIRS_PER_JOB = 300
 META_COLUMNS = ("sample_id", "catalog_content", "image_link", "price", "potential_brand", "ipq_unit", "ipq_unit_type")
 
 
@@ -81,22 +80,27 @@ def column_checks(df: DataFrame) -> DataFrame:
 
 
 def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
-    """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete
-    (``corr`` skips rows where either side is NULL). All pairs in one aggregate."""
+    """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete.
+
+    Each row emits one (pair, a, b) record per column pair, with a value only where both columns are
+    present; one grouped aggregate (covariance and the two deviations, numerically stable built-ins)
+    gives every pair's r. The generated code stays small however many columns there are, and partial
+    aggregation leaves one row per pair and partition before the shuffle."""
     cols = cols or numeric_columns(df)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    spark = df.sparkSession
     if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+        return spark.createDataFrame([], "col_a string, col_b string, corr double")
     x = df.select(*[F.when(~missing_expr(df, c), F.col(c).cast("double")).alias(c) for c in cols])
-    spark = df.sparkSession
-    found = []
-    # one aggregate per chunk of pairs keeps the generated code small for wide tables
-    for i in range(0, len(pairs), PAIRS_PER_JOB):
-        chunk = pairs[i:i + PAIRS_PER_JOB]
-        r = x.agg(*[pairwise_corr(a, b).alias(f"{a}__{b}") for a, b in chunk]).collect()[0]  # one row
-        found += [(a, b, r[f"{a}__{b}"]) for a, b in chunk]
-    long = spark.createDataFrame(found, "col_a string, col_b string, corr double")  # one row per pair
-    return long.where(F.abs(F.col("corr")) > threshold)
+    recs = []
+    for k, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        recs.append(F.struct(F.lit(k).alias("k"), F.when(both, F.col(a)).alias("a"), F.when(both, F.col(b)).alias("b")))
+    long = x.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+    stats = long.groupBy("k").agg(F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"))
+    names = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, col_a string, col_b string")
+    out = stats.join(F.broadcast(names), "k").select("col_a", "col_b", "corr")  # one row per pair
+    return out.where(F.abs(F.col("corr")) > threshold)
 
 
 def pairwise_corr(a: str, b: str):

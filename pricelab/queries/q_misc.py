@@ -27,7 +27,7 @@ from ..session import scratch_path, table
 from ..sources import store as ST
 from ..sources.derived import catalog, download_status, manifest, predictions
 from .q_metrics import PCT_SQL
-from .q_quality import NUMERIC_COLS
+from .common import NUMERIC_COLS
 from .q_tfidf import _long_sql, _vocab_sql
 
 SPLIT_SQL = "case when (('0x' || substr(md5('42:' || sample_id), 1, 7))::bigint % 1000) < 100 then 'validation' else 'train' end"

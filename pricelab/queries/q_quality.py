@@ -8,15 +8,11 @@ from ..operators import profile as P
 from ..operators import splits as X
 from ..oracle.fixtures import with_fixtures
 from ..oracle.sqlfeatures import features_select
-from ..plans.features import FEATURE_COLUMNS, engineer_features
+from ..plans.features import engineer_features
 from ..registry import r6, register, round_col, rounded
 from ..sources.derived import catalog
 
-FLOAT_COLS = {"ipq_value", "ipq_normalized", "ipq_confidence", "uppercase_ratio", "avg_word_length", "brand_position", "price"}
-BOOL_COLS = {"has_ipq", "has_quality_keywords", "has_discount_keywords", "has_brand"}
-STRING_COLS = {"ipq_unit", "ipq_unit_type", "potential_brand"}
-AUDIT_COLS = ["sample_id"] + FEATURE_COLUMNS + ["price"]
-NUMERIC_COLS = [c for c in FEATURE_COLUMNS + ["price"] if c not in BOOL_COLS | STRING_COLS]
+from .common import AUDIT_COLS, FLOAT_COLS, NUMERIC_COLS  # noqa: F401  (re-exported)
 
 
 def _features(spark, sf_dir):
