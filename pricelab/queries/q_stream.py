@@ -18,7 +18,22 @@ def st01_streaming_features(spark, sf_dir):
     return stream_features(spark, sf_dir, schema, "text", "doc_id", glob="documents.parquet")
 
 
-@register("r05_id_sequences")
+def _r05_sql() -> str:
+    from ..oracle.fixtures import with_fixtures
+    from ..oracle.sqlfeatures import q
+    from .q_tfidf import _vocab_sql
+
+    return with_fixtures(_vocab_sql("catalog") + f""", tok as (select sample_id,
+    regexp_extract_all(strip_accents(lower(coalesce(catalog_content, ''))), {q(T.TOKEN_RX)}) as t from catalog),
+pos as (select sample_id, t[i] as term, i from (select sample_id, t, generate_subscripts(t, 1) as i from tok) where i <= 128),
+ids as (select p.sample_id, list(coalesce(v.term_index + 2, 1) order by p.i) as ids
+        from pos p left join vocab v on v.term = p.term group by p.sample_id),
+full_ as (select c.sample_id, coalesce(ids.ids, []) as ids from catalog c left join ids on ids.sample_id = c.sample_id)
+select sample_id, 128 as length, cast(len(ids) as integer) as n_tokens,
+  array_to_string(list_concat(ids, list_transform(range(128 - len(ids)), lambda x: 0)), ' ') as input_ids from full_""")
+
+
+@register("r05_id_sequences", _r05_sql())
 def r05_id_sequences(spark, sf_dir):
     """128-long id sequences and attention masks through the fitted vocabulary."""
     c = catalog(spark, sf_dir)
