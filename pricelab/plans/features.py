@@ -44,9 +44,10 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     spark = df.sparkSession
     try:
         target = spark.sparkContext.defaultParallelism  # cores of the cluster
-    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. Spark Connect)
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no SparkContext / RDD access (e.g. Spark Connect): leave as is
         return df
-    if df.rdd.getNumPartitions() >= target:
+    if current >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
 
