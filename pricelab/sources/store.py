@@ -7,7 +7,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 RAW_SCHEMA = StructType([
     StructField("sample_id", StringType()), StructField("catalog_content", StringType()),
@@ -145,5 +145,3 @@ def write_timestamped(df: DataFrame, base: str, name: str = "submission", now: _
     cached.unpersist()
     return stamped, latest
 
-
-INT_TYPES = (IntegerType, LongType)
