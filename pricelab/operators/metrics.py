@@ -78,16 +78,18 @@ def evaluation_record(df: DataFrame, t: str = "y_true", p: str = "pred", by=(),
     return agg.select(*by, "smape", "mae", "rmse", "mape", r2.alias("r2"))
 
 
-def _edges_column(df: DataFrame, value: str, probs: list[float], by: list[str]):
-    """(frame with an ``_edges`` array column, per row) - literal when ungrouped, join when grouped."""
+def _edges_column(df: DataFrame, value: str, probs: list[float], by: list[str], approx: bool = False):
+    """(frame with an ``_edges`` array column, per row) - literal when ungrouped, join when grouped.
+    ``approx``: ``percentile_approx`` edges (one aggregate) instead of the exact ones."""
     if not by:
-        edges = edges_list(df, value, probs)
+        edges = edges_list(df, value, probs, approx=approx)
         return df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>"))
-    e = percentile_edges(df, value, probs, by).withColumnRenamed("edges", "_edges")
+    e = percentile_edges(df, value, probs, by, approx=approx).withColumnRenamed("edges", "_edges")
     return df.join(e, by)
 
 
-def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=()) -> DataFrame:
+def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=(),
+                      approx: bool = False) -> DataFrame:
     """SMAPE per price quantile of the true value.
 
     Interior edges only; a value equal to an edge goes to the upper bin; empty bins are absent; ids
@@ -99,7 +101,7 @@ def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quant
     if n_quantiles <= 1:
         xe = x.withColumn("_edges", F.array(F.lit(float("inf"))))  # never used: count_at_most over 0 splits
     else:
-        xe = _edges_column(x, "_t", probs, by)
+        xe = _edges_column(x, "_t", probs, by, approx)
     binned = xe.select(*by, "_t", "_p", (1 + count_at_most(F.col("_t"), lambda i: F.col("_edges")[i], len(probs))).alias("quantile"))
     agg = binned.groupBy(*by, "quantile").agg(
         F.min("_t").alias("price_min"), F.max("_t").alias("price_max"), F.count(F.lit(1)).alias("count"),
@@ -110,12 +112,13 @@ def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quant
                       "price_min", "price_max", "count", "smape")
 
 
-def smape_by_qcut(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=()) -> DataFrame:
+def smape_by_qcut(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=(),
+                  approx: bool = False) -> DataFrame:
     """A05 (plan variant): qcut bins - distinct edges, right-closed, ids from 0; min, max, mean price."""
     by = list(by)
     x = _pairs(df, t, p, by).where(~is_missing(F.col("_t")))
     probs = [i / n_quantiles for i in range(1, n_quantiles)]
-    xe = _edges_column(x, "_t", probs, by)
+    xe = _edges_column(x, "_t", probs, by, approx)
     binned = xe.select(*by, "_t", "_p",
                        F.size(F.filter(F.array_distinct("_edges"), lambda e: F.col("_t") > e)).alias("quantile"))
     return binned.groupBy(*by, "quantile").agg(

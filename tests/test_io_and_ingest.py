@@ -139,3 +139,24 @@ def test_schema_level_helpers(spark):
     issues = {(r["issue"], r["column"]) for r in P.column_alignment(a, b).collect()}
     assert ("missing_in_train", "other") in issues and ("missing_in_test", "tfidf_0") in issues
     assert P.numeric_columns(a) == ["ipq_value", "tfidf_0"]
+
+
+def test_injected_decoder(spark, tmp_dir):
+    _files(tmp_dir)
+    files = IM.scan_images(spark, tmp_dir)
+    got = {r["sample_id"]: r["decodable"] for r in IM.verify_with_decoder(files, I.valid_image_bytes).collect()}
+    assert got == {"a": True, "b": False, "c": False, "e": True}  # the empty file is not listed by the source
+
+
+def test_approximate_quantile_edges(spark):
+    import numpy as np
+
+    from pricelab.operators import metrics as M
+
+    rng = np.random.default_rng(5)
+    t = rng.uniform(1, 1000, 2000)
+    df = spark.createDataFrame([(float(a), float(a * 1.1)) for a in t], "y_true double, pred double")
+    exact = {r["quantile"]: r["count"] for r in M.smape_by_quantile(df).collect()}
+    approx = {r["quantile"]: r["count"] for r in M.smape_by_quantile(df, approx=True).collect()}
+    assert sum(approx.values()) == 2000 and set(approx) == set(exact)
+    assert all(abs(approx[q] - exact[q]) <= 20 for q in exact)
