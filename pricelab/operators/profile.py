@@ -65,41 +65,66 @@ def constant_columns(df: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
+COLUMNS_PER_JOB = 40
+
+
 def column_checks(df: DataFrame) -> DataFrame:
-    """A13 + A14 in one aggregate: (column, n_missing, n_present, is_constant) per column, materialised
-    (one row per column)."""
-    parts = []
-    for c in df.columns:
-        v = F.when(~missing_expr(df, c), F.col(c))
-        parts += [F.sum(missing_expr(df, c).cast("long")).alias(f"{c}__miss"), F.min(v).cast("string").alias(f"{c}__min"),
-                  F.max(v).cast("string").alias(f"{c}__max"), F.count(v).alias(f"{c}__n")]
-    r = df.agg(*parts).collect()[0]
-    rows = [(c, int(r[f"{c}__miss"] or 0), int(r[f"{c}__n"]), r[f"{c}__n"] == 0 or r[f"{c}__min"] == r[f"{c}__max"])
-            for c in df.columns]
+    """A13 + A14: (column, n_missing, n_present, is_constant) per column - one aggregate per chunk of
+    columns (one pass for ordinary tables), materialised (one row per column)."""
+    rows = []
+    for i in range(0, len(df.columns), COLUMNS_PER_JOB):
+        chunk = df.columns[i:i + COLUMNS_PER_JOB]
+        parts = []
+        for c in chunk:
+            v = F.when(~missing_expr(df, c), F.col(c))
+            parts += [F.sum(missing_expr(df, c).cast("long")).alias(f"{c}__miss"), F.min(v).cast("string").alias(f"{c}__min"),
+                      F.max(v).cast("string").alias(f"{c}__max"), F.count(v).alias(f"{c}__n")]
+        r = df.agg(*parts).collect()[0]
+        rows += [(c, int(r[f"{c}__miss"] or 0), int(r[f"{c}__n"]), r[f"{c}__n"] == 0 or r[f"{c}__min"] == r[f"{c}__max"])
+                 for c in chunk]
     return df.sparkSession.createDataFrame(rows, "column string, n_missing long, n_present long, is_constant boolean")
 
 
 def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
     """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete.
 
-    Each row emits one (pair, a, b) record per column pair, with a value only where both columns are
-    present; one grouped aggregate (covariance and the two deviations, numerically stable built-ins)
-    gives every pair's r. The generated code stays small however many columns there are, and partial
-    aggregation leaves one row per pair and partition before the shuffle."""
+    Columns without a missing value go through one distributed Gram-matrix job (``Correlation.corr``:
+    d x d numbers come back, not rows). Pairs that involve a column with missing values use the
+    pairwise-complete path: each row emits one (pair, a, b) record for those pairs only, with a value
+    where both columns are present, and one grouped aggregate of stable built-ins gives their r."""
     cols = cols or numeric_columns(df)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     spark = df.sparkSession
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     if not pairs:
         return spark.createDataFrame([], "col_a string, col_b string, corr double")
-    x = df.select(*[F.when(~missing_expr(df, c), F.col(c).cast("double")).alias(c) for c in cols])
-    recs = []
-    for k, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        recs.append(F.struct(F.lit(k).alias("k"), F.when(both, F.col(a)).alias("a"), F.when(both, F.col(b)).alias("b")))
-    long = x.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-    stats = long.groupBy("k").agg(F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"))
-    names = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, col_a string, col_b string")
-    out = stats.join(F.broadcast(names), "k").select("col_a", "col_b", "corr")  # one row per pair
+    x = df.select(*[F.when(~missing_expr(df, c), F.col(c).cast("double")).alias(c) for c in cols]).persist()
+    counts = x.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).collect()[0]
+    complete = [c for c in cols if counts[c] == counts["_n"]]
+    found: list[tuple] = []
+    if len(complete) >= 2 and counts["_n"] > 1:
+        from pyspark.ml.feature import VectorAssembler
+        from pyspark.ml.stat import Correlation
+
+        vec = VectorAssembler(inputCols=complete, outputCol="_v").transform(x.select(*complete)).select("_v")
+        m = Correlation.corr(vec, "_v", "pearson").collect()[0][0].toArray()  # d x d
+        pos = {c: i for i, c in enumerate(complete)}
+        for a, b in pairs:
+            if a in pos and b in pos:
+                r = float(m[pos[a], pos[b]])
+                found.append((a, b, None if r != r else r))
+    rest = [(a, b) for a, b in pairs if not (a in complete and b in complete)]
+    if rest:
+        recs = []
+        for k, (a, b) in enumerate(rest):
+            both = F.col(a).isNotNull() & F.col(b).isNotNull()
+            recs.append(F.struct(F.lit(k).alias("k"), F.when(both, F.col(a)).alias("a"), F.when(both, F.col(b)).alias("b")))
+        long = x.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
+        stats = long.groupBy("k").agg(F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"))
+        for r in stats.collect():  # one row per pair
+            a, b = rest[r["k"]]
+            found.append((a, b, r["corr"]))
+    x.unpersist()
+    out = spark.createDataFrame(found, "col_a string, col_b string, corr double")
     return out.where(F.abs(F.col("corr")) > threshold)
 
 

@@ -40,3 +40,38 @@ def r05_id_sequences(spark, sf_dir):
     s = T.id_sequences(T.fit(c), c)
     return s.select("sample_id", F.size("input_ids").alias("length"), F.aggregate("attention_mask", F.lit(0), lambda a, b: a + b).alias("n_tokens"),
                     F.array_join("input_ids", " ").alias("input_ids"))
+
+
+@register("e1_feature_stage")
+def e1_feature_stage(spark, sf_dir):
+    """Train split of the catalog -> features + TF-IDF (fitted on train) -> Parquet store ->
+    sample -> audit; returns the audit report with the alignment issues appended."""
+    from ..operators.splits import train_val_split
+    from ..plans.stages import feature_stage
+    from ..session import scratch_path
+
+    c = train_val_split(catalog(spark, sf_dir))
+    train = c.where(F.col("split") == "train").drop("split")
+    test = c.where(F.col("split") == "validation").drop("split", "price")
+    res = feature_stage(spark, train, test, scratch_path(spark, "feature-stage"))
+    align = res.alignment.select(F.col("issue").alias("check"), F.col("column").alias("item"), F.lit(None).cast("double").alias("value"))
+    return res.audit.unionByName(align)
+
+
+@register("e2_ensemble_stage")
+def e2_ensemble_stage(spark, sf_dir):
+    """Prediction store -> stacking ensemble -> test submission -> validation -> timestamped output;
+    returns the validation report (with the ensemble's validation SMAPE per compared model)."""
+    from ..operators.splits import train_val_test_split
+    from ..plans.stages import ensemble_stage
+    from ..session import scratch_path, table
+    from ..sources import store as ST
+    from ..sources.derived import predictions
+
+    base = scratch_path(spark, "ensemble-stage")
+    ST.save_predictions(train_val_test_split(predictions(spark, sf_dir)), f"{base}/store")
+    o = train_val_test_split(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("sample_id")))
+    res = ensemble_stage(spark, f"{base}/store", o.where(F.col("split") == "test").select("sample_id"), base)
+    comp = res.comparison.select(F.concat(F.lit("val_smape:"), F.col("model")).alias("check"), F.lit("info").alias("severity"),
+                                 F.lit(0).cast("long").alias("n"), F.lit(True).alias("ok"))
+    return res.report.unionByName(comp)
