@@ -78,11 +78,16 @@ def inverse_smape_weights(preds: DataFrame, t: str = "y_true", p: str = "pred",
     return _normalise(s.withColumn("raw_weight", 1.0 / F.col("smape")), "raw_weight")
 
 
+MAX_BROADCAST_MODELS = 10_000
+
+
 def weighted_combination(preds: DataFrame, weights: DataFrame, key: str = "sample_id", model_col: str = "model",
                          value: str = "pred", extra: tuple[str, ...] = ()) -> DataFrame:
-    """Sum over models of weight * prediction. The weight table has one row per model, so it is
-    broadcast (bounded by the number of models)."""
-    j = preds.join(F.broadcast(weights.select(model_col, "weight")), model_col)
+    """Sum over models of weight * prediction. The weight table has one row per model; it is
+    broadcast after checking that size (a plain join beyond it)."""
+    w = weights.select(model_col, "weight")
+    small = w.limit(MAX_BROADCAST_MODELS + 1).count() <= MAX_BROADCAST_MODELS
+    j = preds.join(F.broadcast(w) if small else w, model_col)
     return j.groupBy(key, *extra).agg(F.sum(F.col("weight") * F.col(value)).alias("pred"))
 
 
