@@ -75,7 +75,9 @@ def best_iteration(model, data: DataFrame) -> int:
 def train_variants(matrix: DataFrame, variants=("lightgbm", "xgboost", "catboost"), max_iter: int = 100) -> dict:
     """Train every variant on the train split; metrics per model; a failing variant falls back to
     the second configuration."""
-    train = matrix.where(F.col("split") == "train").persist()
+    from ...operators.predictions import cache_for_iterations
+
+    train = cache_for_iterations(matrix.where(F.col("split") == "train"), matrix.columns)
     out = {}
     for v in variants:
         try:

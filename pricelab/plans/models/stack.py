@@ -74,7 +74,8 @@ class StackingEnsemble:
             use_isotonic: bool = True, optimize_weights: bool = True, n_folds: int = C.N_FOLDS) -> "StackingEnsemble":
         self.models = sorted(self.models) if self.models else sorted(
             c for c in train.columns if c not in (key, target, "split", "complete", "fold"))
-        tr = shuffled_folds(train, key, n_folds).persist()
+        folded = shuffled_folds(train, key, n_folds)
+        tr = cache_for_iterations(folded, folded.columns)
         self.ridge = L.ridge_cv(tr, self.models, target, "fold")
         self.enet = L.enet_cv(tr, self.models, target, "fold")
         _oof, val_lgbm, self.lgbm = shallow_gbt_oof(tr, val, self.models, target, key, "fold", n_folds)

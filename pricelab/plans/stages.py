@@ -68,7 +68,7 @@ def ensemble_stage(spark: SparkSession, store_path: str, expected_ids: DataFrame
     wide = PR.stack_wide(preds, models, key=key, extra=(target, "split")).where("complete").drop("complete")
     from .models.stack import train_ensemble
 
-    wide = wide.persist()
+    wide = PR.cache_for_iterations(wide, wide.columns)
     comparison, ens, _w = train_ensemble(wide, models, target, key)
     test_pred = ens.predict(wide.where(F.col("split") == "test"))
     sub = SUB.build_submission(test_pred, key, "pred")

@@ -46,7 +46,7 @@ def k01_feature_matrix(spark, sf_dir):
 def k02_k04_gbt_variants(spark, sf_dir):
     """K02-K04 + K06 + K07: three boosted-tree variants, train / validation SMAPE and best iteration."""
     m, _ = _matrix(spark, sf_dir)
-    m = m.persist()
+    m = PR.cache_for_iterations(m, m.columns)
     res = B.train_variants(m, max_iter=50)
     val = m.where(F.col("split") == "validation")
     rows = [(k, v["train_smape"], v["val_smape"], B.best_iteration(v["model"], val)) for k, v in sorted(res.items())]
@@ -59,7 +59,7 @@ def k05_smape_boost(spark, sf_dir):
     """Boosting with the SMAPE objective (gradient/hessian columns, weighted Newton trees);
     validation SMAPE per round."""
     m, _ = _matrix(spark, sf_dir)
-    m = m.persist()
+    m = PR.cache_for_iterations(m, m.columns)
     model, hist = B.smape_boost(m.where("split = 'train'"), rounds=15, valid=m.where("split = 'validation'"), patience=10)
     m.unpersist()
     return spark.createDataFrame([(r, s, len(model.trees)) for r, s in hist], "round int, val_smape double, kept_trees int")
@@ -69,7 +69,7 @@ def k05_smape_boost(spark, sf_dir):
 def k08_prediction_table(spark, sf_dir):
     """K07 + K08: every variant predicts train and validation; one long (model, split, id, pred) table."""
     m, _ = _matrix(spark, sf_dir)
-    m = m.persist()
+    m = PR.cache_for_iterations(m, m.columns)
     res = B.train_variants(m, variants=("lightgbm", "catboost"), max_iter=30)
     return B.predictions_long({k: v["model"] for k, v in res.items()}, m)
 
@@ -115,7 +115,8 @@ def k12_k19_stacking_ensemble(spark, sf_dir):
     """Ridge / elastic net / shallow trees with out-of-fold predictions, Nelder-Mead level-2
     weights, isotonic calibration; compared with each base model and the weighted average on validation.
     The fitted ensemble is saved and reloaded (S10) before it predicts the test split."""
-    wide = _wide(spark, sf_dir).persist()
+    w0 = _wide(spark, sf_dir)
+    wide = PR.cache_for_iterations(w0, w0.columns)
     comp, ens, _w = ST.train_ensemble(wide, MODELS)
     path = scratch_path(spark, "ensemble")
     ens.save(spark, path)
