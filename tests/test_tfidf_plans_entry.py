@@ -112,3 +112,23 @@ def test_streaming_features(spark):
     schema = spark.read.parquet(f"{SF_SMALL}/documents.parquet").schema
     out = stream_features(spark, SF_SMALL, schema, "text", "doc_id", glob="documents.parquet")
     assert out.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+
+
+def test_udf_runs_without_package_on_workers(tmp_path):
+    """Python workers get the package by value: a UDF-using query works from a foreign directory."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "from pricelab.operators import tfidf as T\n"
+        "df = s.createDataFrame([('1', 'Crème brûlée'), ('2', 'plain text')], 'sample_id string, catalog_content string')\n"
+        "print(sorted(r['terms'][0] for r in T.tokenize(df).collect()))\n" % repo
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
+    assert "['creme', 'plain']" in out.stdout, out.stderr[-2000:]
