@@ -6,8 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents_of
+from .embedding_dups import near_vectors
 from .exact_dedup import exact_groups
+from .mixing import mixed_words
 from .packing import pack_documents
+from .quality_rules import score_quality
+from .secret_scan import find_secrets
 from .sharding import shard_documents
 from .tokens import count_tokens
 
@@ -34,11 +38,47 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents_of(spark, sf_dir), byte_bpe())
 
 
+@query("op2_mixing")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_words(documents_of(spark, sf_dir))
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(documents_of(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents_of(spark, sf_dir), byte_bpe())
 
 
+OP7_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS low FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, least(e.vec_id, coalesce(c.low, e.vec_id)) AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(c.low, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.a = e.vec_id
+"""
+
+
+@query("op7_embedding_dups", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet"))
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(documents_of(spark, sf_dir))
+
+
 @query("op9_sharding")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(documents_of(spark, sf_dir))
