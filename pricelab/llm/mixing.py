@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, body, bucket_of, key_of, ranked, staged
+from .common import WHITE, WORD, body, key_of, ranked, staged
 
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 16_384  # blocks of one output shard
@@ -173,3 +173,22 @@ def mixed_words(documents: DataFrame, **options) -> DataFrame:
         F.coalesce("taken", zero).alias("taken"), F.coalesce("blocks", zero).alias("blocks"),
         F.col("at.shard").alias("first_shard"), F.col("at.position").alias("first_position"),
     )
+
+
+def mixed_documents(documents: DataFrame, **options) -> DataFrame:
+    """The mix as documents, all columns: one row per document and epoch with the drawn words as its text
+    (the text itself where all are drawn) and ``n_chars``, if there, counted anew. Rows that the mix takes
+    nothing of are gone. Documents must be distinct in (doc_id, text)."""
+    rows, draws = mix(documents, **options)
+    part = draws.groupBy("source_no", "row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("__parts"), F.sum("n_words").alias("__n"))
+    part = part.join(rows.select("source_no", "row", "doc_id", "h", "size"), ["source_no", "row"])
+    part = part.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "__parts", (F.col("__n") == F.col("size")).alias("__whole"))
+    docs = documents.withColumn("__hash", F.xxhash64(body()))
+    both = docs.join(part, (docs["__hash"] == F.col("__h")) & docs["doc_id"].eqNullSafe(F.col("__id")))
+    words = F.filter(F.split("text", WHITE), lambda w: w != "")
+    both = both.withColumn("__words", F.when(~F.col("__whole"), words))
+    cut = F.expr("array_join(flatten(transform(__parts, p -> slice(__words, cast(p.first_word + 1 as int), cast(p.n_words as int)))), ' ')")
+    both = both.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(cut))
+    if "n_chars" in documents.columns:
+        both = both.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return both.select(*documents.columns)

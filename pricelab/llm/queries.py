@@ -11,8 +11,10 @@ from .exact_dedup import exact_groups
 from .mixing import mixed_words
 from .packing import pack_documents
 from .quality_rules import score_quality
+from .repeats import remove_repeats
 from .secret_scan import find_secrets
 from .sharding import shard_documents
+from .shingle_join import near_groups
 from .tokens import count_tokens
 
 QUERIES = {}
@@ -48,11 +50,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(documents_of(spark, sf_dir), spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
 
 
+@query("op4_ngram_jaccard")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents_of(spark, sf_dir))
+
+
 @query("op5_token_counts")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents_of(spark, sf_dir), byte_bpe())
 
 
+@query("op6_suffix_repeats")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents_of(spark, sf_dir))
+
+
 OP7_SQL = r"""
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import body, worker_state
 
 SLICE_CHARS = 4_000_000  # texts whose new pieces are merged together
-KEPT_PIECES, KEPT_CHARS = 250_000, 8_000_000  # bound of what a worker remembers
+KEPT_PIECES, KEPT_CHARS = 800_000, 24_000_000  # bound of what a worker remembers
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" (?:\s|$)")
 NONE = np.int64(1 << 40)
