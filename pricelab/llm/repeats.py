@@ -33,6 +33,7 @@ SPAN, GRAM, RUN = 50, 16, 64
 PIECE = 1 << 20  # positions of a text that are hashed together
 BLOCK_MARKS = 6_000_000
 SHARD_SEGMENTS = 40_000
+GROUP_DOCUMENTS = 4096  # documents whose answers come back together
 FORWARD = 64  # groups that pass on what batches settled
 LAST = np.int64(2**63 - 1)  # stands for a null doc_id: larger than all
 
@@ -131,26 +132,44 @@ def _joined(rows: pd.DataFrame, kinds: dict) -> tuple[np.ndarray, ...]:
     return ids, hs, np.concatenate(owners), *each
 
 
-def _per_document(ids, hs, owner, columns: dict[str, np.ndarray]) -> pd.DataFrame:
-    order = np.argsort(owner, kind="stable")
-    cut = np.flatnonzero(np.diff(owner[order])) + 1
-    parts = np.split(order, cut) if len(order) else []
-    doc = [owner[p[0]] for p in parts]
-    out = {"doc_id": pd.array([None if ids[d] == LAST else int(ids[d]) for d in doc], dtype="Int64"), "h": hs[doc] if doc else np.zeros(0, dtype=np.int64)}
-    return pd.DataFrame(out | {n: pd.Series([c[p].tobytes() for p in parts], dtype=object) for n, c in columns.items()})
+def _returned(ids, hs, owner, columns: dict[str, np.ndarray], groups: int) -> pd.DataFrame:
+    """Packed rows for groups of documents, dealt by their hash."""
+    group = ((hs.view(np.uint64) >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)[owner]
+    names = ["part", "ids", "hs", "owner", *columns]
+    rows = [[k, *(x.tobytes() for x in row)] for k, row, _ in _split(group, list(columns.values()), ids, hs, owner)]
+    return pd.DataFrame(rows, columns=names).astype({"part": "int64"})
 
 
-def _shared(rows: pd.DataFrame) -> pd.DataFrame:
-    """Marks of one block that documents of different ids hold, by document."""
-    ids, hs, owner, low = _joined(rows, {"low": np.uint32})
-    if rows["block"].iloc[0] >= 0:
-        order = np.lexsort((ids[owner], low))
-        owner, low = owner[order], low[order]
-        at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        width = np.diff(np.append(at, len(low)))
-        keep = np.repeat(ids[owner[at]] != ids[owner[at + width - 1]], width)
-        owner, low = owner[keep], low[keep]
-    return _per_document(ids, hs, owner, {"low": low})
+def _per_document(kinds: dict):
+    """One row per document of a group: its entries of every block or shard."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, hs, owner, *columns = _joined(rows, kinds)
+        key, doc = np.unique(np.stack([hs, ids]), axis=1, return_inverse=True)
+        doc = doc.ravel()[owner]
+        order = np.argsort(doc, kind="stable")
+        parts = np.split(order, np.flatnonzero(np.diff(doc[order])) + 1) if len(order) else []
+        at = [int(doc[p[0]]) for p in parts]
+        out = {"doc_id": pd.array([None if i == LAST else i for i in key[1, at].tolist()], dtype="Int64"), "h": key[0, at]}
+        return pd.DataFrame(out | {n: pd.Series([c[p].tobytes() for p in parts], dtype=object) for n, c in zip(kinds, columns)})
+
+    return run
+
+
+def _shared(groups: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Marks of one block that documents of different ids hold."""
+        ids, hs, owner, low = _joined(rows, {"low": np.uint32})
+        if rows["block"].iloc[0] >= 0:
+            order = np.lexsort((ids[owner], low))
+            owner, low = owner[order], low[order]
+            at = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+            width = np.diff(np.append(at, len(low)))
+            keep = np.repeat(ids[owner[at]] != ids[owner[at + width - 1]], width)
+            owner, low = owner[keep], low[keep]
+        return _returned(ids, hs, owner, {"low": low}, groups)
+
+    return run
 
 
 def _segments(shards: int):
@@ -162,7 +181,7 @@ def _segments(shards: int):
             local: list[tuple[int, int, int]] = []
             for i in np.argsort(ids, kind="stable").tolist():
                 raw = batch.column(2)[i].as_py().encode("utf-8", "surrogatepass")
-                wanted = np.frombuffer(b"".join(batch.column(3)[i].as_py()), dtype=np.uint32)
+                wanted = np.frombuffer(batch.column(3)[i].as_py(), dtype=np.uint32)
                 mark, at, n = segments(raw)
                 keep = np.isin(_low(mark), wanted)
                 to = ((mark[keep] >> np.uint64(32)) % np.uint64(shards)).tolist()
@@ -210,23 +229,26 @@ def smallest_ids(texts: list[bytes], low: np.ndarray) -> np.ndarray:
     return out
 
 
-def _decide(rows: pd.DataFrame) -> pd.DataFrame:
-    """Which positions of each segment of one shard start a string that an earlier document holds."""
-    ids, hs, owner, first, count = _joined(rows, {"first": np.uint32, "count": np.uint8})
-    if rows["shard"].iloc[0] < 0:
-        mask = np.frombuffer(b"".join(rows["mask"]), dtype=np.uint64)
-        return _per_document(ids, hs, owner, {"first": first, "mask": mask})
-    whole = b"".join(rows["text"])
-    end = np.cumsum(count.astype(np.int64) + SPAN - 1)
-    number: dict[bytes, int] = {}
-    which = np.array([number.setdefault(whole[e - c - SPAN + 1 : e], len(number)) for e, c in zip(end.tolist(), count.tolist())])
-    low = np.full(len(number), LAST)
-    np.minimum.at(low, which, ids[owner])
-    least = smallest_ids(list(number), low)
-    bits = least[which] < ids[owner][:, None]
-    mask = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
-    hit = mask != 0
-    return _per_document(ids, hs, owner[hit], {"first": first[hit], "mask": mask[hit]})
+def _decide(groups: int):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """Which positions of each segment of one shard start a string that an earlier document holds."""
+        ids, hs, owner, first, count = _joined(rows, {"first": np.uint32, "count": np.uint8})
+        if rows["shard"].iloc[0] < 0:
+            mask = np.frombuffer(b"".join(rows["mask"]), dtype=np.uint64)
+            return _returned(ids, hs, owner, {"first": first, "mask": mask}, groups)
+        whole = b"".join(rows["text"])
+        end = np.cumsum(count.astype(np.int64) + SPAN - 1)
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(whole[e - c - SPAN + 1 : e], len(number)) for e, c in zip(end.tolist(), count.tolist())])
+        low = np.full(len(number), LAST)
+        np.minimum.at(low, which, ids[owner])
+        least = smallest_ids(list(number), low)
+        bits = least[which] < ids[owner][:, None]
+        mask = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+        hit = mask != 0
+        return _returned(ids, hs, owner[hit], {"first": first[hit], "mask": mask[hit]}, groups)
+
+    return run
 
 
 def _cleaned(batches):
@@ -234,8 +256,8 @@ def _cleaned(batches):
         out = []
         for text, first, mask in zip(batch.column(2), batch.column(3), batch.column(4)):
             raw = text.as_py().encode("utf-8", "surrogatepass")
-            at = np.frombuffer(b"".join(first.as_py()), dtype=np.uint32).astype(np.int64)
-            bits = np.unpackbits(np.frombuffer(b"".join(mask.as_py()), dtype=np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            at = np.frombuffer(first.as_py(), dtype=np.uint32).astype(np.int64)
+            bits = np.unpackbits(np.frombuffer(mask.as_py(), dtype=np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             seg, offset = np.nonzero(bits)
             change = np.zeros(len(raw) + 1, dtype=np.int64)
             starts = np.unique(at[seg] + offset)
@@ -257,25 +279,26 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(body()).alias("h"), body().alias("text"))
     size = F.octet_length("text").cast("long")
     base = staged(docs.select("doc_id", "h", size.alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "repeat-rows")
-    total = base.agg(F.sum("n_bytes")).first()[0] or 0
-    blocks = int(total // 17 // BLOCK_MARKS + 1)  # a mark for about 17 bytes
+    total = base.agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
+    blocks = int((total["bytes"] or 0) // 17 // BLOCK_MARKS + 1)  # a mark for about 17 bytes
+    groups = int(total["rows"] // GROUP_DOCUMENTS + 1)
+    back = "part long, ids binary, hs binary, owner binary, "
     packed = docs.where(size >= SPAN).mapInArrow(_marks(blocks), "block int, ids binary, hs binary, owner binary, low binary")
-    shared = packed.groupBy("block").applyInPandas(_shared, "doc_id long, h long, low binary")
-    shared = staged(shared, "repeat-marks")
+    shared = packed.groupBy("block").applyInPandas(_shared(groups), back + "low binary")
+    shared = staged(shared.groupBy("part").applyInPandas(_per_document({"low": np.uint32}), "doc_id long, h long, low binary"), "repeat-marks")
     entries = shared.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0
-    wanted = shared.groupBy("doc_id", "h").agg(F.collect_list("low").alias("wanted"))
-    wanted = wanted.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "wanted")
-    held = docs.join(wanted, (docs.h == F.col("__h")) & docs.doc_id.eqNullSafe(F.col("__id"))).select("doc_id", "h", "text", "wanted")
-    held = staged(held.dropDuplicates(["doc_id", "h"]), "repeat-texts")
+    wanted = shared.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "low")
+    held = docs.join(wanted, (docs.h == F.col("__h")) & docs.doc_id.eqNullSafe(F.col("__id"))).select("doc_id", "h", "text", "low")
 
     shards = int(entries // SHARD_SEGMENTS + 1)
     kinds = "shard int, ids binary, hs binary, owner binary, first binary, count binary, mask binary, text binary"
     sent = held.mapInArrow(_segments(shards), kinds)
-    decided = staged(sent.groupBy("shard").applyInPandas(_decide, "doc_id long, h long, first binary, mask binary"), "repeat-masks")
-    masks = decided.groupBy("doc_id", "h").agg(F.collect_list("first").alias("first"), F.collect_list("mask").alias("mask"))
+    decided = sent.groupBy("shard").applyInPandas(_decide(groups), back + "first binary, mask binary")
+    per_document = _per_document({"first": np.uint32, "mask": np.uint64})
+    masks = staged(decided.groupBy("part").applyInPandas(per_document, "doc_id long, h long, first binary, mask binary"), "repeat-masks")
     masks = masks.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "first", "mask")
-    cut = held.join(masks, (held.h == F.col("__h")) & held.doc_id.eqNullSafe(F.col("__id"))).select("doc_id", "h", "text", "first", "mask")
-    done = staged(cut.mapInArrow(_cleaned, "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string"), "repeat-result")
+    cut = docs.join(masks, (docs.h == F.col("__h")) & docs.doc_id.eqNullSafe(F.col("__id"))).select("doc_id", "h", "text", "first", "mask")
+    done = staged(cut.mapInArrow(_cleaned, "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["doc_id", "h"]), "repeat-result")
     done = done.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "n_removed", "n_spans", "kept_sha256")
     out = base.join(done, (base.h == F.col("__h")) & base.doc_id.eqNullSafe(F.col("__id")), "left")
     zero = F.lit(0).cast("long")

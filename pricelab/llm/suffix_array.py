@@ -15,7 +15,7 @@ PER_KEY = 6  # symbols with their type (10 bits each) in one sorting key
 
 def _ranks(key: np.ndarray) -> np.ndarray:
     """Dense rank of each value."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     new = np.ones(len(key), dtype=np.int64)
     new[1:] = key[order[1:]] != key[order[:-1]]
     out = np.empty(len(key), dtype=np.int64)
@@ -49,13 +49,13 @@ def _sorted_starts(text: np.ndarray, small: np.ndarray, starts: np.ndarray, dept
         after[:-step] = name[step:] + 1
         name = _ranks(name * (m + 2) + after)
         step *= 2
-    return starts[np.argsort(name, kind="stable")]
+    return starts[np.argsort(name)]
 
 
 def _push(lists: list[list[np.ndarray]], text: np.ndarray, at: np.ndarray) -> None:
     """Append positions to the lists of their symbols, in order."""
     if len(at):
-        order = np.argsort(text[at], kind="stable")
+        order = np.argsort(text[at].astype(np.int16), kind="stable")
         at = at[order]
         cut = np.flatnonzero(np.diff(text[at])) + 1
         for part in np.split(at, cut):
