@@ -9,8 +9,9 @@ t / (1 + t) (n1 + n2). Candidates are then verified on the whole texts.
 
 Links are only needed up to connected components, so a column first proposes a star and a chain by size;
 its other pairs are proposed again only if they are still in different components. Columns with more than
-SMALL_COLUMN documents keep their entries in a table for that, the others their remaining pairs. Nothing is
-left out, and a group of k copies costs about k comparisons, not k^2. Documents with equal sets are one
+SMALL_COLUMN documents keep their entries in a table for that, the others their remaining pairs; large
+columns go through STAR_ROUNDS more stars around other documents first. Nothing is left out, and a group of
+k copies costs about k comparisons, not k^2. Documents with equal sets are one
 class from the start.
 """
 
@@ -30,6 +31,7 @@ WORDS = 5
 NUM, DEN = 75, 100  # the similarity, as a fraction
 BLOCK_ENTRIES = 2_000_000
 SMALL_COLUMN = 16
+STAR_ROUNDS = 3  # of linear comparisons in large columns before pairs across their components
 FREQUENT = 0.001  # of the documents of a batch (twice that of all) that make a shingle frequent
 SEGMENT = 4_000_000  # bytes that are hashed together
 
@@ -229,6 +231,38 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return staged(both.mapInArrow(_verified, "a long, b long"), name)
 
 
+def _of(column: str):
+    """The component of a class: its root, or itself if it has no link."""
+    return F.coalesce(F.col(f"g{column}"), F.col(column))
+
+
+def _grouped(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    for c in "ab":
+        pairs = pairs.join(group.select(F.col("node").alias(c), F.col("root").alias(f"g{c}")), c, "left")
+    return pairs
+
+
+def _across(pairs: DataFrame, group: DataFrame) -> DataFrame:
+    return _grouped(pairs, group).where(_of("a") != _of("b")).select("a", "b")
+
+
+def _merged(group: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(node, root) with more links: the components of the roots that they join."""
+    top = components(_grouped(links, group).select(_of("a").alias("a"), _of("b").alias("b")), name)
+    top = top.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    known = group.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = top.join(group.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
+    return staged(known.union(alone), name)
+
+
+def _open_columns(columns: DataFrame, group: DataFrame) -> DataFrame:
+    """Entries of large columns that hold more than one component; ``left``: shingles from the entry on, at most."""
+    group = group.select(F.col("node").alias("cid"), F.col("root").alias("g"))
+    of = columns.join(group, "cid", "left").select("shingle", "cid", "n", F.expr("n - (place * n) div 1000").alias("left"), F.coalesce("g", "cid").alias("g"))
+    several = of.groupBy("shingle").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("shingle")
+    return of.join(several, "shingle")
+
+
 def near_groups(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -259,29 +293,26 @@ def near_groups(documents: DataFrame) -> DataFrame:
 
     links = verified(counted.where("kind = 1"), texts, "shingle-links")
     group = components(links, "shingles-first")
-    of = lambda c: F.coalesce(F.col(f"g{c}"), F.col(c))
-    ga, gb = (group.select(F.col("node").alias(c), F.col("root").alias(f"g{c}")) for c in "ab")
-    later = counted.where("kind = 2").join(ga, "a", "left").join(gb, "b", "left").where(of("a") != of("b")).select("a", "b")
-
-    # columns that hold several components: pairs across them, by size band
-    gc = group.select(F.col("node").alias("cid"), F.col("root").alias("gcid"))
-    columns = staged(columns.join(gc, "cid", "left").select("shingle", "cid", "n", "place", of("cid").alias("g")), "shingle-columns")
-    mixed_columns = columns.groupBy("shingle").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("shingle")
-    open_ = columns.join(mixed_columns, "shingle").withColumn("left", F.expr("n - (place * n) div 1000"))
-    open_ = staged(open_.withColumn("band", F.floor(F.log("n") / float(np.log(DEN / NUM))).cast("int")), "shingle-open")
+    columns = staged(columns, "shingle-columns")
+    for turn in range(STAR_ROUNDS):
+        open_ = _open_columns(columns, group)
+        if open_.isEmpty():
+            break
+        hub = open_.groupBy("shingle").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "cid").alias("o"), "cid", "n", "left", "g")).alias("hub"))
+        star = open_.join(hub, "shingle").where((F.col("g") != F.col("hub.g")) & F.expr(f"least(left, hub.left) * {NUM + DEN} >= {NUM} * (n + hub.n)"))
+        star = star.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
+        group = _merged(group, verified(star, texts, "shingle-links"), f"shingles-star-{turn}")
+
+    # what is still open: remaining pairs of small columns, and pairs across components of large ones by size band
+    later = _across(counted.where("kind = 2").select("a", "b"), group)
+    open_ = staged(_open_columns(columns, group).withColumn("band", F.floor(F.log("n") / float(np.log(DEN / NUM))).cast("int")), "shingle-open")
     x = open_.select("shingle", F.explode(F.array([F.col("band") + d for d in (-1, 0, 1)])).alias("band"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("g").alias("ga"))
     y = open_.select("shingle", "band", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"), F.col("g").alias("gb"))
     least = F.expr(f"least(la, lb) * {NUM + DEN} >= {NUM} * (na + nb)")
     across = x.join(y, ["shingle", "band"]).where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & least).select("a", "b")
     rest = staged(later.union(across).distinct(), "shingle-rest")
     if not rest.isEmpty():
-        more = verified(rest, texts, "shingle-links")
-        if not more.isEmpty():
-            merged = more.join(ga, "a", "left").join(gb, "b", "left").select(of("a").alias("a"), of("b").alias("b"))
-            top = components(merged, "shingles-second").select(F.col("node").alias("root"), F.col("root").alias("top"))
-            links_all = group.join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-            alone = top.join(group, top.root == group.node, "left_anti").select(F.col("root").alias("node"), F.col("top").alias("root"))
-            group = staged(links_all.union(alone), "shingle-groups")
+        group = _merged(group, verified(rest, texts, "shingle-links"), "shingles-rest")
 
     member = classes.join(group.withColumnRenamed("node", "cid"), "cid", "left")
     member = staged(member.select("cid", F.coalesce("root", "cid").alias("root"), F.col("rep.doc_id").alias("low")), "shingle-members")
