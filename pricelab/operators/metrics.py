@@ -24,6 +24,7 @@ from ..functions.errors import (
     smape_term,
 )
 from .quantiles import count_at_most, edges_list, exact_percentiles, percentile_edges
+from .groups import join_groups
 
 
 def _pairs(df: DataFrame, t: str, p: str, by, in_log_space: bool = False) -> DataFrame:
@@ -85,7 +86,7 @@ def _edges_column(df: DataFrame, value: str, probs: list[float], by: list[str],
         edges = edges_list(df, value, probs, approx=approx)
         return df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>"))
     e = percentile_edges(df, value, probs, by, approx=approx).withColumnRenamed("edges", "_edges")
-    return df.join(e, by)
+    return join_groups(df, e, by)
 
 
 def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=(),
@@ -150,7 +151,7 @@ def smape_by_price_range(df: DataFrame, t: str = "y_true", p: str = "pred", by=(
                        for i, lab in enumerate(C.PRICE_RANGE_LABELS)])
     grid = overall.select(*by, "overall_smape", F.explode(labels).alias("_r")).select(
         *by, "overall_smape", "_r.range_idx", "_r.price_range")
-    out = grid.join(per, by + ["range_idx"], "left")
+    out = join_groups(grid, per, by + ["range_idx"], "left")
     return out.select(*by, "range_idx", "price_range", F.coalesce("n", F.lit(0)).cast("long").alias("n"),
                       F.coalesce("_m", F.lit(0.0)).alias("mean_smape"), "overall_smape")
 
@@ -170,7 +171,7 @@ def error_summary(df: DataFrame, t: str = "y_true", p: str = "pred", by=()) -> D
         r = med.collect()[0]
         return means.select("*", F.lit(r["median_abs_error"]).cast("double").alias("median_abs_error"),
                             F.lit(r["median_pct_error"]).cast("double").alias("median_pct_error"))
-    return means.join(med, by)
+    return join_groups(means, med, by)
 
 
 def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
@@ -183,7 +184,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_b"))
     step = (F.col("_b") - F.col("_a")) / bins
     if by:
-        xr = x.join(rng, by)  # one row per group on the right
+        xr = join_groups(x, rng, by)  # one row per group on the right
     else:
         r = rng.collect()
         if not r:
@@ -198,7 +199,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
     grid = rng.select(*by, "_a", "_b", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     grid = grid.select(*by, "bin", (F.col("bin") * step + F.col("_a")).alias("lo"),
                        edge(F.col("bin") + 1).alias("hi"))
-    return grid.join(counts, by + ["bin"], "left").select(*by, "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return join_groups(grid, counts, by + ["bin"], "left").select(*by, "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def split_histogram(df: DataFrame, value: str, split_col: str = "split", ref_split: str = "train", bins: int = 50,
@@ -220,7 +221,7 @@ def split_histogram(df: DataFrame, value: str, split_col: str = "split", ref_spl
     splits = x.select("split").distinct()
     grid = splits.select("split", F.explode(F.sequence(F.lit(0), F.lit(bins - 2))).alias("bin"))
     grid = grid.select("split", "bin", F.try_element_at(arr, F.col("bin") + 1).alias("lo"), F.try_element_at(arr, F.col("bin") + 2).alias("hi"))
-    return grid.join(counts, ["split", "bin"], "left").select("split", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return join_groups(grid, counts, ["split", "bin"], "left").select("split", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def box_summary(df: DataFrame, value: str, by=()) -> DataFrame:
@@ -234,7 +235,7 @@ def box_summary(df: DataFrame, value: str, by=()) -> DataFrame:
         F.max(F.when(F.col("p_idx") == 2, F.col("value"))).alias("q3"),
     )
     if by:
-        xq = x.join(qw, by)
+        xq = join_groups(x, qw, by)
     else:
         r = qw.collect()[0]
         xq = x.select("_x", F.lit(r["q1"]).alias("q1"), F.lit(r["median"]).alias("median"), F.lit(r["q3"]).alias("q3"))
@@ -257,7 +258,7 @@ def nan_stats(df: DataFrame, value: str, by=()) -> DataFrame:
         m = edges_list(x, "_x", [0.5])
         return agg.select("*", F.lit(m[0] if m else None).cast("double").alias("median"))
     med = exact_percentiles(x, "_x", [0.5], by).select(*by, F.col("value").alias("median"))
-    return agg.join(med, by, "left")
+    return join_groups(agg, med, by, "left")
 
 
 def leaderboard(df: DataFrame, t: str = "y_true", p: str = "pred", model_col: str = "model") -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from ..session import cut_lineage
+from .groups import join_groups
 
 DEFAULT_BUCKETS = 64
 SMALL_GROUPS = 10_000  # up to this many groups, bucket statistics are coordinated from the driver
@@ -91,7 +92,7 @@ def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list
     the picked values (groups x probs x 2 rows) are interpolated on the driver. Every join is against a
     table of at most groups x buckets rows, broadcast on purpose."""
     spark = vc.sparkSession
-    b = vc.join(F.broadcast(splits), by).select(
+    b = join_groups(vc, F.broadcast(splits), by).select(
         *by, "_v", "_c", count_at_most(F.col("_v"), lambda i: F.col("_s")[i], len(fracs)).alias("_b"))
     totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc")).collect()  # <= groups x buckets rows
     per_group: dict = {}
@@ -122,9 +123,9 @@ def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list
                                            StructField("_off", LongType())])
     need = spark.createDataFrame(need_rows, need_schema)
     w = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = b.join(F.broadcast(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
+    cand = join_groups(b, F.broadcast(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
     cum = cand.withColumn("_cum", F.sum("_c").over(w))
-    picked = cum.join(F.broadcast(need), by + ["_b"]).where(
+    picked = join_groups(cum, F.broadcast(need), by + ["_b"]).where(
         (F.col("_r") >= F.col("_off") + F.col("_cum") - F.col("_c")) & (F.col("_r") < F.col("_off") + F.col("_cum"))
     ).select(*by, "_r", "_v").collect()  # <= groups x probs x 2 rows
     value_at = {(tuple(r[c] for c in by), r["_r"]): r["_v"] for r in picked}
@@ -186,7 +187,7 @@ def _ungrouped(vc: DataFrame, probs: list[float], fracs: list[float]) -> DataFra
 
 def _grouped(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float]) -> DataFrame:
     splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
-    b = vc.join(splits, by).select(
+    b = join_groups(vc, splits, by).select(
         *by, "_v", "_c", F.size(F.filter(F.array_distinct("_s"), lambda s: s <= F.col("_v"))).alias("_b")
     )
     totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
@@ -203,16 +204,16 @@ def _grouped(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float
                        F.least(F.floor("_h").cast("long") + 1, F.col("_n") - 1).alias("hi"),
                        (F.col("_h") - F.floor("_h")).alias("t"))
     ranks = need.select(*by, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_r")).distinct()
-    ranks = ranks.join(totals, by).where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bc")))
+    ranks = join_groups(ranks, totals, by).where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bc")))
     ranks = ranks.select(*by, "_b", "_r", "_off")
     w = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = b.join(ranks.select(*by, "_b").distinct(), by + ["_b"], "left_semi").withColumn("_cum", F.sum("_c").over(w))
-    cum = cum.join(ranks, by + ["_b"]).where(
+    cum = join_groups(b, ranks.select(*by, "_b").distinct(), by + ["_b"], "left_semi").withColumn("_cum", F.sum("_c").over(w))
+    cum = join_groups(cum, ranks, by + ["_b"]).where(
         (F.col("_r") >= F.col("_off") + F.col("_cum") - F.col("_c")) & (F.col("_r") < F.col("_off") + F.col("_cum"))
     ).select(*by, "_r", "_v")
     lo = cum.select(*by, F.col("_r").alias("lo"), F.col("_v").alias("_vlo"))
     hi = cum.select(*by, F.col("_r").alias("hi"), F.col("_v").alias("_vhi"))
-    out = need.join(lo, by + ["lo"]).join(hi, by + ["hi"])
+    out = join_groups(join_groups(need, lo, by + ["lo"]), hi, by + ["hi"])
     return out.select(*by, "p_idx", "p", _lerp(F.col("_vlo"), F.col("_vhi"), F.col("t")).alias("value"))
 
 

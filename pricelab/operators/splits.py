@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from .windows import decile_labels, hash_bucket, running_scan
+from .groups import join_groups
 
 SPLIT_BUCKETS = 1000
 
@@ -34,7 +35,7 @@ def stratified_split(df: DataFrame, value: str = "price", key: str = "sample_id"
         "_h", F.md5(F.concat(F.lit(str(seed)), F.lit(":"), F.col(key).cast("string"))))
     sized = lab.groupBy("decile").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_scan(lab, ["_h", key], by=["decile"])
-    out = ranked.join(sized, "decile", "left")  # one row per stratum on the right
+    out = join_groups(ranked, sized, ["decile"], "left")  # one row per stratum on the right
     is_val = F.col("_rn") <= F.floor(F.col("_n") * share + 0.5)  # round half up
     return out.select(*df.columns, "decile", F.when(is_val, "validation").otherwise("train").alias(col))
 

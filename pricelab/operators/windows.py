@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..session import cut_lineage
+from .groups import join_groups
 
 
 def running_scan(
@@ -51,7 +52,7 @@ def running_scan(
     if min_of:
         prefix.append(F.min("_pmin").over(wp).alias("_prev_min"))
     stats = stats.select(*by, "_pid", *prefix)
-    out = local.join(stats, by + ["_pid"])
+    out = join_groups(local, stats, by + ["_pid"])
     cols = [c for c in df.columns] + [(F.col("_off") + F.col("_lrn")).alias("_rn")]
     if min_of:
         cols.append(F.least(F.col("_prev_min"), F.col("_lmin")).alias("_run_min"))
@@ -91,7 +92,7 @@ def retention_plan(manifest: DataFrame, keep_n: int = C.MAX_CHECKPOINTS_TO_KEEP,
                  .where(F.col("_rb") == 1))
     kept = keep_new.select(tiebreak).unionByName(keep_best.select(tiebreak)).distinct().withColumn("_k", F.lit(True))
     sizes = manifest.groupBy(*by).agg(F.count(F.lit(1)).alias("_gn"))
-    out = manifest.join(kept, tiebreak, "left").join(sizes, by)
+    out = join_groups(manifest.join(kept, tiebreak, "left"), sizes, by)
     keep = F.coalesce(F.col("_k"), F.lit(False)) | (F.col("_gn") <= keep_n)
     return out.select(*manifest.columns, keep.alias("keep"))
 
@@ -113,7 +114,7 @@ def _best_flags(history: DataFrame, by: list[str], order: list[str], metric: str
     inclusive running minimum of the previous row, joined by (group, row number - 1)."""
     s = running_scan(history, order, by, min_of=metric)
     prev = s.select(*by, (F.col("_rn") + 1).alias("_rn"), F.col("_run_min").alias("best_before"))
-    out = s.join(prev, by + ["_rn"], "left")
+    out = join_groups(s, prev, by + ["_rn"], "left")
     is_new = F.col(metric).isNotNull() & (F.col("best_before").isNull() | (F.col(metric) < F.col("best_before")))
     return out.select(*history.columns, F.col("_rn").alias("step"), "best_before",
                       F.col("_run_min").alias("best_so_far"), is_new.alias("is_new_best"))
@@ -140,7 +141,7 @@ def early_stop(history: DataFrame, patience: int, by=("stage",), order=("ts", "e
     stops = stop_rows.groupBy(*by).agg(F.min(F.struct("step", "_last_imp")).alias("_s"))
     lasts = s2.groupBy(*by).agg(F.max("step").alias("_last"),
                                 F.max(F.struct(F.coalesce("_last_imp", F.lit(0)).alias("li"), "step")).alias("_lm"))
-    out = lasts.join(stops, by, "left")
+    out = join_groups(lasts, stops, by, "left")
     return out.select(
         *by,
         F.coalesce(F.col("_s.step"), F.col("_last")).alias("stop_step"),
@@ -190,6 +191,7 @@ def decile_labels(df: DataFrame, value: str, n: int = 10, by=()) -> DataFrame:
         arr = F.array(*[F.lit(float(e)) for e in edges_list(df, value, probs)])
         x = df.withColumn("_edges", arr)
     else:
-        x = df.join(percentile_edges(df, value, probs, by).withColumnRenamed("edges", "_edges"), by)
+        x = join_groups(df, percentile_edges(df, value, probs, by).withColumnRenamed("edges", "_edges"), by)
     lab = F.size(F.filter(F.array_distinct("_edges"), lambda e: F.col(value) > e))
-    return x.select(*df.columns, F.when(F.col(value).isNotNull(), lab).cast("int").alias("decile"))
+    # NULL and NaN have no label, as in a quantile cut
+    return x.select(*df.columns, F.when(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")), lab).cast("int").alias("decile"))

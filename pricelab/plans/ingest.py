@@ -17,6 +17,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +44,13 @@ def valid_image_bytes(data: bytes | None) -> bool:
     return jpeg or png
 
 
+NOT_WRITTEN_YET = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def fetch_partition(fetch: Callable[[str], bytes], out_dir: str, max_retries: int = C.DOWNLOAD_MAX_RETRIES,
                     sleep: Callable[[float], None] = time.sleep, key: str = "sample_id", url_col: str = "image_link"):
-    """The per-partition function for ``mapInPandas``: fetch, verify, write, retry with 2**attempt
-    seconds of backoff; one result row per id."""
+    """The per-partition function for ``mapInPandas``: fetch, verify, write, retry after 2, 4, 8 ...
+    seconds; one result row per id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -58,15 +62,19 @@ def fetch_partition(fetch: Callable[[str], bytes], out_dir: str, max_retries: in
                     try:
                         data = fetch(url)
                         if valid_image_bytes(data):
-                            with open(os.path.join(out_dir, f"{sid}.jpg"), "wb") as fh:
+                            # a killed task leaves no file under the final name
+                            final = os.path.join(out_dir, f"{sid}.jpg")
+                            part = f"{final}.{os.getpid()}.part"
+                            with open(part, "wb") as fh:
                                 fh.write(data)
+                            os.replace(part, final)
                             ok, err = True, None
                             break
                         err = "corrupted payload"
                     except Exception as e:  # noqa: BLE001 - any fetch error counts as a failed attempt
-                        err = f"{type(e).__name__}: {e}"[:200]
+                        err = f"{type(e).__name__}: {e}"
                     if attempt < max_retries - 1:
-                        sleep(2 ** attempt)
+                        sleep(2 ** attempts)
                 out.append((sid, ok, attempts, err))
             yield pd.DataFrame(out, columns=["sample_id", "ok", "attempts", "error"])
 
@@ -77,7 +85,9 @@ def completed_ids(spark: SparkSession, manifest_path: str) -> DataFrame:
     """Ids whose latest manifest record is a success (empty when there is no manifest yet)."""
     try:
         m = spark.read.parquet(manifest_path)
-    except Exception:  # noqa: BLE001 - no manifest written yet
+    except AnalysisException as e:
+        if e.getCondition() not in NOT_WRITTEN_YET:
+            raise
         return spark.createDataFrame([], "sample_id string")
     latest = m.groupBy("sample_id").agg(F.max(F.struct("batch_ts", "ok")).alias("_l"))
     return latest.where(F.col("_l.ok")).select("sample_id")
@@ -89,7 +99,9 @@ def existing_files(spark: SparkSession, out_dir: str) -> DataFrame:
 
     try:
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,png}").load(out_dir).select("path")
-    except Exception:  # noqa: BLE001 - empty or missing folder
+    except AnalysisException as e:
+        if e.getCondition() not in NOT_WRITTEN_YET:
+            raise
         return spark.createDataFrame([], "sample_id string")
     return files.select(F.regexp_extract("path", ID_FROM_PATH, 1).alias("sample_id"))
 

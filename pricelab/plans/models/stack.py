@@ -89,7 +89,7 @@ class StackingEnsemble:
         if use_isotonic:
             cal = meta_val.select(weighted_expr(META, self.weights).alias("_wp"), F.col(target).alias("_y"))
             self.isotonic = IsotonicRegression(featuresCol="_wp", labelCol="_y", isotonic=True).fit(cal)
-        self.val_smape = smape_of_weights(self._final(meta_val), ["_final"], target, [np.array([1.0])])[0]
+        self.val_smape = smape_of_weights(self.predict(val, out="_final"), ["_final"], target, [np.array([1.0])])[0]
         meta_val.unpersist()
         tr.unpersist()
         return self

@@ -5,6 +5,7 @@ retention decisions are the W02 window query, and deletion goes through the Hado
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,9 @@ def manifest_from_folder(spark: SparkSession, folder: str, pattern: str = "*.pt"
     try:
         files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
                  .select("path", "modificationTime", "length"))
-    except Exception:  # noqa: BLE001 - empty or missing folder
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "path string, name string, stage string, checkpoint_type string, ts timestamp, "
                                          "metric double, size_bytes long, event_id long")
     name = F.regexp_extract("path", r"([^/]+)$", 1)

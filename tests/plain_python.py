@@ -1,5 +1,4 @@
-"""Plain-Python statements of the feature semantics, used only as test expectations for the Spark
-expressions (one row at a time, the way the original computes them)."""
+"""Plain definitions that the Spark text expressions are compared with, one text at a time."""
 
 from __future__ import annotations
 
@@ -8,65 +7,28 @@ import re
 from pricelab import constants as C
 
 
-def pack_quantity(text):
-    empty = dict(ipq_value=None, ipq_unit=None, ipq_normalized=None, ipq_unit_type=None, ipq_confidence=0.0, has_ipq=False)
-    if not isinstance(text, str) or not text:
-        return empty
-    low = text.lower()
-    for pat in C.IPQ_PATTERNS:
-        m = re.search(pat, low, re.IGNORECASE)
-        if not m:
-            continue
-        g = m.groups()
-        value = float(g[0])
-        if len(g) > 1:
-            unit = g[1].lower()
-        elif "pack" in pat:
-            unit = "pack"
-        elif "count" in pat:
-            unit = "count"
-        else:
-            unit = "pieces"
-        known = C.UNIT_CONVERSIONS.get(unit)
-        return dict(ipq_value=value, ipq_unit=unit, ipq_normalized=value * known[1] if known else None,
-                    ipq_unit_type=known[0] if known else None, ipq_confidence=0.9 if known else 0.7, has_ipq=True)
-    return empty
+def share(part: int, whole: int) -> float:
+    return part / whole if whole else 0.0
 
 
 def text_stats(text):
-    if not isinstance(text, str) or not text:
-        return dict(text_length=0, word_count=0, digit_count=0, special_char_count=0, uppercase_ratio=0.0, avg_word_length=0.0)
+    """Counts of characters by kind, and of white-space separated words; a missing text counts as empty."""
+    text = text or ""
     words = text.split()
-    letters = [c for c in text if c.isalpha()]
-    return dict(
-        text_length=len(text), word_count=len(words), digit_count=sum(c.isdigit() for c in text),
-        special_char_count=sum((not c.isalnum()) and (not c.isspace()) for c in text),
-        uppercase_ratio=(sum(c.isupper() for c in letters) / len(letters)) if letters else 0.0,
-        avg_word_length=(sum(len(w) for w in words) / len(words)) if words else 0.0,
-    )
+    kinds = {"digit": str.isdigit, "letter": str.isalpha, "upper": lambda c: c.isalpha() and c.isupper(),
+             "special": lambda c: not (c.isalnum() or c.isspace())}
+    n = {k: len([c for c in text if test(c)]) for k, test in kinds.items()}
+    return {"text_length": len(text), "word_count": len(words), "digit_count": n["digit"], "special_char_count": n["special"],
+            "uppercase_ratio": share(n["upper"], n["letter"]), "avg_word_length": share(len("".join(words)), len(words))}
 
 
 def keywords(text):
-    if not isinstance(text, str) or not text:
-        return dict(has_quality_keywords=False, quality_keyword_count=0, has_discount_keywords=False, discount_keyword_count=0)
-    low = text.lower()
-    q = sum(k in low for k in C.QUALITY_KEYWORDS)
-    d = sum(k in low for k in C.DISCOUNT_KEYWORDS)
-    return dict(has_quality_keywords=q > 0, quality_keyword_count=q, has_discount_keywords=d > 0, discount_keyword_count=d)
-
-
-def brand(text):
-    none = dict(has_brand=False, brand_position=None, potential_brand=None)
-    if not isinstance(text, str) or not text:
-        return none
-    words = text.split()
-    if not words:
-        return none
-    for i, w in enumerate(words[:5]):
-        clean = re.sub(r"[^a-zA-Z]", "", w)
-        if len(clean) > 1 and clean[0].isupper() and (clean.isupper() or clean[1:].islower()):
-            return dict(has_brand=True, brand_position=i / len(words), potential_brand=w)
-    return none
+    """How many of each fixed list occur anywhere in the lower-cased text."""
+    found = {}
+    for name, words in (("quality", C.QUALITY_KEYWORDS), ("discount", C.DISCOUNT_KEYWORDS)):
+        n = len([w for w in words if w in (text or "").lower()])
+        found |= {f"has_{name}_keywords": n > 0, f"{name}_keyword_count": n}
+    return found
 
 
 def terms(text, stop=C.ENGLISH_STOP_WORDS):

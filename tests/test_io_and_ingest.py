@@ -61,7 +61,7 @@ def test_backoff_grows():
     import pandas as pd
 
     res = list(fn(iter([pd.DataFrame({"sample_id": ["x"], "image_link": ["u"]})])))[0]
-    assert res["attempts"][0] == 3 and calls == [1, 2]
+    assert res["attempts"][0] == 3 and calls == [2, 4]
 
 
 def test_submission_checks(spark):
