@@ -5,7 +5,8 @@ that can decide a pair are multiplied: shingles have one global order (frequent
 Jaccard t share a shingle among the first n - ceil(t n) + 1 of each. These entries are shipped in packed
 arrays to blocks of columns; a block sorts its entries, and documents that meet in a column become a
 candidate pair with its overlap count, unless their sizes and positions bound the overlap below
-t / (1 + t) (n1 + n2). Candidates are then verified on the whole texts.
+t / (1 + t) (n1 + n2). A parity bitmap of each set (two to four bits a shingle) bounds the overlap again: two
+bitmaps differ in no more bits than the sets in shingles. Candidates that pass are verified on the whole texts.
 
 Links are only needed up to connected components, so a column first proposes a star and a chain by size;
 its other pairs are proposed again only if they are still in different components. Columns with more than
@@ -92,6 +93,24 @@ def class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """For each value of the low bits of a shingle, whether the set holds an odd number of them."""
+    width = 1 << max(6, (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def most_overlap(n1: int, x: bytes, n2: int, y: bytes) -> int:
+    """A bound from above on the overlap of two sets, from their sizes and bitmaps."""
+    if len(x) < len(y):
+        x, y = y, x
+    one, two, width = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(x)
+    while width > 8 * len(y):
+        width //= 2
+        one = (one >> width) ^ (one & ((1 << width) - 1))
+    return (n1 + n2 - (one ^ two).bit_count()) // 2
+
+
 def needed(n1, n2):
     """Least overlap of two linked sets of these sizes."""
     return -((-NUM * (n1 + n2)) // (NUM + DEN))
@@ -103,18 +122,20 @@ def linked(x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _survey(batches):
-    """Size and class of each document's set; and each shingle that is frequent in its batch."""
+    """Size, class and bitmap of each document's set; and each shingle that is frequent in its batch."""
     kept: dict = {}
+    names = ["doc_id", "h", "n", "cid", "bits", "shingle"]
     for batch in batches:
         sets = [shingles(t, kept) for t in batch.column(2).to_pylist()]
         n = len(sets)
         size = pa.array([len(s) for s in sets], pa.int64())
         cid = pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), size, cid, pa.nulls(n, pa.int64())], ["doc_id", "h", "n", "cid", "shingle"])
+        bits = pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), size, cid, bits, pa.nulls(n, pa.int64())], names)
         value, count = np.unique(np.concatenate(sets), return_counts=True)
         often = count >= max(8, FREQUENT * n)
         k = int(often.sum())
-        yield pa.RecordBatch.from_arrays([pa.nulls(k, batch.column(0).type), pa.nulls(k, pa.int64()), pa.array(count[often]), pa.nulls(k, pa.int64()), pa.array(value[often].view(np.int64))], ["doc_id", "h", "n", "cid", "shingle"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(k, batch.column(0).type), pa.nulls(k, pa.int64()), pa.array(count[often]), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(value[often].view(np.int64))], names)
 
 
 def _index(frequent: np.ndarray, blocks: int):
@@ -209,6 +230,14 @@ def _multiply(block: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out, ignore_index=True).astype({"kind": "int32", "a": "int64", "b": "int64", "n": "int64", "place": "int64"})
 
 
+def _possible(batches):
+    """Pairs whose bitmaps leave room for the overlap that a link needs."""
+    for batch in batches:
+        rows = zip(*(c.to_pylist() for c in batch.columns[2:]))
+        take = pa.array([i for i, (n1, x, n2, y) in enumerate(rows) if most_overlap(n1, x, n2, y) >= needed(n1, n2)], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["a", "b"])
+
+
 def _verified(batches):
     kept: dict = {}
     last: tuple = (None, None)
@@ -225,6 +254,10 @@ def _verified(batches):
 
 
 def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """The pairs that are links: bounded by their bitmaps first, so that few texts travel for nothing."""
+    for c, other in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(texts.select(F.col("cid").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(other)), c)
+    pairs = staged(pairs.select("a", "b", "na", "x", "nb", "y").mapInArrow(_possible, "a long, b long"), f"{name}-possible")
     one = texts.select(F.col("cid").alias("a"), F.col("text").alias("x"))
     two = texts.select(F.col("cid").alias("b"), F.col("text").alias("y"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "x", "y")
@@ -271,13 +304,13 @@ def near_groups(documents: DataFrame) -> DataFrame:
     component. An empty table gives an empty result; other columns are not read."""
     docs = documents.select("doc_id", F.xxhash64(body()).alias("h"), body().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    survey = staged(docs.mapInArrow(_survey, f"doc_id {kind}, h long, n long, cid long, shingle long"), "shingle-survey")
+    survey = staged(docs.mapInArrow(_survey, f"doc_id {kind}, h long, n long, cid long, bits binary, shingle long"), "shingle-survey")
     rows = survey.where("shingle is null")
     total = rows.agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n")).first()
     # a shingle in 2 FREQUENT of all documents is frequent in some batch; their number is at most the mean set size / FREQUENT
     often = survey.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT * total["docs"])
     frequent = np.sort(np.array([r["shingle"] for r in often.select("shingle").collect()], dtype=np.int64).view(np.uint64))
-    classes = staged(rows.where("n > 0").groupBy("cid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep")), "shingle-classes")
+    classes = staged(rows.where("n > 0").groupBy("cid").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n", "bits")).alias("rep")), "shingle-classes")
 
     blocks = int((total["n"] or 0) * (DEN - NUM) // DEN // BLOCK_ENTRIES + 1)
     packed = docs.select("text").mapInArrow(_index(frequent, blocks), "block int, cids binary, sizes binary, value binary, owner binary, place binary")
@@ -287,9 +320,9 @@ def near_groups(documents: DataFrame) -> DataFrame:
     columns = product.where("kind = 3").select(F.col("b").alias("shingle"), F.col("a").alias("cid"), "n", "place")
 
     named = counted.select(F.col("a").alias("cid")).union(counted.select("b")).union(columns.select("cid")).distinct()
-    reps = named.join(classes, "cid").select("cid", F.col("rep.doc_id").alias("__id"), F.col("rep.h").alias("__h"))
+    reps = named.join(classes, "cid").select("cid", F.col("rep.doc_id").alias("__id"), F.col("rep.h").alias("__h"), F.col("rep.n").alias("__n"), F.col("rep.bits").alias("__bits"))
     found = docs.join(reps, (docs.h == F.col("__h")) & docs.doc_id.eqNullSafe(F.col("__id")))
-    texts = staged(found.select("cid", "text").dropDuplicates(["cid"]), "shingle-texts")
+    texts = staged(found.select("cid", F.col("__n").alias("n"), F.col("__bits").alias("bits"), "text").dropDuplicates(["cid"]), "shingle-texts")
 
     links = verified(counted.where("kind = 1"), texts, "shingle-links")
     group = components(links, "shingles-first")

@@ -19,7 +19,7 @@ from pricelab.llm.queries import byte_bpe
 from pricelab.llm.repeats import remove_repeats
 from pricelab.llm.secret_scan import find_secrets, scan
 from pricelab.llm.sharding import shard_documents
-from pricelab.llm.shingle_join import drop_near_duplicates, near_groups
+from pricelab.llm.shingle_join import bitmap, drop_near_duplicates, most_overlap, near_groups
 from pricelab.llm.suffix_array import suffix_array
 from pricelab.llm.tokens import count_tokens
 
@@ -120,6 +120,16 @@ def test_near_groups_large_columns(spark):
     assert {r.doc_id: r.component_id for r in near_groups(make(spark, rows)).collect()} == low
 
 
+def test_bitmap_never_undercounts():
+    rng = np.random.default_rng(7)
+    for n1, n2, both in [(1, 1, 0), (1, 1, 1), (3, 70, 3), (64, 65, 60), (500, 700, 420), (5000, 1200, 900)]:
+        values = rng.integers(0, 2**63, n1 + n2 - both, dtype=np.uint64)
+        x, y = np.sort(values[:n1]), np.sort(values[n1 - both :])
+        bound = most_overlap(n1, bitmap(x), n2, bitmap(y))
+        assert both <= bound == most_overlap(n2, bitmap(y), n1, bitmap(x))
+    assert most_overlap(n1, bitmap(x), n1, bitmap(x)) == n1
+
+
 def test_repeats(docs, rows):
     seen = {}
     want = []
