@@ -45,7 +45,7 @@ def prepare_matrix(features: DataFrame, target: str = "price", key: str = "sampl
     return va.transform(x), cols
 
 
-# FIXED VALUES (tree variants): learning rate, depth, subsampling as configured for the three engines
+# Our own settings for Spark's depth-wise trees, one per variant; not the values of the original engines
 GBT_VARIANTS = {
     "lightgbm": dict(stepSize=0.05, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=20),
     "xgboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8", minWeightFractionPerNode=0.0),
