@@ -5,13 +5,14 @@ that can decide a pair are multiplied: shingles have one global order (frequent
 Jaccard t share a shingle among the first n - ceil(t n) + 1 of each. These entries are shipped in packed
 arrays to blocks of columns; a block sorts its entries, and documents that meet in a column become a
 candidate pair with its overlap count, unless their sizes and positions bound the overlap below
-t / (1 + t) (n1 + n2). A parity bitmap of each set (two to four bits a shingle) bounds the overlap again: two
+t / (1 + t) (n1 + n2). A parity bitmap of each set (at least two bits a shingle) bounds the overlap again: two
 bitmaps differ in no more bits than the sets in shingles. Candidates that pass are verified on the whole texts.
 
 Links are only needed up to connected components, so a column first proposes a star and a chain by size;
 its other pairs are proposed again only if they are still in different components. Columns with more than
 SMALL_COLUMN documents keep their entries in a table for that, the others their remaining pairs; large
-columns go through STAR_ROUNDS more stars around other documents first. Nothing is left out, and a group of
+columns go through STAR_ROUNDS more stars around other documents first, and then bound each pair by folded
+bitmaps and name it in the first column that its sets share only. Nothing is left out, and a group of
 k copies costs about k comparisons, not k^2. Documents with equal sets are one
 class from the start.
 """
@@ -34,6 +35,9 @@ BLOCK_ENTRIES = 2_000_000
 SMALL_COLUMN = 16
 STAR_ROUNDS = 3  # of linear comparisons in large columns before pairs across their components
 FREQUENT = 0.001  # of the documents of a batch (twice that of all) that make a shingle frequent
+LEAST_BITS = 1024  # of a bitmap
+FOLDED = 8  # longs of the folded bitmaps that travel with the entries of large columns
+EARLY = 24  # columns of a set that travel with its entries, so that a pair is named in the first shared one
 SEGMENT = 4_000_000  # bytes that are hashed together
 
 _RNG = np.random.default_rng(20)
@@ -95,7 +99,7 @@ def class_of(s: np.ndarray) -> int:
 
 def bitmap(s: np.ndarray) -> bytes:
     """For each value of the low bits of a shingle, whether the set holds an odd number of them."""
-    width = 1 << max(6, (2 * len(s) - 1).bit_length())
+    width = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length())
     odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -111,6 +115,11 @@ def most_overlap(n1: int, x: bytes, n2: int, y: bytes) -> int:
     return (n1 + n2 - (one ^ two).bit_count()) // 2
 
 
+def folded(bits: bytes) -> np.ndarray:
+    """The bitmap for fewer low bits of the shingles, as FOLDED longs."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, dtype=np.int64).reshape(-1, FOLDED), axis=0)
+
+
 def needed(n1, n2):
     """Least overlap of two linked sets of these sizes."""
     return -((-NUM * (n1 + n2)) // (NUM + DEN))
@@ -177,9 +186,9 @@ def _index(frequent: np.ndarray, blocks: int):
     return run
 
 
-def _multiply(block: pd.DataFrame) -> pd.DataFrame:
+def _multiply(block: pd.DataFrame, frequent: np.ndarray) -> pd.DataFrame:
     """Of one block of columns: pairs to verify first (kind 1) and later (kind 2), with overlap counts; and
-    the entries of large columns (kind 3: a = class, b = shingle, size, place)."""
+    the entries of large columns (kind 3, or 4 of a frequent shingle: a = class, b = shingle, size, place)."""
     cid, size, value, owner, place = [], [], [], [], []
     base = 0
     for row in block.itertuples(index=False):
@@ -226,7 +235,7 @@ def _multiply(block: pd.DataFrame) -> pd.DataFrame:
             out.append(pairs((s[:, None] + i).ravel(), (s[:, None] + j).ravel(), 2))
     large = np.repeat(widths > SMALL_COLUMN, widths)
     e = at[large]
-    out.append(pd.DataFrame({"kind": 3, "a": classes[owner[e]], "b": value[e].view(np.int64), "n": size[owner[e]], "place": place[e]}))
+    out.append(pd.DataFrame({"kind": np.where(np.isin(value[e], frequent), 4, 3), "a": classes[owner[e]], "b": value[e].view(np.int64), "n": size[owner[e]], "place": place[e]}))
     return pd.concat(out, ignore_index=True).astype({"kind": "int32", "a": "int64", "b": "int64", "n": "int64", "place": "int64"})
 
 
@@ -238,6 +247,12 @@ def _possible(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take)], ["a", "b"])
 
 
+def _folded(batches):
+    for batch in batches:
+        fold = [folded(b) for b in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fold, pa.list_(pa.int64()))], ["cid", "fold"])
+
+
 def _verified(batches):
     kept: dict = {}
     last: tuple = (None, None)
@@ -291,11 +306,38 @@ def _merged(group: DataFrame, links: DataFrame, name: str) -> DataFrame:
 def _open_columns(columns: DataFrame, group: DataFrame) -> DataFrame:
     """Entries of large columns that hold more than one component; ``left``: shingles from the entry on, at most."""
     group = group.select(F.col("node").alias("cid"), F.col("root").alias("g"))
-    of = columns.join(group, "cid", "left").select("shingle", "cid", "n", F.expr("n - (place * n) div 1000").alias("left"), F.coalesce("g", "cid").alias("g"))
+    of = columns.join(group, "cid", "left").select("shingle", "late", "cid", "n", F.expr("n - (place * n) div 1000").alias("left"), F.coalesce("g", "cid").alias("g"))
     several = of.groupBy("shingle").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("shingle")
     return of.join(several, "shingle")
 
 
+def _across_columns(entries: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different components in the large columns, as far as sizes, positions and bitmaps allow a link.
+
+    A linked pair that no small column holds has its first shared shingle in one of these columns; there the
+    position bound holds, and there the pair is named. Where the EARLY columns of two sets share none, it is
+    named in every column that passes."""
+    band = F.floor(F.log("n") / float(np.log(DEN / NUM))).cast("int")
+    place = F.struct("late", F.col("shingle").bitwiseXOR(F.lit(-(2**63))).alias("unsigned"), "shingle")
+    early = entries.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list(place)), 1, EARLY)["shingle"].alias("early"))
+    fold = texts.join(entries.select("cid").distinct(), "cid", "left_semi").select("cid", "bits").mapInArrow(_folded, "cid long, fold array<long>")
+    of = staged(entries.join(early.join(fold, "cid"), "cid").withColumn("band", band), "shingle-open")
+    names = {"cid": "", "n": "n", "left": "l", "g": "g", "early": "e", "fold": "f"}
+    x, y = (of.select("shingle", "band", *(F.col(c).alias(s + p) for c, s in names.items())) for p in "ab")
+    x = x.withColumn("band", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))))
+    differ = " + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(FOLDED))
+    bounds = [
+        F.expr("a < b AND ga <> gb"),
+        F.expr(f"least(la, lb) * {NUM + DEN} >= {NUM} * (na + nb)"),
+        F.expr(f"((na + nb - ({differ})) div 2) * {NUM + DEN} >= {NUM} * (na + nb)"),
+        F.expr("coalesce(get(array_intersect(ea, eb), 0), x.shingle) = x.shingle"),
+    ]
+    same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band"))
+    for b in bounds:
+        same = same & b
+    return x.alias("x").join(y.alias("y"), same).select("a", "b")
+
+
 def near_groups(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row.
 
@@ -314,10 +356,10 @@ def near_groups(documents: DataFrame) -> DataFrame:
 
     blocks = int((total["n"] or 0) * (DEN - NUM) // DEN // BLOCK_ENTRIES + 1)
     packed = docs.select("text").mapInArrow(_index(frequent, blocks), "block int, cids binary, sizes binary, value binary, owner binary, place binary")
-    product = packed.groupBy("block").applyInPandas(_multiply, "kind int, a long, b long, n long, place long")
+    product = packed.groupBy("block").applyInPandas(lambda block: _multiply(block, frequent), "kind int, a long, b long, n long, place long")
     product = staged(product, "shingle-product")
     counted = staged(product.where("kind < 3").groupBy("a", "b").agg(F.min("kind").alias("kind"), F.sum("n").alias("overlap")), "shingle-pairs")
-    columns = product.where("kind = 3").select(F.col("b").alias("shingle"), F.col("a").alias("cid"), "n", "place")
+    columns = product.where("kind >= 3").select(F.col("b").alias("shingle"), (F.col("kind") == 4).alias("late"), F.col("a").alias("cid"), "n", "place")
 
     named = counted.select(F.col("a").alias("cid")).union(counted.select("b")).union(columns.select("cid")).distinct()
     reps = named.join(classes, "cid").select("cid", F.col("rep.doc_id").alias("__id"), F.col("rep.h").alias("__h"), F.col("rep.n").alias("__n"), F.col("rep.bits").alias("__bits"))
@@ -336,13 +378,9 @@ def near_groups(documents: DataFrame) -> DataFrame:
         star = star.select(F.least("cid", "hub.cid").alias("a"), F.greatest("cid", "hub.cid").alias("b")).distinct()
         group = _merged(group, verified(star, texts, "shingle-links"), f"shingles-star-{turn}")
 
-    # what is still open: remaining pairs of small columns, and pairs across components of large ones by size band
+    # what is still open: remaining pairs of small columns, and pairs across components of large ones
     later = _across(counted.where("kind = 2").select("a", "b"), group)
-    open_ = staged(_open_columns(columns, group).withColumn("band", F.floor(F.log("n") / float(np.log(DEN / NUM))).cast("int")), "shingle-open")
-    x = open_.select("shingle", F.explode(F.array([F.col("band") + d for d in (-1, 0, 1)])).alias("band"), F.col("cid").alias("a"), F.col("n").alias("na"), F.col("left").alias("la"), F.col("g").alias("ga"))
-    y = open_.select("shingle", "band", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("left").alias("lb"), F.col("g").alias("gb"))
-    least = F.expr(f"least(la, lb) * {NUM + DEN} >= {NUM} * (na + nb)")
-    across = x.join(y, ["shingle", "band"]).where((F.col("a") < F.col("b")) & (F.col("ga") != F.col("gb")) & least).select("a", "b")
+    across = _across_columns(_open_columns(columns, group), texts)
     rest = staged(later.union(across).distinct(), "shingle-rest")
     if not rest.isEmpty():
         group = _merged(group, verified(rest, texts, "shingle-links"), "shingles-rest")
