@@ -317,17 +317,17 @@ def _across_columns(entries: DataFrame, texts: DataFrame) -> DataFrame:
     A linked pair that no small column holds has its first shared shingle in one of these columns; there the
     position bound holds, and there the pair is named. Where the EARLY columns of two sets share none, it is
     named in every column that passes."""
-    band = F.floor(F.log("n") / float(np.log(DEN / NUM))).cast("int")
+    band = F.floor(F.log("n") / float(np.log(DEN / NUM) * 1.001)).cast("int")  # linked sets are in one band or neighbours
     place = F.struct("late", F.col("shingle").bitwiseXOR(F.lit(-(2**63))).alias("unsigned"), "shingle")
     early = entries.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list(place)), 1, EARLY)["shingle"].alias("early"))
     fold = texts.join(entries.select("cid").distinct(), "cid", "left_semi").select("cid", "bits").mapInArrow(_folded, "cid long, fold array<long>")
     of = staged(entries.join(early.join(fold, "cid"), "cid").withColumn("band", band), "shingle-open")
     names = {"cid": "", "n": "n", "left": "l", "g": "g", "early": "e", "fold": "f"}
     x, y = (of.select("shingle", "band", *(F.col(c).alias(s + p) for c, s in names.items())) for p in "ab")
-    x = x.withColumn("band", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))))
+    x = x.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     differ = " + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(FOLDED))
     bounds = [
-        F.expr("a < b AND ga <> gb"),
+        F.expr("(na < nb OR na = nb AND a < b) AND ga <> gb"),
         F.expr(f"least(la, lb) * {NUM + DEN} >= {NUM} * (na + nb)"),
         F.expr(f"((na + nb - ({differ})) div 2) * {NUM + DEN} >= {NUM} * (na + nb)"),
         F.expr("coalesce(get(array_intersect(ea, eb), 0), x.shingle) = x.shingle"),
@@ -335,7 +335,7 @@ def _across_columns(entries: DataFrame, texts: DataFrame) -> DataFrame:
     same = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.band") == F.col("y.band"))
     for b in bounds:
         same = same & b
-    return x.alias("x").join(y.alias("y"), same).select("a", "b")
+    return x.alias("x").join(y.alias("y"), same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def near_groups(documents: DataFrame) -> DataFrame:
