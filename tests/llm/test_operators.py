@@ -19,7 +19,8 @@ from pricelab.llm.queries import byte_bpe
 from pricelab.llm.repeats import remove_repeats
 from pricelab.llm.secret_scan import find_secrets, scan
 from pricelab.llm.sharding import shard_documents
-from pricelab.llm.shingle_join import bitmap, drop_near_duplicates, most_overlap, near_groups
+from pricelab.llm import shingle_join
+from pricelab.llm.shingle_join import bitmap, drop_near_duplicates, folded, most_overlap, near_groups
 from pricelab.llm.suffix_array import suffix_array
 from pricelab.llm.tokens import count_tokens
 
@@ -96,8 +97,12 @@ def test_near_groups(docs, rows):
     assert 1 in left and not {2, 3, 4, 52} & set(left) and {5, 6, 7} <= set(left)
 
 
-def test_near_groups_large_columns(spark):
-    """A family of edited copies far larger than SMALL_COLUMN: one component by chains of links."""
+@pytest.mark.parametrize("stars, early", [(3, 24), (0, 24), (0, 1)])
+def test_near_groups_large_columns(spark, monkeypatch, stars, early):
+    """A family of edited copies far larger than SMALL_COLUMN: one component by chains of links; without
+    stars, the pairs across large columns find the rest."""
+    monkeypatch.setattr(shingle_join, "STAR_ROUNDS", stars)
+    monkeypatch.setattr(shingle_join, "EARLY", early)
     rng = np.random.default_rng(3)
     base = [f"w{i}" for i in range(120)]
     rows = []
@@ -127,6 +132,8 @@ def test_bitmap_never_undercounts():
         x, y = np.sort(values[:n1]), np.sort(values[n1 - both :])
         bound = most_overlap(n1, bitmap(x), n2, bitmap(y))
         assert both <= bound == most_overlap(n2, bitmap(y), n1, bitmap(x))
+        differ = sum(int(v).bit_count() for v in (folded(bitmap(x)) ^ folded(bitmap(y))).view(np.uint64))
+        assert bound <= (n1 + n2 - differ) // 2
     assert most_overlap(n1, bitmap(x), n1, bitmap(x)) == n1
 
 
