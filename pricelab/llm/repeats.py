@@ -13,7 +13,8 @@ be equal under equal marks, so
 3. the decisions come back as one bit a position, and the documents drop the covered bytes.
 
 Before either shuffle a batch keeps one copy of a mark or segment, that of its smallest doc_id, and settles
-the others itself, so a passage in a third of all documents is one entry a batch.
+the others itself, so a passage in a third of all documents is one entry a batch. Answers, and what batches
+settled, are dealt to parts by a hash of doc_id and text, so copies of one text are spread over all parts.
 """
 
 from __future__ import annotations
@@ -34,7 +35,6 @@ PIECE = 1 << 20  # positions of a text that are hashed together
 BLOCK_MARKS = 6_000_000
 SHARD_SEGMENTS = 40_000
 GROUP_DOCUMENTS = 4096  # documents whose answers come back together
-FORWARD = 64  # groups that pass on what batches settled
 LAST = np.int64(2**63 - 1)  # stands for a null doc_id: larger than all
 
 _RNG = np.random.default_rng(50)
@@ -93,14 +93,27 @@ def _split(group: np.ndarray, columns: list[np.ndarray], ids: np.ndarray, hs: np
         yield int(group[pick[0]]), [ids[used], hs[used], local.astype(np.uint32), *(c[pick] for c in columns)], pick
 
 
-def _marks(blocks: int):
+def _parts(ids: np.ndarray, hs: np.ndarray, groups: int) -> np.ndarray:
+    """The group of documents that each document's answers come back to."""
+    x = ids.view(np.uint64) * STEP[7] ^ hs.view(np.uint64)
+    x ^= x >> np.uint64(29)
+    return ((x * STEP[6] >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)
+
+
+def _in_order(ids: np.ndarray, hs: np.ndarray) -> list[int]:
+    """The rows of a batch by doc_id; of rows with one doc_id and one text only the first."""
+    once = np.unique(np.stack([ids, hs]), axis=1, return_index=True)[1]
+    return np.sort(once)[np.argsort(ids[np.sort(once)], kind="stable")].tolist()
+
+
+def _marks(blocks: int, groups: int):
     def run(batches):
         for batch in batches:
             ids, hs = _ids(batch.column(0)), batch.column(1).to_numpy()
-            order = np.argsort(ids, kind="stable")
+            part = _parts(ids, hs, groups)
             texts = batch.column(2)
             mark, owner = [], []
-            for i in order.tolist():
+            for i in _in_order(ids, hs):
                 m = np.unique(segments(texts[i].as_py().encode("utf-8", "surrogatepass"))[0])
                 mark.append(m)
                 owner.append(np.full(len(m), i))
@@ -114,7 +127,7 @@ def _marks(blocks: int):
             first = ids[owner] == np.repeat(lowest, width)
             settled = np.repeat(lowest != highest, width)
             block = ((mark >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-            for chosen, group in ((first, block), (settled, -1 - owner % FORWARD)):
+            for chosen, group in ((first, block), (settled, -1 - part[owner])):
                 for k, row, _ in _split(group[chosen], [_low(mark[chosen])], ids, hs, owner[chosen]):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in row)], ["block", "ids", "hs", "owner", "low"])
 
@@ -133,8 +146,8 @@ def _joined(rows: pd.DataFrame, kinds: dict) -> tuple[np.ndarray, ...]:
 
 
 def _returned(ids, hs, owner, columns: dict[str, np.ndarray], groups: int) -> pd.DataFrame:
-    """Packed rows for groups of documents, dealt by their hash."""
-    group = ((hs.view(np.uint64) >> np.uint64(16)) % np.uint64(groups)).astype(np.int64)[owner]
+    """Packed rows for groups of documents."""
+    group = _parts(ids, hs, groups)[owner]
     names = ["part", "ids", "hs", "owner", *columns]
     rows = [[k, *(x.tobytes() for x in row)] for k, row, _ in _split(group, list(columns.values()), ids, hs, owner)]
     return pd.DataFrame(rows, columns=names).astype({"part": "int64"})
@@ -172,14 +185,15 @@ def _shared(groups: int):
     return run
 
 
-def _segments(shards: int):
+def _segments(shards: int, groups: int):
     def run(batches):
         for batch in batches:
             ids, hs = _ids(batch.column(0)), batch.column(1).to_numpy()
+            part = _parts(ids, hs, groups)
             seen: dict[bytes, int] = {}
             shard, owner, first, count, text = [], [], [], [], []
             local: list[tuple[int, int, int]] = []
-            for i in np.argsort(ids, kind="stable").tolist():
+            for i in _in_order(ids, hs):
                 raw = batch.column(2)[i].as_py().encode("utf-8", "surrogatepass")
                 wanted = np.frombuffer(batch.column(3)[i].as_py(), dtype=np.uint32)
                 mark, at, n = segments(raw)
@@ -203,7 +217,7 @@ def _segments(shards: int):
             if local:
                 owner, first, count = np.array(local, dtype=np.int64).T
                 mask = np.uint64(2**64 - 1) >> (64 - count).astype(np.uint64)
-                for k, row, _ in _split(-1 - owner % FORWARD, [first.astype(np.uint32), count.astype(np.uint8), mask], ids, hs, owner):
+                for k, row, _ in _split(-1 - part[owner], [first.astype(np.uint32), count.astype(np.uint8), mask], ids, hs, owner):
                     yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in row), pa.array([b""], pa.binary())], names)
 
     return run
@@ -281,9 +295,9 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     base = staged(docs.select("doc_id", "h", size.alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")), "repeat-rows")
     total = base.agg(F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("rows")).first()
     blocks = int((total["bytes"] or 0) // 17 // BLOCK_MARKS + 1)  # a mark for about 17 bytes
-    groups = int(total["rows"] // GROUP_DOCUMENTS + 1)
+    groups = max(int(total["rows"] // GROUP_DOCUMENTS + 1), blocks)
     back = "part long, ids binary, hs binary, owner binary, "
-    packed = docs.where(size >= SPAN).mapInArrow(_marks(blocks), "block int, ids binary, hs binary, owner binary, low binary")
+    packed = docs.where(size >= SPAN).mapInArrow(_marks(blocks, groups), "block int, ids binary, hs binary, owner binary, low binary")
     shared = packed.groupBy("block").applyInPandas(_shared(groups), back + "low binary")
     shared = staged(shared.groupBy("part").applyInPandas(_per_document({"low": np.uint32}), "doc_id long, h long, low binary"), "repeat-marks")
     entries = shared.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0
@@ -292,7 +306,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
 
     shards = int(entries // SHARD_SEGMENTS + 1)
     kinds = "shard int, ids binary, hs binary, owner binary, first binary, count binary, mask binary, text binary"
-    sent = held.mapInArrow(_segments(shards), kinds)
+    sent = held.mapInArrow(_segments(shards, groups), kinds)
     decided = sent.groupBy("shard").applyInPandas(_decide(groups), back + "first binary, mask binary")
     per_document = _per_document({"first": np.uint32, "mask": np.uint64})
     masks = staged(decided.groupBy("part").applyInPandas(per_document, "doc_id long, h long, first binary, mask binary"), "repeat-masks")

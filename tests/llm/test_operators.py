@@ -7,6 +7,8 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from pricelab.llm.queries import byte_bpe
 from pricelab.llm.repeats import remove_repeats
 from pricelab.llm.secret_scan import find_secrets, scan
 from pricelab.llm.sharding import shard_documents
-from pricelab.llm import shingle_join
+from pricelab.llm import repeats, shingle_join
 from pricelab.llm.shingle_join import bitmap, drop_near_duplicates, folded, most_overlap, near_groups
 from pricelab.llm.suffix_array import suffix_array
 from pricelab.llm.tokens import count_tokens
@@ -160,6 +162,29 @@ def test_repeats(docs, rows):
     assert sorted(got) == sorted(want)
 
 
+def _packed(call, columns, rows):
+    """What a batch function yields for rows of these Arrow columns, as one table of pandas rows."""
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), columns)], [f"c{k}" for k in range(len(columns))])
+    return pd.concat([b.to_pandas() for b in call([batch])], ignore_index=True)
+
+
+def test_repeats_of_copies_are_spread():
+    """Copies of one text: what comes back for them, settled in a batch or decided, meets in no single group."""
+    text = "the one text that a third of all documents hold, word for word and line by line"
+    sent = _packed(repeats._marks(1, 50), [pa.int64(), pa.int64(), pa.string()], [(i, 77, text) for i in range(1000)] * 2)
+    own = sent[sent["block"] < 0]
+    held = own["owner"].map(len).groupby(own["block"]).sum()
+    assert len(held) == 50 and held.max() < 3 * held.mean()
+    assert int(own["ids"].map(len).sum()) == 1000 * 8  # a repeated row is sent once
+    marks = repeats.segments(text.encode())[0].astype(np.uint64)
+    low = np.unique(marks).astype(np.uint32)
+    sent = _packed(repeats._segments(1, 50), [pa.int64(), pa.int64(), pa.string(), pa.binary()], [(i, 77, text, low.tobytes()) for i in range(1000)])
+    assert (sent["shard"] < 0).sum() == 50
+    ids, hs = np.arange(1000), np.full(1000, 77)
+    back = repeats._returned(ids, hs, np.arange(1000), {"low": np.zeros(1000, dtype=np.uint32)}, 50)
+    assert len(back) == 50 and sorted(np.frombuffer(b"".join(back["ids"]), dtype=np.int64)) == ids.tolist()
+
+
 def test_suffix_array():
     rng = np.random.default_rng(2)
     for size, symbols in ((1, 2), (2, 2), (50, 2), (400, 3), (3000, 4), (3000, 250)):
