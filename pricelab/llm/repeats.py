@@ -14,12 +14,15 @@ be equal under equal marks, so
 
 Before either shuffle a batch keeps one copy of a mark or segment, that of its smallest doc_id, and settles
 the others itself, so a passage in a third of all documents is one entry a batch. Answers, and what batches
-settled, are dealt to parts by a hash of doc_id and text, so copies of one text are spread over all parts.
+settled, are dealt to parts by a hash of doc_id and text, so copies of one text are spread over all parts. A mark with
+more than HOT segments (the edges of a passage, a run of spaces) is hot: its segments are cut into single
+strings, which are dealt to shards by their own bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -34,6 +37,7 @@ SPAN, GRAM, RUN = 50, 16, 64
 PIECE = 1 << 20  # positions of a text that are hashed together
 BLOCK_MARKS = 6_000_000
 SHARD_SEGMENTS = 40_000
+HOT = SHARD_SEGMENTS // 2  # segments of one mark from which its strings are dealt one by one
 GROUP_DOCUMENTS = 4096  # documents whose answers come back together
 LAST = np.int64(2**63 - 1)  # stands for a null doc_id: larger than all
 
@@ -106,23 +110,63 @@ def _in_order(ids: np.ndarray, hs: np.ndarray) -> list[int]:
     return np.sort(once)[np.argsort(ids[np.sort(once)], kind="stable")].tolist()
 
 
-def _marks(blocks: int, groups: int):
+def _cut(s: bytes):
+    """(position, count, bytes) of the pieces of a segment: each the run of positions with one equal string."""
+    at, end = 0, len(s) - SPAN + 1
+    while at < end:
+        n = 1
+        if s.count(s[at], at, at + SPAN) == SPAN:  # one byte over and over: the strings after it are the same
+            while at + n < end and s[at + SPAN + n - 1] == s[at]:
+                n += 1
+        yield at, n, s[at : at + n + SPAN - 1]
+        at += n
+
+
+def _frequent(segs: list, marks: np.ndarray) -> np.ndarray:
+    """For each of these (sorted) marks: positions of the batch's segments that differ by mark or neighbours."""
+    around, total = [], np.zeros(len(marks), dtype=np.int64)
+    for mark, _, count in segs:
+        at = np.searchsorted(marks, mark)
+        near = np.flatnonzero(marks[np.minimum(at, len(marks) - 1)] == mark)
+        wide = np.concatenate([[np.uint64(0)], mark, [np.uint64(1)]])
+        around.append(np.stack([at[near].astype(np.uint64), wide[near] * STEP[5] + wide[near + 2], count[near].astype(np.uint64)]))
+    at, _, count = np.unique(np.concatenate(around, axis=1), axis=1)
+    np.add.at(total, at.astype(np.int64), count.astype(np.int64))
+    return total
+
+
+def _marks(blocks: int, groups: int, total: int):
+    """Besides marks: those with at least their share of HOT / 2 segments in a batch, as a share of ``total``
+    bytes, with their segments and positions. A mark with HOT segments has more than half of them reported."""
+
     def run(batches):
         for batch in batches:
             ids, hs = _ids(batch.column(0)), batch.column(1).to_numpy()
             part = _parts(ids, hs, groups)
             texts = batch.column(2)
-            mark, owner = [], []
+            mark, owner, times, segs, size = [], [], [], [], 0
             for i in _in_order(ids, hs):
-                m = np.unique(segments(texts[i].as_py().encode("utf-8", "surrogatepass"))[0])
+                raw = texts[i].as_py().encode("utf-8", "surrogatepass")
+                size += len(raw)
+                segs.append(segments(raw))
+                m, n = np.unique(segs[-1][0], return_counts=True)
                 mark.append(m)
+                times.append(n)
                 owner.append(np.full(len(m), i))
-            mark, owner = np.concatenate(mark), np.concatenate(owner)
+            mark, owner, times = np.concatenate(mark), np.concatenate(owner), np.concatenate(times)
             by = np.argsort(mark, kind="stable")  # inside a mark, documents stay in the order of their ids
-            mark, owner = mark[by], owner[by]
+            mark, owner, times = mark[by], owner[by], times[by]
             head = np.concatenate([[True], mark[1:] != mark[:-1]])[: len(mark)]
             at = np.flatnonzero(head)
             width = np.diff(np.append(at, len(mark)))
+            times = np.add.reduceat(times, at) if len(at) else times
+            often = np.flatnonzero(times * total >= HOT / 2 * size)
+            if len(often):
+                names, held = mark[at[often]], _frequent(segs, mark[at[often]])
+                block = ((names >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+                for k in np.unique(block).tolist():
+                    row = [x[block == k].tobytes() for x in (names, times[often], held)]
+                    yield pa.RecordBatch.from_arrays([pa.array([-1 - groups - k], pa.int32()), *(pa.array([x], pa.binary()) for x in (*row, b""))], ["block", "ids", "hs", "owner", "low"])
             lowest, highest = ids[owner[at]], ids[owner[at + width - 1]] if len(at) else ids[:0]
             first = ids[owner] == np.repeat(lowest, width)
             settled = np.repeat(lowest != highest, width)
@@ -154,9 +198,13 @@ def _returned(ids, hs, owner, columns: dict[str, np.ndarray], groups: int) -> pd
 
 
 def _per_document(kinds: dict):
-    """One row per document of a group: its entries of every block or shard."""
+    """One row per document of a group: its entries of every block or shard. Of hot marks (negative parts),
+    one row a mark: it, its positions and null entries."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["part"].iloc[0] < 0:
+            mark, held = (np.frombuffer(b"".join(rows[c]), dtype=np.int64) for c in ("ids", "hs"))
+            return pd.DataFrame({"doc_id": mark.astype("int64"), "h": held.astype("int64")} | {n: pd.Series([None] * len(mark), dtype=object) for n in kinds})
         ids, hs, owner, *columns = _joined(rows, kinds)
         key, doc = np.unique(np.stack([hs, ids]), axis=1, return_inverse=True)
         doc = doc.ravel()[owner]
@@ -171,7 +219,14 @@ def _per_document(kinds: dict):
 
 def _shared(groups: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        """Marks of one block that documents of different ids hold."""
+        """Marks of one block that documents of different ids hold; of reports, the hot marks."""
+        if rows["block"].iloc[0] < -groups:
+            mark, times, held = (np.frombuffer(b"".join(rows[c]), dtype=t) for c, t in (("ids", np.uint64), ("hs", np.int64), ("owner", np.int64)))
+            mark, at = np.unique(mark, return_inverse=True)
+            times, held = (np.bincount(at, x, len(mark)).astype(np.int64) for x in (times, held))
+            hot = times >= HOT / 2
+            row = [int(rows["block"].iloc[0]), *(x[hot].tobytes() for x in (mark, held)), b"", b""]
+            return pd.DataFrame([row], columns=["part", "ids", "hs", "owner", "low"]).astype({"part": "int64"})
         ids, hs, owner, low = _joined(rows, {"low": np.uint32})
         if rows["block"].iloc[0] >= 0:
             order = np.lexsort((ids[owner], low))
@@ -185,7 +240,7 @@ def _shared(groups: int):
     return run
 
 
-def _segments(shards: int, groups: int):
+def _segments(shards: int, groups: int, hot: np.ndarray):
     def run(batches):
         for batch in batches:
             ids, hs = _ids(batch.column(0)), batch.column(1).to_numpy()
@@ -198,11 +253,22 @@ def _segments(shards: int, groups: int):
                 wanted = np.frombuffer(batch.column(3)[i].as_py(), dtype=np.uint32)
                 mark, at, n = segments(raw)
                 keep = np.isin(_low(mark), wanted)
-                to = ((mark[keep] >> np.uint64(32)) % np.uint64(shards)).tolist()
-                for k, a, c in zip(to, at[keep].tolist(), n[keep].tolist()):
+                to = ((mark[keep] >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+                to[np.isin(mark[keep], hot)] = -1
+                for k, a, c in zip(to.tolist(), at[keep].tolist(), n[keep].tolist()):
                     s = raw[a : a + c + SPAN - 1]
                     if seen.setdefault(s, ids[i]) < ids[i]:
                         local.append((i, a, c))
+                    elif k < 0:
+                        for p, c, t in _cut(s):
+                            if seen.setdefault(t, ids[i]) < ids[i]:
+                                local.append((i, a + p, c))
+                            else:
+                                shard.append(zlib.crc32(t[:SPAN]) % shards)
+                                owner.append(i)
+                                first.append(a + p)
+                                count.append(c)
+                                text.append(t)
                     else:
                         shard.append(k)
                         owner.append(i)
@@ -297,16 +363,19 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     blocks = int((total["bytes"] or 0) // 17 // BLOCK_MARKS + 1)  # a mark for about 17 bytes
     groups = max(int(total["rows"] // GROUP_DOCUMENTS + 1), blocks)
     back = "part long, ids binary, hs binary, owner binary, "
-    packed = docs.where(size >= SPAN).mapInArrow(_marks(blocks, groups), "block int, ids binary, hs binary, owner binary, low binary")
+    packed = docs.where(size >= SPAN).mapInArrow(_marks(blocks, groups, int(total["bytes"] or 0)), "block int, ids binary, hs binary, owner binary, low binary")
     shared = packed.groupBy("block").applyInPandas(_shared(groups), back + "low binary")
     shared = staged(shared.groupBy("part").applyInPandas(_per_document({"low": np.uint32}), "doc_id long, h long, low binary"), "repeat-marks")
     entries = shared.agg(F.sum(F.octet_length("low") / 4)).first()[0] or 0
-    wanted = shared.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "low")
+    often = shared.where("low is null").select("doc_id", "h").collect()  # at most a mark for HOT / 2 segments
+    hot = np.sort(np.array([r["doc_id"] for r in often], dtype=np.int64).view(np.uint64))
+    entries += sum(r["h"] for r in often)
+    wanted = shared.where("low is not null").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "low")
     held = docs.join(wanted, (docs.h == F.col("__h")) & docs.doc_id.eqNullSafe(F.col("__id"))).select("doc_id", "h", "text", "low")
 
     shards = int(entries // SHARD_SEGMENTS + 1)
     kinds = "shard int, ids binary, hs binary, owner binary, first binary, count binary, mask binary, text binary"
-    sent = held.mapInArrow(_segments(shards, groups), kinds)
+    sent = held.mapInArrow(_segments(shards, groups, hot), kinds)
     decided = sent.groupBy("shard").applyInPandas(_decide(groups), back + "first binary, mask binary")
     per_document = _per_document({"first": np.uint32, "mask": np.uint64})
     masks = staged(decided.groupBy("part").applyInPandas(per_document, "doc_id long, h long, first binary, mask binary"), "repeat-masks")

@@ -171,20 +171,45 @@ def _packed(call, columns, rows):
 def test_repeats_of_copies_are_spread():
     """Copies of one text: what comes back for them, settled in a batch or decided, meets in no single group."""
     text = "the one text that a third of all documents hold, word for word and line by line"
-    sent = _packed(repeats._marks(1, 50), [pa.int64(), pa.int64(), pa.string()], [(i, 77, text) for i in range(1000)] * 2)
+    sent = _packed(repeats._marks(1, 50, 1), [pa.int64(), pa.int64(), pa.string()], [(i, 77, text) for i in range(1000)] * 2)
     own = sent[sent["block"] < 0]
     held = own["owner"].map(len).groupby(own["block"]).sum()
     assert len(held) == 50 and held.max() < 3 * held.mean()
     assert int(own["ids"].map(len).sum()) == 1000 * 8  # a repeated row is sent once
     marks = repeats.segments(text.encode())[0].astype(np.uint64)
     low = np.unique(marks).astype(np.uint32)
-    sent = _packed(repeats._segments(1, 50), [pa.int64(), pa.int64(), pa.string(), pa.binary()], [(i, 77, text, low.tobytes()) for i in range(1000)])
+    sent = _packed(repeats._segments(1, 50, np.zeros(0, dtype=np.uint64)), [pa.int64(), pa.int64(), pa.string(), pa.binary()], [(i, 77, text, low.tobytes()) for i in range(1000)])
     assert (sent["shard"] < 0).sum() == 50
     ids, hs = np.arange(1000), np.full(1000, 77)
     back = repeats._returned(ids, hs, np.arange(1000), {"low": np.zeros(1000, dtype=np.uint32)}, 50)
     assert len(back) == 50 and sorted(np.frombuffer(b"".join(back["ids"]), dtype=np.int64)) == ids.tolist()
 
 
+def test_repeats_of_a_hot_mark_are_spread():
+    """A passage with other text around it in every document: its edges differ under one mark, and no shard gets them all."""
+    rng = np.random.default_rng(8)
+    passage = "this passage of more than fifty bytes stands in many of the documents of the table"
+    texts = [rng.bytes(40).hex() + passage + rng.bytes(40).hex() for _ in range(400)]
+    mark = np.concatenate([repeats.segments(t.encode())[0] for t in texts])
+    hot, n = np.unique(mark, return_counts=True)
+    hot = hot[n >= 50]
+    rows = [(i, i, t, np.unique(mark).astype(np.uint32).tobytes()) for i, t in enumerate(texts)]
+    mine = [(r[0], r[1], r[2], np.unique(hot).astype(np.uint32).tobytes()) for r in rows]
+    sent = _packed(repeats._segments(64, 8, hot), [pa.int64(), pa.int64(), pa.string(), pa.binary()], mine)
+    at = sent[sent["shard"] >= 0]
+    strings = at["count"].map(len).groupby(at["shard"]).sum()
+    assert len(strings) == 64 and strings.max() < 2 * strings.mean()
+
+
+@pytest.mark.parametrize("hot", [1, 4, 40])
+def test_repeats_with_hot_marks(spark, docs, rows, monkeypatch, hot):
+    """The same answers when marks are found to be hot, runs of one byte and short periods among them."""
+    more = rows + [(200 + i, "x" * i + " " * 300 + "-=" * 60 + str(i) * 80, "a") for i in range(1, 8)]
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "SHARD_SEGMENTS", 20)
+    test_repeats(make(spark, more), more)
+
+
 def test_suffix_array():
     rng = np.random.default_rng(2)
     for size, symbols in ((1, 2), (2, 2), (50, 2), (400, 3), (3000, 4), (3000, 250)):
