@@ -338,12 +338,8 @@ def _across_columns(entries: DataFrame, texts: DataFrame) -> DataFrame:
     return x.alias("x").join(y.alias("y"), same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def near_groups(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row.
-
-    Null, empty and white texts have no shingles and link with nothing (component_id is their doc_id).
-    Repeated rows link like other equal texts. A row with a null doc_id links others but names no
-    component. An empty table gives an empty result; other columns are not read."""
+def _members(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, h, n, cid) and, for each class, component_id and the first row (none, low, h) of its component."""
     docs = documents.select("doc_id", F.xxhash64(body()).alias("h"), body().alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     survey = staged(docs.mapInArrow(_survey, f"doc_id {kind}, h long, n long, cid long, bits binary, shingle long"), "shingle-survey")
@@ -386,17 +382,37 @@ def near_groups(documents: DataFrame) -> DataFrame:
         group = _merged(group, verified(rest, texts, "shingle-links"), "shingles-rest")
 
     member = classes.join(group.withColumnRenamed("node", "cid"), "cid", "left")
-    member = staged(member.select("cid", F.coalesce("root", "cid").alias("root"), F.col("rep.doc_id").alias("low")), "shingle-members")
-    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    member = staged(member.join(lowest, "root").select("cid", "component_id"), "shingle-result")
+    member = staged(member.select("cid", F.coalesce("root", "cid").alias("root"), F.col("rep.none").alias("none"), F.col("rep.doc_id").alias("low"), F.col("rep.h").alias("h")), "shingle-members")
+    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"), F.min(F.struct("none", "low", "h")).alias("first"))
+    return rows, staged(member.select("cid", "root").join(lowest, "root").select("cid", "component_id", "first"), "shingle-result")
+
+
+def near_groups(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row.
+
+    Null, empty and white texts have no shingles and link with nothing (component_id is their doc_id).
+    Repeated rows link like other equal texts. A row with a null doc_id links others but names no
+    component. An empty table gives an empty result; other columns are not read."""
+    rows, member = _members(documents)
     none = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     some = rows.where("n > 0").join(member, "cid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return some.unionByName(none)
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """The rows of ``documents``, all columns, with the smallest doc_id of their group; rows with a null
-    doc_id stay only where their group has no other."""
-    groups = near_groups(documents)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return documents.join(gone, documents["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+    """One row of each group of ``documents``, all columns, and every row without shingles.
+
+    The row with the smallest doc_id stays, one with a null doc_id only where its group has no other; of
+    different texts under that doc_id (or null), the one with the smallest hash."""
+    rows, member = _members(documents)
+    linked = rows.where("n > 0").groupBy("doc_id", "h", "cid").agg(F.count(F.lit(1)).alias("times")).join(member, "cid")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.low")) & (F.col("h") == F.col("first.h"))
+    key = [F.col("doc_id").alias("__id"), F.col("h").alias("__key")]
+    linked = staged(linked.where(~stays | (F.col("times") > 1)).select(*key, stays.alias("__stays")), "shingle-dropped")
+    docs = documents.withColumn("__h", F.xxhash64(body()))
+    same = (F.col("__h") == F.col("__key")) & docs["doc_id"].eqNullSafe(F.col("__id"))
+    left = docs.join(linked, same, "left_anti")
+    again = linked.where("__stays")
+    if not again.isEmpty():
+        left = left.unionByName(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "__h"]))
+    return left.drop("__h")

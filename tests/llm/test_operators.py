@@ -99,6 +99,22 @@ def test_near_groups(docs, rows):
     assert 1 in left and not {2, 3, 4, 52} & set(left) and {5, 6, 7} <= set(left)
 
 
+def test_near_duplicates_with_null_and_repeated_ids(spark):
+    """One row of each group goes on, whatever ids its rows have; unrelated rows with the same id or none stay."""
+    text = lambda k: " ".join(f"w{k}_{j}" for j in range(80))
+    rows = [(1, text(1), "a"), (None, text(1) + " more", "a"), (None, text(2), "a"), (None, "", "a"), (None, None, "a"), (None, " ", "a")]
+    rows += [(None, text(3), "a"), (None, text(3) + " more", "a"), (None, text(3) + " again", "a")]  # no row has an id
+    rows += [(4, text(4), "a"), (5, text(4) + " more", "a"), (5, text(5), "a"), (5, "", "a")]  # 5 is dropped for one of its texts
+    rows += [(6, text(6), "a"), (6, text(6), "a"), (7, text(6) + " more", "a")]  # a row twice
+    rows += [(8, text(8), "a"), (8, text(8) + " more", "a"), (None, text(9), "a"), (None, text(9), "a")]  # one id, two near texts
+    docs = make(spark, rows)
+    left = drop_near_duplicates(docs)
+    assert left.columns == docs.columns
+    got = [(r.doc_id, (r.text or "").replace(" more", "").replace(" again", "")) for r in left.collect()]
+    want = [(1, text(1)), (None, text(2)), (None, ""), (None, ""), (None, " "), (None, text(3)), (4, text(4)), (5, text(5)), (5, ""), (6, text(6)), (8, text(8)), (None, text(9))]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 @pytest.mark.parametrize("stars, early", [(3, 24), (0, 24), (0, 1)])
 def test_near_groups_large_columns(spark, monkeypatch, stars, early):
     """A family of edited copies far larger than SMALL_COLUMN: one component by chains of links; without
