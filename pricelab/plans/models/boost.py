@@ -45,6 +45,8 @@ def prepare_matrix(features: DataFrame, target: str = "price", key: str = "sampl
     return va.transform(x), cols
 
 
+ROUNDS, PATIENCE, TRIALS = 1000, 100, 50  # boosting rounds, rounds without improvement, search trials
+
 # Our own settings for Spark's depth-wise trees, one per variant; not the values of the original engines
 GBT_VARIANTS = {
     "lightgbm": dict(stepSize=0.05, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=20),
@@ -53,7 +55,7 @@ GBT_VARIANTS = {
 }
 
 
-def gbt(variant: str, max_iter: int = 100, seed: int = C.RANDOM_STATE, **over) -> GBTRegressor:
+def gbt(variant: str, max_iter: int = ROUNDS, seed: int = C.RANDOM_STATE, **over) -> GBTRegressor:
     """One configured GBTRegressor (squared loss in log space)."""
     params = dict(GBT_VARIANTS[variant])
     params.update(over)
@@ -72,7 +74,7 @@ def best_iteration(model, data: DataFrame) -> int:
     return int(min(range(len(losses)), key=lambda i: losses[i])) + 1
 
 
-def train_variants(matrix: DataFrame, variants=("lightgbm", "xgboost", "catboost"), max_iter: int = 100) -> dict:
+def train_variants(matrix: DataFrame, variants=("lightgbm", "xgboost", "catboost"), max_iter: int = ROUNDS) -> dict:
     """Train every variant on the train split; metrics per model. A variant that
     fails fails the job: no model is filed under another's name."""
     from ...operators.predictions import cache_for_iterations
@@ -138,8 +140,8 @@ class SmapeBoostModel:
         return SmapeBoostModel(st["init"], st["rate"], trees)
 
 
-def smape_boost(train: DataFrame, rounds: int = 50, rate: float = 0.1, max_depth: int = 4, min_instances: int = 20,
-                checkpoint_every: int = 5, valid: DataFrame | None = None, patience: int | None = None) -> tuple[SmapeBoostModel, list]:
+def smape_boost(train: DataFrame, rounds: int = ROUNDS, rate: float = 0.1, max_depth: int = 4, min_instances: int = 20,
+                checkpoint_every: int = 5, valid: DataFrame | None = None, patience: int | None = PATIENCE) -> tuple[SmapeBoostModel, list]:
     """Newton boosting on the SMAPE gradient/hessian in log space.
 
     Returns the model and the validation history [(round, smape)] when ``valid`` is given; stops early
@@ -174,8 +176,8 @@ def smape_boost(train: DataFrame, rounds: int = 50, rate: float = 0.1, max_depth
 
 
 # ---- K09: random search ---------------------------------------------------------------------------
-def random_search(matrix: DataFrame, variant: str = "lightgbm", n_trials: int = 8, timeout_s: float | None = None,
-                  seed: int = C.RANDOM_STATE, max_iter: int = 50, parallelism: int = 4):
+def random_search(matrix: DataFrame, variant: str = "lightgbm", n_trials: int = TRIALS, timeout_s: float | None = None,
+                  seed: int = C.RANDOM_STATE, max_iter: int = ROUNDS, parallelism: int = 4):
     """Seeded random parameter maps (log-uniform step size), evaluated with
     ``TrainValidationSplit`` on back-transformed SMAPE; trials run in batches so a time limit can stop
     between batches. Returns (best params merged over the defaults, list of (params, smape))."""
@@ -202,6 +204,6 @@ def random_search(matrix: DataFrame, variant: str = "lightgbm", n_trials: int =
     return merged, [({p.name: v for p, v in pm.items()}, s) for pm, s in results]
 
 
-def fit_pipeline(matrix: DataFrame, variant: str = "lightgbm", max_iter: int = 100) -> PipelineModel:
+def fit_pipeline(matrix: DataFrame, variant: str = "lightgbm", max_iter: int = ROUNDS) -> PipelineModel:
     """A fitted Pipeline (saveable with ``write().overwrite().save``)."""
     return Pipeline(stages=[gbt(variant, max_iter)]).fit(matrix.where(F.col("split") == "train"))

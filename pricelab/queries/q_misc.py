@@ -25,7 +25,7 @@ from ..plans.features import engineer_features
 from ..registry import r6, register, rnd_sql, round_col, rounded
 from ..session import scratch_path, table
 from ..sources import store as ST
-from ..sources.derived import catalog, download_status, manifest, predictions
+from ..sources.derived import MODEL_OFFSETS, catalog, download_status, manifest, predictions
 from .q_metrics import PCT_SQL
 from .common import NUMERIC_COLS
 from .q_tfidf import _long_sql, _vocab_sql
@@ -95,6 +95,17 @@ def a11_qq_fit(spark, sf_dir):
     return rounded(M.qq_fit(x, "v"))
 
 
+@register("a11_qq_fit_by_model")
+def a11_qq_fit_by_model(spark, sf_dir):
+    """The same fit for each of the models."""
+    from functools import reduce
+
+    p = predictions(spark, sf_dir)
+    x = p.select("model", E.percent_error(F.col("y_true"), F.col("pred")).alias("v"))
+    fits = [M.qq_fit(x.where(F.col("model") == m), "v").withColumn("model", F.lit(m)) for m, _ in sorted(MODEL_OFFSETS)]
+    return rounded(reduce(lambda a, b: a.unionByName(b), fits).select("model", "n", "slope", "intercept", "r"))
+
+
 # ---- value transforms ---------------------------------------------------------------------------
 def _clip_sql(x: str, lo: str | None, hi: str | None) -> str:
     e = x

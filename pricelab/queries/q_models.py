@@ -47,7 +47,7 @@ def k02_k04_gbt_variants(spark, sf_dir):
     """K02-K04 + K06 + K07: three boosted-tree variants, train / validation SMAPE and best iteration."""
     m, _ = _matrix(spark, sf_dir)
     m = PR.cache_for_iterations(m, m.columns)
-    res = B.train_variants(m, max_iter=50)
+    res = B.train_variants(m)
     val = m.where(F.col("split") == "validation")
     rows = [(k, v["train_smape"], v["val_smape"], B.best_iteration(v["model"], val)) for k, v in sorted(res.items())]
     m.unpersist()
@@ -60,7 +60,7 @@ def k05_smape_boost(spark, sf_dir):
     validation SMAPE per round."""
     m, _ = _matrix(spark, sf_dir)
     m = PR.cache_for_iterations(m, m.columns)
-    model, hist = B.smape_boost(m.where("split = 'train'"), rounds=15, valid=m.where("split = 'validation'"), patience=10)
+    model, hist = B.smape_boost(m.where("split = 'train'"), valid=m.where("split = 'validation'"))
     m.unpersist()
     return spark.createDataFrame([(r, s, len(model.trees)) for r, s in hist], "round int, val_smape double, kept_trees int")
 
@@ -70,7 +70,7 @@ def k08_prediction_table(spark, sf_dir):
     """K07 + K08: every variant predicts train and validation; one long (model, split, id, pred) table."""
     m, _ = _matrix(spark, sf_dir)
     m = PR.cache_for_iterations(m, m.columns)
-    res = B.train_variants(m, variants=("lightgbm", "catboost"), max_iter=30)
+    res = B.train_variants(m)
     return B.predictions_long({k: v["model"] for k, v in res.items()}, m)
 
 
@@ -78,7 +78,7 @@ def k08_prediction_table(spark, sf_dir):
 def k09_random_search(spark, sf_dir):
     """Seeded random search (log-uniform rate) with TrainValidationSplit on back-transformed SMAPE."""
     m, _ = _matrix(spark, sf_dir)
-    best, trials = B.random_search(m, n_trials=4, max_iter=20, parallelism=2)
+    best, trials = B.random_search(m, parallelism=2)
     return spark.createDataFrame([(str(sorted(p.items())), float(s)) for p, s in trials], "params string, val_smape double")
 
 
@@ -133,12 +133,15 @@ def k12_k19_stacking_ensemble(spark, sf_dir):
 
 @register("k16_isotonic_calibration")
 def k16_isotonic_calibration(spark, sf_dir):
-    """Isotonic calibration of one model's validation predictions (monotone, clipped at 0)."""
+    """Isotonic calibration of the weighted validation prediction (monotone, clipped at 0)."""
     from pyspark.ml.regression import IsotonicRegression
 
     v = _wide(spark, sf_dir).where("split = 'validation'")
-    iso = IsotonicRegression(featuresCol="lightgbm", labelCol="y_true", isotonic=True).fit(v)
-    out = iso.transform(v).select("sample_id", "lightgbm", F.greatest("prediction", F.lit(0.0)).alias("calibrated"))
+    val = PR.cache_for_iterations(v, ["y_true", *MODELS])
+    weighted = PR.weighted_expr(MODELS, PR.optimise_weights(val, MODELS, "y_true")).alias("weighted")
+    iso = IsotonicRegression(featuresCol="weighted", labelCol="y_true", isotonic=True).fit(val.select("y_true", weighted))
+    val.unpersist()
+    out = iso.transform(v.select("sample_id", weighted)).select("sample_id", "weighted", F.greatest("prediction", F.lit(0.0)).alias("calibrated"))
     return out
 
 
@@ -146,7 +149,7 @@ def k16_isotonic_calibration(spark, sf_dir):
 def k20_feature_importance(spark, sf_dir):
     """K20 + T01: feature importance of a boosted model, top 20 by importance."""
     m, cols = _matrix(spark, sf_dir)
-    model = B.gbt("lightgbm", 20).fit(m.where("split = 'train'"))
+    model = B.gbt("lightgbm").fit(m.where("split = 'train'"))
     imp = B.feature_importance(model, cols, spark)
     return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(20)
 

@@ -87,7 +87,7 @@ def k15_optimised_weights(spark, sf_dir):
     aggregate per simplex step, several candidates per job)."""
     p = predictions(spark, sf_dir)
     wide = PR.cache_for_iterations(PR.stack_wide(p, MODELS, extra=("y_true",)).where("complete"), ["y_true", *MODELS])
-    w = PR.optimise_weights(wide, MODELS, "y_true", max_iter=200)
+    w = PR.optimise_weights(wide, MODELS, "y_true")
     s = PR.smape_of_weights(wide, MODELS, "y_true", [w])[0]
     wide.unpersist()
     rows = [(m, float(x), s) for m, x in zip(MODELS, w)]

@@ -155,3 +155,27 @@ def test_isotonic_calibration_is_monotone(spark):
     out = IsotonicRegression(featuresCol="p", labelCol="y").fit(df).transform(df)
     vals = [r["c"] for r in out.select(F.greatest("prediction", F.lit(0.0)).alias("c"), "p").orderBy("p").collect()]
     assert all(b >= a for a, b in zip(vals, vals[1:]))
+
+
+def test_registered_model_jobs_have_the_whole_size(spark, monkeypatch):
+    """The registered queries ask for all rounds, variants, trials and models (the fits themselves are cut short here)."""
+    from pricelab.plans.models import boost as B
+    from pricelab.queries import q_misc, q_models
+
+    asked, short = [], B.gbt
+
+    def gbt(variant, max_iter=B.ROUNDS, **kw):
+        asked.append((variant, max_iter))
+        return short(variant, 1, **kw)
+
+    monkeypatch.setattr(B, "gbt", gbt)
+    small = "/root/testdata/sf0.001"
+    got = q_models.k08_prediction_table(spark, small).groupBy("model").count().collect()
+    assert sorted(r.model for r in got) == ["catboost", "lightgbm", "xgboost"]
+    q_models.k20_feature_importance(spark, small)
+    monkeypatch.setattr(B, "random_search", lambda m, **kw: (None, [({k: kw[k]}, 0.0) for k in kw]))
+    assert {"n_trials", "max_iter"} & set(str(q_models.k09_random_search(spark, small).collect()).split("'")) == set()
+    assert {n for _, n in asked} == {1000} and (B.ROUNDS, B.PATIENCE, B.TRIALS) == (1000, 100, 50)
+    got = q_models.k16_isotonic_calibration(spark, small).orderBy("weighted").collect()
+    assert got and all(a.calibrated <= b.calibrated for a, b in zip(got, got[1:]))
+    assert [r.model for r in q_misc.a11_qq_fit_by_model(spark, small).orderBy("model").collect()] == ["catboost", "lightgbm", "neural_net", "xgboost"]
