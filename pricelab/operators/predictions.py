@@ -55,6 +55,14 @@ def stack_wide(preds: DataFrame, models: list[str] | None = None, key: str = "sa
     return g.withColumn("complete", complete)
 
 
+def require_complete(wide: DataFrame) -> DataFrame:
+    """The wide table without ``complete``; an error with the number of keys that lack a model's prediction, if any."""
+    missing = wide.where(~F.col("complete")).count()
+    if missing:
+        raise ValueError(f"{missing} ids lack the prediction of at least one model")
+    return wide.drop("complete")
+
+
 def average_predictions(preds: DataFrame, key: str = "sample_id", value: str = "pred", by=()) -> DataFrame:
     """Mean over repeated predictions of the same key (passes, folds, models)."""
     return preds.groupBy(key, *by).agg(F.avg(value).alias("pred"), F.count(F.lit(1)).alias("n_preds"))

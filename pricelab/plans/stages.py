@@ -65,7 +65,7 @@ def ensemble_stage(spark: SparkSession, store_path: str, expected_ids: DataFrame
     """E2 on a prediction store partitioned by (model, split) with splits train / validation / test."""
     preds = ST.load_predictions(spark, store_path)
     models = sorted(models or ST.partition_values(spark, store_path, "model"))
-    wide = PR.stack_wide(preds, models, key=key, extra=(target, "split")).where("complete").drop("complete")
+    wide = PR.require_complete(PR.stack_wide(preds, models, key=key, extra=(target, "split")))
     from .models.stack import train_ensemble
 
     wide = PR.cache_for_iterations(wide, wide.columns)

@@ -30,7 +30,7 @@ def _matrix(spark, sf_dir):
 
 def _wide(spark, sf_dir):
     p = predictions(spark, sf_dir)
-    wide = PR.stack_wide(p, MODELS, extra=("y_true",)).where("complete").drop("complete")
+    wide = PR.require_complete(PR.stack_wide(p, MODELS, extra=("y_true",)))
     return train_val_test_split(wide)
 
 

@@ -86,7 +86,7 @@ def k15_optimised_weights(spark, sf_dir):
     """Nelder-Mead weights minimising the SMAPE of the weighted average (one distributed
     aggregate per simplex step, several candidates per job)."""
     p = predictions(spark, sf_dir)
-    wide = PR.cache_for_iterations(PR.stack_wide(p, MODELS, extra=("y_true",)).where("complete"), ["y_true", *MODELS])
+    wide = PR.cache_for_iterations(PR.require_complete(PR.stack_wide(p, MODELS, extra=("y_true",))), ["y_true", *MODELS])
     w = PR.optimise_weights(wide, MODELS, "y_true")
     s = PR.smape_of_weights(wide, MODELS, "y_true", [w])[0]
     wide.unpersist()
@@ -99,7 +99,7 @@ def k14_pattern_search_weights(spark, sf_dir):
     """K14 with few jobs: simplex-lattice + pairwise pattern search of the level-2 weights (each step one
     aggregate over every row); compared with equal weights."""
     p = predictions(spark, sf_dir)
-    wide = PR.cache_for_iterations(PR.stack_wide(p, MODELS, extra=("y_true",)).where("complete"), ["y_true", *MODELS])
+    wide = PR.cache_for_iterations(PR.require_complete(PR.stack_wide(p, MODELS, extra=("y_true",))), ["y_true", *MODELS])
     w = PR.pattern_search_weights(wide, MODELS, "y_true")
     s_w, s_eq = PR.smape_of_weights(wide, MODELS, "y_true", [w, [1.0] * len(MODELS)])
     wide.unpersist()

@@ -179,3 +179,25 @@ def test_registered_model_jobs_have_the_whole_size(spark, monkeypatch):
     got = q_models.k16_isotonic_calibration(spark, small).orderBy("weighted").collect()
     assert got and all(a.calibrated <= b.calibrated for a, b in zip(got, got[1:]))
     assert [r.model for r in q_misc.a11_qq_fit_by_model(spark, small).orderBy("model").collect()] == ["catboost", "lightgbm", "neural_net", "xgboost"]
+
+
+def test_incomplete_ids_are_an_error(spark, tmp_dir, monkeypatch):
+    """Ids that lack a model's prediction are counted and raised, in the queries and in E2."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    from pricelab.plans.stages import ensemble_stage
+    from pricelab.queries import q_models, q_predictions
+    from pricelab.sources import store as ST
+
+    rows = [(str(i), m, "test" if i < 10 else "train", 5.0 + i, 5.0) for i in range(40) for m in q_models.MODELS if (i, m) not in ((3, "lightgbm"), (7, "xgboost"), (20, "catboost"))]
+    p = spark.createDataFrame(rows, "sample_id string, model string, split string, y_true double, pred double")
+    monkeypatch.setattr(q_models, "predictions", lambda *a: p.drop("split"))
+    monkeypatch.setattr(q_predictions, "predictions", lambda *a: p.drop("split"))
+    for run in (q_models.k10_ridge_cv, q_models.k16_isotonic_calibration, q_predictions.k15_optimised_weights, q_predictions.k14_pattern_search_weights):
+        with pytest.raises(ValueError, match="^3 ids"):
+            run(spark, "")
+    ST.save_predictions(p, tmp_dir + "/store")
+    with pytest.raises(ValueError, match="^3 ids"):
+        ensemble_stage(spark, tmp_dir + "/store", p.select("sample_id").distinct(), tmp_dir)
+    assert [r.y_true for r in q_models.PR.require_complete(q_models.PR.stack_wide(p.where(F.col("sample_id") == "0"), q_models.MODELS, extra=("y_true",))).collect()] == [5.0]
