@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents_of
+from .conversation_trie import conversation_trie
 from .embedding_dups import near_vectors
 from .exact_dedup import exact_groups
 from .mixing import mixed_words
@@ -107,3 +108,31 @@ FROM t JOIN g USING (body)
 @query("op10_exact_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents_of(spark, sf_dir))
+
+
+# the checksum goes bit by bit: every byte is followed by eight shifts, marked -1
+OP11_SQL = r"""
+WITH own AS (
+  SELECT conv_id AS c, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+b AS (SELECT c, ts, [ord(x) FOR x IN string_split(c::VARCHAR, '')] AS codes FROM own),
+k AS (SELECT c, ts, xor(list_reduce([4294967295::BIGINT] || flatten([[x::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1] FOR x IN codes]),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 4 AS h FROM b),
+r AS (SELECT k.c, list_concat(coalesce(base.ts[1:k.h], []), k.ts[k.h + 1:]) AS ts FROM k LEFT JOIN own base ON base.c = k.c - k.c % 20),
+p AS (SELECT c, len(ts) AS l, d, ts[1:d] AS pre FROM r, unnest(range(0, len(ts) + 1)) u(d)),
+n AS (SELECT pre, d, min(c) AS conv_id, count(*) AS n_convs,
+  sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE l = d), '')) AS ends_sha256 FROM p GROUP BY pre, d),
+kids AS (SELECT pre[1:d - 1] AS pre, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+  CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(n.pre[n.d].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM n LEFT JOIN kids ON kids.pre = n.pre),
+s AS (SELECT pre[1:u.a] AS pre, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM v, unnest(range(0, v.d + 1)) u(a) GROUP BY 1)
+SELECT v.conv_id, v.d::BIGINT AS depth, up.conv_id AS parent_conv_id, v.n_convs, v.n_children, s.n_leaves, s.saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.pre = v.pre LEFT JOIN v up ON v.d > 0 AND up.pre = v.pre[1:v.d - 1]
+"""
+
+
+@query("op11_conversation_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
