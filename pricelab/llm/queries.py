@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .common import documents_of
 from .conversation_trie import conversation_trie
 from .embedding_dups import near_vectors
@@ -136,3 +137,35 @@ FROM v JOIN s ON s.pre = v.pre LEFT JOIN v up ON v.d > 0 AND up.pre = v.pre[1:v.
 @query("op11_conversation_trie", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents),
+grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g FROM pieces, unnest(range(1, 6)) a(k), unnest(range(1, len(w) + 1)) b(i) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM f WHERE f >= 100),
+cand AS (SELECT * FROM often WHERE k > 1),
+parts AS (SELECT lang, k, g, f AS a, j, g[1:j] AS head, g[j + 1:] AS rest FROM cand, unnest(range(1, k)) u(j)),
+cuts AS (
+  SELECT p.*, x.f AS l, y.f AS r, n.n, ((1000::HUGEINT * p.a * n.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM parts p JOIN often x ON x.lang = p.lang AND x.g = p.head JOIN often y ON y.lang = p.lang AND y.g = p.rest JOIN n ON n.lang = p.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+inside AS (
+  SELECT c.lang, c.g[i:i + m - 1] AS g, max(c.f) AS f FROM cand c, unnest(range(2, 5)) a(m), unnest(range(1, 5)) b(i)
+  WHERE m < c.k AND i + m - 1 <= c.k GROUP BY 1, 2),
+kept AS (
+  SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.g = b.g
+  WHERE s.f IS NULL OR 100 * s.f < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents_of(spark, sf_dir))
