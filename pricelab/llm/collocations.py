@@ -16,6 +16,8 @@ edges through; every count is exact.
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,7 +31,8 @@ from .tokens import slices
 MIN_COUNT, MAX_WORDS, TOP = 100, 5, 2000
 BITMAP = 27  # the bitmap of frequent pairs has 2^27 bits, 16 MB, whatever the size of the table
 RANGE_BYTES = 1 << 22  # text that one hash range of the pair counts stands for
-KEPT_WORDS = 1_000_000  # words a worker remembers
+KEPT_WORDS = 300_000  # words a worker remembers
+ROWS, CHARS = 256, 1 << 20  # rows of a batch and characters that are taken at a time
 HELD_PAIRS = 2_000_000  # pairs a task holds before it sorts and sends them
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 LOWER = bytes(10 if c in PIECE_ENDS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -42,8 +45,7 @@ class Words(dict):
     def __init__(self):
         super().__init__()
         self.names: list[bytes] = []
-        self.codes: list[int] = []
-        self.hashes = np.empty(0, np.uint64)
+        self.codes = array("Q")
         self.ids([b"", b"\n"])
 
     def __missing__(self, word: bytes) -> int:
@@ -54,8 +56,7 @@ class Words(dict):
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         found = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if len(self.codes) > len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.array(self.codes[len(self.hashes):], np.uint64)])
+        self.hashes = np.array(self.codes, np.uint64)
         return found
 
 
@@ -80,13 +81,14 @@ def pair_hashes(words: Words, ids: np.ndarray, seed: int) -> tuple[np.ndarray, n
 
 def by_language(batch: pa.RecordBatch):
     """(language, texts) of a batch, in slices of bounded size."""
-    langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-    rows: dict[str, list[str]] = {}
-    for lang, text in zip(langs, texts):
-        rows.setdefault(lang, []).append(text)
-    for lang, held in rows.items():
-        for part in slices(held):
-            yield lang, part
+    for start in range(0, batch.num_rows, ROWS):
+        some = batch.slice(start, ROWS)
+        rows: dict[str, list[str]] = {}
+        for lang, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+            rows.setdefault(lang, []).append(text)
+        for lang, held in rows.items():
+            for part in slices(held, CHARS):
+                yield lang, part
 
 
 def words_of(name: str = "collocation_words") -> Words:
