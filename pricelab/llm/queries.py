@@ -10,6 +10,7 @@ from .common import documents_of
 from .conversation_trie import conversation_trie
 from .embedding_dups import near_vectors
 from .exact_dedup import exact_groups
+from .html_wrappers import extract_text
 from .mixing import mixed_words
 from .packing import pack_documents
 from .quality_rules import score_quality
@@ -169,3 +170,8 @@ FROM kept QUALIFY rank <= 2000
 @query("op12_collocations", OP12_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(documents_of(spark, sf_dir))
+
+
+@query("op13_html_extraction")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
