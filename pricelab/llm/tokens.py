@@ -26,6 +26,7 @@ KEPT_PIECES, KEPT_CHARS = 800_000, 24_000_000  # bound of what a worker remember
 CUT = re.compile(r" (?=\S)")
 IRREGULAR = re.compile(r" (?:\s|$)")
 NONE = np.int64(1 << 40)
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the split of byte-level BPE vocabularies
 
 
 def pieces(text: str) -> list[str]:
@@ -58,7 +59,7 @@ class Merger:
         self.keys, self.ranks = key[order], order.astype(np.int64)
         self.into = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
         self.bytes = np.array([vocab[c] for c in byte_symbols()], dtype=np.int64)
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+        self.split = regex.compile(PRE_TOKEN).findall
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left * self.size + right
