@@ -7,8 +7,8 @@ be equal under equal marks, so
 
 1. marks are shipped to blocks in packed arrays (four bytes and an owner each); marks that at least two
    documents hold come back to their documents;
-2. the segments of those marks are shipped by mark to shards; each shard's distinct segments are one text,
-   whose suffix array is built by induced sorting; neighbours in it with a common prefix of SPAN bytes are
+2. the segments of those marks are shipped by mark to shards; each shard's distinct segments, without the
+   ends whose strings have a hash of their own, are one text, whose suffix array is built by induced sorting; neighbours in it with a common prefix of SPAN bytes are
    equal strings, and each string's smallest doc_id decides every occurrence;
 3. the decisions come back as one bit a position, and the documents drop the covered bytes.
 
@@ -289,9 +289,49 @@ def _segments(shards: int, groups: int, hot: np.ndarray):
     return run
 
 
+def _string_hashes(raw: np.ndarray) -> np.ndarray:
+    """A hash of the SPAN bytes from each position that has as many."""
+    h, width, kept = BYTE[raw], 1, {}
+    while width < SPAN:
+        if width & SPAN:
+            kept[width] = h
+        if width * 2 > SPAN:
+            break
+        h = h[:-width] * STEP[width.bit_length()] + h[width:]
+        width *= 2
+    at, out = 0, np.zeros(len(raw) - SPAN + 1, dtype=np.uint64)
+    for width in sorted(kept, reverse=True):
+        out = out * STEP[0] + kept[width][at : at + len(out)]
+        at += width
+    return out ^ out >> np.uint64(31)
+
+
+def _seen_again(raw: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(texts, first, last offset) of the strings whose hash another string of the shard has. Equal strings
+    have equal hashes, so what is left out stands once."""
+    own = np.repeat(np.arange(len(start)), count)
+    offset = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+    h = _string_hashes(raw)[start[own] + offset]
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    again = np.zeros(len(h), dtype=bool)
+    again[order[1:][same]] = True
+    again[order[:-1][same]] = True
+    own, offset = own[again], offset[again]
+    head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[: len(own)])
+    return own[head], offset[head], offset[np.append(head[1:], len(own)) - 1] if len(own) else head
+
+
 def smallest_ids(texts: list[bytes], low: np.ndarray) -> np.ndarray:
     """(texts, RUN): for each string of SPAN bytes the smallest ``low`` of the texts that hold it."""
     size = np.array([len(t) for t in texts])
+    out = np.where(np.arange(RUN) <= (size - SPAN)[:, None], low[:, None], LAST)
+    whole = np.frombuffer(b"\0".join(texts), dtype=np.uint8)
+    which, first, last = _seen_again(whole, np.cumsum(size + 1) - size - 1, size - SPAN + 1)
+    if not len(which):
+        return out
+    texts = [texts[w][f : e + SPAN] for w, f, e in zip(which.tolist(), first.tolist(), last.tolist())]
+    size, low = last - first + SPAN, low[which]
     raw = np.frombuffer(b"\0".join(texts) + b"\0" * 8, dtype=np.uint8)
     start = np.cumsum(size + 1) - size - 1
     symbol = raw[: int(size.sum()) + len(texts)].astype(np.int16) + 1
@@ -304,8 +344,7 @@ def smallest_ids(texts: list[bytes], low: np.ndarray) -> np.ndarray:
     common[order[1:]] = same_prefix(raw, order[1:], order[:-1], SPAN)
     head = np.flatnonzero(~common[order])
     least = np.minimum.reduceat(low[own[order]], head)
-    out = np.full((len(texts), RUN), LAST)
-    out[own[order], offset[order]] = np.repeat(least, np.diff(np.append(head, len(order))))
+    out[which[own[order]], first[own[order]] + offset[order]] = np.repeat(least, np.diff(np.append(head, len(order))))
     return out
 
 
