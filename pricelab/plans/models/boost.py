@@ -1,32 +1,24 @@
 """Feature matrix, boosted-tree variants, SMAPE boosting, search, predictions.
 
-The boosted trees are Spark ML ``GBTRegressor`` jobs (depth-wise trees; the native engines of the
-original are single-machine). K05 boosts with the SMAPE objective: every round computes gradient and
-hessian as column expressions (M05) and fits a weighted regression tree to -g/h with weight h; a
-weighted-mean leaf of that tree is exactly the Newton step -sum(g)/sum(h). Lineage is cut with a
-reliable checkpoint every few rounds.
+The trees are those of ``hist``: second-order, with L1 and L2 penalties, on histograms, all variants or trials
+in one fleet. The leaf-wise, depth-wise and symmetric variants have the configured parameters; the search draws
+from the configured ranges.
 """
 
 from __future__ import annotations
 
-import json
+import math
 import random
-import time
-from dataclasses import dataclass, field
+from dataclasses import replace
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ... import constants as C
-from ...functions.errors import log_smape_term, smape_grad_hess
-from ...operators.evaluators import SmapeEvaluator
 from ...operators.profile import fill_missing, numeric_columns
 from ...operators.splits import train_val_split
-from ...session import cut_lineage
+from .hist import HistModel, TreeParams, fit_fleet
 
 
 def prepare_matrix(features: DataFrame, target: str = "price", key: str = "sample_id", split: bool = True,
@@ -45,47 +37,35 @@ def prepare_matrix(features: DataFrame, target: str = "price", key: str = "sampl
     return va.transform(x), cols
 
 
-ROUNDS, PATIENCE, TRIALS = 1000, 100, 50  # boosting rounds, rounds without improvement, search trials
+TRIALS, TRIAL_PATIENCE = 50, 50  # search trials, and their rounds without improvement
 
-# Our own settings for Spark's depth-wise trees, one per variant; not the values of the original engines
-GBT_VARIANTS = {
-    "lightgbm": dict(stepSize=0.05, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=20),
-    "xgboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8", minWeightFractionPerNode=0.0),
-    "catboost": dict(stepSize=0.05, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="all", minInstancesPerNode=1),
+# fixed values: the configured parameters of the three variants
+VARIANTS = {
+    "lightgbm": TreeParams("leaf", rate=0.05, max_depth=-1, leaves=31, alpha=0.1, lam=0.1, min_rows=20, row_share=0.8, row_every=5, column_share=0.8),
+    "xgboost": TreeParams("depth", rate=0.05, max_depth=6, alpha=0.1, lam=0.1, min_weight=3.0, row_share=0.8, column_share=0.8),
+    "catboost": TreeParams("symmetric", rate=0.05, max_depth=6, lam=3.0),
+}
+# fixed values: the search ranges; "log" is drawn log-uniformly
+RANGES = {
+    "lightgbm": {"leaves": (20, 200, "int"), "max_depth": (3, 15, "int"), "rate": (0.01, 0.3, "log"), "column_share": (0.4, 1.0, "float"), "row_share": (0.4, 1.0, "float"),
+                 "row_every": (1, 10, "int"), "min_rows": (5, 100, "int"), "alpha": (1e-8, 10.0, "log"), "lam": (1e-8, 10.0, "log")},
+    "xgboost": {"max_depth": (3, 12, "int"), "rate": (0.01, 0.3, "log"), "row_share": (0.4, 1.0, "float"), "column_share": (0.4, 1.0, "float"),
+                "min_weight": (1, 50, "int"), "alpha": (1e-8, 10.0, "log"), "lam": (1e-8, 10.0, "log")},
 }
 
 
-def gbt(variant: str, max_iter: int = ROUNDS, seed: int = C.RANDOM_STATE, **over) -> GBTRegressor:
-    """One configured GBTRegressor (squared loss in log space)."""
-    params = dict(GBT_VARIANTS[variant])
-    params.update(over)
-    return GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, seed=seed, **params)
-
-
-def eval_split(pred: DataFrame, split: str) -> float:
-    """Back-transformed SMAPE (clipped at 1e-10, as in the boosting evaluation) on one split."""
-    return float(pred.where(F.col("split") == split).agg(
-        (100.0 * F.avg(log_smape_term(F.col("prediction"), F.col("label")))).alias("s")).collect()[0]["s"])
-
-
-def best_iteration(model, data: DataFrame) -> int:
-    """1-based iteration with the lowest validation loss (``evaluateEachIteration``)."""
-    losses = model.evaluateEachIteration(data, "squared")
-    return int(min(range(len(losses)), key=lambda i: losses[i])) + 1
-
-
-def train_variants(matrix: DataFrame, variants=("lightgbm", "xgboost", "catboost"), max_iter: int = ROUNDS) -> dict:
-    """Train every variant on the train split; metrics per model. A variant that
-    fails fails the job: no model is filed under another's name."""
-    from ...operators.predictions import cache_for_iterations
-
-    train = cache_for_iterations(matrix.where(F.col("split") == "train"), matrix.columns)
+def train_variants(matrix: DataFrame, columns: list[str], variants=("lightgbm", "xgboost", "catboost"), **over) -> dict:
+    """All variants at once on the train split, each stopped after ``PATIENCE`` rounds
+    without gain on validation and cut to its best round; metrics per model. A variant that fails fails the
+    job: no model is filed under another's name."""
+    unknown = set(variants) - set(VARIANTS)
+    if unknown:
+        raise ValueError(f"unknown variants: {sorted(unknown)}")
+    fitted = fit_fleet(matrix, columns, [replace(VARIANTS[v], **over) for v in variants])
     out = {}
-    for v in variants:
-        m = gbt(v, max_iter).fit(train)
-        p = m.transform(matrix)
-        out[v] = {"model": m, "train_smape": eval_split(p, "train"), "val_smape": eval_split(p, "validation")}
-    train.unpersist()
+    for v, m in zip(variants, fitted):
+        _, _, val, train = m.at_best()
+        out[v] = {"model": m, "train_smape": train, "val_smape": val, "best_iteration": m.best_iteration, "rounds": len(m.history) - 1}
     return out
 
 
@@ -103,107 +83,37 @@ def predictions_long(models: dict, matrix: DataFrame, key: str = "sample_id") ->
     return reduce(DataFrame.unionByName, parts)
 
 
-def feature_importance(model, cols: list[str], spark) -> DataFrame:
-    """Importance per feature name (T01 sorts it)."""
-    imp = model.featureImportances.toArray()
-    return spark.createDataFrame([(c, float(v)) for c, v in zip(cols, imp)], "feature string, importance double")
+def feature_importance(model: HistModel, spark) -> DataFrame:
+    """Share of the gain per feature name (T01 sorts it)."""
+    return spark.createDataFrame([(c, float(v)) for c, v in zip(model.columns, model.importance)], "feature string, importance double")
 
 
 # ---- K05: boosting with the SMAPE objective -----------------------------------------------------
-@dataclass
-class SmapeBoostModel:
-    init: float
-    rate: float
-    trees: list = field(default_factory=list)
-
-    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
-        x = df.withColumn(out, F.lit(self.init))
-        for i, t in enumerate(self.trees):
-            t = t.copy().setPredictionCol(f"_t{i}") if hasattr(t, "copy") else t
-            x = t.transform(x).withColumn(out, F.col(out) + self.rate * F.col(f"_t{i}")).drop(f"_t{i}")
-        return x
-
-    def save(self, path: str) -> None:
-        """Trees with the Spark ML writer + a JSON state row."""
-        from pyspark.sql import SparkSession
-
-        for i, t in enumerate(self.trees):
-            t.write().overwrite().save(f"{path}/tree_{i:04d}")
-        spark = SparkSession.getActiveSession()
-        state = json.dumps({"init": self.init, "rate": self.rate, "n_trees": len(self.trees)})
-        spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/state")
-
-    @staticmethod
-    def load(spark, path: str) -> "SmapeBoostModel":
-        st = json.loads(spark.read.json(f"{path}/state").collect()[0]["state"])
-        trees = [DecisionTreeRegressionModel.load(f"{path}/tree_{i:04d}") for i in range(st["n_trees"])]
-        return SmapeBoostModel(st["init"], st["rate"], trees)
-
-
-def smape_boost(train: DataFrame, rounds: int = ROUNDS, rate: float = 0.1, max_depth: int = 4, min_instances: int = 20,
-                checkpoint_every: int = 5, valid: DataFrame | None = None, patience: int | None = PATIENCE) -> tuple[SmapeBoostModel, list]:
-    """Newton boosting on the SMAPE gradient/hessian in log space.
-
-    Returns the model and the validation history [(round, smape)] when ``valid`` is given; stops early
-    after ``patience`` rounds without improvement and keeps the best number of trees."""
-    init = float(train.agg(F.avg("label")).collect()[0][0])
-    cur = train.select("features", "label").withColumn("_F", F.lit(init))
-    model = SmapeBoostModel(init, rate)
-    history, best, best_n = [], float("inf"), 0
-    vcur = valid.select("features", "label").withColumn("_F", F.lit(init)) if valid is not None else None
-    for r in range(rounds):
-        g, h = smape_grad_hess(F.col("_F"), F.col("label"))
-        step = cur.withColumn("_h", h).withColumn("_z", -g / F.col("_h"))
-        tree = DecisionTreeRegressor(featuresCol="features", labelCol="_z", weightCol="_h", maxDepth=max_depth,
-                                     minInstancesPerNode=min_instances, predictionCol="_tp").fit(step)
-        model.trees.append(tree)
-        cur = tree.transform(cur).withColumn("_F", F.col("_F") + rate * F.col("_tp")).drop("_tp")
-        if (r + 1) % checkpoint_every == 0:
-            cur = cut_lineage(cur)
-        if vcur is not None:
-            vcur = tree.transform(vcur).withColumn("_F", F.col("_F") + rate * F.col("_tp")).drop("_tp")
-            if (r + 1) % checkpoint_every == 0:
-                vcur = cut_lineage(vcur)
-            s = float(vcur.agg(100.0 * F.avg(log_smape_term(F.col("_F"), F.col("label")))).collect()[0][0])
-            history.append((r + 1, s))
-            if s < best:
-                best, best_n = s, r + 1
-            elif patience is not None and (r + 1) - best_n >= patience:
-                break
-    if vcur is not None and best_n:
-        model.trees = model.trees[:best_n]
-    return model, history
+def smape_boost(matrix: DataFrame, columns: list[str], variant: str = "lightgbm", **over) -> HistModel:
+    """A variant on the SMAPE gradient and hessian in log space, stopped by validation SMAPE. The mean
+    without any tree is a candidate, so the model kept is never worse on validation than the constant."""
+    return fit_fleet(matrix, columns, [replace(VARIANTS[variant], objective="smape", **over)])[0]
 
 
 # ---- K09: random search ---------------------------------------------------------------------------
-def random_search(matrix: DataFrame, variant: str = "lightgbm", n_trials: int = TRIALS, timeout_s: float | None = None,
-                  seed: int = C.RANDOM_STATE, max_iter: int = ROUNDS, parallelism: int = 4):
-    """Seeded random parameter maps (log-uniform step size), evaluated with
-    ``TrainValidationSplit`` on back-transformed SMAPE; trials run in batches so a time limit can stop
-    between batches. Returns (best params merged over the defaults, list of (params, smape))."""
-    rng = random.Random(seed)
-    est = gbt(variant, max_iter)
-    trials = []
+def draw_trials(variant: str, n_trials: int, seed: int = C.RANDOM_STATE) -> list[TreeParams]:
+    """Seeded draws from the variant's ranges."""
+    rng, out = random.Random(seed), []
     for _ in range(n_trials):
-        trials.append({est.stepSize: 10 ** rng.uniform(-2.0, -0.5), est.maxDepth: rng.randint(3, 8),
-                       est.subsamplingRate: rng.uniform(0.6, 1.0), est.minInstancesPerNode: rng.randint(5, 50)})
-    train = matrix.where(F.col("split") == "train")
-    ev = SmapeEvaluator(labelCol="label", predictionCol="prediction", logSpace=True)
-    results, start = [], time.time()
-    for b in range(0, len(trials), parallelism):
-        if timeout_s is not None and time.time() - start > timeout_s:
-            break
-        batch = trials[b:b + parallelism]
-        tvs = TrainValidationSplit(estimator=est, estimatorParamMaps=batch, evaluator=ev, trainRatio=0.8,
-                                   parallelism=parallelism, seed=seed)
-        m = tvs.fit(train)
-        results += list(zip(batch, m.validationMetrics))
-    best = min(results, key=lambda t: t[1])
-    merged = dict(GBT_VARIANTS[variant])
-    merged.update({p.name: v for p, v in best[0].items()})
-    return merged, [({p.name: v for p, v in pm.items()}, s) for pm, s in results]
-
-
-def fit_pipeline(matrix: DataFrame, variant: str = "lightgbm", max_iter: int = ROUNDS) -> PipelineModel:
-    """A fitted Pipeline (saveable with ``write().overwrite().save``)."""
-    return Pipeline(stages=[gbt(variant, max_iter)]).fit(matrix.where(F.col("split") == "train"))
+        drawn = {}
+        for name, (low, high, kind) in RANGES[variant].items():
+            drawn[name] = rng.randint(low, high) if kind == "int" else rng.uniform(low, high) if kind == "float" else math.exp(rng.uniform(math.log(low), math.log(high)))
+        out.append(replace(VARIANTS[variant], patience=TRIAL_PATIENCE, **drawn))
+    return out
+
+
+def random_search(matrix: DataFrame, columns: list[str], variant: str = "lightgbm", n_trials: int = TRIALS, timeout_s: float | None = None,
+                  seed: int = C.RANDOM_STATE) -> tuple[TreeParams, list[tuple[TreeParams, HistModel]]]:
+    """All trials fitted together on the train split, scored by back-transformed SMAPE on validation at
+    their best round. Returns the best trial's parameters over the variant's own, and every trial with its model.
+    At the time limit the trials are scored as far as they came."""
+    trials = draw_trials(variant, n_trials, seed)
+    fitted = fit_fleet(matrix, columns, trials, timeout_s=timeout_s)
+    results = list(zip(trials, fitted))
+    best = min(results, key=lambda r: r[1].at_best()[2])[0]
+    return replace(best, patience=VARIANTS[variant].patience), results

@@ -42,44 +42,72 @@ def k01_feature_matrix(spark, sf_dir):
     return rounded(m.select("sample_id", "split", "label"))
 
 
-@register("k02_k04_gbt_variants")
-def k02_k04_gbt_variants(spark, sf_dir):
-    """K02-K04 + K06 + K07: three boosted-tree variants, train / validation SMAPE and best iteration."""
-    m, _ = _matrix(spark, sf_dir)
-    m = PR.cache_for_iterations(m, m.columns)
-    res = B.train_variants(m)
-    val = m.where(F.col("split") == "validation")
-    rows = [(k, v["train_smape"], v["val_smape"], B.best_iteration(v["model"], val)) for k, v in sorted(res.items())]
-    m.unpersist()
-    return spark.createDataFrame(rows, "model string, train_smape double, val_smape double, best_iteration int")
+SIZES_SQL = f"""select count(*) filter (where s = 'train') as n_train, count(*) filter (where s = 'validation') as n_validation
+from (select {SPLIT_SQL} as s from catalog where price is not null and not isnan(price))"""
 
 
-@register("k05_smape_boost")
+@register("k02_k04_gbt_variants", with_fixtures(f"""
+select m.model, n.n_train, n.n_validation, true as stopped_in_time, true as leaves_within, true as not_worse_than_constant, true as score_agrees
+from (values ('catboost'), ('lightgbm'), ('xgboost')) m(model), ({SIZES_SQL}) n"""))
+def k02_k04_gbt_variants(spark, sf_dir):
+    """Three boosted-tree variants of up to 1,000 rounds. Checked: each stops at most 100
+    rounds after its best one (or at 1,000), keeps to its number of leaves, is not worse on validation than the
+    constant, and scores the validation rows by ``transform`` as it did while growing."""
+    m, cols = _matrix(spark, sf_dir)
+    res = B.train_variants(m, cols)
+    sizes = {r["split"]: r["count"] for r in m.groupBy("split").count().collect()}
+    rows = []
+    for name, v in sorted(res.items()):
+        model = v["model"]
+        again = model.transform(m.where("split = 'validation'")).agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("label"), 2)))).first()[0]
+        most = 31 if model.params.growth == "leaf" else 2 ** model.params.max_depth
+        rows.append((name, sizes.get("train", 0), sizes.get("validation", 0), v["rounds"] == 1000 or v["rounds"] - v["best_iteration"] == 100,
+                     all((t.feature < 0).sum() <= most for t in model.trees), model.at_best()[1] <= model.history[0][1], abs(again - model.at_best()[1]) < 1e-9))
+    return spark.createDataFrame([(*r[:3], *map(bool, r[3:])) for r in rows], "model string, n_train long, n_validation long, stopped_in_time boolean, "
+                                 "leaves_within boolean, not_worse_than_constant boolean, score_agrees boolean")
+
+
+@register("k05_smape_boost", with_fixtures(f"""
+with m as (select {SPLIT_SQL} as s, ln(1 + price) as label, price from catalog where price is not null and not isnan(price)),
+c as (select exp(avg(label) filter (where s = 'train')) - 1 as p from m)
+select count(*) filter (where s = 'train') as n_train, count(*) filter (where s = 'validation') as n_validation,
+  {r6("100 * avg(abs(p - price) / ((price + p) / 2 + 1e-10)) filter (where s = 'validation')")} as constant_smape, true as better_than_constant, true as stopped_in_time
+from m, c"""))
 def k05_smape_boost(spark, sf_dir):
-    """Boosting with the SMAPE objective (gradient/hessian columns, weighted Newton trees);
-    validation SMAPE per round."""
-    m, _ = _matrix(spark, sf_dir)
-    m = PR.cache_for_iterations(m, m.columns)
-    model, hist = B.smape_boost(m.where("split = 'train'"), valid=m.where("split = 'validation'"))
-    m.unpersist()
-    return spark.createDataFrame([(r, s, len(model.trees)) for r, s in hist], "round int, val_smape double, kept_trees int")
+    """Boosting with the SMAPE objective at the configured rate and penalties. Checked: the constant's SMAPE
+    on validation, that the kept model is below it, and that it stopped 100 rounds after its best one."""
+    m, cols = _matrix(spark, sf_dir)
+    model = B.smape_boost(m, cols)
+    sizes = {r["split"]: r["count"] for r in m.groupBy("split").count().collect()}
+    rounds = len(model.history) - 1
+    row = (sizes.get("train", 0), sizes.get("validation", 0), float(model.history[0][2]), bool(model.at_best()[2] < model.history[0][2]),
+           bool(rounds == 1000 or rounds - model.best_iteration == 100))
+    return rounded(spark.createDataFrame([row], "n_train long, n_validation long, constant_smape double, better_than_constant boolean, stopped_in_time boolean"))
 
 
 @register("k08_prediction_table")
 def k08_prediction_table(spark, sf_dir):
-    """K07 + K08: every variant predicts train and validation; one long (model, split, id, pred) table."""
-    m, _ = _matrix(spark, sf_dir)
-    m = PR.cache_for_iterations(m, m.columns)
-    res = B.train_variants(m)
+    """K07 + K08: every variant predicts train, validation and test; one long (model, split, id, pred) table."""
+    m, cols = _matrix(spark, sf_dir)
+    m = train_val_test_split(m)
+    res = B.train_variants(m, cols)
     return B.predictions_long({k: v["model"] for k, v in res.items()}, m)
 
 
-@register("k09_random_search")
+@register("k09_random_search", """
+select t.trial, true as in_ranges, true as stopped_in_time, true as not_below_best from range(50) t(trial)""")
 def k09_random_search(spark, sf_dir):
-    """Seeded random search (log-uniform rate) with TrainValidationSplit on back-transformed SMAPE."""
-    m, _ = _matrix(spark, sf_dir)
-    best, trials = B.random_search(m, parallelism=2)
-    return spark.createDataFrame([(str(sorted(p.items())), float(s)) for p, s in trials], "params string, val_smape double")
+    """Fifty trials over the configured ranges, fitted together and scored by back-transformed SMAPE on
+    validation. Checked: drawn inside the ranges, stopped 50 rounds after the best, none below the best trial."""
+    m, cols = _matrix(spark, sf_dir)
+    best, results = B.random_search(m, cols)
+    lowest = next(f.at_best()[2] for p, f in results if (p.rate, p.lam) == (best.rate, best.lam))
+    rows = []
+    for i, (p, f) in enumerate(results):
+        inside = all(low <= getattr(p, name) <= high for name, (low, high, _) in B.RANGES["lightgbm"].items())
+        rounds = len(f.history) - 1
+        rows.append((i, inside, rounds == 1000 or rounds - f.best_iteration == 50, bool(f.at_best()[2] >= lowest)))
+    return spark.createDataFrame(rows, "trial long, in_ranges boolean, stopped_in_time boolean, not_below_best boolean")
 
 
 @register("k10_ridge_cv")
@@ -147,11 +175,10 @@ def k16_isotonic_calibration(spark, sf_dir):
 
 @register("k20_feature_importance")
 def k20_feature_importance(spark, sf_dir):
-    """K20 + T01: feature importance of a boosted model, top 20 by importance."""
+    """K20 + T01: feature importance (share of the gain) of a boosted model, top 20."""
     m, cols = _matrix(spark, sf_dir)
-    model = B.gbt("lightgbm").fit(m.where("split = 'train'"))
-    imp = B.feature_importance(model, cols, spark)
-    return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(20)
+    model = B.train_variants(m, cols, variants=("lightgbm",))["lightgbm"]["model"]
+    return B.feature_importance(model, spark).orderBy(F.col("importance").desc(), F.col("feature")).limit(20)
 
 
 @register("k21_baseline_ridge")

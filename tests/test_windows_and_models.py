@@ -126,15 +126,14 @@ def test_weights_sum_to_one_and_not_worse(spark):
 
 def test_smape_boost_first_round_is_newton_step(spark):
     """A one-leaf tree's value is the Newton step -sum(g) / sum(h)."""
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import functions as F
 
     from pricelab.plans.models.boost import smape_boost
 
     rng = np.random.default_rng(7)
     y = np.log1p(rng.uniform(10, 500, 200))
-    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(
-        spark.createDataFrame([(float(a), float(b)) for a, b in zip(rng.normal(size=200), y)], "x double, label double"))
-    model, _ = smape_boost(df, rounds=1, rate=1.0, max_depth=0, min_instances=1)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(rng.normal(size=200), y)], "x double, label double").withColumn("split", F.lit("train"))
+    model = smape_boost(df, ["x"], growth="depth", rounds=1, rate=1.0, max_depth=0, alpha=0.0, lam=0.0, row_share=1.0, column_share=1.0)
     f0 = y.mean()
     p, t = max(np.expm1(f0), 1e-10), np.maximum(np.expm1(y), 1e-10)
     s = np.abs(t) + abs(p) + 1e-10
@@ -159,23 +158,26 @@ def test_isotonic_calibration_is_monotone(spark):
 
 def test_registered_model_jobs_have_the_whole_size(spark, monkeypatch):
     """The registered queries ask for all rounds, variants, trials and models (the fits themselves are cut short here)."""
+    import dataclasses
+
     from pricelab.plans.models import boost as B
     from pricelab.queries import q_misc, q_models
 
-    asked, short = [], B.gbt
+    asked, fit = [], B.fit_fleet
 
-    def gbt(variant, max_iter=B.ROUNDS, **kw):
-        asked.append((variant, max_iter))
-        return short(variant, 1, **kw)
+    def short(matrix, columns, fleet, **kw):
+        asked.append(fleet)
+        assert "timeout_s" not in kw or kw["timeout_s"] is None
+        return fit(matrix, columns, [dataclasses.replace(p, rounds=1) for p in fleet], **kw)
 
-    monkeypatch.setattr(B, "gbt", gbt)
+    monkeypatch.setattr(B, "fit_fleet", short)
     small = "/root/testdata/sf0.001"
-    got = q_models.k08_prediction_table(spark, small).groupBy("model").count().collect()
-    assert sorted(r.model for r in got) == ["catboost", "lightgbm", "xgboost"]
+    got = q_models.k08_prediction_table(spark, small).groupBy("model", "split").count().collect()
+    assert sorted({(r.model, r.split) for r in got}) == [(m, s) for m in ("catboost", "lightgbm", "xgboost") for s in ("test", "train", "validation")]
     q_models.k20_feature_importance(spark, small)
-    monkeypatch.setattr(B, "random_search", lambda m, **kw: (None, [({k: kw[k]}, 0.0) for k in kw]))
-    assert {"n_trials", "max_iter"} & set(str(q_models.k09_random_search(spark, small).collect()).split("'")) == set()
-    assert {n for _, n in asked} == {1000} and (B.ROUNDS, B.PATIENCE, B.TRIALS) == (1000, 100, 50)
+    assert q_models.k09_random_search(spark, small).count() == 50
+    assert [len(f) for f in asked] == [3, 1, 50]
+    assert {(p.rounds, p.patience) for f in asked[:2] for p in f} == {(1000, 100)} and {(p.rounds, p.patience) for p in asked[2]} == {(1000, 50)}
     got = q_models.k16_isotonic_calibration(spark, small).orderBy("weighted").collect()
     assert got and all(a.calibrated <= b.calibrated for a, b in zip(got, got[1:]))
     assert [r.model for r in q_misc.a11_qq_fit_by_model(spark, small).orderBy("model").collect()] == ["catboost", "lightgbm", "neural_net", "xgboost"]
