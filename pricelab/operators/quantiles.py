@@ -1,31 +1,27 @@
-"""Exact percentiles (numpy 'linear' rule) that stay distributed and skew-safe.
+"""Exact percentiles (numpy 'linear' rule) by selection: no sort, no list of distinct values, no window over rows.
 
-Spark's exact ``percentile`` keeps a value->count map of the whole group inside one aggregation
-buffer; for a hot group (or a global percentile over 10^9 distinct prices) that is one task holding
-everything. Here instead:
+Spark's exact ``percentile`` keeps a value->count map of the whole group inside one aggregation buffer; for a hot
+group that is one task holding everything. Here the interval that holds a needed rank is cut into ``BUCKETS``
+parts, one partial aggregate counts the rows of every part with their smallest and largest value, and the parts
+that hold the rank are the next intervals. Rows outside of these drop out before the next aggregate. A part whose
+smallest and largest value are equal is the answer, however many rows have it. An interval's ends fall into
+different parts, so every pass splits; with B parts, n values take about log(n) / log(B) of them.
 
-1. ``groupBy(by, v).count()`` - distinct values with counts (partial aggregation; a hot value is one row);
-2. coarse range buckets per group from ``percentile_approx`` over the distinct values (B split points);
-3. bucket totals (groups x B rows) -> rank offset of each bucket;
-4. running count inside each (group, bucket) by a window - parallel over buckets even for a hot group;
-5. pick the rows that hold the needed ranks floor(h), floor(h)+1 with h = (n-1)p and interpolate.
-
-Only bounded things reach the driver: B split points and B bucket totals in the ungrouped case.
+Per group a pass keeps at most 2 x len(probs) intervals, in an array that joins the group's rows (one row a
+group). It is the same path for one group and for any number.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from ..session import cut_lineage
 from .groups import join_groups
 
-DEFAULT_BUCKETS = 64
-SMALL_GROUPS = 10_000  # up to this many groups, bucket statistics are coordinated from the driver
+BUCKETS = 1 << 16
 
 
 def _finite(c):
@@ -52,169 +48,72 @@ def _lerp(lo, hi, t):
     return F.when(t >= 0.5, hi - d * (1 - t)).otherwise(lo + d * t)
 
 
-def exact_percentiles(
-    df: DataFrame,
-    value: str,
-    probs: list[float],
-    by: list[str] | tuple[str, ...] = (),
-    buckets: int = DEFAULT_BUCKETS,
-) -> DataFrame:
-    """Long table ``(by..., p_idx INT, p DOUBLE, value DOUBLE)``; NULL/NaN values are ignored."""
+def _scaled(v: Column) -> Column:
+    """A non-decreasing scale on which values of very different size lie apart."""
+    return F.signum(v) * F.log1p(F.abs(v))
+
+
+def _part(v: Column, lo: Column, hi: Column) -> Column:
+    """The part of [lo, hi] that v is in; never falls as v rises. Where an end is infinite, all between the ends
+    is one part."""
+    share = (_scaled(v) - _scaled(lo)) / (_scaled(hi) - _scaled(lo))
+    inner = F.when(F.isnan(share), F.lit(BUCKETS // 2)).otherwise(F.least(F.floor(share * BUCKETS).cast("int"), F.lit(BUCKETS - 1)))
+    return F.when(v <= lo, F.lit(0)).when(v >= hi, F.lit(BUCKETS - 1)).otherwise(inner)
+
+
+def _beside_intervals(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    """Each row with its group's intervals; without groups there is one array, a literal."""
+    if by:
+        return join_groups(rows, state.select(*by, "_in"), by)
+    held = state.select("_in").first()
+    point = lambda s: F.struct(F.lit(s["lo"]).alias("lo"), F.lit(s["hi"]).alias("hi"), F.lit(s["off"]).alias("off"))
+    return rows.withColumn("_in", F.array(*[point(s) for s in held["_in"]]))
+
+
+def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Long table ``(by..., p_idx INT, p DOUBLE, value DOUBLE)``; NULL/NaN values are ignored, groups without any
+    other value are left out."""
     by = list(by)
-    v = F.col(value).cast("double")
-    base = df.select(*[F.col(b) for b in by], v.alias("_v")).where(_finite(F.col("_v")))
-    vc = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    # The distinct-value table is read by several small jobs: keep it (memory, spilling to disk) for
-    # their duration, and hand back the result - at most groups x len(probs) rows - materialised.
-    vc = vc.persist()
+    base = df.select(*[F.col(b) for b in by], F.col(value).cast("double").alias("_v")).where(_finite(F.col("_v"))).persist()
+    kept = [base]  # read by several small jobs; the result is written before they are let go
+
+    def keep(small: DataFrame) -> DataFrame:
+        kept.append(small.persist())
+        return small
+
     try:
-        if not by:
-            return _materialise(_ungrouped(vc, probs, fracs))
-        splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
-        first = splits.limit(SMALL_GROUPS + 1).collect()  # bounded; tells whether the groups are few
-        if len(first) <= SMALL_GROUPS:
-            local = vc.sparkSession.createDataFrame(first, splits.schema)
-            return _grouped_small(vc, by, probs, fracs, local)
-        return cut_lineage(_grouped(vc, by, probs, fracs))
+        stats = keep(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where("_n > 0"))
+        need = stats.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])).alias("_p"))
+        need = need.select(*by, "_n", "_p.p_idx", "_p.p", ((F.col("_n") - 1) * F.col("_p.p")).alias("_h"))
+        need = need.select(*by, "p_idx", "p", F.floor("_h").cast("long").alias("lo"), F.least(F.floor("_h").cast("long") + 1, F.col("_n") - 1).alias("hi"),
+                           (F.col("_h") - F.floor("_h")).alias("t"))
+        wanted = need.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi")))).alias("_r"))  # 2 x len(probs) at most
+        live = (join_groups(stats, wanted, by) if by else stats.withColumn("_r", F.lit((wanted.first() or [[]])[0]).cast("array<bigint>")))
+        live = live.select(*by, F.array(F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.lit(0).cast("long").alias("off"), F.col("_r").alias("ranks"))).alias("_in"))
+        found: list[DataFrame] = []
+        while not live.isEmpty():
+            v = F.col("_v")
+            met = _beside_intervals(base, live, by).withColumn("_s", F.get(F.filter("_in", lambda s: (s["lo"] <= F.col("_v")) & (F.col("_v") <= s["hi"])), F.lit(0)))
+            met = met.where("_s is not null").select(*by, "_v", F.col("_s.off").alias("_off"), _part(v, F.col("_s.lo"), F.col("_s.hi")).alias("_b"))
+            parts = met.groupBy(*by, "_off", "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+            before = Window.partitionBy(*by, "_off").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows each
+            parts = parts.withColumn("_at", F.col("_off") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
+            asked = live.select(*by, F.explode("_in").alias("_s")).select(*by, F.col("_s.off").alias("_off"), F.col("_s.ranks").alias("_r"))
+            parts = join_groups(parts, asked, [*by, "_off"])
+            parts = parts.withColumn("_r", F.filter("_r", lambda r: (r >= F.col("_at")) & (r < F.col("_at") + F.col("_c")))).where(F.size("_r") > 0)
+            picked = keep(parts.select(*by, "_lo", "_hi", "_at", "_r"))
+            found.append(picked.where("_lo = _hi").select(*by, F.explode("_r").alias("_rank"), F.col("_lo").alias("_value")))
+            point = F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.col("_at").alias("off"), F.col("_r").alias("ranks"))
+            live = picked.where("_lo < _hi").groupBy(*by).agg(F.collect_list(point).alias("_in")).where(F.size("_in") > 0)
+        if not found:
+            return stats.where("1 = 0").select(*by, F.lit(0).alias("p_idx"), F.lit(0.0).alias("p"), F.lit(0.0).alias("value"))
+        at = reduce(DataFrame.unionByName, found)
+        low = join_groups(need, at.select(*by, F.col("_rank").alias("lo"), F.col("_value").alias("_vlo")), [*by, "lo"])
+        both = join_groups(low, at.select(*by, F.col("_rank").alias("hi"), F.col("_value").alias("_vhi")), [*by, "hi"])
+        return cut_lineage(both.select(*by, "p_idx", "p", _lerp(F.col("_vlo"), F.col("_vhi"), F.col("t")).alias("value")))
     finally:
-        vc.unpersist()
-
-
-def _materialise(out: DataFrame) -> DataFrame:
-    """Bring a bounded result (len(probs) rows) back as a local relation so the cached inputs can go."""
-    return out.sparkSession.createDataFrame(out.collect(), out.schema)
-
-
-def _grouped_small(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float], splits: DataFrame) -> DataFrame:
-    """Grouped path for a bounded number of groups: split points and bucket totals come to the driver
-    (groups x buckets numbers), only the buckets that hold a needed rank are ranked by a window, and
-    the picked values (groups x probs x 2 rows) are interpolated on the driver. Every join is against a
-    table of at most groups x buckets rows, broadcast on purpose."""
-    spark = vc.sparkSession
-    b = join_groups(vc, F.broadcast(splits), by).select(
-        *by, "_v", "_c", count_at_most(F.col("_v"), lambda i: F.col("_s")[i], len(fracs)).alias("_b"))
-    totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc")).collect()  # <= groups x buckets rows
-    per_group: dict = {}
-    for r in totals:
-        per_group.setdefault(tuple(r[c] for c in by), []).append((r["_b"], r["_bc"]))
-    need_rows, plan = [], []  # (group..., bucket, rank, offset)
-    for g, lst in per_group.items():
-        lst.sort()
-        offs, acc = [], 0
-        for bk, bc in lst:
-            offs.append((bk, acc, bc))
-            acc += bc
-        n = acc
-        for i, p in enumerate(probs):
-            h = (n - 1) * p
-            lo = int(math.floor(h))
-            hi = min(lo + 1, n - 1)
-            plan.append((g, i, float(p), lo, hi, float(h - lo)))
-            for rk in {lo, hi}:
-                for bk, off, bc in offs:
-                    if off <= rk < off + bc:
-                        need_rows.append((*g, bk, rk, off))
-                        break
-    key_fields = [vc.schema[c] for c in by]
-    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
-
-    need_schema = StructType(key_fields + [StructField("_b", IntegerType()), StructField("_r", LongType()),
-                                           StructField("_off", LongType())])
-    need = spark.createDataFrame(need_rows, need_schema)
-    w = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cand = join_groups(b, F.broadcast(need.select(*by, "_b").distinct()), by + ["_b"], "left_semi")
-    cum = cand.withColumn("_cum", F.sum("_c").over(w))
-    picked = join_groups(cum, F.broadcast(need), by + ["_b"]).where(
-        (F.col("_r") >= F.col("_off") + F.col("_cum") - F.col("_c")) & (F.col("_r") < F.col("_off") + F.col("_cum"))
-    ).select(*by, "_r", "_v").collect()  # <= groups x probs x 2 rows
-    value_at = {(tuple(r[c] for c in by), r["_r"]): r["_v"] for r in picked}
-    out = []
-    for g, i, p, lo, hi, t in plan:
-        a, bv = value_at[(g, lo)], value_at[(g, hi)]
-        d = bv - a
-        out.append((*g, i, p, (bv - d * (1 - t)) if t >= 0.5 else (a + d * t)))
-    schema = StructType(key_fields + [StructField("p_idx", IntegerType()), StructField("p", DoubleType()),
-                                      StructField("value", DoubleType())])
-    return spark.createDataFrame(out, schema)
-
-
-def _ungrouped(vc: DataFrame, probs: list[float], fracs: list[float]) -> DataFrame:
-    spark = vc.sparkSession
-    splits = sorted(set(x for x in vc.approxQuantile("_v", fracs, 0.001) if x is not None))
-    b = vc.select("_v", "_c", count_at_most(F.col("_v"), lambda i: F.lit(float(splits[i])), len(splits)).alias("_b"))
-    totals = {r["_b"]: r["_bc"] for r in b.groupBy("_b").agg(F.sum("_c").alias("_bc")).collect()}
-    n = sum(totals.values())
-    schema = "p_idx int, p double, value double"
-    if n == 0:
-        return spark.createDataFrame([], schema)
-    offsets, acc = {}, 0
-    for k in sorted(totals):
-        offsets[k] = acc
-        acc += totals[k]
-    needed = []  # (p_idx, p, rank_lo, rank_hi, frac)
-    for i, p in enumerate(probs):
-        h = (n - 1) * p
-        lo = int(math.floor(h))
-        hi = min(lo + 1, n - 1)
-        needed.append((i, float(p), lo, hi, float(h - lo)))
-    ranks = sorted({r for _, _, lo, hi, _ in needed for r in (lo, hi)})
-
-    def bucket_of(r):
-        for k in sorted(offsets, reverse=True):
-            if offsets[k] <= r:
-                return k
-        return min(offsets)
-
-    want = {}
-    for r in ranks:
-        want.setdefault(bucket_of(r), []).append(r)
-    w = Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = b.where(F.col("_b").isin(list(want))).withColumn("_cum", F.sum("_c").over(w))
-    off = F.create_map(*[x for k in want for x in (F.lit(k), F.lit(offsets[k]))])
-    cum = cum.withColumn("_end", F.try_element_at(off, F.col("_b")) + F.col("_cum")).withColumn("_start", F.col("_end") - F.col("_c"))
-    rank_arr = F.array(*[F.lit(r) for r in ranks])
-    picked = cum.select(
-        "_v", F.explode(F.filter(rank_arr, lambda r: (r >= F.col("_start")) & (r < F.col("_end")))).alias("_r")
-    )
-    need_df = spark.createDataFrame(needed, "p_idx int, p double, lo long, hi long, t double")
-    lo = picked.select(F.col("_r").alias("lo"), F.col("_v").alias("_vlo"))
-    hi = picked.select(F.col("_r").alias("hi"), F.col("_v").alias("_vhi"))
-    # picked holds at most 2 * len(probs) rows; the joins are between bounded tables.
-    out = need_df.join(F.broadcast(lo), "lo").join(F.broadcast(hi), "hi")
-    return out.select("p_idx", "p", _lerp(F.col("_vlo"), F.col("_vhi"), F.col("t")).alias("value"))
-
-
-def _grouped(vc: DataFrame, by: list[str], probs: list[float], fracs: list[float]) -> DataFrame:
-    splits = vc.groupBy(*by).agg(F.percentile_approx("_v", fracs, 1000).alias("_s"))
-    b = join_groups(vc, splits, by).select(
-        *by, "_v", "_c", F.size(F.filter(F.array_distinct("_s"), lambda s: s <= F.col("_v"))).alias("_b")
-    )
-    totals = b.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
-    wg = Window.partitionBy(*by)
-    wo = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = totals.select(*by, "_b", "_bc", (F.sum("_bc").over(wo) - F.col("_bc")).alias("_off"),
-                           F.sum("_bc").over(wg).alias("_n"))
-    pa = F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    per_group = totals.select(*by, "_n").distinct()
-    need = per_group.select(*by, "_n", F.explode(pa).alias("_p")).select(
-        *by, F.col("_p.p_idx").alias("p_idx"), F.col("_p.p").alias("p"), ((F.col("_n") - 1) * F.col("_p.p")).alias("_h"), "_n"
-    )
-    need = need.select(*by, "p_idx", "p", F.floor("_h").cast("long").alias("lo"),
-                       F.least(F.floor("_h").cast("long") + 1, F.col("_n") - 1).alias("hi"),
-                       (F.col("_h") - F.floor("_h")).alias("t"))
-    ranks = need.select(*by, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_r")).distinct()
-    ranks = join_groups(ranks, totals, by).where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bc")))
-    ranks = ranks.select(*by, "_b", "_r", "_off")
-    w = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = join_groups(b, ranks.select(*by, "_b").distinct(), by + ["_b"], "left_semi").withColumn("_cum", F.sum("_c").over(w))
-    cum = join_groups(cum, ranks, by + ["_b"]).where(
-        (F.col("_r") >= F.col("_off") + F.col("_cum") - F.col("_c")) & (F.col("_r") < F.col("_off") + F.col("_cum"))
-    ).select(*by, "_r", "_v")
-    lo = cum.select(*by, F.col("_r").alias("lo"), F.col("_v").alias("_vlo"))
-    hi = cum.select(*by, F.col("_r").alias("hi"), F.col("_v").alias("_vhi"))
-    out = join_groups(join_groups(need, lo, by + ["lo"]), hi, by + ["hi"])
-    return out.select(*by, "p_idx", "p", _lerp(F.col("_vlo"), F.col("_vhi"), F.col("t")).alias("value"))
+        for small in kept:
+            small.unpersist()
 
 
 def percentile_edges(df: DataFrame, value: str, probs: list[float], by=(), approx: bool = False) -> DataFrame:

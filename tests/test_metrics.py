@@ -129,14 +129,15 @@ def test_loss_selection(spark):
     assert callable(M.loss_function("focal_smape"))
 
 
-def test_grouped_percentiles_distributed_path(spark, monkeypatch):
-    """The path used above SMALL_GROUPS groups (no driver coordination) gives the same numbers."""
+def test_grouped_percentiles_with_few_parts(spark, monkeypatch):
+    """Many passes of few parts each give the same numbers, also where values are infinite or far apart."""
     from pricelab.operators import quantiles as Q
 
-    monkeypatch.setattr(Q, "SMALL_GROUPS", 0)
+    monkeypatch.setattr(Q, "BUCKETS", 4)
     rng = np.random.default_rng(4)
     rows = [(f"g{int(g)}", float(v)) for g, v in zip(rng.integers(0, 6, 2000), rng.gamma(2.0, 50.0, 2000).round(1))]
     rows += [("hot", 7.0)] * 1500  # one group, one repeated value
+    rows += [("wide", v) for v in (-1e300, -5e-324, -0.0, 0.0, 5e-324, 1e-300, 1.0, 1e300)] + [("one", -3.5)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.2, 0.5, 0.8, 1.0]
     got = exact_percentiles(df, "v", probs, by=["g"]).collect()
