@@ -40,6 +40,17 @@ def key_of(name: str) -> Column:
     return F.when(c.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), c))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores in front of those that ``df`` has as columns (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def bucket_of(buckets: int, *cols: str, seed: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols]), F.lit(buckets)).cast("int")
 

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WHITE, WORD, body, key_of, ranked, staged
+from .common import WHITE, WORD, body, key_of, ranked, staged, unused
 
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 16_384  # blocks of one output shard
@@ -28,7 +28,7 @@ BUCKETS = 1024  # per source and epoch
 GRANULE = 1024  # draws of a source that are matched to shards together
 TOP_NODES = 256  # nodes of the tree that the driver opens; Spark opens the rest
 SMALL_TABLE = 100_000  # sources up to which the table of targets is broadcast
-EXACT_DRAW = 10**9  # the exact hypergeometric sampler takes totals below this; above, its normal limit
+TAILS = 12  # standard deviations of a draw within which all but 10^-30 of the probability lies
 
 
 def targets(sizes: list[int], total_share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = (5, 2, 1)) -> list[float]:
@@ -48,17 +48,26 @@ def targets(sizes: list[int], total_share: float = 1.5, cap: float = 2.0, weight
         for i in over:
             out[i] = limit[i]
         left -= sum(limit[i] for i in over)
-        open_ = [i for i in open_ if i not in set(over)]
+        full = set(over)
+        open_ = [i for i in open_ if i not in full]
     return out
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """How many of ``n`` draws without return are good."""
-    if good + bad < EXACT_DRAW:
-        return int(rng.hypergeometric(good, bad, n))
-    total, p = good + bad, good / (good + bad)
-    sd = math.sqrt(max(n * p * (1 - p) * (total - n) / (total - 1), 0))
-    return int(min(max(round(n * p + sd * rng.standard_normal()), n - bad, 0), n, good))
+    """How many of ``n`` draws without return are good, by inversion: the probabilities around the mode follow
+    from the ratios of neighbours, so totals of any size are drawn the same way."""
+    low, high = max(n - bad, 0), min(n, good)
+    if low == high:
+        return low
+    total = good + bad
+    p, q = good / total, n / total
+    reach = int(TAILS * math.sqrt(total * p * (1 - p) * q * (1 - q))) + 64
+    mode = min(max((good + 1) * (n + 1) // (total + 2), low), high)
+    up, down = np.arange(mode, min(mode + reach, high), dtype=float), np.arange(mode, max(mode - reach, low), -1, dtype=float)
+    above = np.cumprod((good - up) * (n - up) / ((up + 1) * (bad - n + up + 1)))
+    below = np.cumprod(down * (bad - n + down) / ((good - down + 1) * (n - down + 1)))
+    share = np.cumsum(np.concatenate([below[::-1], [1.0], above]))
+    return mode - len(below) + int(np.searchsorted(share, rng.random() * share[-1], side="right"))
 
 
 def split(lo: int, hi: int, shards: int, total: int, start: list[int], quota: list[int], seed: int):
@@ -98,10 +107,11 @@ def shard_ranges(spark, quota: list[int], shards: int, seed: int) -> DataFrame:
     return frame.repartition(min(len(nodes), 64)).mapInPandas(leaves, "source_no long, shard long, first long, n long")
 
 
-def mix(documents: DataFrame, total_share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = (5, 2, 1), seed: int = 17) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, total_share: float = 1.5, cap: float = 2.0, weights: tuple[float, ...] = (5, 2, 1), seed: int = 17, row_id: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows, draws).
 
-    ``rows``: every row with source_no, row (its number in the source), doc_id, size, source_size, target.
+    ``rows``: every row with source_no, row (its number in the source), id (the column ``row_id``, if given, else
+    a number of its own), doc_id, size, source_size, target.
     ``draws``: the mix, one row per drawn block: shard, position there, source_no, row, doc_id, epoch,
     first word, n_words (the last draw of a source is cut to end at its target, rounded).
 
@@ -109,7 +119,8 @@ def mix(documents: DataFrame, total_share: float = 1.5, cap: float = 2.0, weight
     doc_ids and repeated rows are rows like others; empty tables give empty results."""
     spark = documents.sparkSession
     size = F.regexp_count(body(), F.lit(WORD)).cast("long")
-    base = documents.select("doc_id", "source", key_of("source").alias("skey"), size.alias("size"), F.xxhash64(body()).alias("h"))
+    base = documents.select("doc_id", "source", key_of("source").alias("skey"), size.alias("size"), F.xxhash64(body()).alias("h"),
+                            (F.col(row_id) if row_id else F.monotonically_increasing_id()).alias("id"))
     base = staged(base, "mix-rows")
     per_source = base.groupBy("skey", "source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"))
     sources = per_source.orderBy(F.col("source").asc_nulls_last()).collect()  # one row per source
@@ -122,7 +133,7 @@ def mix(documents: DataFrame, total_share: float = 1.5, cap: float = 2.0, weight
     )
     plan = F.broadcast(plan) if len(sources) <= SMALL_TABLE else plan
     buckets = int(min(sum(r["rows"] for r in sources) // 1024 + 1, BUCKETS))
-    rows = staged(ranked(base, "skey", ["doc_id", "h"], ["doc_id", "h", "size"], buckets, "row").join(plan, "skey"), "mix-numbered")
+    rows = staged(ranked(base, "skey", ["doc_id", "h"], ["doc_id", "h", "size", "id"], buckets, "row").join(plan, "skey"), "mix-numbered")
 
     # blocks in the order of each epoch: hash bucket, then hash
     block = rows.where("size > 0").select("source_no", "source_size", "quota", "row", "doc_id", "size", F.explode(F.expr("sequence(0, epochs - 1)")).alias("epoch"))
@@ -141,8 +152,10 @@ def mix(documents: DataFrame, total_share: float = 1.5, cap: float = 2.0, weight
     drawn = drawn.select("source_no", "epoch", "row", "doc_id", "first", F.least("n", F.col("cap") - F.col("w")).alias("n_words"), (F.col("blocks0") + F.col("i")).alias("i"), "h")
     drawn = staged(drawn, "mix-draws")
     counts = {(r["source_no"], r["epoch"]): r["n"] for r in drawn.groupBy("source_no", "epoch").agg(F.count(F.lit(1)).alias("n")).collect()}  # a few per source
-    given = [sum(n for (s, _), n in counts.items() if s == i) for i in range(len(sources))]
-    shift = [(s, e, sum(n for (s2, e2), n in counts.items() if s2 == s and e2 < e)) for s, e in counts]
+    given, shift = [0] * len(sources), []
+    for (s, e), n in sorted(counts.items()):  # epochs in order: what earlier ones of the source gave
+        shift.append((s, e, given[s]))
+        given[s] += n
     shift = spark.createDataFrame(shift, "source_no long, epoch int, shift long")
     shift = F.broadcast(shift) if len(sources) <= SMALL_TABLE else shift
     drawn = drawn.join(shift, ["source_no", "epoch"]).withColumn("pos", F.col("shift") + F.col("i")).drop("shift", "i")
@@ -178,17 +191,18 @@ def mixed_words(documents: DataFrame, **options) -> DataFrame:
 def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     """The mix as documents, all columns: one row per document and epoch with the drawn words as its text
     (the text itself where all are drawn) and ``n_chars``, if there, counted anew. Rows that the mix takes
-    nothing of are gone. Documents must be distinct in (doc_id, text)."""
-    rows, draws = mix(documents, **options)
-    part = draws.groupBy("source_no", "row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("__parts"), F.sum("n_words").alias("__n"))
-    part = part.join(rows.select("source_no", "row", "doc_id", "h", "size"), ["source_no", "row"])
-    part = part.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), "__parts", (F.col("__n") == F.col("size")).alias("__whole"))
-    docs = documents.withColumn("__hash", F.xxhash64(body()))
-    both = docs.join(part, (docs["__hash"] == F.col("__h")) & docs["doc_id"].eqNullSafe(F.col("__id")))
-    words = F.filter(F.split("text", WHITE), lambda w: w != "")
-    both = both.withColumn("__words", F.when(~F.col("__whole"), words))
-    cut = F.expr("array_join(flatten(transform(__parts, p -> slice(__words, cast(p.first_word + 1 as int), cast(p.n_words as int)))), ' ')")
-    both = both.withColumn("text", F.when(F.col("__whole"), F.col("text")).otherwise(cut))
+    nothing of are gone. Rows are told apart by a number, so repeated rows, null ids and columns of any name do
+    no harm; an empty table gives an empty one."""
+    number, words, parts, whole = unused(documents, "mix_row", "mix_words", "mix_parts", "mix_whole")
+    docs = staged(documents.withColumn(number, F.monotonically_increasing_id()), "mix-documents")
+    rows, draws = mix(docs, row_id=number, **options)
+    part = draws.groupBy("source_no", "row", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias(parts), F.sum("n_words").alias("n"))
+    part = part.join(rows.select("source_no", "row", "id", "size"), ["source_no", "row"])
+    part = part.select(F.col("id").alias(number), parts, (F.col("n") == F.col("size")).alias(whole))
+    both = docs.join(part, number)
+    both = both.withColumn(words, F.when(~F.col(whole), F.filter(F.split("text", WHITE), lambda w: w != "")))
+    cut = F.expr(f"array_join(flatten(transform(`{parts}`, p -> slice(`{words}`, cast(p.first_word + 1 as int), cast(p.n_words as int)))), ' ')")
+    both = both.withColumn("text", F.when(F.col(whole), F.col("text")).otherwise(cut))
     if "n_chars" in documents.columns:
         both = both.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return both.select(*documents.columns)
+    return both.select(*[F.col(f"`{c}`") for c in documents.columns])
