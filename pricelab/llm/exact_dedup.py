@@ -99,14 +99,15 @@ def exact_groups(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFr
 
 
 def drop_exact_duplicates(documents: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``documents``, all columns, that stay."""
-    kept = exact_groups(documents, block_bytes).where("kept").select(F.col("doc_id").alias("__kid"), F.unhex("text_sha256").alias("__ksha"))
-    rows = documents.withColumn("__sha", F.unhex(F.sha2(normalised().cast("binary"), 256)))
-    stay = rows.join(kept, rows["doc_id"].eqNullSafe(kept["__kid"]) & (F.col("__sha") == F.col("__ksha")), "left_semi")
-    repeated = staged(rows.groupBy("doc_id", "__sha").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n"), "repeated-rows")
+    """The rows of ``documents``, all columns, that stay: of each group the one that ``exact_groups`` keeps; of
+    repeated rows one. An empty table stays empty."""
+    kept = exact_groups(documents, block_bytes).where("kept").select(F.col("doc_id").alias("kept_id"), F.unhex("text_sha256").alias("kept_sha"))
+    rows = documents.select("doc_id", F.unhex(F.sha2(normalised().cast("binary"), 256)).alias("sha"), F.struct("*").alias("row"))
+    stay = rows.join(kept, rows["doc_id"].eqNullSafe(kept["kept_id"]) & (F.col("sha") == F.col("kept_sha")), "left_semi")
+    repeated = staged(rows.groupBy("doc_id", "sha").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-rows")
     if repeated.isEmpty():
-        return stay.drop("__sha")
-    again = repeated.select(F.col("doc_id").alias("__rid"), F.col("__sha").alias("__rsha"))
-    on = stay["doc_id"].eqNullSafe(again["__rid"]) & (stay["__sha"] == again["__rsha"])
-    once = stay.join(again, on, "left_semi").dropDuplicates(["doc_id", "__sha"])
-    return stay.join(again, on, "left_anti").unionByName(once).drop("__sha")
+        return stay.select("row.*")
+    again = repeated.select(F.col("doc_id").alias("again_id"), F.col("sha").alias("again_sha"))
+    on = stay["doc_id"].eqNullSafe(again["again_id"]) & (stay["sha"] == again["again_sha"])
+    once = stay.join(again, on, "left_semi").dropDuplicates(["doc_id", "sha"])
+    return stay.join(again, on, "left_anti").unionByName(once).select("row.*")

@@ -136,7 +136,8 @@ def score_quality(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``documents``, all columns, that score 0.5 or more."""
+    """The rows of ``documents``, all columns, that score 0.5 or more; null texts are scored as empty ones,
+    repeated rows alike, an empty table stays empty."""
     model = fit(documents, labels)
-    rows = with_statistics(documents.withColumn("__row", F.struct("*")))
-    return rows.withColumn("__score", model.score()).where("__score >= 0.5").select("__row.*")
+    rows = with_statistics(documents.select("text", F.struct("*").alias("row")))  # whatever its columns are called
+    return rows.withColumn("score", model.score()).where("score >= 0.5").select("row.*")

@@ -407,12 +407,12 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     rows, member = _members(documents)
     linked = rows.where("n > 0").groupBy("doc_id", "h", "cid").agg(F.count(F.lit(1)).alias("times")).join(member, "cid")
     stays = F.col("doc_id").eqNullSafe(F.col("first.low")) & (F.col("h") == F.col("first.h"))
-    key = [F.col("doc_id").alias("__id"), F.col("h").alias("__key")]
-    linked = staged(linked.where(~stays | (F.col("times") > 1)).select(*key, stays.alias("__stays")), "shingle-dropped")
-    docs = documents.withColumn("__h", F.xxhash64(body()))
-    same = (F.col("__h") == F.col("__key")) & docs["doc_id"].eqNullSafe(F.col("__id"))
+    key = [F.col("doc_id").alias("id"), F.col("h").alias("key")]
+    linked = staged(linked.where(~stays | (F.col("times") > 1)).select(*key, stays.alias("stays")), "shingle-dropped")
+    docs = documents.select("doc_id", F.xxhash64(body()).alias("h"), F.struct("*").alias("row"))
+    same = (F.col("h") == F.col("key")) & docs["doc_id"].eqNullSafe(F.col("id"))
     left = docs.join(linked, same, "left_anti")
-    again = linked.where("__stays")
+    again = linked.where("stays")
     if not again.isEmpty():
-        left = left.unionByName(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "__h"]))
-    return left.drop("__h")
+        left = left.unionByName(docs.join(again, same, "left_semi").dropDuplicates(["doc_id", "h"]))
+    return left.select("row.*")
