@@ -9,7 +9,7 @@ from ..operators import splits as X
 from ..oracle.fixtures import with_fixtures
 from ..oracle.sqlfeatures import features_select
 from ..plans.features import engineer_features
-from ..registry import r6, register, round_col, rounded
+from ..registry import r6, register, rounded
 from ..sources.derived import catalog
 
 from .common import AUDIT_COLS, FLOAT_COLS, NUMERIC_COLS  # noqa: F401  (re-exported)
@@ -107,25 +107,8 @@ union all select 'describe_range', 'std_max', """ + r6("max(std)") + """ from d"
 
 @register("q05_feature_audit", with_fixtures(Q05_SQL))
 def q05_feature_audit(spark, sf_dir):
-    """Q05: the feature audit report - missing total, constant columns, correlated pairs, ranges.
-    The features are computed once (persisted) for the four checks; the report is a few rows."""
-    f = _features(spark, sf_dir).select(*AUDIT_COLS).persist()
-    cols = P.column_checks(f)  # missing counts and constant flags in one pass
-    miss = cols.agg(F.sum("n_missing").cast("double").alias("value")).select(
-        F.lit("missing_values").alias("check"), F.lit("total").alias("item"), "value")
-    const = cols.where("is_constant").select(
-        F.lit("constant_column").alias("check"), F.col("column").alias("item"), F.lit(1.0).alias("value"))
-    corr = P.high_correlations(f, NUMERIC_COLS).where(F.col("corr").isNotNull() & ~F.isnan("corr")).select(
-        F.lit("high_correlation").alias("check"), F.concat_ws("~", "col_a", "col_b").alias("item"),
-        round_col(F.col("corr"), 6).alias("value"))
-    rng = P.describe_ranges(P.describe(f, NUMERIC_COLS))
-    ranges = rng.select(F.explode(F.array(*[F.struct(F.lit(n).alias("item"), round_col(F.col(n), 6).alias("value"))
-                                            for n in ["mean_min", "mean_max", "std_min", "std_max"]])).alias("s")).select(
-        F.lit("describe_range").alias("check"), "s.item", "s.value")
-    rep = miss.unionByName(const).unionByName(corr).unionByName(ranges)
-    out = spark.createDataFrame(rep.collect(), rep.schema)  # bounded: columns + column pairs
-    f.unpersist()
-    return out
+    """Q05: the feature audit report - missing total, constant columns, correlated pairs, ranges."""
+    return rounded(P.feature_audit(_features(spark, sf_dir).select(*AUDIT_COLS), NUMERIC_COLS))
 
 
 @register("p06_fill_missing", with_fixtures(FEATS_CTE + "select sample_id, " + ", ".join(
