@@ -97,11 +97,15 @@ def retention_plan(manifest: DataFrame, keep_n: int = C.MAX_CHECKPOINTS_TO_KEEP,
     return out.select(*manifest.columns, keep.alias("keep"))
 
 
-def manifest_listing(manifest: DataFrame, stage: str | None = None, ts: str = "ts", tiebreak: str = "event_id") -> DataFrame:
+def manifest_listing(manifest: DataFrame, stage: str | None = None, ts: str = "ts", tiebreak: str = "event_id", position: str | None = None) -> DataFrame:
     """Entries newest first, optionally one stage (prefix test like ``name.startswith(stage + '_')``
-    becomes an equality on the stage column)."""
+    becomes an equality on the stage column). With ``position`` the entries are numbered by the
+    partition-parallel scan instead of sorted for output."""
     m = manifest if stage is None else manifest.where(F.col("stage") == stage)
-    return m.orderBy(F.col(ts).desc(), F.col(tiebreak).desc())
+    if position is None:
+        return m.orderBy(F.col(ts).desc(), F.col(tiebreak).desc())
+    newest = m.withColumn("_nts", -F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_neid", -F.col(tiebreak))
+    return running_scan(newest, ["_nts", "_neid"]).select(*manifest.columns, F.col("_rn").alias(position))
 
 
 def best_so_far(history: DataFrame, by=("stage",), order=("ts", "event_id"), metric: str = "metric") -> DataFrame:

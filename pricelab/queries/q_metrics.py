@@ -153,11 +153,7 @@ select model, smape, cast(row_number() over (order by smape, model) as integer)
 from (select model, {r6(SMAPE_SQL)} as smape from preds group by model)"""))
 def a18_leaderboard(spark, sf_dir):
     """Models by SMAPE, best first."""
-    s = rounded(M.smape(predictions(spark, sf_dir), by=["model"]))
-    from pyspark.sql import Window
-
-    w = Window.orderBy("smape", "model")  # one row per model
-    return s.select("model", "smape", F.row_number().over(w).alias("rank")).withColumn("is_best", F.col("rank") == 1)
+    return rounded(M.leaderboard(predictions(spark, sf_dir)))
 
 
 @register("a19_improvement", with_fixtures(f"""

@@ -46,10 +46,8 @@ def w02_retention_plan(spark, sf_dir):
     "select event_id, stage, row_number() over (order by ts desc, event_id desc) as position from manifest"))
 def w03_manifest_listing(spark, sf_dir):
     """Listing newest first, with the global position from the partition-parallel scan."""
-    m = _manifest(spark, sf_dir).select("event_id", "stage", "ts", (-F.unix_micros(F.col("ts").cast("timestamp"))).alias("_nts"),
-                                         (-F.col("event_id")).alias("_neid"))
-    s = W.running_scan(m, ["_nts", "_neid"])
-    return s.select("event_id", "stage", F.col("_rn").alias("position"))
+    m = _manifest(spark, sf_dir).select("event_id", "stage", "ts")
+    return W.manifest_listing(m, position="position").select("event_id", "stage", "position")
 
 
 @register("w04_best_so_far", with_fixtures(f"""
