@@ -93,8 +93,14 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
         found: list[DataFrame] = []
         while not live.isEmpty():
             v = F.col("_v")
-            met = _beside_intervals(base, live, by).withColumn("_s", F.get(F.filter("_in", lambda s: (s["lo"] <= F.col("_v")) & (F.col("_v") <= s["hi"])), F.lit(0)))
-            met = met.where("_s is not null").select(*by, "_v", F.col("_s.off").alias("_off"), _part(v, F.col("_s.lo"), F.col("_s.hi")).alias("_b"))
+            met = _beside_intervals(base, live, by)
+            if found:  # most rows are outside of all intervals; those between the first and the last are looked up
+                met = met.where((F.col("_v") >= F.array_min("_in")["lo"]) & (F.col("_v") <= F.array_max("_in")["hi"]))
+                inside = F.filter("_in", lambda s: (s["lo"] <= F.col("_v")) & (F.col("_v") <= s["hi"]))
+                met = met.withColumn("_s", F.get(inside, F.lit(0))).where("_s is not null")
+            else:
+                met = met.withColumn("_s", F.get("_in", F.lit(0)))  # the whole group
+            met = met.select(*by, "_v", F.col("_s.off").alias("_off"), _part(v, F.col("_s.lo"), F.col("_s.hi")).alias("_b"))
             parts = met.groupBy(*by, "_off", "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
             before = Window.partitionBy(*by, "_off").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows each
             parts = parts.withColumn("_at", F.col("_off") + F.coalesce(F.sum("_c").over(before), F.lit(0)))
