@@ -7,8 +7,6 @@ partial aggregation happens map-side, so a hot group costs no more than its shar
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -313,24 +311,28 @@ def target_check(board: DataFrame, target: float = C.TARGET_SMAPE) -> DataFrame:
     return board.select("*", (F.col("smape") < F.lit(target)).alias("meets_target"))
 
 
-def qq_fit(df: DataFrame, value: str) -> DataFrame:
-    """Normal Q-Q fit (slope, intercept, r) with Filliben plotting positions.
+def qq_fit(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Normal Q-Q fit (slope, intercept, r) with Filliben plotting positions, one row per group of ``by``.
 
-    Needs the global rank of every row; ``global_rank`` gives it without a single-partition window.
-    """
+    Needs the rank of every row in its group; ``global_rank`` gives it without a window over a whole group. Missing
+    values are left out; a group of one row has no slope; without rows there is no fit."""
     from .windows import global_rank
 
-    x = df.select(F.col(value).cast("double").alias("_x")).where(~is_missing(F.col("_x")))
-    ranked, n = global_rank(x, ["_x"])
-    if n == 0:
-        return df.sparkSession.createDataFrame([], "n long, slope double, intercept double, r double")
-    i = F.col("_rank") + 1
-    mn = math.pow(0.5, 1.0 / n)
-    m = F.when(i == 1, F.lit(1 - mn)).when(i == n, F.lit(mn)).otherwise((i - 0.3175) / (n + 0.365))
-    osm = inverse_normal_cdf(m)
-    pts = ranked.select(osm.alias("osm"), F.col("_x").alias("osr"))
-    return pts.agg(F.count(F.lit(1)).alias("n"), F.regr_slope("osr", "osm").alias("slope"),
-                   F.regr_intercept("osr", "osm").alias("intercept"), F.corr("osm", "osr").alias("r"))
+    by = list(by)
+    x = df.select(*by, F.col(value).cast("double").alias("_x")).where(~is_missing(F.col("_x")))
+    ranked = global_rank(x, ["_x"], by)
+    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    if by:
+        ranked = join_groups(ranked, sizes, by)  # one row a group on the right
+    else:
+        ranked = ranked.withColumn("_n", F.lit(sizes.first()["_n"]))
+    i, n = F.col("_rank") + 1, F.col("_n")
+    mn = F.pow(F.lit(0.5), F.lit(1.0) / n)
+    m = F.when(i == 1, 1 - mn).when(i == n, mn).otherwise((i - 0.3175) / (n + 0.365))
+    pts = ranked.select(*by, inverse_normal_cdf(m).alias("osm"), F.col("_x").alias("osr"))
+    fit = pts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.regr_slope("osr", "osm").alias("slope"),
+                               F.regr_intercept("osr", "osm").alias("intercept"), F.corr("osm", "osr").alias("r"))
+    return fit.where("n > 0")
 
 
 # FIXED VALUES (Acklam's rational approximation of the inverse normal CDF; public coefficients)

@@ -1,9 +1,9 @@
 """Manifest, history and ordering operators.
 
-Ordered scans (row numbers, running minimum, contiguous folds) use ``running_scan``: the data is
-range-partitioned on (group, order), each partition runs a local window, and a small table of
-per-(group, partition) totals supplies the prefix from earlier partitions. A group holding a third
-of all rows is therefore spread over many tasks instead of one window partition.
+Ordered scans (row numbers, running minimum, contiguous folds) use ``running_scan``: split points of the
+(group, order) keys are fixed first, the number of a row's part is a column made from them, each part runs a
+local window, and a small table of per-(group, part) totals supplies the prefix from earlier parts. A group
+holding a third of all rows is therefore spread over many tasks instead of one window partition.
 Top-N per group uses ``row_number() <= N``, which Spark plans as a group limit before the shuffle.
 """
 
@@ -11,11 +11,41 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import constants as C
 from ..session import cut_lineage
 from .groups import join_groups
 
+KEYS_PER_PART = 64
+HASH_RANGE = 1 << 30
+
+
+def part_number(df: DataFrame, keys: list[str], parts: int | None = None) -> Column:
+    """The part (0, 1, ...) of a row in ascending ``keys`` (NULLs first), as a column that never falls as the keys
+    rise and is the same whenever it is computed: its split points are literals.
+
+    There are at least ``parts`` parts (default: ``spark.sql.shuffle.partitions``), a power of two. The split points
+    come from about ``KEYS_PER_PART`` keys a part, picked by a hash of the key; they decide how even the parts are,
+    never what a scan returns. Keys that are equal share a part."""
+    wanted = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = 1 << max(1, (wanted - 1).bit_length())
+    key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keys)])
+    hashed = df.select(key.alias("key"), F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in keys]), F.lit(HASH_RANGE)).alias("h"))
+    n = df.count()
+    share = min(1.0, n_parts * KEYS_PER_PART / n) if n else 1.0
+    some = hashed.where(F.col("h") < int(share * HASH_RANGE) + 1)
+    # one array of about KEYS_PER_PART * n_parts keys, of which n_parts - 1 come back
+    points = some.agg(F.sort_array(F.collect_list("key")).alias("keys")).where(F.size("keys") > 0).select(F.to_json(F.transform(
+        F.sequence(F.lit(1), F.lit(n_parts - 1)),
+        lambda i: F.element_at("keys", F.floor(i * F.size("keys") / n_parts).cast("int") + 1))).alias("p")).first()
+    if points is None:
+        return F.lit(0)
+    schema = StructType([f for f in hashed.schema if f.name == "key"])["key"].dataType
+    split = F.sort_array(F.from_json(F.lit(points["p"]), f"array<{schema.simpleString()}>"))  # folded to one literal
+    widths = F.array(*[F.lit(n_parts >> i) for i in range(1, n_parts.bit_length())])
+    return F.aggregate(widths, F.lit(0), lambda at, w: F.when(F.element_at(split, at + w) <= key, at + w).otherwise(at))
+
 
 def running_scan(
     df: DataFrame,
@@ -24,47 +54,43 @@ def running_scan(
     min_of: str | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Adds ``_rn`` (1-based row number within ``by`` in ``order``) and, with ``min_of``,
-    ``_run_min`` (minimum of ``min_of`` over rows before and including this one, NULLs skipped).
+    """Adds ``_rn`` (1-based row number within ``by`` in ``order``) and, with ``min_of``, ``_run_min`` (minimum of
+    ``min_of`` over rows before and including this one, NULLs skipped) and ``_min_before`` (the same without this
+    one).
 
-    ``order`` must be a total order within each group (add a unique tiebreaker).
-    """
+    ``order`` must be a total order within each group (add a unique tiebreaker), and ``df`` must hold the same rows
+    whenever it is computed (write draws and made-up ids first). NULL groups and NULL keys are groups and keys like
+    others, NULLs first; an empty table stays empty. The rows are shuffled once and never written."""
     by = list(by)
-    # Range bounds are re-sampled each time an exchange runs, so partition ids are only stable inside
-    # one materialisation: checkpoint (reliable, shared folder) once and derive both the local
-    # running values and the per-partition totals from that copy.
-    keys = [F.col(c) for c in by + order]
-    # Without an explicit count, AQE sizes the range partitions from the data (coalescing neighbours
-    # keeps them in key order).
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    r = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
-    w = Window.partitionBy("_pid", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local_cols = [F.count(F.lit(1)).over(w).alias("_lrn")]
-    stat_cols = [F.count(F.lit(1)).alias("_cnt")]
+    # a struct is never NULL, so rows and totals meet by a plain equality on the key the window shuffled by
+    at = F.struct(*[F.col(f"`{c}`").alias(f"g{i}") for i, c in enumerate(by)], part_number(df, by + list(order), partitions).alias("part"))
+    r = df.withColumn("__at", at)
+    upto = Window.partitionBy("__at").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy("__at").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = [F.count(F.lit(1)).over(upto).alias("__rn")]
+    totals = [F.count(F.lit(1)).alias("__n")]
     if min_of:
-        local_cols.append(F.min(min_of).over(w).alias("_lmin"))
-        stat_cols.append(F.min(min_of).alias("_pmin"))
-    local = r.select("*", *local_cols)
-    stats = r.groupBy(*by, "_pid").agg(*stat_cols)
-    # one row per (group, partition): at most groups + partitions rows
-    wp = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = [F.coalesce(F.sum("_cnt").over(wp), F.lit(0)).alias("_off")]
+        local += [F.min(min_of).over(upto).alias("__upto"), F.min(min_of).over(before).alias("__before")]
+        totals.append(F.min(min_of).alias("__min"))
+    # one row per (group, part): at most groups + parts rows, at most parts rows a group
+    earlier = Window.partitionBy(*[f"__at.g{i}" for i in range(len(by))]).orderBy("__at.part").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = [F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off")]
     if min_of:
-        prefix.append(F.min("_pmin").over(wp).alias("_prev_min"))
-    stats = stats.select(*by, "_pid", *prefix)
-    out = join_groups(local, stats, by + ["_pid"])
-    cols = [c for c in df.columns] + [(F.col("_off") + F.col("_lrn")).alias("_rn")]
+        prefix.append(F.min("__min").over(earlier).alias("__earlier"))
+    stats = r.groupBy("__at").agg(*totals).select("__at", *prefix)
+    out = r.select("*", *local).join(stats, "__at")
+    cols = [F.col(f"`{c}`") for c in df.columns] + [(F.col("__off") + F.col("__rn")).alias("_rn")]
     if min_of:
-        cols.append(F.least(F.col("_prev_min"), F.col("_lmin")).alias("_run_min"))
+        cols += [F.least("__earlier", "__upto").alias("_run_min"), F.least("__earlier", "__before").alias("_min_before")]
     return out.select(*cols)
 
 
-def global_rank(df: DataFrame, order: list[str], partitions: int | None = None) -> tuple[DataFrame, int]:
-    """0-based rank ``_rank`` of every row in ``order`` (ties in arbitrary but fixed order), and n."""
-    x = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranked = running_scan(x, order + ["_tie"], partitions=partitions)
-    n = df.count()
-    return ranked.withColumn("_rank", F.col("_rn") - 1).drop("_rn", "_tie"), n
+def global_rank(df: DataFrame, order: list[str], by: list[str] | tuple[str, ...] = (), partitions: int | None = None) -> DataFrame:
+    """0-based rank ``_rank`` of every row in ``order`` within ``by``; ties in arbitrary but fixed order. The rows are
+    written once with the numbers that tell ties apart, so hand over the needed columns only."""
+    x = cut_lineage(df.withColumn("_tie", F.monotonically_increasing_id()))
+    ranked = running_scan(x, list(order) + ["_tie"], by, partitions=partitions)
+    return ranked.withColumn("_rank", F.col("_rn") - 1).drop("_rn", "_tie")
 
 
 def latest_entry(manifest: DataFrame, by: list[str] | tuple[str, ...] = ("stage",), ts: str = "ts",
@@ -114,14 +140,12 @@ def best_so_far(history: DataFrame, by=("stage",), order=("ts", "event_id"), met
 
 
 def _best_flags(history: DataFrame, by: list[str], order: list[str], metric: str) -> DataFrame:
-    """A row is a new best when its metric is below the minimum of all earlier rows, i.e. below the
-    inclusive running minimum of the previous row, joined by (group, row number - 1)."""
+    """A row is a new best when its metric is below the minimum of all earlier rows of its group."""
     s = running_scan(history, order, by, min_of=metric)
-    prev = s.select(*by, (F.col("_rn") + 1).alias("_rn"), F.col("_run_min").alias("best_before"))
-    out = join_groups(s, prev, by + ["_rn"], "left")
-    is_new = F.col(metric).isNotNull() & (F.col("best_before").isNull() | (F.col(metric) < F.col("best_before")))
-    return out.select(*history.columns, F.col("_rn").alias("step"), "best_before",
-                      F.col("_run_min").alias("best_so_far"), is_new.alias("is_new_best"))
+    best_before = F.col("_min_before")
+    is_new = F.col(metric).isNotNull() & (best_before.isNull() | (F.col(metric) < best_before))
+    return s.select(*history.columns, F.col("_rn").alias("step"), best_before.alias("best_before"),
+                    F.col("_run_min").alias("best_so_far"), is_new.alias("is_new_best"))
 
 
 def best_step(history: DataFrame, by=("stage",), step: str = "event_id", metric: str = "metric") -> DataFrame:
@@ -136,10 +160,12 @@ def early_stop(history: DataFrame, patience: int, by=("stage",), order=("ts", "e
     """Per run, the step where training stops (first step that is ``patience`` steps after the
     last improvement) and the best step; runs that never stop report their last step."""
     by, order = list(by), list(order)
-    flags = _best_flags(history, by, order, metric)
-    # last improvement step at or before each step = running max of improving step numbers
-    imp = flags.withColumn("_imp", F.when(F.col("is_new_best"), F.col("step")))
-    s2 = running_scan(imp.withColumn("_neg", -F.col("_imp")), ["step"], by, min_of="_neg")
+    narrow = history.select(*dict.fromkeys([*by, *order, metric]))
+    flags = _best_flags(narrow, by, order, metric)
+    # last improvement step at or before each step = running max of improving step numbers; two numbers a row are
+    # written, so that the second scan does not repeat the first
+    steps = cut_lineage(flags.select(*by, "step", F.when(F.col("is_new_best"), -F.col("step")).alias("_neg")))
+    s2 = running_scan(steps, ["step"], by, min_of="_neg")
     s2 = s2.withColumn("_last_imp", -F.col("_run_min"))
     stop_rows = s2.where(F.col("_last_imp").isNotNull() & (F.col("step") - F.col("_last_imp") >= patience))
     stops = stop_rows.groupBy(*by).agg(F.min(F.struct("step", "_last_imp")).alias("_s"))

@@ -25,7 +25,7 @@ from ..plans.features import engineer_features
 from ..registry import r6, register, rnd_sql, round_col, rounded
 from ..session import scratch_path, table
 from ..sources import store as ST
-from ..sources.derived import MODEL_OFFSETS, catalog, download_status, manifest, predictions
+from ..sources.derived import catalog, download_status, manifest, predictions
 from .q_metrics import PCT_SQL
 from .common import NUMERIC_COLS
 from .q_tfidf import _long_sql, _vocab_sql
@@ -95,15 +95,18 @@ def a11_qq_fit(spark, sf_dir):
     return rounded(M.qq_fit(x, "v"))
 
 
-@register("a11_qq_fit_by_model")
+@register("a11_qq_fit_by_model", with_fixtures(f"""
+, x as (select model, {PCT_SQL} as v from preds),
+r as (select model, v, row_number() over (partition by model order by v) as i, count(*) over (partition by model) as n from x),
+m as (select model, v, case when i = 1 then 1 - pow(0.5, 1.0 / n) when i = n then pow(0.5, 1.0 / n) else (i - 0.3175) / (n + 0.365) end as p from r),
+o as (select model, v, {_acklam_sql('p')} as osm from m)
+select model, count(*) as n, {r6('regr_slope(v, osm)')} as slope, {r6('regr_intercept(v, osm)')} as intercept, {r6('corr(osm, v)')} as r
+from o group by model"""))
 def a11_qq_fit_by_model(spark, sf_dir):
-    """The same fit for each of the models."""
-    from functools import reduce
-
+    """The same fit for each of the models, in one scan."""
     p = predictions(spark, sf_dir)
     x = p.select("model", E.percent_error(F.col("y_true"), F.col("pred")).alias("v"))
-    fits = [M.qq_fit(x.where(F.col("model") == m), "v").withColumn("model", F.lit(m)) for m, _ in sorted(MODEL_OFFSETS)]
-    return rounded(reduce(lambda a, b: a.unionByName(b), fits).select("model", "n", "slope", "intercept", "r"))
+    return rounded(M.qq_fit(x, "v", ["model"]))
 
 
 # ---- value transforms ---------------------------------------------------------------------------
