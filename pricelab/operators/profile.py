@@ -85,47 +85,54 @@ def column_checks(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, n_missing long, n_present long, is_constant boolean")
 
 
-def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
-    """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete.
+def masked_gram_sums(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Sums over the rows where both columns i < j of a pair are present: (i, j, n, si, sj, sii, sjj, sij), one row a
+    pair. Each task adds up matrix products of its batches (values with 0 for missing, and the mask of what is
+    present), so a task sends one row a pair, however many rows it reads. Values are taken less the column's mean,
+    which keeps the differences of large sums exact enough."""
+    d = len(cols)
+    x = df.select(*[F.when(~missing_expr(df, c), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    means = x.agg(*[F.coalesce(F.avg(f"c{i}"), F.lit(0.0)).alias(f"c{i}") for i in range(d)]).first()
+    shift = [float(means[f"c{i}"]) for i in range(d)]
+
+    def sums(batches):
+        import numpy as np
+        import pandas as pd
+
+        total = np.zeros((4, d, d))
+        for pdf in batches:
+            v = pdf.to_numpy(dtype="float64", na_value=np.nan)
+            there = ~np.isnan(v)
+            v = np.where(there, v - np.asarray(shift), 0.0)
+            m = there.astype("float64")
+            total += [m.T @ m, v.T @ m, (v * v).T @ m, v.T @ v]
+        n, s, q, p = total
+        i, j = np.triu_indices(d, 1)
+        yield pd.DataFrame({"i": i, "j": j, "n": n[i, j], "si": s[i, j], "sj": s[j, i], "sii": q[i, j], "sjj": q[j, i], "sij": p[i, j]})
+
+    parts = x.mapInPandas(sums, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+
+
+# a sum of squares about the mean that is below this share of the sum of squares is rounding: the column is constant
+CONSTANT_SHARE = 1e-13
+
 
-    Columns without a missing value go through one distributed Gram-matrix job (``Correlation.corr``:
-    d x d numbers come back, not rows). Pairs that involve a column with missing values use the
-    pairwise-complete path: each row emits one (pair, a, b) record for those pairs only, with a value
-    where both columns are present, and one grouped aggregate of stable built-ins gives their r."""
+def high_correlations(df: DataFrame, cols: list[str] | None = None, threshold: float = 0.95) -> DataFrame:
+    """Pairs (upper triangle, column order) with |pearson r| > threshold, pairwise-complete: r is taken over the
+    rows where both columns are present. A pair with a column that is constant there, or without such rows, has no r.
+    One aggregate for the means, one pass of matrix products (``masked_gram_sums``), for gappy columns and others
+    alike; infinite values have no r either."""
     cols = cols or numeric_columns(df)
-    spark = df.sparkSession
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    if not pairs:
-        return spark.createDataFrame([], "col_a string, col_b string, corr double")
-    x = df.select(*[F.when(~missing_expr(df, c), F.col(c).cast("double")).alias(c) for c in cols]).persist()
-    counts = x.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in cols]).collect()[0]
-    complete = [c for c in cols if counts[c] == counts["_n"]]
-    found: list[tuple] = []
-    if len(complete) >= 2 and counts["_n"] > 1:
-        from pyspark.ml.feature import VectorAssembler
-        from pyspark.ml.stat import Correlation
-
-        vec = VectorAssembler(inputCols=complete, outputCol="_v").transform(x.select(*complete)).select("_v")
-        m = Correlation.corr(vec, "_v", "pearson").collect()[0][0].toArray()  # d x d
-        pos = {c: i for i, c in enumerate(complete)}
-        for a, b in pairs:
-            if a in pos and b in pos:
-                r = float(m[pos[a], pos[b]])
-                found.append((a, b, None if r != r else r))
-    rest = [(a, b) for a, b in pairs if not (a in complete and b in complete)]
-    if rest:
-        recs = []
-        for k, (a, b) in enumerate(rest):
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            recs.append(F.struct(F.lit(k).alias("k"), F.when(both, F.col(a)).alias("a"), F.when(both, F.col(b)).alias("b")))
-        long = x.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
-        stats = long.groupBy("k").agg(F.try_divide(F.covar_pop("a", "b"), F.stddev_pop("a") * F.stddev_pop("b")).alias("corr"))
-        for r in stats.collect():  # one row per pair
-            a, b = rest[r["k"]]
-            found.append((a, b, r["corr"]))
-    x.unpersist()
-    out = spark.createDataFrame(found, "col_a string, col_b string, corr double")
-    return out.where(F.abs(F.col("corr")) > threshold)
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
+    names = F.array(*[F.lit(c) for c in cols])
+    dev = lambda q, s: F.when(F.col(q) - F.col(s) * F.col(s) / F.col("n") > F.col(q) * CONSTANT_SHARE,
+                              F.col(q) - F.col(s) * F.col(s) / F.col("n"))
+    r = F.try_divide(F.col("sij") - F.col("si") * F.col("sj") / F.col("n"), F.sqrt(dev("sii", "si")) * F.sqrt(dev("sjj", "sj")))
+    out = masked_gram_sums(df, cols).where("n > 0").select(
+        F.element_at(names, F.col("i") + 1).alias("col_a"), F.element_at(names, F.col("j") + 1).alias("col_b"), r.alias("corr"))
+    return out.where((F.abs("corr") > threshold) & ~F.isnan("corr"))
 
 
 def pairwise_corr(a: str, b: str):
