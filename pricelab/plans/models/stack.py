@@ -3,7 +3,7 @@
 Level 1 (meta learners on the sorted model columns): ridge CV and elastic-net CV from sufficient
 statistics (``linear``), and a shallow boosted-tree learner with K-fold out-of-fold predictions.
 Level 2: Nelder-Mead weights of the three meta predictions on validation (each evaluation one
-aggregate), then isotonic calibration (Spark ML ``IsotonicRegression``), floored at 0.
+aggregate), then isotonic calibration (``isotonic``: blocks pooled as tables), floored at 0.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +21,7 @@ from ... import constants as C
 from ...operators.predictions import cache_for_iterations, optimise_weights, smape_of_weights, weighted_expr
 from ...operators.windows import shuffled_folds
 from . import linear as L
+from .isotonic import IsotonicModel, fit_isotonic
 
 META = ["ridge", "elasticnet", "lgbm"]
 
@@ -66,7 +67,7 @@ class StackingEnsemble:
     enet: L.LinearModel | None = None
     lgbm: GBTRegressionModel | None = None
     weights: np.ndarray | None = None
-    isotonic: IsotonicRegressionModel | None = None
+    isotonic: IsotonicModel | None = None
     val_smape: float | None = None
 
     # ---- K17 --------------------------------------------------------------------------------------
@@ -88,7 +89,7 @@ class StackingEnsemble:
             self.weights = np.full(len(META), 1.0 / len(META))
         if use_isotonic:
             cal = meta_val.select(weighted_expr(META, self.weights).alias("_wp"), F.col(target).alias("_y"))
-            self.isotonic = IsotonicRegression(featuresCol="_wp", labelCol="_y", isotonic=True).fit(cal)
+            self.isotonic = fit_isotonic(cal, "_wp", "_y")
         self.val_smape = smape_of_weights(self.predict(val, out="_final"), ["_final"], target, [np.array([1.0])])[0]
         meta_val.unpersist()
         tr.unpersist()
@@ -103,7 +104,7 @@ class StackingEnsemble:
     def _final(self, meta: DataFrame) -> DataFrame:
         x = meta.withColumn("_wp", weighted_expr(META, self.weights))
         if self.isotonic is not None:
-            x = self.isotonic.transform(x).withColumn("_final", F.greatest(F.col("prediction"), F.lit(0.0))).drop("prediction")
+            x = self.isotonic.transform(x, "_wp", "_final").withColumn("_final", F.greatest(F.col("_final"), F.lit(0.0)))
         else:
             x = x.withColumn("_final", F.greatest(F.col("_wp"), F.lit(0.0)))
         return x
@@ -124,14 +125,14 @@ class StackingEnsemble:
         spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/state")
         self.lgbm.write().overwrite().save(f"{path}/lgbm")
         if self.isotonic is not None:
-            self.isotonic.write().overwrite().save(f"{path}/isotonic")
+            self.isotonic.save(f"{path}/isotonic")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "StackingEnsemble":
         st = json.loads(spark.read.json(f"{path}/state").collect()[0]["state"])
         e = StackingEnsemble(st["models"], L.LinearModel.from_dict(st["ridge"]), L.LinearModel.from_dict(st["enet"]),
                              GBTRegressionModel.load(f"{path}/lgbm"), np.asarray(st["weights"]),
-                             IsotonicRegressionModel.load(f"{path}/isotonic") if st["isotonic"] else None, st["val_smape"])
+                             IsotonicModel.load(spark, f"{path}/isotonic") if st["isotonic"] else None, st["val_smape"])
         return e
 
 

@@ -16,8 +16,9 @@ from ..plans.features import engineer_features
 from ..plans.models import boost as B
 from ..plans.models import linear as L
 from ..plans.models import stack as ST
+from ..plans.models.isotonic import fit_isotonic
 from ..registry import r6, register, rounded
-from ..session import scratch_path
+from ..session import scratch_path, table
 from ..sources.derived import MODEL_OFFSETS, catalog, predictions
 
 MODELS = sorted(m for m, _ in MODEL_OFFSETS)
@@ -164,15 +165,27 @@ def k12_k19_stacking_ensemble(spark, sf_dir):
 @register("k16_isotonic_calibration")
 def k16_isotonic_calibration(spark, sf_dir):
     """Isotonic calibration of the weighted validation prediction (monotone, clipped at 0)."""
-    from pyspark.ml.regression import IsotonicRegression
-
     v = _wide(spark, sf_dir).where("split = 'validation'")
     val = PR.cache_for_iterations(v, ["y_true", *MODELS])
     weighted = PR.weighted_expr(MODELS, PR.optimise_weights(val, MODELS, "y_true")).alias("weighted")
-    iso = IsotonicRegression(featuresCol="weighted", labelCol="y_true", isotonic=True).fit(val.select("y_true", weighted))
+    model = fit_isotonic(val.select("y_true", weighted), "weighted", "y_true")
     val.unpersist()
-    out = iso.transform(v.select("sample_id", weighted)).select("sample_id", "weighted", F.greatest("prediction", F.lit(0.0)).alias("calibrated"))
-    return out
+    out = model.transform(v.select("sample_id", weighted), "weighted")
+    return out.select("sample_id", "weighted", F.greatest("prediction", F.lit(0.0)).alias("calibrated"))
+
+
+@register("k16_isotonic_discount_of_part", f"""
+with m as (select l_partkey as x, sum(l_discount) as wy, count(*) as w from lineitem group by 1),
+c as (select x, sum(wy) over (order by x) as cy, sum(w) over (order by x) as cw from m),
+s as (select x, lag(cy, 1, 0) over (order by x) as py, lag(cw, 1, 0) over (order by x) as pw from c),
+p as (select s.x as a, c.x as b, (c.cy - s.py) / (c.cw - s.pw) as mean from s join c on c.x >= s.x),
+l as (select a, b, min(mean) over (partition by a order by b rows between current row and unbounded following) as low from p)
+select b as l_partkey, {r6('max(low)')} as fitted from l group by b""")
+def k16_isotonic_discount_of_part(spark, sf_dir):
+    """K16 on all of ``lineitem``: the discount as a non-decreasing function of the part number."""
+    rows = table(spark, sf_dir, "lineitem").select("l_partkey", "l_discount")
+    model = fit_isotonic(rows, "l_partkey", "l_discount")
+    return rounded(model.transform(rows.select("l_partkey").distinct(), "l_partkey", "fitted"))
 
 
 @register("k20_feature_importance")
