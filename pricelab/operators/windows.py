@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import constants as C
 from ..session import cut_lineage
@@ -21,13 +20,14 @@ KEYS_PER_PART = 64
 HASH_RANGE = 1 << 30
 
 
-def part_number(df: DataFrame, keys: list[str], parts: int | None = None) -> Column:
-    """The part (0, 1, ...) of a row in ascending ``keys`` (NULLs first), as a column that never falls as the keys
-    rise and is the same whenever it is computed: its split points are literals.
+def with_part(df: DataFrame, keys: list[str], parts: int | None = None, name: str = "part") -> DataFrame:
+    """``df`` with the part (0, 1, ...) of each row in ascending ``keys`` (NULLs first): a number that never falls as the
+    keys rise and is the same whenever it is computed, since the split points are literals.
 
     There are at least ``parts`` parts (default: ``spark.sql.shuffle.partitions``), a power of two. The split points
     come from about ``KEYS_PER_PART`` keys a part, picked by a hash of the key; they decide how even the parts are,
-    never what a scan returns. Keys that are equal share a part."""
+    never what a scan returns. Keys that are equal share a part. The search among the points is one code-generated step
+    per doubling of the parts."""
     wanted = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n_parts = 1 << max(1, (wanted - 1).bit_length())
     key = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keys)])
@@ -40,11 +40,15 @@ def part_number(df: DataFrame, keys: list[str], parts: int | None = None) -> Col
         F.sequence(F.lit(1), F.lit(n_parts - 1)),
         lambda i: F.element_at("keys", F.floor(i * F.size("keys") / n_parts).cast("int") + 1))).alias("p")).first()
     if points is None:
-        return F.lit(0)
-    schema = StructType([f for f in hashed.schema if f.name == "key"])["key"].dataType
+        return df.withColumn(name, F.lit(0))
+    schema = hashed.schema["key"].dataType
     split = F.sort_array(F.from_json(F.lit(points["p"]), f"array<{schema.simpleString()}>"))  # folded to one literal
-    widths = F.array(*[F.lit(n_parts >> i) for i in range(1, n_parts.bit_length())])
-    return F.aggregate(widths, F.lit(0), lambda at, w: F.when(F.element_at(split, at + w) <= key, at + w).otherwise(at))
+    # each step reads the column of the step before, so the steps stay projections of their own and do not multiply
+    out, width = df.withColumn(name, F.lit(0)), n_parts >> 1
+    while width:
+        out = out.withColumn(name, F.when(F.element_at(split, F.col(name) + width) <= key, F.col(name) + width).otherwise(F.col(name)))
+        width >>= 1
+    return out
 
 
 def running_scan(
@@ -63,8 +67,8 @@ def running_scan(
     others, NULLs first; an empty table stays empty. The rows are shuffled once and never written."""
     by = list(by)
     # a struct is never NULL, so rows and totals meet by a plain equality on the key the window shuffled by
-    at = F.struct(*[F.col(f"`{c}`").alias(f"g{i}") for i, c in enumerate(by)], part_number(df, by + list(order), partitions).alias("part"))
-    r = df.withColumn("__at", at)
+    at = F.struct(*[F.col(f"`{c}`").alias(f"g{i}") for i, c in enumerate(by)], F.col("__part").alias("part"))
+    r = with_part(df, by + list(order), partitions, "__part").withColumn("__at", at).drop("__part")
     upto = Window.partitionBy("__at").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = Window.partitionBy("__at").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = [F.count(F.lit(1)).over(upto).alias("__rn")]

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...operators.windows import part_number, running_scan
+from ...operators.windows import running_scan, with_part
 from ...session import cut_lineage
 
 BLOCKS_PER_TASK = 1 << 16
@@ -97,7 +97,7 @@ def fit_isotonic(df: DataFrame, x: str, y: str, weight: str | None = None, block
         _usable(F.col("x")) & _usable(F.col("y")) & _usable(F.col("w")) & (F.col("w") > 0))
     means = rows.groupBy("x").agg(F.sum(F.col("w") * F.col("y")).alias("wy"), F.sum("w").alias("w"))
     points = cut_lineage(means.select(F.col("x").alias("lo"), F.col("x").alias("hi"), "wy", "w"))
-    blocks = _pool_runs(points, part_number(points, ["lo"]))
+    blocks = _pool_runs(with_part(points, ["lo"]), F.col("part"))
     n, quiet, offset = blocks.count(), 0, 0
     while quiet < 2 and n > 1:
         single = n <= blocks_per_task  # one run holds all blocks: its pooling is final

@@ -52,7 +52,7 @@ def test_scan_keeps_columns_of_any_name_and_empty_tables(spark):
 
 def test_parts_never_fall_and_are_even_for_a_hot_group(spark):
     df = spark.range(20000).select(F.when(F.col("id") < 15000, "hot").otherwise("cold").alias("g"), F.col("id").alias("k"))
-    x = df.withColumn("part", W.part_number(df, ["g", "k"], 16))
+    x = W.with_part(df, ["g", "k"], 16)
     per = x.groupBy("part").agg(F.min(F.struct("g", "k")).alias("lo"), F.max(F.struct("g", "k")).alias("hi"), F.count(F.lit(1)).alias("n"))
     rows = per.orderBy("part").collect()
     assert len(rows) == 16 and max(r["n"] for r in rows) < 2 * 20000 / 16
@@ -97,3 +97,14 @@ def test_qq_fit_by_group_equals_one_fit_each(spark):
         assert fits[g]["n"] == one["n"] == 40
         assert abs(fits[g]["slope"] - one["slope"]) < 1e-9 and abs(fits[g]["r"] - one["r"]) < 1e-9
     assert M.qq_fit(df.where("v > 1e9"), "v").collect() == []
+
+
+def test_scan_after_joins_and_aggregates(spark):
+    """The rows' part is computed on both sides of the join with the totals, over plans of their own."""
+    ids = spark.range(300).selectExpr("cast(id % 100 as string) as k", "id").groupBy("k").agg(F.min("id").alias("v"))
+    left = ids.join(spark.createDataFrame([("7",), ("8",)], "k string"), "k", "left_anti")
+    got = W.batch_numbers(left, 10, ["k"])
+    assert got.count() == 98
+    rows = got.orderBy("row_idx").collect()
+    assert [r["k"] for r in rows] == sorted(str(i) for i in range(100) if i not in (7, 8))
+    assert [r["batch"] for r in rows] == [i // 10 for i in range(98)]
