@@ -348,8 +348,12 @@ def s05_vectorizer_round_trip(spark, sf_dir):
     """Fitted vocabulary saved as Parquet, loaded, and used to transform (same entries as V04)."""
     c = catalog(spark, sf_dir)
     path = scratch_path(spark, "vocab")
-    T.fit(c).save(path)
-    return rounded(T.transform_long(T.TfidfModel.load(spark, path), c))
+    fitted = T.fit(c)
+    fitted.save(path)
+    loaded = T.TfidfModel.load(spark, path)
+    if ST.round_trip_differences(fitted.vocab, loaded.vocab) != (0, 0):
+        raise AssertionError("the loaded vocabulary differs from the fitted one")
+    return rounded(T.transform_long(loaded, c))
 
 
 @register("s06_s07_prediction_store", with_fixtures(f"""
