@@ -12,6 +12,7 @@ client here. Files go to ``out_dir``, which must be a folder every executor can
 
 from __future__ import annotations
 
+import base64
 import os
 import time
 from collections.abc import Callable, Iterator
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..operators.sets import pending_work
 from ..operators.windows import batch_numbers
+from ..session import scratch_path
+from ..sources import payloads
 
 RESULT_SCHEMA = "sample_id string, ok boolean, attempts int, error string"
 
@@ -133,3 +136,74 @@ def download(spark: SparkSession, inputs: DataFrame, out_dir: str, manifest_path
     numbered.unpersist()
     return spark.createDataFrame([(success, failed, total - processed, total)],
                                  "success long, failed long, skipped long, total long")
+
+
+# ---- payloads as rows, published by batch -----------------------------------------------------------
+def data_url_fetch(url: str, timeout_s: float | None = None) -> bytes:
+    """Fetcher of ``data:`` URLs (base64): the payload is in the URL itself."""
+    head, comma, body = url.partition(",")
+    if not comma or not head.startswith("data:") or not head.endswith(";base64"):
+        raise ValueError("not a base64 data URL")
+    return base64.b64decode(body, validate=True)
+
+
+def fetch_rows(fetch: Callable[[str, float | None], bytes], max_retries: int = C.DOWNLOAD_MAX_RETRIES,
+               sleep: Callable[[float], None] = time.sleep, timeout_s: float | None = None):
+    """The function for ``mapInPandas`` over (sample_id, image_link): one row of ``PACK_SCHEMA`` per id, handed on
+    ``ROWS_HELD`` at a time. A fetch that raises, runs into the timeout (passed on to ``fetch``) or brings no valid payload
+    is repeated after 2, 4, 8 ... seconds; an id whose link is NULL fails at once."""
+
+    def one(url):
+        if url is None:
+            return False, 0, "no link", None
+        err = None
+        for attempt in range(1, max_retries + 1):
+            try:
+                data = fetch(url, timeout_s)
+                if valid_image_bytes(data):
+                    return True, attempt, None, data
+                err = "corrupted payload"
+            except Exception as e:  # noqa: BLE001 - any fetch error counts as a failed attempt
+                err = f"{type(e).__name__}: {e}"
+            if attempt < max_retries:
+                sleep(2 ** attempt)
+        return False, max_retries, err, None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), ROWS_HELD):
+                part = pdf.iloc[i:i + ROWS_HELD]
+                rows = [(sid, *one(url)) for sid, url in zip(part["sample_id"], part["image_link"])]
+                yield pd.DataFrame(rows, columns=["sample_id", "ok", "attempts", "error", "content"])
+
+    return run
+
+
+ROWS_HELD = 64
+
+
+def ingest(spark: SparkSession, inputs: DataFrame, path: str, fetch: Callable[[str, float | None], bytes] = data_url_fetch,
+           batch_size: int = C.DOWNLOAD_BATCH_SIZE, max_workers: int = 40, max_retries: int = C.DOWNLOAD_MAX_RETRIES,
+           sleep: Callable[[float], None] = time.sleep, timeout_s: float | None = None, max_items: int | None = None) -> DataFrame:
+    """I01-I04 on the payload store at ``path``: ids that have no good payload yet are fetched in batches of
+    ``batch_size`` ids by ``max_workers`` tasks, and each batch is published as a whole. A run that is stopped loses the
+    batch it was in; the next one goes on there. Returns ``(success, failed, skipped, total)`` of this run in ids: an id
+    that is listed several times counts once (its smallest link), rows with a NULL id count as nothing.
+
+    The batches are written once as folders, so a batch's job reads its own rows only."""
+    ids = inputs.where(F.col("sample_id").isNotNull()).groupBy("sample_id").agg(F.min("image_link").alias("image_link"))
+    done = payloads.published(spark, path).where("ok").select("sample_id").distinct()
+    todo = ids.join(done, "sample_id", "left_anti")
+    if max_items is not None:
+        todo = todo.orderBy("sample_id").limit(max_items)  # T05
+    plan = scratch_path(spark, "ingest-plan")
+    batch_numbers(todo, batch_size, ["sample_id"]).write.partitionBy("batch").parquet(plan)
+    numbered = spark.read.schema("sample_id string, image_link string, row_idx long, batch long").parquet(plan)
+    last = numbered.agg(F.max("batch")).first()[0]
+    fn = fetch_rows(fetch, max_retries, sleep, timeout_s)
+    for b in range(0 if last is None else last + 1):
+        part = numbered.where(F.col("batch") == b).select("sample_id", "image_link").repartition(max_workers)
+        payloads.publish(part.mapInPandas(fn, payloads.PACK_SCHEMA), path)
+    after = payloads.published(spark, path).where("ok").select("sample_id").distinct()
+    n_todo, n_ok, total = numbered.count(), numbered.join(after, "sample_id", "left_semi").count(), ids.count()
+    return spark.createDataFrame([(n_ok, n_todo - n_ok, total - n_todo, total)], "success long, failed long, skipped long, total long")

@@ -66,4 +66,4 @@ def r6(expr: str) -> str:
 
 
 # importing the query modules fills the registry
-from .queries import q_features, q_metrics, q_misc, q_models, q_predictions, q_quality, q_stream, q_tfidf, q_windows  # noqa: E402,F401
+from .queries import q_features, q_ingest, q_metrics, q_misc, q_models, q_predictions, q_quality, q_stream, q_tfidf, q_windows  # noqa: E402,F401
