@@ -12,30 +12,12 @@ from pyspark.sql import functions as F
 from ..functions.errors import smape_term
 
 
-ROWS_PER_LOOP_PARTITION = 1_000_000
-
-
 def cache_for_iterations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Keep only ``cols`` and persist (memory, spilling to disk) for a driver loop that scans the table
-    many times. Each loop step is a small job whose cost is dominated by per-task overhead, so the
-    cached copy gets one partition per million (narrow) rows, at most one per core: a single-stage job
-    at small scale, all cores at cluster scale."""
+    """Keep only ``cols`` and persist (memory, spilling to disk) for a driver loop that scans the table many times, in
+    the partitions it comes in: none are merged, so no task's share grows with the table."""
     from pyspark import StorageLevel
 
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    x = df.select(*cols)
-    if x.rdd.getNumPartitions() > cores:
-        x = x.coalesce(cores)
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    n = x.count()
-    want = max(1, min(cores, -(-n // ROWS_PER_LOOP_PARTITION)))
-    if want < x.rdd.getNumPartitions():
-        y = x.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
-        y.count()
-        x.unpersist()
-        x = y
-    return x
+    return df.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def model_names(preds: DataFrame, model_col: str = "model") -> list[str]:
@@ -103,48 +85,80 @@ def weighted_expr(models: list[str], weights) -> F.Column:
     return sum(F.col(f"`{m}`") * float(w) for m, w in zip(models, weights))
 
 
-def _smape_sql(target: str, models: list[str], w) -> str:
-    """SMAPE of one weight vector as a single SQL aggregate expression (one call to build, instead of a
-    Column tree assembled piece by piece from the driver)."""
-    pred = " + ".join(f"`{m}` * {float(x)!r}" for m, x in zip(models, w))
-    t = f"`{target}`"
-    return f"100.0 * avg(abs(({pred}) - {t}) / ((abs({t}) + abs({pred})) / 2.0 + 1e-10))"
-
-
 def smape_of_weights(wide: DataFrame, models: list[str], target: str, candidates: list[np.ndarray]) -> list[float]:
-    """SMAPE of several candidate weight vectors (|w| / sum |w|) in ONE aggregate (no cross join)."""
-    exprs = []
-    for i, w in enumerate(candidates):
-        w = np.abs(np.asarray(w, dtype=float))
-        s = w.sum()
-        w = w / s if s > 0 else np.full(len(models), 1.0 / len(models))
-        exprs.append(F.expr(_smape_sql(target, models, w)).alias(f"c{i}"))
-    row = wide.agg(*exprs).collect()[0]
-    return [float(row[f"c{i}"]) for i in range(len(candidates))]
+    """SMAPE of several candidate weight vectors (|w| / sum |w|) in ONE aggregate (no cross join).
+
+    The candidates go along as data: a task multiplies its batches with the matrix of weights and sends one row of sums,
+    so the plan is the same for every call. Rows with a NULL target or prediction count for no candidate."""
+    w = np.abs(np.array([np.asarray(c, dtype=float) for c in candidates]))
+    total = w.sum(axis=1, keepdims=True)
+    w = np.where(total > 0, w / np.where(total > 0, total, 1.0), 1.0 / len(models))
+
+    def sums(batches):
+        import pandas as pd
+
+        n, s = 0, np.zeros(len(w))
+        for pdf in batches:
+            x = pdf.to_numpy(dtype="float64")
+            t, pred = x[:, :1], x[:, 1:] @ w.T
+            n += len(x)
+            s += (np.abs(pred - t) / ((np.abs(t) + np.abs(pred)) / 2.0 + 1e-10)).sum(axis=0)
+        yield pd.DataFrame({"n": [n], "s": [s.tolist()]})
+
+    x = wide.select(F.col(f"`{target}`").cast("double").alias("t"), *[F.col(f"`{m}`").cast("double").alias(f"m{i}") for i, m in enumerate(models)])
+    parts = x.where(" and ".join(f"{c} is not null" for c in x.columns)).mapInPandas(sums, "n long, s array<double>")
+    row = parts.agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[i]) for i in range(len(w))]).alias("s")).first()
+    if not row["n"]:
+        raise ValueError("no row has the target and all predictions")
+    return [100.0 * v / row["n"] for v in row["s"]]
+
+
+def _moves(simplex: list[np.ndarray]) -> list[np.ndarray]:
+    """Reflection, expansion, outside and inside contraction of the last vertex. The centroid is summed in an order of the
+    vertices' own, so that the same simplex always gives the same points."""
+    worst = simplex[-1]
+    centroid = np.mean(sorted(simplex[:-1], key=lambda v: tuple(v)), axis=0)
+    d = centroid - worst
+    return [centroid + d, centroid + 2.0 * d, centroid + 0.5 * d, centroid - 0.5 * d]
+
+
+def _next_moves(simplex: list[np.ndarray]) -> list[np.ndarray]:
+    """The moves of the step after this one, for whatever move is taken: the vertex that is worst then is the second
+    worst of now or, after a contraction, the new one."""
+    out = []
+    for i, taken in enumerate(_moves(simplex)):
+        out += _moves([*simplex[:-2], taken, simplex[-2]])
+        if i >= 2:
+            out += _moves([*simplex[:-1], taken])
+    return out
 
 
 def optimise_weights(wide: DataFrame, models: list[str], target: str, max_iter: int = 1000, tol: float = 1e-4) -> np.ndarray:
     """Nelder-Mead on the SMAPE of |w| / sum |w|, started at equal weights.
 
-    The simplex lives on the driver (a handful of numbers); every objective evaluation is a
-    distributed aggregate, and the n + 1 initial vertices, and the reflection/expansion/contraction
-    candidates of one step, are evaluated together in one job."""
+    The simplex lives on the driver (a handful of numbers). Every objective evaluation is a distributed aggregate; a
+    job evaluates the n + 1 initial vertices, or the four candidates of a step together with those of the step after it,
+    so that two steps cost one pass over the rows."""
     n = len(models)
+    known: dict[bytes, float] = {}
+
+    def score(points: list[np.ndarray], ahead: list[np.ndarray] = ()) -> list[float]:
+        if any(p.tobytes() not in known for p in points):
+            new = list({p.tobytes(): p for p in [*points, *ahead] if p.tobytes() not in known}.values())
+            known.update(zip((p.tobytes() for p in new), smape_of_weights(wide, models, target, new)))
+        return [known[p.tobytes()] for p in points]
+
     x0 = np.full(n, 1.0 / n)
     simplex = [x0] + [x0 * (1 + 0.05 * np.eye(n)[i]) for i in range(n)]  # scipy's default initial simplex
-    fs = smape_of_weights(wide, models, target, simplex)
+    fs = score(simplex)
     for _ in range(max_iter):
-        order = np.argsort(fs)
+        order = np.argsort(fs, kind="stable")
         simplex = [simplex[i] for i in order]
         fs = [fs[i] for i in order]
         if max(abs(f - fs[0]) for f in fs) <= tol and max(np.max(np.abs(s - simplex[0])) for s in simplex) <= tol:
             break
-        centroid = np.mean(simplex[:-1], axis=0)
-        xr = centroid + (centroid - simplex[-1])
-        xe = centroid + 2.0 * (centroid - simplex[-1])
-        xc = centroid + 0.5 * (centroid - simplex[-1])   # outside contraction
-        xcc = centroid - 0.5 * (centroid - simplex[-1])  # inside contraction
-        fr, fe, fc, fcc = smape_of_weights(wide, models, target, [xr, xe, xc, xcc])
+        xr, xe, xc, xcc = moves = _moves(simplex)
+        fr, fe, fc, fcc = score(moves, _next_moves(simplex))
         if fr < fs[0]:
             simplex[-1], fs[-1] = (xe, fe) if fe < fr else (xr, fr)
         elif fr < fs[-2]:
@@ -155,7 +169,7 @@ def optimise_weights(wide: DataFrame, models: list[str], target: str, max_iter:
             simplex[-1], fs[-1] = xcc, fcc
         else:  # shrink towards the best vertex
             simplex = [simplex[0]] + [simplex[0] + 0.5 * (s - simplex[0]) for s in simplex[1:]]
-            fs = [fs[0]] + smape_of_weights(wide, models, target, simplex[1:])
+            fs = score(simplex)
     best = simplex[int(np.argmin(fs))]
     w = np.abs(best)
     return w / w.sum()
