@@ -151,18 +151,22 @@ def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col:
     Counting runs on 64-bit hashes of the terms (fixed-width keys: fast hash aggregation); strings are
     fetched only for the candidates of the top-k, and any hash collision among them falls back to the
     exact string-keyed count."""
+    own = None
     if terms is None:
-        terms = tokenize(df, text_col, id_col, stop_words)
+        terms = own = tokenize(df, text_col, id_col, stop_words).persist()  # read by up to three jobs
     if n_docs is None:
         n_docs = (df if df is not None else terms).count()
     h = F.xxhash64(F.col("term"))
-    tf = terms.select(F.explode("terms").alias("term")).select(h.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("count"))
-    dfc = terms.select(F.explode(F.array_distinct("terms")).alias("term")).select(h.alias("h")).groupBy("h").agg(
-        F.count(F.lit(1)).alias("df"))
-    kept = _select_vocabulary(tf.join(dfc, "h"), n_docs, max_features, min_df, max_df).persist()
+    # every occurrence, and each document's terms once more: both counts from one aggregate
+    lists = F.array(F.struct(F.lit(1).alias("occurrence"), F.col("terms").alias("t")), F.struct(F.lit(0).alias("occurrence"), F.array_distinct("terms").alias("t")))
+    seen = terms.select(F.explode(lists).alias("l")).select("l.occurrence", F.explode("l.t").alias("term")).select(h.alias("h"), "occurrence")
+    counts = seen.groupBy("h").agg(F.sum("occurrence").alias("count"), F.sum(1 - F.col("occurrence")).alias("df"))
+    kept = _select_vocabulary(counts, n_docs, max_features, min_df, max_df).persist()
     top = kept.orderBy(F.col("count").desc()).limit(max_features).collect()  # bounded: max_features rows
     if not top:
         kept.unpersist()
+        if own is not None:
+            own.unpersist()
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     floor = min(r["count"] for r in top)
     words = terms.select(F.explode("terms").alias("term")).select("term", h.alias("h"))
@@ -183,6 +187,8 @@ def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col:
         rows = stats.orderBy(F.col("count").desc(), F.col("term").asc()).limit(max_features).collect()
     else:
         rows = sorted(resolved, key=lambda r: (-r["count"], r["term"]))[:max_features]
+    if own is not None:
+        own.unpersist()
     ordered = sorted(rows, key=lambda r: r["term"])
     spark = terms.sparkSession
     import math
