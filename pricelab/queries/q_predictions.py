@@ -66,11 +66,12 @@ def a21_weighted_combination(spark, sf_dir):
     return rounded(wide.select("sample_id", PR.weighted_expr(MODELS, [w[m] for m in MODELS]).alias("pred")))
 
 
-@register("a21_weighted_combination_long")
+@register("a21_weighted_combination_long", with_fixtures(WEIGHTS_SQL + "select sample_id, " + rnd_sql("sum(weight * pred)", 3)
+                                                         + " as pred from preds join w using (model) group by sample_id"))
 def a21_weighted_combination_long(spark, sf_dir):
-    """A21 on the long table: weights broadcast (one row per model), sum per id."""
+    """A21 on the long table: weights broadcast (one row per model), sum per id (3 decimals: the order of the sum is free)."""
     p = predictions(spark, sf_dir)
-    return PR.weighted_combination(p, PR.inverse_smape_weights(p))
+    return rounded(PR.weighted_combination(p, PR.inverse_smape_weights(p)), 3)
 
 
 @register("u05_union_predictions", with_fixtures("select sample_id, model, y_true, pred from preds"))
