@@ -75,14 +75,9 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
     other value are left out."""
     by = list(by)
     base = df.select(*[F.col(b) for b in by], F.col(value).cast("double").alias("_v")).where(_finite(F.col("_v"))).persist()
-    kept = [base]  # read by several small jobs; the result is written before they are let go
-
-    def keep(small: DataFrame) -> DataFrame:
-        kept.append(small.persist())
-        return small
-
     try:
-        stats = keep(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where("_n > 0"))
+        # what a pass finds is written: a cached frame would show the plans of all passes before it, twice each
+        stats = cut_lineage(base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")).where("_n > 0"))
         need = stats.select(*by, "_n", F.explode(F.array(*[F.struct(F.lit(i).alias("p_idx"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])).alias("_p"))
         need = need.select(*by, "_n", "_p.p_idx", "_p.p", ((F.col("_n") - 1) * F.col("_p.p")).alias("_h"))
         need = need.select(*by, "p_idx", "p", F.floor("_h").cast("long").alias("lo"), F.least(F.floor("_h").cast("long") + 1, F.col("_n") - 1).alias("hi"),
@@ -107,7 +102,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
             asked = live.select(*by, F.explode("_in").alias("_s")).select(*by, F.col("_s.off").alias("_off"), F.col("_s.ranks").alias("_r"))
             parts = join_groups(parts, asked, [*by, "_off"])
             parts = parts.withColumn("_r", F.filter("_r", lambda r: (r >= F.col("_at")) & (r < F.col("_at") + F.col("_c")))).where(F.size("_r") > 0)
-            picked = keep(parts.select(*by, "_lo", "_hi", "_at", "_r"))
+            picked = cut_lineage(parts.select(*by, "_lo", "_hi", "_at", "_r"))
             found.append(picked.where("_lo = _hi").select(*by, F.explode("_r").alias("_rank"), F.col("_lo").alias("_value")))
             point = F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.col("_at").alias("off"), F.col("_r").alias("ranks"))
             live = picked.where("_lo < _hi").groupBy(*by).agg(F.collect_list(point).alias("_in")).where(F.size("_in") > 0)
@@ -118,8 +113,7 @@ def exact_percentiles(df: DataFrame, value: str, probs: list[float], by: list[st
         both = join_groups(low, at.select(*by, F.col("_rank").alias("hi"), F.col("_value").alias("_vhi")), [*by, "hi"])
         return cut_lineage(both.select(*by, "p_idx", "p", _lerp(F.col("_vlo"), F.col("_vhi"), F.col("t")).alias("value")))
     finally:
-        for small in kept:
-            small.unpersist()
+        base.unpersist()  # the result is written
 
 
 def percentile_edges(df: DataFrame, value: str, probs: list[float], by=(), approx: bool = False) -> DataFrame:
