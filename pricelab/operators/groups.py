@@ -5,6 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_GROUPS = 10_000
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -17,3 +20,12 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
     right = right.withColumnsRenamed(names)
     same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[n]) for k, n in names.items()])
     return left.join(right, same, how).drop(*names.values())
+
+
+def beside_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``join_groups`` for a ``left`` of many rows a group and a ``right`` of one row a group, written before or else
+    cheap to make. Up to ``MAX_BROADCAST_GROUPS`` groups are counted and broadcast, so that the rows stay where they are;
+    dealt out by group, a few groups would take all rows to as many tasks (Spark itself gives broadcasting up where most
+    partitions are empty)."""
+    few = right.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS
+    return join_groups(left, F.broadcast(right) if few else right, keys, how)

@@ -21,8 +21,9 @@ from ..functions.errors import (
     range_label,
     smape_term,
 )
+from ..session import cut_lineage
 from .quantiles import count_at_most, edges_list, exact_percentiles, percentile_edges
-from .groups import join_groups
+from .groups import beside_groups, join_groups
 
 
 def _pairs(df: DataFrame, t: str, p: str, by, in_log_space: bool = False) -> DataFrame:
@@ -84,7 +85,7 @@ def _edges_column(df: DataFrame, value: str, probs: list[float], by: list[str],
         edges = edges_list(df, value, probs, approx=approx)
         return df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in edges]).cast("array<double>"))
     e = percentile_edges(df, value, probs, by, approx=approx).withColumnRenamed("edges", "_edges")
-    return join_groups(df, e, by)
+    return beside_groups(df, e, by)
 
 
 def smape_by_quantile(df: DataFrame, t: str = "y_true", p: str = "pred", n_quantiles: int = 5, by=(),
@@ -182,7 +183,8 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by=()) -> DataFrame:
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_b"))
     step = (F.col("_b") - F.col("_a")) / bins
     if by:
-        xr = join_groups(x, rng, by)  # one row per group on the right
+        rng = cut_lineage(rng)
+        xr = beside_groups(x, rng, by)
     else:
         r = rng.collect()
         if not r:
@@ -233,7 +235,7 @@ def box_summary(df: DataFrame, value: str, by=()) -> DataFrame:
         F.max(F.when(F.col("p_idx") == 2, F.col("value"))).alias("q3"),
     )
     if by:
-        xq = join_groups(x, qw, by)
+        xq = beside_groups(x, qw, by)
     else:
         r = qw.collect()[0]
         xq = x.select("_x", F.lit(r["q1"]).alias("q1"), F.lit(r["median"]).alias("median"), F.lit(r["q3"]).alias("q3"))
@@ -321,9 +323,9 @@ def qq_fit(df: DataFrame, value: str, by: list[str] | tuple[str, ...] = ()) -> D
     by = list(by)
     x = df.select(*by, F.col(value).cast("double").alias("_x")).where(~is_missing(F.col("_x")))
     ranked = global_rank(x, ["_x"], by)
-    sizes = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = cut_lineage(x.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
     if by:
-        ranked = join_groups(ranked, sizes, by)  # one row a group on the right
+        ranked = beside_groups(ranked, sizes, by)
     else:
         ranked = ranked.withColumn("_n", F.lit(sizes.first()["_n"]))
     i, n = F.col("_rank") + 1, F.col("_n")

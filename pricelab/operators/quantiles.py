@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .groups import join_groups
+from .groups import beside_groups, join_groups
 
 BUCKETS = 1 << 16
 
@@ -64,7 +64,7 @@ def _part(v: Column, lo: Column, hi: Column) -> Column:
 def _beside_intervals(rows: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
     """Each row with its group's intervals; without groups there is one array, a literal."""
     if by:
-        return join_groups(rows, state.select(*by, "_in"), by)
+        return beside_groups(rows, state.select(*by, "_in"), by)
     held = state.select("_in").first()
     point = lambda s: F.struct(F.lit(s["lo"]).alias("lo"), F.lit(s["hi"]).alias("hi"), F.lit(s["off"]).alias("off"))
     return rows.withColumn("_in", F.array(*[point(s) for s in held["_in"]]))
