@@ -132,3 +132,13 @@ def test_udf_runs_without_package_on_workers(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
     assert "['creme', 'plain']" in out.stdout, out.stderr[-2000:]
+
+
+def test_stream_over_a_table_of_several_files(spark, tmp_dir):
+    from pricelab.streaming.features import stream_features
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")  # a folder, as Spark writes tables
+    docs.limit(5).write.parquet(f"{tmp_dir}/other.parquet")
+    out = stream_features(spark, tmp_dir, docs.schema, "text", "doc_id", glob="documents.parquet")
+    assert sorted(r.doc_id for r in out.select("doc_id").collect()) == sorted(r.doc_id for r in docs.select("doc_id").collect())
