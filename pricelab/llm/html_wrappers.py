@@ -23,6 +23,7 @@ import re
 import zlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from .common import staged
 FOLD = 64  # wrappers of a host that one step folds
 PERIOD = 4  # longest sequence of elements that counts as one repeated group
 DEPTH = 64  # elements nested deeper belong to the element at this depth
-ALIGN_CELLS = 1_000_000  # beyond this product of lengths, sequences are aligned by next equal item
+ALIGN_CELLS = 250_000  # beyond this product of lengths, numpy finds the same blocks faster than difflib
 FIXED_PAGES = 3  # a text is the host's, not the page's, if it is the same on at least so many pages
 FRAME = 3  # fixed texts up to so many times the others are the host's frame; beyond that the pages are copies
 MOST = 0.8  # share of the text that an element must hold to be taken for the article
@@ -252,24 +253,54 @@ def grouped(items: list[dict], groups: list[dict]) -> list[dict]:
 
 
 def matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
-    """Pairs of positions of equal keys, rising on both sides."""
+    """Pairs of positions of equal keys, rising on both sides: the longest common block (of these the first in ``a``,
+    then in ``b``), and so again before and after it. Both ways to find the blocks give the same ones."""
     if a == b:
         return [(i, i) for i in range(len(a))]
     if len(a) * len(b) <= ALIGN_CELLS:
         blocks = difflib.SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks()
         return [(x + i, y + i) for x, y, n in blocks for i in range(n)]
+    return long_matches(a, b)
+
+
+def long_matches(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """The blocks of ``difflib`` for long sequences: a row of lengths at a time in numpy, and a search ends with the
+    first block that is as long as the longest around it, as none inside can be longer."""
     places: dict[str, list[int]] = {}
-    for j in range(len(b) - 1, -1, -1):
-        places.setdefault(b[j], []).append(j)
-    out, low = [], 0
-    for i, k in enumerate(a):
-        rest = places.get(k, [])
-        while rest and rest[-1] < low:
-            rest.pop()
-        if rest and rest[-1] - low <= PERIOD * FOLD:
-            out.append((i, rest[-1]))
-            low = rest.pop() + 1
-    return out
+    for j, k in enumerate(b):
+        places.setdefault(k, []).append(j)
+    at = {k: np.array(v) for k, v in places.items()}
+    none = np.zeros(0, np.int64)
+    rows = [at.get(k, none) for k in a]
+    ending = np.zeros((2, len(b) + 1), np.int64)  # [j + 1]: length of the block that ends at b[j]; zero between searches
+    out, open_ = [], [(0, len(a), 0, len(b), min(len(a), len(b)))]
+    while open_:
+        low, high, left, right, most = open_.pop()
+        most = min(most, high - low, right - left)
+        if most < 1:
+            continue
+        n = x = y = 0
+        before, now, old = ending[0], ending[1], none
+        for i in range(low, high):
+            js = rows[i]
+            if len(js) and (js[0] < left or js[-1] >= right):
+                js = js[np.searchsorted(js, left) : np.searchsorted(js, right)]
+            if not len(js) and not len(old):
+                continue
+            sizes = before[js] + 1
+            now[js + 1] = sizes
+            before[old] = 0
+            old, before, now = js + 1, now, before
+            if len(js) and (longest := int(sizes.max())) > n:
+                j = int(js[int(sizes.argmax())])
+                n, x, y = longest, i - longest + 1, j - longest + 1
+                if n == most:
+                    break
+        before[old] = 0
+        if n:
+            out += [(x + i, y + i) for i in range(n)]
+            open_ += [(low, x, left, y, n), (x + n, high, y + n, right, n)]
+    return sorted(out)
 
 
 def pairs_of(a: list[dict], b: list[dict]) -> list[tuple[int, int]]:

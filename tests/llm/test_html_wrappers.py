@@ -1,5 +1,6 @@
 """Main texts against hand-made pages and against the standard library's parser on the given pages."""
 
+import random
 from html.parser import HTMLParser
 
 import pytest
@@ -108,3 +109,16 @@ def test_wrappers_have_optional_and_repeated_groups():
 
 def test_empty_table(spark):
     assert hw.extract_text(make(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("kinds", [2, 5, 60])
+def test_long_sequences_are_aligned_as_short_ones(monkeypatch, kinds):
+    rng = random.Random(kinds)
+    for size in (1, 7, 30, 120):
+        for _ in range(6):
+            a, b = ([str(rng.randrange(kinds)) for _ in range(rng.randint(0, size))] for _ in range(2))
+            b = b + a[: len(a) // 2] if rng.random() < 0.5 else b
+            monkeypatch.setattr(hw, "ALIGN_CELLS", 10**9)
+            want = hw.matches(a, b)
+            monkeypatch.setattr(hw, "ALIGN_CELLS", 0)
+            assert hw.matches(a, b) == want
