@@ -42,6 +42,8 @@ PART_ROWS = 200_000  # rows that a task of a job takes
 NODES = 32  # nodes of a model whose histograms one job takes
 KEPT_BYTES = 128 << 20
 ROUNDS, PATIENCE = 1000, 100
+VALID = 1  # mark of a validation row
+MOST_FOLDS = 254  # marks are one byte
 HESSIAN_FLOOR = 1e-3  # least sum of hessians of a leaf where no larger one is asked for
 
 
@@ -62,6 +64,7 @@ class TreeParams:
     rounds: int = ROUNDS
     patience: int | None = PATIENCE
     seed: int = C.RANDOM_STATE
+    fold: int | None = None  # train rows of this fold are the validation rows, those of the other folds are learned from
 
 
 @dataclass
@@ -237,8 +240,9 @@ def bin_edges(train: DataFrame, columns: list[str], max_bins: int) -> list[np.nd
     return [np.unique(np.array(q if q is not None else [], dtype=np.float64)) for q in row]
 
 
-def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray], label: str, split: str) -> DataFrame:
-    """(block, n, bins, label, valid, margins): rows in blocks, bins one byte each, feature by feature."""
+def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray], label: str, split: str, fold: str | None = None) -> DataFrame:
+    """(block, n, bins, label, mark, margins): rows in blocks, bins one byte each, feature by feature. The mark is
+    `VALID` or else, of a training row, its fold above that (0 without folds)."""
 
     def run(batches):
         import pyspark
@@ -253,7 +257,7 @@ def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray],
             row = [part << 32 | number, len(rows), bins.tobytes(), rows[:, 0].tobytes(), rows[:, 1].astype(np.uint8).tobytes(), b""]
             number += 1
             kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "n", "bins", "label", "valid", "margins"])
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "n", "bins", "label", "mark", "margins"])
 
         for batch in batches:
             held.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]))
@@ -266,8 +270,9 @@ def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray],
             yield packed(rest)
 
     rows = matrix.where(F.col(split).isin("train", "validation"))
-    rows = rows.select(F.col(label).cast("double"), (F.col(split) == "validation").cast("double"), *[F.col(f"`{c}`").cast("double") for c in columns])
-    return rows.mapInArrow(run, "block long, n long, bins binary, label binary, valid binary, margins binary")
+    train = F.lit(0) if fold is None else F.coalesce(F.col(fold).cast("int") + VALID + 1, F.lit(0))
+    rows = rows.select(F.col(label).cast("double"), F.when(F.col(split) == "validation", VALID).otherwise(train).cast("double"), *[F.col(f"`{c}`").cast("double") for c in columns])
+    return rows.mapInArrow(run, "block long, n long, bins binary, label binary, mark binary, margins binary")
 
 
 # ---- what a task does ---------------------------------------------------------------------------
@@ -318,9 +323,15 @@ def margins_of(run: str, block: int, bins: np.ndarray, stored: np.ndarray, step:
     return margin
 
 
+def rows_of(mark: np.ndarray, p: TreeParams) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows a model is measured on, and which it may learn from."""
+    valid = mark == (VALID if p.fold is None else VALID + 1 + p.fold)
+    return valid, ~valid & (mark != VALID)
+
+
 def read_block(row) -> tuple:
-    block, n, bins, label, valid, margins, group = row
-    return group, block, np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(label), np.frombuffer(valid, np.uint8) > 0, np.frombuffer(margins).reshape(-1, n)
+    block, n, bins, label, mark, margins, group = row
+    return group, block, np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(label), np.frombuffer(mark, np.uint8), np.frombuffer(margins).reshape(-1, n)
 
 
 def sums_of(run: str, steps: list[Step], width: int, groups: int):
@@ -331,13 +342,14 @@ def sums_of(run: str, steps: list[Step], width: int, groups: int):
         first = None
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                group, block, bins, label, valid, stored = read_block(row)
+                group, block, bins, label, mark, stored = read_block(row)
                 first = block if first is None else first
-                truth = np.maximum(np.expm1(label), C.SMAPE_EPS)
+                with np.errstate(over="ignore"):  # a label that is no logarithm
+                    truth = np.maximum(np.expm1(label), C.SMAPE_EPS)
                 for s in steps:
                     if s.model % groups != group:
                         continue
-                    add(out, s, block, bins, label, truth, valid, margins_of(run, block, bins, stored, s), width)
+                    add(out, s, block, bins, label, truth, *rows_of(mark, s.params), margins_of(run, block, bins, stored, s), width)
         if out:
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array([first] * len(out), pa.int64()),
                                               pa.array([v.tobytes() for v in out.values()], pa.binary())], ["model", "node", "block", "sums"])
@@ -345,17 +357,18 @@ def sums_of(run: str, steps: list[Step], width: int, groups: int):
     return work
 
 
-def add(out: dict, s: Step, block: int, bins, label, truth, valid, margin, width: int) -> None:
+def add(out: dict, s: Step, block: int, bins, label, truth, valid, learned, margin, width: int) -> None:
     p = s.params
     if s.measure:
-        guess = np.maximum(np.expm1(margin), C.SMAPE_EPS)
-        smape = np.abs(guess - truth) / ((truth + guess) / 2 + C.SMAPE_EPS)
+        with np.errstate(over="ignore", invalid="ignore"):
+            guess = np.maximum(np.expm1(margin), C.SMAPE_EPS)
+            smape = np.abs(guess - truth) / ((truth + guess) / 2 + C.SMAPE_EPS)
         square = (margin - label) ** 2
-        got = np.array([valid.sum(), square[valid].sum(), smape[valid].sum(), (~valid).sum(), smape[~valid].sum()], dtype=np.float64)
+        got = np.array([valid.sum(), square[valid].sum(), smape[valid].sum(), learned.sum(), smape[learned].sum()], dtype=np.float64)
         out[s.model, -2] = out.get((s.model, -2), 0) + got
     if not s.nodes:
         return
-    use = ~valid
+    use = learned
     if p.row_share < 1:
         draw = np.random.default_rng([p.seed & 0xFFFFFFFF, s.round // p.row_every, block & 0xFFFFFFFF, block >> 32])
         use = use & (draw.random(len(valid)) < p.row_share)
@@ -613,8 +626,10 @@ class Booster:
 
 
 def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], label: str = "label", split: str = "split",
-              max_bins: int = MAX_BINS, timeout_s: float | None = None) -> list[HistModel]:
-    """Fit all of ``fleet`` on the rows whose ``split`` is `train`, stopping each by its metric on `validation`.
+              max_bins: int = MAX_BINS, timeout_s: float | None = None, fold: str | None = None) -> list[HistModel]:
+    """Fit all of ``fleet`` on the rows whose ``split`` is `train`, stopping each by its metric on `validation`; a model
+    with a ``fold`` learns from the training rows whose column ``fold`` has another number (or none) and is stopped by the
+    others. Bins are the same for all.
 
     Rows of other splits are not used; null or NaN features count as larger than all edges. With a time limit the
     models are cut to the best round they have reached. Without validation rows all rounds are run."""
@@ -624,11 +639,20 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
     began = time.time()
     train = matrix.where(F.col(split) == "train")
     edges = bin_edges(train, columns, max_bins)
-    init = train.agg(F.avg(label)).first()[0]
-    if init is None:
-        raise ValueError("no training rows")
+    means = {r["f"]: (r["n"], r["s"]) for r in train.groupBy((F.lit(None) if fold is None else F.col(fold)).cast("int").alias("f"))
+             .agg(F.count(label).alias("n"), F.sum(F.col(label).cast("double")).alias("s")).collect()}  # a row a fold
+    if len(means) > MOST_FOLDS or any(f is not None and not 0 <= f < MOST_FOLDS for f in means):
+        raise ValueError(f"folds are numbers from 0 to {MOST_FOLDS - 1}")
+
+    def init_of(p: TreeParams) -> float:
+        n, s = (sum(x) for x in zip((0, 0.0), *((n, s or 0.0) for f, (n, s) in means.items() if p.fold is None or f != p.fold)))
+        if not n:
+            raise ValueError("no training rows")
+        return s / n
+
+    inits = [init_of(p) for p in fleet]
     path, run = scratch_path(spark, "hist-blocks"), uuid.uuid4().hex
-    block_table(matrix, columns, edges, label, split).write.parquet(path)
+    block_table(matrix, columns, edges, label, split, fold).write.parquet(path)
     read = spark.read.parquet(path)
     size = read.agg(F.sum("n"), F.count(F.lit(1))).first()
     parts = max(1, min(int(size[0]) // PART_ROWS + 1, int(size[1])))
@@ -637,7 +661,7 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
     dealt = read.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     dealt = dealt.repartitionByRange(groups, "group") if groups > 1 else dealt.repartition(parts)
     blocks = dealt.persist()  # rebuilt from the table if an executor is lost
-    boosters = [Booster(i, p, float(init), len(columns)) for i, p in enumerate(fleet)]
+    boosters = [Booster(i, p, float(init), len(columns)) for i, (p, init) in enumerate(zip(fleet, inits))]
     width = max([len(e) for e in edges], default=0) + 1
     while live := [b for b in boosters if not b.done]:
         steps = [b.step() for b in live]

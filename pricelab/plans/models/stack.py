@@ -1,7 +1,8 @@
 """Two-level stacking on the wide prediction table.
 
 Level 1 (meta learners on the sorted model columns): ridge CV and elastic-net CV from sufficient
-statistics (``linear``), and a shallow boosted-tree learner with K-fold out-of-fold predictions.
+statistics (``linear``), and a shallow boosted-tree learner with K-fold out-of-fold predictions (``hist``: the fold
+models and the final one grow together).
 Level 2: Nelder-Mead weights of the three meta predictions on validation (each evaluation one
 aggregate), then isotonic calibration (``isotonic``: blocks pooled as tables), floored at 0.
 """
@@ -9,11 +10,10 @@ aggregate), then isotonic calibration (``isotonic``: blocks pooled as tables), f
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,40 +21,30 @@ from ... import constants as C
 from ...operators.predictions import cache_for_iterations, optimise_weights, smape_of_weights, weighted_expr
 from ...operators.windows import shuffled_folds
 from . import linear as L
+from .hist import HistModel, TreeParams, fit_fleet
 from .isotonic import IsotonicModel, fit_isotonic
 
 META = ["ridge", "elasticnet", "lgbm"]
 
 
-def shallow_gbt(seed: int = C.RANDOM_STATE, validation_col: str | None = None) -> GBTRegressor:
-    """K12 learner: depth 4, 100 rounds, rate 0.05, at least 50 rows per leaf, row share 0.8."""
-    kw = dict(featuresCol="_mf", labelCol="_y", maxDepth=4, maxIter=100, stepSize=0.05, minInstancesPerNode=50,
-              subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)
-    if validation_col:
-        kw["validationIndicatorCol"] = validation_col
-    return GBTRegressor(**kw)
+# fixed values: the configured parameters of the learner
+SHALLOW = TreeParams("depth", rate=0.05, max_depth=4, alpha=0.1, lam=0.1, min_rows=50, row_share=0.8, column_share=0.8, rounds=100, patience=20)
 
 
 def shallow_gbt_oof(train: DataFrame, val: DataFrame, models: list[str], target: str, key: str = "sample_id",
                     fold_col: str = "fold", n_folds: int = C.N_FOLDS):
     """Out-of-fold train predictions, fold-averaged validation predictions, final model.
 
-    Each fold model trains on the other folds and stops early on its own fold (validation indicator)."""
-    va = VectorAssembler(inputCols=list(models), outputCol="_mf")
-    tr = va.transform(train.withColumn("_y", F.col(target)))
-    vv = va.transform(val.withColumn("_y", F.col(target)))
-    oof_parts, val_parts = [], []
-    for k in range(n_folds):
-        data = tr.withColumn("_isval", F.col(fold_col) == k)
-        m = shallow_gbt(validation_col="_isval").fit(data)
-        oof_parts.append(m.transform(tr.where(F.col(fold_col) == k)).select(key, F.col("prediction").alias("lgbm")))
-        val_parts.append(m.transform(vv).select(key, F.col("prediction").alias("_p")))
-    from functools import reduce
-
-    oof = reduce(DataFrame.unionByName, oof_parts)
-    # Fold models averaged per validation row (one aggregate instead of k joins)
-    val_pred = reduce(DataFrame.unionByName, val_parts).groupBy(key).agg((F.sum("_p") / n_folds).alias("lgbm"))
-    final = shallow_gbt().fit(tr)
+    Each fold model trains on the other folds and stops early on its own fold. These models and the final one, on all
+    training rows, grow together: a job takes all of them a level further."""
+    rows = train.select(*models, F.col(target).cast("double").alias("_y"), F.col(fold_col).alias("_fold"), F.lit("train").alias("_split"))
+    *by_fold, final = fit_fleet(rows, list(models), [replace(SHALLOW, fold=k) for k in range(n_folds)] + [SHALLOW], "_y", "_split", fold="_fold")
+    oof = reduce(DataFrame.unionByName, [m.transform(train.where(F.col(fold_col) == k), "lgbm").select(key, "lgbm") for k, m in enumerate(by_fold)])
+    # Fold models averaged per validation row
+    val_pred = val
+    for k, m in enumerate(by_fold):
+        val_pred = m.transform(val_pred, f"_p{k}")
+    val_pred = val_pred.select(key, (sum(F.col(f"_p{k}") for k in range(n_folds)) / n_folds).alias("lgbm"))
     return oof, val_pred, final
 
 
@@ -65,7 +55,7 @@ class StackingEnsemble:
     models: list[str] = field(default_factory=list)
     ridge: L.LinearModel | None = None
     enet: L.LinearModel | None = None
-    lgbm: GBTRegressionModel | None = None
+    lgbm: HistModel | None = None
     weights: np.ndarray | None = None
     isotonic: IsotonicModel | None = None
     val_smape: float | None = None
@@ -97,9 +87,8 @@ class StackingEnsemble:
 
     # ---- K18 --------------------------------------------------------------------------------------
     def _meta(self, wide: DataFrame) -> DataFrame:
-        va = VectorAssembler(inputCols=self.models, outputCol="_mf")
-        x = va.transform(wide).withColumn("ridge", self.ridge.expr()).withColumn("elasticnet", self.enet.expr())
-        return self.lgbm.transform(x).withColumnRenamed("prediction", "lgbm").drop("_mf")
+        x = wide.withColumn("ridge", self.ridge.expr()).withColumn("elasticnet", self.enet.expr())
+        return self.lgbm.transform(x, "lgbm")
 
     def _final(self, meta: DataFrame) -> DataFrame:
         x = meta.withColumn("_wp", weighted_expr(META, self.weights))
@@ -123,7 +112,7 @@ class StackingEnsemble:
                  "weights": [float(w) for w in self.weights], "val_smape": self.val_smape,
                  "isotonic": self.isotonic is not None}
         spark.createDataFrame([(json.dumps(state),)], "state string").coalesce(1).write.mode("overwrite").json(f"{path}/state")
-        self.lgbm.write().overwrite().save(f"{path}/lgbm")
+        self.lgbm.save(spark, f"{path}/lgbm")
         if self.isotonic is not None:
             self.isotonic.save(f"{path}/isotonic")
 
@@ -131,7 +120,7 @@ class StackingEnsemble:
     def load(spark: SparkSession, path: str) -> "StackingEnsemble":
         st = json.loads(spark.read.json(f"{path}/state").collect()[0]["state"])
         e = StackingEnsemble(st["models"], L.LinearModel.from_dict(st["ridge"]), L.LinearModel.from_dict(st["enet"]),
-                             GBTRegressionModel.load(f"{path}/lgbm"), np.asarray(st["weights"]),
+                             HistModel.load(spark, f"{path}/lgbm"), np.asarray(st["weights"]),
                              IsotonicModel.load(spark, f"{path}/isotonic") if st["isotonic"] else None, st["val_smape"])
         return e
 

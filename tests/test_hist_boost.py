@@ -142,3 +142,42 @@ def test_edges_of_the_input(spark):
     odd = df.withColumn("b", F.when(F.col("a") > 10, F.lit(float("nan"))).when(F.col("a") > 5, F.lit(None)).otherwise(F.col("b")))
     model = H.fit_fleet(odd.where("split = 'train'"), COLUMNS, [dataclasses.replace(p, patience=2)])[0]  # no validation rows: all rounds
     assert len(model.trees) == 3 and model.transform(odd).where("prediction is null or isnan(prediction)").count() == 0
+
+
+def test_models_of_folds_learn_from_the_other_folds(spark):
+    x, y, split = data(300)
+    df = frame(spark, x, y, split).where("split = 'train'").withColumn("fold", F.pmod(F.hash("a", "b", "c"), F.lit(3))).coalesce(1).cache()
+    p = H.TreeParams("depth", max_depth=2, rate=0.3, rounds=6, patience=None)
+    together = H.fit_fleet(df, COLUMNS, [*(dataclasses.replace(p, fold=k) for k in range(3)), p], fold="fold")
+    for k, m in enumerate(together):
+        rest = df.withColumn("split", F.when(F.col("fold") == k, "validation").otherwise("train"))
+        assert np.isclose(m.init, rest.where("split = 'train'").agg(F.avg("label")).first()[0])
+        if k < 3:  # measured on its fold
+            got = m.transform(rest.where("split = 'validation'")).agg(F.sqrt(F.avg((F.col("prediction") - F.col("label")) ** 2))).first()[0]
+            assert np.isclose(got, m.at_best()[1])
+    assert len(together[3].trees) == 6 and together[3].history[0][1] == 0  # all rows, all rounds
+    no_fold = df.withColumn("label", F.when(F.col("fold") == 1, F.col("label") + 100).otherwise(F.col("label")))
+    again = H.fit_fleet(no_fold, COLUMNS, [dataclasses.replace(p, fold=1, patience=None, rounds=1)], fold="fold")[0]
+    assert np.isclose(again.init, together[1].init)  # its own labels do not reach it
+
+
+def test_stacking_learner_takes_a_job_a_level(spark, tmp_path):
+    from pricelab.plans.models import stack as ST
+
+    n = 1500
+    rng = np.random.default_rng(3)
+    y = rng.uniform(1000, 5000, n)
+    rows = [(str(i), "validation" if i % 10 == 0 else "train" if i % 10 < 8 else "test", float(v), *(float(v * (1 + e)) for e in rng.normal(0, 0.1, 2))) for i, v in enumerate(y)]
+    wide = spark.createDataFrame(rows, "sample_id string, split string, y_true double, a double, b double").coalesce(2).cache()
+    sc = spark.sparkContext
+    sc.setJobGroup("stack", "stack")
+    comp, ens, _ = ST.train_ensemble(wide, ["a", "b"])
+    jobs = len(sc.statusTracker().getJobIdsForGroup("stack"))
+    sc.setJobGroup("rest", "rest")
+    assert jobs < 900  # one learner after the other took thousands
+    scores = {r.model: r.val_smape for r in comp.collect()}
+    assert scores["stacking"] < min(scores["a"], scores["b"])
+    ens.save(spark, str(tmp_path / "e"))
+    test = wide.where("split = 'test'")
+    key = lambda e: sorted((r.sample_id, r.pred) for r in e.predict(test).collect())
+    assert key(ST.StackingEnsemble.load(spark, str(tmp_path / "e"))) == key(ens)
