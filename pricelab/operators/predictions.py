@@ -27,10 +27,12 @@ def model_names(preds: DataFrame, model_col: str = "model") -> list[str]:
 
 def stack_wide(preds: DataFrame, models: list[str] | None = None, key: str = "sample_id", model_col: str = "model",
                value: str = "pred", extra: tuple[str, ...] = ()) -> DataFrame:
-    """One column per model in sorted order (pivot with an explicit value list, no extra job);
-    ``complete`` is False when a model has no prediction for the key."""
+    """One column per model in sorted order; ``complete`` is False when a model has no prediction for the key.
+
+    One aggregate with a column per model: a key's rows become one before the shuffle where they come together (a pivot
+    groups by key and model first, and then again)."""
     models = sorted(models or model_names(preds, model_col))
-    g = preds.groupBy(key, *extra).pivot(model_col, models).agg(F.first(value))
+    g = preds.groupBy(key, *extra).agg(*[F.first(F.when(F.col(model_col) == m, F.col(value)), ignorenulls=True).alias(m) for m in models])
     complete = F.lit(True)
     for m in models:
         complete = complete & F.col(f"`{m}`").isNotNull()
