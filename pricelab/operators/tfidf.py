@@ -85,21 +85,33 @@ def token_regex(stop_words: list[str]) -> str:
 BIGRAM_RX = r"(?:^| )(?=([^ ]+ [^ ]+))"
 
 
-def tokenize(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
-             stop_words: list[str] | None = None) -> DataFrame:
-    """(id, terms ARRAY<STRING>) with unigrams then bigrams, in text order.
+def kept_words(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
+               stop_words: list[str] | None = None) -> DataFrame:
+    """(id, words STRING): the kept tokens in text order, joined by blanks (tokens never contain one).
 
-    Stop words are skipped by the token regex itself (a prefix-tree alternation in a negative
-    lookahead); bigrams are the overlapping pairs of the kept tokens, read by a lookahead regex from
-    the blank-joined tokens (tokens never contain a blank). All JVM-side."""
+    Stop words are skipped by the token regex itself (a prefix-tree alternation in a negative lookahead).
+    This is what is cached where tokens are read several times: shorter than the text, where the arrays
+    of terms take several times its size."""
     from ..plans.features import spread
 
     stop_words = C.ENGLISH_STOP_WORDS if stop_words is None else stop_words
     low = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     base = spread(df, id_col).select(F.col(id_col), strip_accents(low).alias("_s"))
-    kept = base.select(F.col(id_col), F.regexp_extract_all(F.col("_s"), F.lit(token_regex(list(stop_words))), 0).alias("_k"))
-    bigrams = F.regexp_extract_all(F.array_join("_k", " "), F.lit(BIGRAM_RX), 1)
-    return kept.select(F.col(id_col), F.concat("_k", bigrams).alias("terms"))
+    kept = F.regexp_extract_all(F.col("_s"), F.lit(token_regex(list(stop_words))), 0)
+    return base.select(F.col(id_col), F.array_join(kept, " ").alias("words"))
+
+
+def terms_of(kept: DataFrame, id_col: str = "sample_id") -> DataFrame:
+    """(id, terms ARRAY<STRING>) of ``kept_words``: unigrams, then bigrams, which are the overlapping pairs of
+    the kept tokens, read by a lookahead regex. All JVM-side."""
+    words = F.when(F.col("words") == "", F.array().cast("array<string>")).otherwise(F.split("words", " ", -1))
+    return kept.select(F.col(id_col), F.concat(words, F.regexp_extract_all(F.col("words"), F.lit(BIGRAM_RX), 1)).alias("terms"))
+
+
+def tokenize(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
+             stop_words: list[str] | None = None) -> DataFrame:
+    """(id, terms ARRAY<STRING>) with unigrams then bigrams, in text order."""
+    return terms_of(kept_words(df, text_col, id_col, stop_words), id_col)
 
 
 def doc_term_counts(terms: DataFrame, id_col: str = "sample_id") -> DataFrame:
@@ -143,6 +155,17 @@ def _select_vocabulary(stats: DataFrame, n_docs: int, max_features: int, min_df:
     return kept
 
 
+MAX_BROADCAST_HASHES = 100_000
+
+
+def _words_with(words: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The distinct (h, term) of the words whose hash is wanted. The occurrences are not dealt out by their hash, as a
+    frequent word's would all go to one task: few hashes are broadcast, for many the words are made distinct first."""
+    if wanted.limit(MAX_BROADCAST_HASHES + 1).count() <= MAX_BROADCAST_HASHES:
+        return words.join(F.broadcast(wanted.select("h")), "h").distinct()
+    return words.distinct().join(wanted.select("h"), "h")
+
+
 def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col: str = "sample_id",
         max_features: int = C.TFIDF_MAX_FEATURES, min_df: int = C.TFIDF_MIN_DF, max_df: float = C.TFIDF_MAX_DF,
         stop_words: list[str] | None = None, terms: DataFrame | None = None, n_docs: int | None = None) -> TfidfModel:
@@ -153,7 +176,8 @@ def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col:
     exact string-keyed count."""
     own = None
     if terms is None:
-        terms = own = tokenize(df, text_col, id_col, stop_words).persist()  # read by up to three jobs
+        own = kept_words(df, text_col, id_col, stop_words).persist()  # read by up to three jobs
+        terms = terms_of(own, id_col)
     if n_docs is None:
         n_docs = (df if df is not None else terms).count()
     h = F.xxhash64(F.col("term"))
@@ -177,8 +201,7 @@ def fit(df: DataFrame | None = None, text_col: str = "catalog_content", id_col:
     # top-k, so only the needed ones reach the driver.
     need = max_features - len({r["h"] for r in above_rows})
     tied = kept.where(F.col("count") == floor)
-    tied_rows = (words.join(tied.select("h"), "h").distinct().join(tied, "h")
-                 .orderBy("term").limit(need + 1).collect()) if need > 0 else []
+    tied_rows = _words_with(words, tied).join(tied, "h").orderBy("term").limit(need + 1).collect() if need > 0 else []
     kept.unpersist()
     resolved = above_rows + tied_rows
     collision = len({r["h"] for r in above_rows}) != len(above_rows) or len({r["h"] for r in tied_rows}) != len(tied_rows)
@@ -223,10 +246,11 @@ def transform_long(model: TfidfModel | None, df: DataFrame | None = None, text_c
 
 def fit_transform(df: DataFrame, text_col: str = "catalog_content", id_col: str = "sample_id",
                   **fit_args) -> tuple[TfidfModel, DataFrame]:
-    """Fit and transform the same rows, tokenizing once (tokens persisted; unpersist with
-    ``terms.unpersist()`` via the returned frame's lineage when done)."""
-    terms = tokenize(df, text_col, id_col, fit_args.pop("stop_words", None)).persist()
-    model = fit(None, text_col, id_col, terms=terms, n_docs=terms.count(), **fit_args)
+    """Fit and transform the same rows, tokenizing once (kept words persisted; unpersist them
+    via the returned frame's lineage when done)."""
+    kept = kept_words(df, text_col, id_col, fit_args.pop("stop_words", None)).persist()
+    terms = terms_of(kept, id_col)
+    model = fit(None, text_col, id_col, terms=terms, n_docs=kept.count(), **fit_args)
     return model, transform_long(model, None, text_col, id_col, terms=terms)
 
 
