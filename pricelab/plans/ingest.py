@@ -16,8 +16,11 @@ import base64
 import os
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from itertools import islice
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,17 +183,19 @@ def fetch_rows(fetch: Callable[[str, float | None], bytes], max_retries: int = C
 
 
 ROWS_HELD = 64
+IN_FLIGHT = 4  # batches of a run that are fetched at a time
 
 
 def ingest(spark: SparkSession, inputs: DataFrame, path: str, fetch: Callable[[str, float | None], bytes] = data_url_fetch,
            batch_size: int = C.DOWNLOAD_BATCH_SIZE, max_workers: int = 40, max_retries: int = C.DOWNLOAD_MAX_RETRIES,
            sleep: Callable[[float], None] = time.sleep, timeout_s: float | None = None, max_items: int | None = None) -> DataFrame:
     """I01-I04 on the payload store at ``path``: ids that have no good payload yet are fetched in batches of
-    ``batch_size`` ids by ``max_workers`` tasks, and each batch is published as a whole. A run that is stopped loses the
-    batch it was in; the next one goes on there. Returns ``(success, failed, skipped, total)`` of this run in ids: an id
+    ``batch_size`` ids by ``max_workers`` tasks, and each batch is published as a whole. The next run
+    goes on where one was stopped. Returns ``(success, failed, skipped, total)`` of this run in ids: an id
     that is listed several times counts once (its smallest link), rows with a NULL id count as nothing.
 
-    The batches are written once as folders, so a batch's job reads its own rows only."""
+    The batches are written once as folders, so a batch's job reads its own rows only. ``IN_FLIGHT`` of them are under way
+    at a time, as one is too small to fill a cluster, and share the ``max_workers`` tasks; a run that is stopped loses these, no others."""
     ids = inputs.where(F.col("sample_id").isNotNull()).groupBy("sample_id").agg(F.min("image_link").alias("image_link"))
     done = payloads.published(spark, path).where("ok").select("sample_id").distinct()
     todo = ids.join(done, "sample_id", "left_anti")
@@ -201,9 +206,22 @@ def ingest(spark: SparkSession, inputs: DataFrame, path: str, fetch: Callable[[s
     numbered = spark.read.schema("sample_id string, image_link string, row_idx long, batch long").parquet(plan)
     last = numbered.agg(F.max("batch")).first()[0]
     fn = fetch_rows(fetch, max_retries, sleep, timeout_s)
-    for b in range(0 if last is None else last + 1):
-        part = numbered.where(F.col("batch") == b).select("sample_id", "image_link").repartition(max_workers)
+
+    def run(b: int) -> None:
+        spark.createDataFrame([], "id int")  # makes the session the thread's own: data sources are looked up there
+        part = numbered.where(F.col("batch") == b).select("sample_id", "image_link").repartition(max(1, max_workers // at_once))
         payloads.publish(part.mapInPandas(fn, payloads.PACK_SCHEMA), path)
+
+    at_once = max(1, min(IN_FLIGHT, max_workers))
+    todo_batches, under_way = iter(range(0 if last is None else last + 1)), set()
+    with ThreadPoolExecutor(at_once) as pool:
+        while True:
+            under_way |= {pool.submit(inheritable_thread_target(spark)(run), b) for b in islice(todo_batches, at_once - len(under_way))}
+            if not under_way:
+                break
+            ended, under_way = wait(under_way, return_when=FIRST_COMPLETED)
+            for job in ended:
+                job.result()  # after an error no further batch is begun; those under way end
     after = payloads.published(spark, path).where("ok").select("sample_id").distinct()
     n_todo, n_ok, total = numbered.count(), numbered.join(after, "sample_id", "left_semi").count(), ids.count()
     return spark.createDataFrame([(n_ok, n_todo - n_ok, total - n_todo, total)], "success long, failed long, skipped long, total long")

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 import time
 import uuid
 from dataclasses import dataclass
@@ -113,9 +114,13 @@ class PayloadPacks(DataSource):
         return PackWriter(self.options["path"], int(self.options.get("packbytes", PACK_BYTES)))
 
 
+_REGISTERING = threading.Lock()
+
+
 def publish(rows: DataFrame, path: str, pack_bytes: int = PACK_BYTES) -> None:
     """One batch: the rows (``PACK_SCHEMA``) become visible together, or not at all."""
-    rows.sparkSession.dataSource.register(PayloadPacks)
+    with _REGISTERING:  # batches may be published by several threads
+        rows.sparkSession.dataSource.register(PayloadPacks)
     cols = [f.split()[0] for f in PACK_SCHEMA.split(", ")]
     rows.select(*cols).write.format("payload_packs").mode("append").option("path", path).option("packBytes", pack_bytes).save()
 

@@ -96,3 +96,23 @@ def test_retries_wait_2_and_4_seconds_and_pass_the_timeout(spark):
 
     got = next(I.fetch_rows(flaky, 3, waits.append, timeout_s=9.0)(iter([pd.DataFrame({"sample_id": ["x"], "image_link": ["u"]})])))
     assert got.iloc[0].tolist() == ["x", True, 3, None, JPEG] and waits == [2, 4] and asked == [9.0] * 3
+
+
+def test_batches_are_fetched_together(spark, tmp_dir, monkeypatch):
+    """Two batches meet while they are published; an error ends the run, and the next run goes on."""
+    import threading
+
+    df = spark.createDataFrame([(str(i), _url(JPEG)) for i in range(10)], "sample_id string, image_link string")
+    publish, meet = I.payloads.publish, threading.Barrier(2, timeout=30)
+
+    def together(rows, path, *a):
+        meet.wait()
+        publish(rows, path, *a)
+
+    with monkeypatch.context() as m:
+        m.setattr(I.payloads, "publish", together)
+        assert tuple(I.ingest(spark, df.limit(8), tmp_dir, batch_size=4, max_workers=4).first()) == (8, 0, 0, 8)
+        m.setattr(I.payloads, "publish", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            I.ingest(spark, df, tmp_dir, batch_size=1)
+    assert tuple(I.ingest(spark, df, tmp_dir, batch_size=1).first()) == (2, 0, 8, 10)
