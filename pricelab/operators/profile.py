@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, FloatType, NumericType
 
+from ..session import cut_lineage
 from .quantiles import exact_percentiles
 
 META_COLUMNS = ("sample_id", "catalog_content", "image_link", "price", "potential_brand", "ipq_unit", "ipq_unit_type")
@@ -91,7 +92,7 @@ def masked_gram_sums(df: DataFrame, cols: list[str]) -> DataFrame:
     present), so a task sends one row a pair, however many rows it reads. Values are taken less the column's mean,
     which keeps the differences of large sums exact enough."""
     d = len(cols)
-    x = df.select(*[F.when(~missing_expr(df, c), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    x = df.select(*[F.when(~missing_expr(df, c), F.col(f"`{c}`").cast("double")).alias(f"c{i}") for i, c in enumerate(cols)]).persist()  # read twice, and may be dear to make
     means = x.agg(*[F.coalesce(F.avg(f"c{i}"), F.lit(0.0)).alias(f"c{i}") for i in range(d)]).first()
     shift = [float(means[f"c{i}"]) for i in range(d)]
 
@@ -111,7 +112,10 @@ def masked_gram_sums(df: DataFrame, cols: list[str]) -> DataFrame:
         yield pd.DataFrame({"i": i, "j": j, "n": n[i, j], "si": s[i, j], "sj": s[j, i], "sii": q[i, j], "sjj": q[j, i], "sij": p[i, j]})
 
     parts = x.mapInPandas(sums, "i int, j int, n double, si double, sj double, sii double, sjj double, sij double")
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")])
+    try:
+        return cut_lineage(parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sii", "sjj", "sij")]))  # a row a pair
+    finally:
+        x.unpersist()
 
 
 # a sum of squares about the mean that is below this share of the sum of squares is rounding: the column is constant

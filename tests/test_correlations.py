@@ -58,3 +58,17 @@ def test_a_task_sends_one_row_a_pair(spark):
     got = {(r["i"], r["j"]): r for r in P.masked_gram_sums(df, ["a", "b", "c"]).collect()}
     assert set(got) == {(0, 1), (0, 2), (1, 2)}
     assert got[(0, 1)]["n"] == 10000 and got[(0, 2)]["n"] == got[(1, 2)]["n"] == 0
+
+
+def test_rows_are_made_once(spark):
+    """The passes for the means and for the products read the same cached columns."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def dear(v):
+        made.add(1)
+        return v * 2.0
+
+    df = spark.range(50).select(F.col("id").cast("double").alias("a")).select("a", dear("a").alias("b"))
+    assert [(r.col_a, r.col_b) for r in P.high_correlations(df, ["a", "b"]).collect()] == [("a", "b")]
+    assert made.value == 50
