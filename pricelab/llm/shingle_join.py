@@ -31,7 +31,7 @@ from .common import body, components, staged
 
 WORDS = 5
 NUM, DEN = 75, 100  # the similarity, as a fraction
-BLOCK_ENTRIES = 2_000_000
+BLOCK_ENTRIES = 500_000  # of a block, on average; a worker takes about 60 bytes for each
 SMALL_COLUMN = 16
 STAR_ROUNDS = 3  # of linear comparisons in large columns before pairs across their components
 FREQUENT = 0.001  # of the documents of a batch (twice that of all) that make a shingle frequent
@@ -196,19 +196,19 @@ def _multiply(block: pd.DataFrame, frequent: np.ndarray) -> pd.DataFrame:
         cid.append(c)
         size.append(np.frombuffer(row.sizes, dtype=np.uint32))
         value.append(v)
-        owner.append(np.frombuffer(row.owner, dtype=np.uint16 if len(c) < 65536 else np.uint32).astype(np.int64) + base)
+        owner.append(np.frombuffer(row.owner, dtype=np.uint16 if len(c) < 65536 else np.uint32).astype(np.int32) + np.int32(base))
         place.append(np.frombuffer(row.place, dtype=np.uint8))
         base += len(c)
     classes, first, inverse = np.unique(np.concatenate(cid), return_index=True, return_inverse=True)
     size = np.concatenate(size).astype(np.int64)[first]
-    value, owner, place = np.concatenate(value), inverse[np.concatenate(owner)], np.concatenate(place)
-    place = place.astype(np.int64)
+    value, owner, place = np.concatenate(value), inverse.astype(np.int32)[np.concatenate(owner)], np.concatenate(place)
     # a class comes once in a column: copies in other batches have the same size, value and place
-    order = np.lexsort((owner, size[owner], value))
-    value, owner, place = value[order], owner[order], place[order]
+    order = np.lexsort((owner, size.astype(np.uint32)[owner], value))
+    value, owner = value[order], owner[order]
     new = np.ones(len(value), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
-    value, owner, place = value[new], owner[new], place[new]
+    value, owner, place = value[new], owner[new], place[order[new]].astype(np.int64)
+    del order, new
     head = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
     width = np.diff(np.concatenate([head, [len(value)]]))
     bound = size[owner] - (place * size[owner]) // 1000  # shingles from this one on, at most
@@ -216,7 +216,7 @@ def _multiply(block: pd.DataFrame, frequent: np.ndarray) -> pd.DataFrame:
     def pairs(i: np.ndarray, j: np.ndarray, kind: int) -> pd.DataFrame:
         n1, n2 = size[owner[i]], size[owner[j]]
         good = np.minimum(bound[i], bound[j]) >= needed(n1, n2)
-        a, b = owner[i][good], owner[j][good]
+        a, b = owner[i[good]].astype(np.int64), owner[j[good]].astype(np.int64)
         key, count = np.unique(np.minimum(a, b) * len(classes) + np.maximum(a, b), return_counts=True)
         a, b = classes[key // len(classes)], classes[key % len(classes)]
         return pd.DataFrame({"kind": kind, "a": np.minimum(a, b), "b": np.maximum(a, b), "n": count, "place": 0})
