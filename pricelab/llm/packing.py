@@ -73,21 +73,28 @@ class Encoder:
     A byte-level vocabulary whose ids rise with the rank of their merges is read by tiktoken as well, to the
     same ids and several times faster. The tokenizers library itself encodes what tiktoken does not: texts with
     a special token's string, with a run of over ``LONG_RUN`` characters without (or only of) white space, for
-    which tiktoken takes the square of its length, and all texts of other vocabularies."""
+    which tiktoken takes the square of its length, and all texts of other vocabularies. It is loaded with the
+    first of them: most workers hold one vocabulary, not two."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.path, self.library = path, None
+        self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.fast = self.ranked(spec)
+
+    @property
+    def tokenizer(self):
+        if self.library is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.fast = self.ranked(path)
+            self.library = Tokenizer.from_file(self.path)
+        return self.library
 
-    def ranked(self, path: str):
+    def ranked(self, spec: dict):
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
         byte_level = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         if model.get("type", "BPE") != "BPE" or not byte_level or spec.get("normalizer") or model.get("ignore_merges") or model.get("unk_token"):
@@ -105,7 +112,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain = [self.fast is not None and self.plain(t) for t in texts]
-        other = iter(self.tokenizer.encode_batch_fast([t for t, p in zip(texts, plain) if not p], add_special_tokens=False))
+        rest = [t for t, p in zip(texts, plain) if not p]
+        other = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
         return [np.array(self.fast(t) if p else next(other).ids, dtype="<u4").tobytes() for t, p in zip(texts, plain)]
 
 

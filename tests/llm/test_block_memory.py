@@ -25,3 +25,16 @@ def test_a_block_of_usual_size_stays_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(found) and peak < 100e6, peak
+
+
+def test_the_tokenizers_library_is_loaded_for_the_texts_that_need_it():
+    from tokenizers import Tokenizer
+
+    from pricelab.llm.packing import Encoder
+    from pricelab.llm.queries import byte_bpe
+
+    plain, other = ["", "two words", "naïve\n\n x"], ["a <|endoftext|> b", "y" * 3000]
+    library, encoder = Tokenizer.from_file(byte_bpe()), Encoder(byte_bpe())
+    ids = lambda texts: [np.array(library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
+    assert encoder.encode(plain) == ids(plain) and encoder.library is None
+    assert encoder.encode(plain + other) == ids(plain + other) and encoder.library is not None
