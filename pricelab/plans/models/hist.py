@@ -29,6 +29,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,11 @@ from ...session import scratch_path
 MAX_BINS = 64
 BLOCK_ROWS = 8192
 RESTAGE = 25  # rounds after which margins are written again
-PART_ROWS = 200_000  # rows that a task of a job takes
+PART_ROWS = 200_000  # rows that one task takes alone; more are dealt evenly over the cores
+TASK_ROWS = 600_000  # rows that a task of a job takes, at most
+CHUNK_ROWS = 200_000  # rows that a task works on at a time
 NODES = 32  # nodes of a model whose histograms one job takes
+KEYS = 16  # (model, node) whose sums one task adds up
 KEPT_BYTES = 128 << 20
 ROUNDS, PATIENCE = 1000, 100
 VALID = 1  # mark of a validation row
@@ -75,15 +79,26 @@ class Tree:
     right: np.ndarray
     value: np.ndarray
 
+    def leaves(self, bins: np.ndarray, rows: np.ndarray):
+        """(leaf, its rows) of these rows, as far as it has any; ``bins`` has a row per feature."""
+        open_ = [(0, rows)]
+        while open_:
+            node, rows = open_.pop()
+            f = self.feature[node]
+            if f < 0:
+                yield node, rows
+                continue
+            low = bins[f].take(rows) <= self.threshold[node]
+            for child, part in ((self.right[node], rows[~low]), (self.left[node], rows[low])):
+                if len(part):
+                    open_.append((int(child), part))
+
     def apply(self, bins: np.ndarray) -> np.ndarray:
-        """The leaf of each row; ``bins`` has a row per feature."""
+        """The leaf of each row."""
         node = np.zeros(bins.shape[1], np.int32)
-        live = np.flatnonzero(self.feature[node] >= 0)
-        while len(live):
-            at = node[live]
-            f = self.feature[at]
-            node[live] = np.where(bins[f, live] <= self.threshold[at], self.left[at], self.right[at])
-            live = live[self.feature[node[live]] >= 0]
+        if len(node):
+            for leaf, rows in self.leaves(bins, np.arange(len(node))):
+                node[rows] = leaf
         return node
 
 
@@ -306,8 +321,10 @@ def kept_margins() -> dict:
     return box
 
 
-def margins_of(run: str, block: int, bins: np.ndarray, stored: np.ndarray, step: Step) -> np.ndarray:
-    box, key = kept_margins(), (run, block, step.model)
+def margins_of(run: tuple[str, int], blocks: tuple, bins: np.ndarray, stored: np.ndarray, step: Step) -> np.ndarray:
+    box, key = kept_margins(), (run, blocks, step.model)
+    for old in [k for k in box.held if k[0][0] == run[0] and k[0] != run]:  # of blocks that have been dealt anew
+        box.size -= box.held.pop(old)[1].nbytes
     known = box.held.get(key)
     if known is not None and step.stored <= known[0] <= step.round:
         start, margin = known[0], known[1].copy()
@@ -329,39 +346,46 @@ def rows_of(mark: np.ndarray, p: TreeParams) -> tuple[np.ndarray, np.ndarray]:
     return valid, ~valid & (mark != VALID)
 
 
-def read_block(row) -> tuple:
-    block, n, bins, label, mark, margins, group = row
-    return group, block, np.frombuffer(bins, np.uint8).reshape(-1, n), np.frombuffer(label), np.frombuffer(mark, np.uint8), np.frombuffer(margins).reshape(-1, n)
+def chunks(rows):
+    """Blocks of a group, about CHUNK_ROWS rows at a time: (group, blocks, rows of each, bins, label, mark, margins)."""
+
+    def joined(rows: list) -> tuple:
+        block, n, bins, label, mark, margins, group = zip(*rows)
+        side = lambda parts, kind: np.concatenate([np.frombuffer(x, kind).reshape(-1, k) for x, k in zip(parts, n)], axis=1)
+        return group[0], block, n, side(bins, np.uint8), side(label, np.float64)[0], side(mark, np.uint8)[0], side(margins, np.float64)
 
+    held, size = [], 0
+    for row in rows:
+        if held and (row[-1] != held[0][-1] or size + row[1] > CHUNK_ROWS):
+            yield joined(held)
+            held, size = [], 0
+        held.append(row)
+        size += row[1]
+    if held:
+        yield joined(held)
 
-def sums_of(run: str, steps: list[Step], width: int, groups: int):
-    """(model, node, block, sums): the sums of a task. Node -1: a whole level; -2: metric sums."""
 
-    def work(batches):
+def sums_of(run: tuple[str, int], steps: list[Step], width: int, groups: int):
+    """((model, node), (block, sums)): the sums of a task. Node -1: a whole level; -2: metric sums."""
+
+    def work(part):
         out: dict[tuple[int, int], np.ndarray] = {}
         first = None
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                group, block, bins, label, mark, stored = read_block(row)
-                first = block if first is None else first
-                with np.errstate(over="ignore"):  # a label that is no logarithm
-                    truth = np.maximum(np.expm1(label), C.SMAPE_EPS)
-                for s in steps:
-                    if s.model % groups != group:
-                        continue
-                    add(out, s, block, bins, label, truth, *rows_of(mark, s.params), margins_of(run, block, bins, stored, s), width)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array([first] * len(out), pa.int64()),
-                                              pa.array([v.tobytes() for v in out.values()], pa.binary())], ["model", "node", "block", "sums"])
+        for group, blocks, sizes, bins, label, mark, stored in part:
+            first = blocks[0] if first is None else first
+            for s in steps:
+                if s.model % groups == group:
+                    add(out, s, blocks, sizes, bins, label, *rows_of(mark, s.params), margins_of(run, blocks, bins, stored, s), width)
+        return [(key, (first, sums.tobytes())) for key, sums in out.items()]
 
     return work
 
 
-def add(out: dict, s: Step, block: int, bins, label, truth, valid, learned, margin, width: int) -> None:
+def add(out: dict, s: Step, blocks: tuple, sizes: tuple, bins, label, valid, learned, margin, width: int) -> None:
     p = s.params
     if s.measure:
-        with np.errstate(over="ignore", invalid="ignore"):
-            guess = np.maximum(np.expm1(margin), C.SMAPE_EPS)
+        with np.errstate(over="ignore", invalid="ignore"):  # a label that is no logarithm
+            truth, guess = np.maximum(np.expm1(label), C.SMAPE_EPS), np.maximum(np.expm1(margin), C.SMAPE_EPS)
             smape = np.abs(guess - truth) / ((truth + guess) / 2 + C.SMAPE_EPS)
         square = (margin - label) ** 2
         got = np.array([valid.sum(), square[valid].sum(), smape[valid].sum(), learned.sum(), smape[learned].sum()], dtype=np.float64)
@@ -370,19 +394,22 @@ def add(out: dict, s: Step, block: int, bins, label, truth, valid, learned, marg
         return
     use = learned
     if p.row_share < 1:
-        draw = np.random.default_rng([p.seed & 0xFFFFFFFF, s.round // p.row_every, block & 0xFFFFFFFF, block >> 32])
-        use = use & (draw.random(len(valid)) < p.row_share)
-    place = np.full(len(s.tree.feature), -1, np.int64)
-    place[s.nodes] = np.arange(len(s.nodes))
-    at = place[s.tree.apply(bins)] if len(s.tree.feature) > 1 else np.full(len(label), place[0])
-    rows = np.flatnonzero(use & (at >= 0))
+        draw = [np.random.default_rng([p.seed & 0xFFFFFFFF, s.round // p.row_every, b & 0xFFFFFFFF, b >> 32]).random(n) for b, n in zip(blocks, sizes)]
+        use = use & (np.concatenate(draw) < p.row_share)
+    place = {node: i for i, node in enumerate(s.nodes)}
+    used = np.flatnonzero(use)
+    parts = sorted((place[node], rows) for node, rows in s.tree.leaves(bins, used) if node in place) if len(used) else []
+    rows = np.concatenate([r for _, r in parts]) if parts else used[:0]
+    first = np.repeat([i * width for i, _ in parts], [len(r) for _, r in parts]).astype(np.int64)
     g, h = gradients(margin[rows], label[rows], p.objective)
-    k = len(s.columns)
-    key = (at[rows] * k * width + (bins[np.ix_(s.columns, rows)].astype(np.int64) + np.arange(k)[:, None] * width)).ravel()
-    size, shape = len(s.nodes) * k * width, (len(s.nodes), 1, k, width)
-    n = np.bincount(key, minlength=size).astype(np.float64)
-    hs = n if p.objective == "squared" else np.bincount(key, np.tile(h, k), size)
-    found = np.concatenate([x.reshape(shape) for x in (np.bincount(key, np.tile(g, k), size), hs, n)], axis=1)
+    found = np.empty((len(s.nodes), 3, len(s.columns), width))
+    size, shape = len(s.nodes) * width, (len(s.nodes), width)
+    for k, f in enumerate(s.columns):
+        key = first + bins[f].take(rows)
+        n = np.bincount(key, minlength=size)
+        found[:, 0, k] = np.bincount(key, g, size).reshape(shape)
+        found[:, 1, k] = (n if p.objective == "squared" else np.bincount(key, h, size)).reshape(shape)
+        found[:, 2, k] = n.reshape(shape)
     if p.growth == "symmetric":
         out[s.model, -1] = out.get((s.model, -1), 0) + found
     else:
@@ -419,39 +446,28 @@ def decided(steps: list[Step], width: int):
     return decide
 
 
-def run_steps(blocks: DataFrame, parts: int, groups: int, run: str, steps: list[Step], width: int) -> dict[tuple[int, int], np.ndarray]:
+def run_steps(data: RDD, parts: int, groups: int, run: tuple[str, int], steps: list[Step], width: int) -> dict[tuple[int, int], np.ndarray]:
     """One job. Where one task has all blocks of a model there is nothing to add up, and it decides."""
     work, decide = sums_of(run, steps, width, groups), decided(steps, width)
-
-    def alone(batches):
-        for batch in work(batches):
-            models, nodes, sums = (batch.column(i).to_pylist() for i in (0, 1, 3))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([decide(m, n, [x]) for m, n, x in zip(models, nodes, sums)], pa.binary())], ["model", "node", "best"])
-
-    def together(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["block"].to_numpy())
-        sums = table["sums"].to_pylist()
-        model, node = table["model"][0].as_py(), table["node"][0].as_py()
-        return pa.table({"model": [model], "node": [node], "best": pa.array([decide(model, node, [sums[i] for i in order])], pa.binary())})
-
-    schema = "model long, node long, best binary"
     if parts == 1:
-        found = blocks.mapInArrow(alone, schema)
+        found = data.mapPartitions(lambda part: [(key, decide(*key, [sums])) for key, (_, sums) in work(part)])
     else:
-        found = blocks.mapInArrow(work, "model long, node long, block long, sums binary").groupBy("model", "node").applyInArrow(together, schema)
-    return {(r["model"], r["node"]): np.frombuffer(bytes(r["best"])) for r in found.collect()}  # a split per model and node
+        keys = sum(s.measure + (1 if s.params.growth == "symmetric" else len(s.nodes)) for s in steps)
+        summed = data.mapPartitions(work).groupByKey(min(-(-keys // KEYS), parts))
+        found = summed.map(lambda x: (x[0], decide(*x[0], [sums for _, sums in sorted(x[1])])))
+    return {key: np.frombuffer(best) for key, best in found.collect()}  # a split per model and node
 
 
-def with_margins(run: str, steps: list[Step], groups: int):
+def with_margins(run: tuple[str, int], steps: list[Step], groups: int):
     """The blocks with the margins that the models have now."""
 
-    def work(batches):
-        for batch in batches:
-            packed = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                group, block, bins, _, _, stored = read_block(row)
-                packed.append(b"".join(margins_of(run, block, bins, stored, s).tobytes() for s in steps if s.model % groups == group))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(packed, pa.binary()), batch.column(6)], batch.schema.names)
+    def work(part):
+        for group, blocks, sizes, bins, label, mark, stored in part:
+            ends = np.cumsum(sizes)[:-1]
+            margins = [np.split(margins_of(run, blocks, bins, stored, s), ends) for s in steps if s.model % groups == group]
+            cut = (np.split(x, ends, axis=-1) for x in (bins, label, mark))
+            for block, n, *x, i in zip(blocks, sizes, *cut, range(len(blocks))):
+                yield block, n, *(y.tobytes() for y in x), b"".join(m[i].tobytes() for m in margins), group
 
     return work
 
@@ -625,6 +641,13 @@ class Booster:
             self.growth = None
 
 
+def parts_of(rows: int, blocks: int, cores: int) -> int:
+    """Tasks of a job: one for few rows, or else as many rounds of tasks on all cores as keep to TASK_ROWS."""
+    if rows < PART_ROWS:
+        return 1
+    return max(1, min(cores * -(-rows // (cores * TASK_ROWS)), blocks))
+
+
 def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], label: str = "label", split: str = "split",
               max_bins: int = MAX_BINS, timeout_s: float | None = None, fold: str | None = None) -> list[HistModel]:
     """Fit all of ``fleet`` on the rows whose ``split`` is `train`, stopping each by its metric on `validation`; a model
@@ -651,21 +674,22 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
         return s / n
 
     inits = [init_of(p) for p in fleet]
-    path, run = scratch_path(spark, "hist-blocks"), uuid.uuid4().hex
+    path, run = scratch_path(spark, "hist-blocks"), (uuid.uuid4().hex, 0)
     block_table(matrix, columns, edges, label, split, fold).write.parquet(path)
     read = spark.read.parquet(path)
     size = read.agg(F.sum("n"), F.count(F.lit(1))).first()
-    parts = max(1, min(int(size[0]) // PART_ROWS + 1, int(size[1])))
+    parts = parts_of(int(size[0] or 0), int(size[1]), spark.sparkContext.defaultParallelism)
     # rows of one partition are there once per group of models, so that the models are dealt over tasks instead
     groups = min(len(fleet), spark.sparkContext.defaultParallelism) if parts == 1 else 1
     dealt = read.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
     dealt = dealt.repartitionByRange(groups, "group") if groups > 1 else dealt.repartition(parts)
-    blocks = dealt.persist()  # rebuilt from the table if an executor is lost
+    schema = dealt.schema
+    data = dealt.rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)  # rebuilt from the table if an executor is lost
     boosters = [Booster(i, p, float(init), len(columns)) for i, (p, init) in enumerate(zip(fleet, inits))]
     width = max([len(e) for e in edges], default=0) + 1
     while live := [b for b in boosters if not b.done]:
         steps = [b.step() for b in live]
-        found = run_steps(blocks, parts, groups, run, steps, width)
+        found = run_steps(data, parts, groups, run, steps, width)
         for b, s in zip(live, steps):
             b.take(s, found)
         if timeout_s is not None and time.time() - began > timeout_s:
@@ -674,16 +698,18 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
         if any(len(b.trees) - b.stored >= RESTAGE for b in live):
             steps = [Step(b.model, b.params, b.init, b.slot, b.stored, b.trees[b.stored :], Growth(b.params).partial(), [], np.arange(0), False) for b in live]
             path = scratch_path(spark, "hist-blocks")
-            blocks.mapInArrow(with_margins(run, steps, groups), blocks.schema).write.parquet(path)
-            old, again = blocks, spark.read.schema(blocks.schema).parquet(path)
-            blocks = (again.repartitionByRange(groups, "group") if groups > 1 else again.repartition(parts)).persist()
+            spark.createDataFrame(data.mapPartitions(with_margins(run, steps, groups)), schema, verifySchema=False).write.parquet(path)
+            old, again = data, spark.read.schema(schema).parquet(path)
+            dealt = again.repartitionByRange(groups, "group") if groups > 1 else again.repartition(parts)
+            data = dealt.rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)
             old.unpersist()
+            run = (run[0], run[1] + 1)
             slots: dict[int, int] = {}
             for b in live:
                 b.slot = slots.get(b.model % groups, 0)
                 slots[b.model % groups] = b.slot + 1
                 b.stored = len(b.trees)
-    blocks.unpersist()
+    data.unpersist()
     out = []
     for b in boosters:
         if not b.history:
