@@ -1,10 +1,11 @@
 """Second-order boosted trees on histograms, several models at a time.
 
-A fleet of boosters (variants, or the trials of a search) grows over one binned copy of the matrix. One Spark
-job takes every live model a step further: each task brings its rows' margins up to date, sends per (model,
+A fleet of boosters (variants, or the trials of a search) grows over one binned copy of the matrix. Where a task can
+hold all rows and there is a model for every core, or the rows are few, a task grows a model whole (``whole``). Else
+one Spark job takes every live model a step further: each task brings its rows' margins up to date, sends per (model,
 node) the sums of gradient, hessian and rows of every feature's bins, and one group per (model, node) adds the
 tasks' sums up and finds the best regularised split. Only splits and metric sums reach the driver, never
-histograms or rows. The model number is part of the grouping key, so a level of fifty trials is one job.
+histograms or rows. The model number is part of the grouping key, so a level of several models is one job.
 
 Growth: ``depth`` splits every leaf of a level; ``leaf`` splits the leaf of highest gain until there are
 ``leaves`` of them (the splits of leaves that may come next are asked for ahead, so a tree takes about as many
@@ -45,6 +46,7 @@ CHUNK_ROWS = 200_000  # rows that a task works on at a time
 NODES = 32  # nodes of a model whose histograms one job takes
 KEYS = 16  # (model, node) whose sums one task adds up
 KEPT_BYTES = 128 << 20
+WHOLE_BYTES = 512 << 20  # that a task may take for all rows of a model
 ROUNDS, PATIENCE = 1000, 100
 VALID = 1  # mark of a validation row
 MOST_FOLDS = 254  # marks are one byte
@@ -89,7 +91,8 @@ class Tree:
                 yield node, rows
                 continue
             low = bins[f].take(rows) <= self.threshold[node]
-            for child, part in ((self.right[node], rows[~low]), (self.left[node], rows[low])):
+            for child, side in ((self.right[node], ~low), (self.left[node], low)):
+                part = rows.take(np.flatnonzero(side))
                 if len(part):
                     open_.append((int(child), part))
 
@@ -300,7 +303,7 @@ class Step:
     model: int
     params: TreeParams
     init: float
-    slot: int  # place in its group's stored margins, -1 where none are stored
+    slot: int  # place in the stored margins, -1 where none are stored
     stored: int  # rounds that the stored margins hold
     trees: list[Tree]  # of the rounds since
     tree: Tree  # grown so far
@@ -346,17 +349,18 @@ def rows_of(mark: np.ndarray, p: TreeParams) -> tuple[np.ndarray, np.ndarray]:
     return valid, ~valid & (mark != VALID)
 
 
-def chunks(rows):
-    """Blocks of a group, about CHUNK_ROWS rows at a time: (group, blocks, rows of each, bins, label, mark, margins)."""
+def joined(rows: list) -> tuple:
+    """Blocks as one: (blocks, rows of each, bins, label, mark and, where there are any, margins)."""
+    block, n, bins, label, mark, *margins = zip(*rows)
+    side = lambda parts, kind: np.concatenate([np.frombuffer(x, kind).reshape(-1, k) for x, k in zip(parts, n)], axis=1)
+    return block, n, side(bins, np.uint8), side(label, np.float64)[0], side(mark, np.uint8)[0], *(side(m, np.float64) for m in margins)
 
-    def joined(rows: list) -> tuple:
-        block, n, bins, label, mark, margins, group = zip(*rows)
-        side = lambda parts, kind: np.concatenate([np.frombuffer(x, kind).reshape(-1, k) for x, k in zip(parts, n)], axis=1)
-        return group[0], block, n, side(bins, np.uint8), side(label, np.float64)[0], side(mark, np.uint8)[0], side(margins, np.float64)
 
+def chunks(rows):
+    """Blocks, about CHUNK_ROWS rows at a time."""
     held, size = [], 0
     for row in rows:
-        if held and (row[-1] != held[0][-1] or size + row[1] > CHUNK_ROWS):
+        if held and size + row[1] > CHUNK_ROWS:
             yield joined(held)
             held, size = [], 0
         held.append(row)
@@ -365,17 +369,16 @@ def chunks(rows):
         yield joined(held)
 
 
-def sums_of(run: tuple[str, int], steps: list[Step], width: int, groups: int):
+def sums_of(run: tuple[str, int], steps: list[Step], width: int):
     """((model, node), (block, sums)): the sums of a task. Node -1: a whole level; -2: metric sums."""
 
     def work(part):
         out: dict[tuple[int, int], np.ndarray] = {}
         first = None
-        for group, blocks, sizes, bins, label, mark, stored in part:
+        for blocks, sizes, bins, label, mark, stored in part:
             first = blocks[0] if first is None else first
             for s in steps:
-                if s.model % groups == group:
-                    add(out, s, blocks, sizes, bins, label, *rows_of(mark, s.params), margins_of(run, blocks, bins, stored, s), width)
+                add(out, s, blocks, sizes, bins, label, *rows_of(mark, s.params), margins_of(run, blocks, bins, stored, s), width)
         return [(key, (first, sums.tobytes())) for key, sums in out.items()]
 
     return work
@@ -446,28 +449,25 @@ def decided(steps: list[Step], width: int):
     return decide
 
 
-def run_steps(data: RDD, parts: int, groups: int, run: tuple[str, int], steps: list[Step], width: int) -> dict[tuple[int, int], np.ndarray]:
-    """One job. Where one task has all blocks of a model there is nothing to add up, and it decides."""
-    work, decide = sums_of(run, steps, width, groups), decided(steps, width)
-    if parts == 1:
-        found = data.mapPartitions(lambda part: [(key, decide(*key, [sums])) for key, (_, sums) in work(part)])
-    else:
-        keys = sum(s.measure + (1 if s.params.growth == "symmetric" else len(s.nodes)) for s in steps)
-        summed = data.mapPartitions(work).groupByKey(min(-(-keys // KEYS), parts))
-        found = summed.map(lambda x: (x[0], decide(*x[0], [sums for _, sums in sorted(x[1])])))
+def run_steps(data: RDD, parts: int, run: tuple[str, int], steps: list[Step], width: int) -> dict[tuple[int, int], np.ndarray]:
+    """One job."""
+    work, decide = sums_of(run, steps, width), decided(steps, width)
+    keys = sum(s.measure + (1 if s.params.growth == "symmetric" else len(s.nodes)) for s in steps)
+    summed = data.mapPartitions(work).groupByKey(min(-(-keys // KEYS), parts))
+    found = summed.map(lambda x: (x[0], decide(*x[0], [sums for _, sums in sorted(x[1])])))
     return {key: np.frombuffer(best) for key, best in found.collect()}  # a split per model and node
 
 
-def with_margins(run: tuple[str, int], steps: list[Step], groups: int):
+def with_margins(run: tuple[str, int], steps: list[Step]):
     """The blocks with the margins that the models have now."""
 
     def work(part):
-        for group, blocks, sizes, bins, label, mark, stored in part:
+        for blocks, sizes, bins, label, mark, stored in part:
             ends = np.cumsum(sizes)[:-1]
-            margins = [np.split(margins_of(run, blocks, bins, stored, s), ends) for s in steps if s.model % groups == group]
+            margins = [np.split(margins_of(run, blocks, bins, stored, s), ends) for s in steps]
             cut = (np.split(x, ends, axis=-1) for x in (bins, label, mark))
             for block, n, *x, i in zip(blocks, sizes, *cut, range(len(blocks))):
-                yield block, n, *(y.tobytes() for y in x), b"".join(m[i].tobytes() for m in margins), group
+                yield block, n, *(y.tobytes() for y in x), b"".join(m[i].tobytes() for m in margins)
 
     return work
 
@@ -556,9 +556,14 @@ class Growth:
         a = [np.array(x, np.int32) for x in (self.feature, self.bin, self.left, self.right)]
         return Tree(*a, np.zeros(len(self.feature)))
 
-    def tree(self) -> Tree:
+    def value(self, node: int) -> float:
+        """What a leaf adds to the margin."""
+        sums = self.sums[node]
+        return self.p.rate * float(leaf_weight(*(np.zeros(2) if sums is None else sums[:2]), self.p))
+
+    def tree(self, looked_ahead: bool = True) -> Tree:
         """The finished tree: nodes that were only looked at ahead are left out."""
-        taken = set(self.chosen()[0]) if self.p.growth == "leaf" else {i for i, f in enumerate(self.feature) if f >= 0}
+        taken = set(self.chosen()[0]) if self.p.growth == "leaf" and looked_ahead else {i for i, f in enumerate(self.feature) if f >= 0}
         number, out, stack = {0: 0}, [], [0]
         while stack:
             i = stack.pop()
@@ -568,16 +573,14 @@ class Growth:
                 stack += [self.right[i], self.left[i]]
             out.append(i)
         rows = sorted(out, key=number.get)
-        zero = np.zeros(3)
-        sums = [self.sums[i] if self.sums[i] is not None else zero for i in rows]
         return Tree(np.array([self.feature[i] if i in taken else -1 for i in rows], np.int32), np.array([self.bin[i] for i in rows], np.int32),
                     np.array([number[self.left[i]] if i in taken else -1 for i in rows], np.int32), np.array([number[self.right[i]] if i in taken else -1 for i in rows], np.int32),
-                    np.array([0.0 if i in taken else self.p.rate * float(leaf_weight(s[0], s[1], self.p)) for i, s in zip(rows, sums)]))
+                    np.array([0.0 if i in taken else self.value(i) for i in rows]))
 
-    def gains(self) -> dict[int, float]:
+    def gains(self, looked_ahead: bool = True) -> dict[int, float]:
         """Gain per feature of the splits taken."""
         out: dict[int, float] = {}
-        for i in self.chosen()[0] if self.p.growth == "leaf" else list(self.gain):
+        for i in self.chosen()[0] if self.p.growth == "leaf" and looked_ahead else list(self.gain):
             out[self.feature[i]] = out.get(self.feature[i], 0.0) + self.gain[i]
         return out
 
@@ -596,12 +599,14 @@ class Booster:
     slot: int = -1
     stored: int = 0
     done: bool = False
+    lowest: int = 0  # the best round
 
     def metric(self, entry: tuple) -> float:
         return entry[2] if self.params.objective == "smape" else entry[1]
 
-    def best(self) -> int:
-        return min(range(len(self.history)), key=lambda i: (self.metric(self.history[i]), i)) if self.history else 0
+    def kept(self) -> int:
+        """Trees up to the best round; all of them where no round has been measured on anything."""
+        return self.lowest if any(h[1] for h in self.history) else len(self.history) - 1
 
     def start(self) -> None:
         self.growth = Growth(self.params)
@@ -617,14 +622,27 @@ class Booster:
         ended = len(self.trees) >= self.params.rounds or not self.features
         return Step(self.model, self.params, self.init, self.slot, self.stored, self.trees[self.stored :], self.growth.partial(), [] if ended else self.growth.wanted()[:NODES], self.columns, measure)
 
+    def measured(self, sums: np.ndarray) -> None:
+        """The metric sums of the trees so far; the model is done where they say so."""
+        n, square, smape, m, train = sums.tolist()
+        rmse = float(np.sqrt(square / n)) if n else 0.0
+        self.history.append((len(self.trees), rmse, 100.0 * smape / n if n else 0.0, 100.0 * train / m if m else 0.0))
+        patience = self.params.patience
+        if self.metric(self.history[-1]) < self.metric(self.history[self.lowest]):
+            self.lowest = len(self.history) - 1
+        self.done = len(self.trees) >= self.params.rounds or bool(patience is not None and n and len(self.trees) - self.lowest >= patience)
+
+    def grown(self, growth: Growth, looked_ahead: bool = True) -> None:
+        self.trees.append(growth.tree(looked_ahead))
+        self.gains.append(growth.gains(looked_ahead))
+        if len(self.trees[-1].feature) == 1 and self.params.row_share >= 1 and self.params.column_share >= 1 and self.params.objective == "squared":
+            self.done = True  # nothing to split, and the next round would be the same
+        self.growth = None
+
     def take(self, step: Step, found: dict[tuple[int, int], np.ndarray]) -> None:
         if step.measure:
-            n, square, smape, m, train = found[self.model, -2].tolist()
-            rmse = float(np.sqrt(square / n)) if n else 0.0
-            self.history.append((len(self.trees), rmse, 100.0 * smape / n if n else 0.0, 100.0 * train / m if m else 0.0))
-            patience = self.params.patience
-            if len(self.trees) >= self.params.rounds or (patience is not None and n and len(self.trees) - self.best() >= patience):
-                self.done = True
+            self.measured(found[self.model, -2])
+            if self.done:
                 return
         if not step.nodes:
             self.done = True
@@ -634,11 +652,7 @@ class Booster:
         else:
             self.growth.take(step.nodes, {i: found[self.model, i] for i in step.nodes if (self.model, i) in found})
         if not self.growth.wanted():
-            self.trees.append(self.growth.tree())
-            self.gains.append(self.growth.gains())
-            if len(self.trees[-1].feature) == 1 and self.params.row_share >= 1 and self.params.column_share >= 1 and self.params.objective == "squared":
-                self.done = True  # nothing to split, and the next round would be the same
-            self.growth = None
+            self.grown(self.growth)
 
 
 def parts_of(rows: int, blocks: int, cores: int) -> int:
@@ -648,6 +662,38 @@ def parts_of(rows: int, blocks: int, cores: int) -> int:
     return max(1, min(cores * -(-rows // (cores * TASK_ROWS)), blocks))
 
 
+def fits_a_task(rows: int, columns: int, models: int, cores: int) -> bool:
+    """Whether a task is to take all rows of a model: they are few, or there is a model for every core and no task holds
+    more than WHOLE_BYTES (bins five times, and 25 numbers a row)."""
+    return rows < PART_ROWS or (models >= cores and rows * (5 * columns + 200) <= WHOLE_BYTES)
+
+
+def grow_by_level(read: DataFrame, parts: int, boosters: list[Booster], width: int, until: float | None) -> None:
+    """A job takes every live model a step further, over rows dealt to ``parts`` tasks."""
+    spark, run = read.sparkSession, (uuid.uuid4().hex, 0)
+    schema = read.schema
+    data = read.repartition(parts).rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)  # rebuilt from the table if an executor is lost
+    while live := [b for b in boosters if not b.done]:
+        steps = [b.step() for b in live]
+        found = run_steps(data, parts, run, steps, width)
+        for b, s in zip(live, steps):
+            b.take(s, found)
+        if until is not None and time.time() > until:
+            break
+        live = [b for b in live if not b.done]
+        if any(len(b.trees) - b.stored >= RESTAGE for b in live):
+            steps = [Step(b.model, b.params, b.init, b.slot, b.stored, b.trees[b.stored :], Growth(b.params).partial(), [], np.arange(0), False) for b in live]
+            path = scratch_path(spark, "hist-blocks")
+            spark.createDataFrame(data.mapPartitions(with_margins(run, steps)), schema, verifySchema=False).write.parquet(path)
+            old = data
+            data = spark.read.schema(schema).parquet(path).repartition(parts).rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)
+            old.unpersist()
+            run = (run[0], run[1] + 1)
+            for slot, b in enumerate(live):
+                b.slot, b.stored = slot, len(b.trees)
+    data.unpersist()
+
+
 def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], label: str = "label", split: str = "split",
               max_bins: int = MAX_BINS, timeout_s: float | None = None, fold: str | None = None) -> list[HistModel]:
     """Fit all of ``fleet`` on the rows whose ``split`` is `train`, stopping each by its metric on `validation`; a model
@@ -674,47 +720,24 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
         return s / n
 
     inits = [init_of(p) for p in fleet]
-    path, run = scratch_path(spark, "hist-blocks"), (uuid.uuid4().hex, 0)
+    path = scratch_path(spark, "hist-blocks")
     block_table(matrix, columns, edges, label, split, fold).write.parquet(path)
     read = spark.read.parquet(path)
     size = read.agg(F.sum("n"), F.count(F.lit(1))).first()
-    parts = parts_of(int(size[0] or 0), int(size[1]), spark.sparkContext.defaultParallelism)
-    # rows of one partition are there once per group of models, so that the models are dealt over tasks instead
-    groups = min(len(fleet), spark.sparkContext.defaultParallelism) if parts == 1 else 1
-    dealt = read.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    dealt = dealt.repartitionByRange(groups, "group") if groups > 1 else dealt.repartition(parts)
-    schema = dealt.schema
-    data = dealt.rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)  # rebuilt from the table if an executor is lost
+    rows, cores = int(size[0] or 0), spark.sparkContext.defaultParallelism
     boosters = [Booster(i, p, float(init), len(columns)) for i, (p, init) in enumerate(zip(fleet, inits))]
-    width = max([len(e) for e in edges], default=0) + 1
-    while live := [b for b in boosters if not b.done]:
-        steps = [b.step() for b in live]
-        found = run_steps(data, parts, groups, run, steps, width)
-        for b, s in zip(live, steps):
-            b.take(s, found)
-        if timeout_s is not None and time.time() - began > timeout_s:
-            break
-        live = [b for b in live if not b.done]
-        if any(len(b.trees) - b.stored >= RESTAGE for b in live):
-            steps = [Step(b.model, b.params, b.init, b.slot, b.stored, b.trees[b.stored :], Growth(b.params).partial(), [], np.arange(0), False) for b in live]
-            path = scratch_path(spark, "hist-blocks")
-            spark.createDataFrame(data.mapPartitions(with_margins(run, steps, groups)), schema, verifySchema=False).write.parquet(path)
-            old, again = data, spark.read.schema(schema).parquet(path)
-            dealt = again.repartitionByRange(groups, "group") if groups > 1 else again.repartition(parts)
-            data = dealt.rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)
-            old.unpersist()
-            run = (run[0], run[1] + 1)
-            slots: dict[int, int] = {}
-            for b in live:
-                b.slot = slots.get(b.model % groups, 0)
-                slots[b.model % groups] = b.slot + 1
-                b.stored = len(b.trees)
-    data.unpersist()
+    if fits_a_task(rows, len(columns), len(fleet), cores):
+        from .whole import grow_apart
+
+        left = None if timeout_s is None else timeout_s - (time.time() - began)
+        grow_apart(read.drop("margins"), boosters, [len(e) + 1 for e in edges], left)
+    else:
+        grow_by_level(read, parts_of(rows, int(size[1]), cores), boosters, max([len(e) for e in edges], default=0) + 1, None if timeout_s is None else began + timeout_s)
     out = []
     for b in boosters:
         if not b.history:
             b.history.append((0, float("inf"), float("inf"), float("inf")))
-        kept = b.best() if any(h[1] for h in b.history) else len(b.history) - 1
+        kept = b.kept()
         gain = np.zeros(len(columns))
         for g in b.gains[:kept]:
             for f, x in g.items():
