@@ -87,32 +87,65 @@ def weighted_expr(models: list[str], weights) -> F.Column:
     return sum(F.col(f"`{m}`") * float(w) for m, w in zip(models, weights))
 
 
-def smape_of_weights(wide: DataFrame, models: list[str], target: str, candidates: list[np.ndarray]) -> list[float]:
-    """SMAPE of several candidate weight vectors (|w| / sum |w|) in ONE aggregate (no cross join).
+PASS_ROWS = 1 << 16  # rows that a task scores, at least, where there are as many
 
-    The candidates go along as data: a task multiplies its batches with the matrix of weights and sends one row of sums,
-    so the plan is the same for every call. Rows with a NULL target or prediction count for no candidate."""
+
+class PackedRows:
+    """The target and the predictions of the rows that have all of them, packed once, a batch after the other, and kept
+    (memory, spilling to disk) for passes that are one job each without SQL planning. A pass has no more tasks than
+    there are ``PASS_ROWS`` rows: few rows in many partitions are read by few tasks. ``close`` lets the rows go."""
+
+    def __init__(self, wide: DataFrame, models: list[str], target: str):
+        from pyspark import StorageLevel
+
+        def pack(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["x"])
+
+        x = wide.select(F.col(f"`{target}`").cast("double").alias("t"), *[F.col(f"`{m}`").cast("double").alias(f"m{i}") for i, m in enumerate(models)])
+        x = x.where(" and ".join(f"{c} is not null" for c in x.columns))
+        self.kept = x.mapInArrow(pack, "x binary").rdd.map(lambda r: bytes(r[0])).persist(StorageLevel.MEMORY_AND_DISK)
+        row = 8 * (len(models) + 1)
+        sizes = self.kept.mapPartitions(lambda batches: [sum(map(len, batches)) // row]).collect()  # a number a partition
+        self.rows = self.kept.coalesce(min(len(sizes), -(-max(sum(sizes), 1) // PASS_ROWS))) if sizes else self.kept
+
+    def close(self) -> None:
+        self.kept.unpersist()
+
+
+def smape_of_weights(wide: DataFrame | PackedRows, models: list[str], target: str, candidates: list[np.ndarray]) -> list[float]:
+    """SMAPE of several candidate weight vectors (|w| / sum |w|) in ONE pass over the rows (no cross join).
+
+    The candidates go along as data: a task multiplies its batches with the matrix of weights, and the driver adds up
+    one row of sums a task, in their order. Rows with a NULL target or prediction count for no candidate. Who asks
+    many times hands over the rows packed."""
     w = np.abs(np.array([np.asarray(c, dtype=float) for c in candidates]))
     total = w.sum(axis=1, keepdims=True)
     w = np.where(total > 0, w / np.where(total > 0, total, 1.0), 1.0 / len(models))
+    columns = len(models) + 1
 
     def sums(batches):
-        import pandas as pd
-
         n, s = 0, np.zeros(len(w))
-        for pdf in batches:
-            x = pdf.to_numpy(dtype="float64")
-            t, pred = x[:, :1], x[:, 1:] @ w.T
-            n += len(x)
-            s += (np.abs(pred - t) / ((np.abs(t) + np.abs(pred)) / 2.0 + 1e-10)).sum(axis=0)
-        yield pd.DataFrame({"n": [n], "s": [s.tolist()]})
-
-    x = wide.select(F.col(f"`{target}`").cast("double").alias("t"), *[F.col(f"`{m}`").cast("double").alias(f"m{i}") for i, m in enumerate(models)])
-    parts = x.where(" and ".join(f"{c} is not null" for c in x.columns)).mapInPandas(sums, "n long, s array<double>")
-    row = parts.agg(F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[i]) for i in range(len(w))]).alias("s")).first()
-    if not row["n"]:
+        for raw in batches:
+            x = np.frombuffer(raw).reshape(columns, -1)
+            t, pred = x[:1], w @ x[1:]
+            n += x.shape[1]
+            s += (np.abs(pred - t) / ((np.abs(t) + np.abs(pred)) / 2.0 + 1e-10)).sum(axis=1)
+        yield n, s.tolist()
+
+    packed = wide if isinstance(wide, PackedRows) else PackedRows(wide, models, target)
+    try:
+        found = packed.rows.mapPartitions(sums).collect()
+    finally:
+        if packed is not wide:
+            packed.close()
+    n = sum(n for n, _ in found)
+    if not n:
         raise ValueError("no row has the target and all predictions")
-    return [100.0 * v / row["n"] for v in row["s"]]
+    return [100.0 * v / n for v in np.sum([s for _, s in found], axis=0).tolist()]
 
 
 def _moves(simplex: list[np.ndarray]) -> list[np.ndarray]:
@@ -138,16 +171,24 @@ def _next_moves(simplex: list[np.ndarray]) -> list[np.ndarray]:
 def optimise_weights(wide: DataFrame, models: list[str], target: str, max_iter: int = 1000, tol: float = 1e-4) -> np.ndarray:
     """Nelder-Mead on the SMAPE of |w| / sum |w|, started at equal weights.
 
-    The simplex lives on the driver (a handful of numbers). Every objective evaluation is a distributed aggregate; a
+    The simplex lives on the driver (a handful of numbers). Every objective evaluation is a distributed sum; a
     job evaluates the n + 1 initial vertices, or the four candidates of a step together with those of the step after it,
     so that two steps cost one pass over the rows."""
+    packed = PackedRows(wide, models, target)
+    try:
+        return _nelder_mead(packed, models, target, max_iter, tol)
+    finally:
+        packed.close()
+
+
+def _nelder_mead(packed: PackedRows, models: list[str], target: str, max_iter: int, tol: float) -> np.ndarray:
     n = len(models)
     known: dict[bytes, float] = {}
 
     def score(points: list[np.ndarray], ahead: list[np.ndarray] = ()) -> list[float]:
         if any(p.tobytes() not in known for p in points):
             new = list({p.tobytes(): p for p in [*points, *ahead] if p.tobytes() not in known}.values())
-            known.update(zip((p.tobytes() for p in new), smape_of_weights(wide, models, target, new)))
+            known.update(zip((p.tobytes() for p in new), smape_of_weights(packed, models, target, new)))
         return [known[p.tobytes()] for p in points]
 
     x0 = np.full(n, 1.0 / n)
@@ -194,13 +235,21 @@ def _lattice(n: int, steps: int) -> list[np.ndarray]:
 
 def pattern_search_weights(wide: DataFrame, models: list[str], target: str, steps: int = 6, rounds: int = 12,
                            tol: float = 1e-4) -> np.ndarray:
-    """K14 alternative with few jobs: one aggregate scores a simplex lattice (C(steps+n-1, n-1) points);
-    then each round scores, in one aggregate, every move of mass ``d`` from one model to another around
+    """K14 alternative with few jobs: one pass scores a simplex lattice (C(steps+n-1, n-1) points);
+    then each round scores, in one pass, every move of mass ``d`` from one model to another around
     the incumbent and halves ``d`` when nothing improves. About ``rounds`` + 1 jobs in total, each over
     the whole table (no sampling)."""
+    packed = PackedRows(wide, models, target)
+    try:
+        return _pattern_search(packed, models, target, steps, rounds, tol)
+    finally:
+        packed.close()
+
+
+def _pattern_search(packed: PackedRows, models: list[str], target: str, steps: int, rounds: int, tol: float) -> np.ndarray:
     n = len(models)
     cands = _lattice(n, steps)
-    scores = smape_of_weights(wide, models, target, cands)
+    scores = smape_of_weights(packed, models, target, cands)
     best_i = int(np.argmin(scores))
     best, best_s = cands[best_i], scores[best_i]
     d = 1.0 / steps / 2
@@ -216,7 +265,7 @@ def pattern_search_weights(wide: DataFrame, models: list[str], target: str, step
                     moves.append(w)
         if not moves:
             break
-        s = smape_of_weights(wide, models, target, moves)
+        s = smape_of_weights(packed, models, target, moves)
         k = int(np.argmin(s))
         if s[k] < best_s - tol * 1e-3:
             best, best_s = moves[k], s[k]
