@@ -1,11 +1,13 @@
 """Second-order boosted trees on histograms, several models at a time.
 
-A fleet of boosters (variants, or the trials of a search) grows over one binned copy of the matrix. Where a task can
-hold all rows and there is a model for every core, or the rows are few, a task grows a model whole (``whole``). Else
-one Spark job takes every live model a step further: each task brings its rows' margins up to date, sends per (model,
-node) the sums of gradient, hessian and rows of every feature's bins, and one group per (model, node) adds the
-tasks' sums up and finds the best regularised split. Only splits and metric sums reach the driver, never
-histograms or rows. The model number is part of the grouping key, so a level of several models is one job.
+A fleet of boosters (variants, or the trials of a search) grows over one binned copy of the matrix. Where the rows are
+few, or there are several models and a task can hold all rows within a bound, a task grows a model whole (``whole``): the
+jobs of a level would cost more than its sums. Else one Spark job takes every live model a step further: each task brings
+its rows' margins up to date, sends per (model, node) the sums of gradient, hessian and rows of every feature's bins, and
+one group per (model, node) adds the tasks' sums up and finds the best regularised split. Only splits and metric sums
+reach the driver, never histograms or rows. The model number is part of the grouping key, so a level of several models is
+one job. Where all columns together have few joint bins for so many rows, rows of equal bins are a cell: they share a
+margin, and a tree walks cells.
 
 Growth: ``depth`` splits every leaf of a level; ``leaf`` splits the leaf of highest gain until there are
 ``leaves`` of them (the splits of leaves that may come next are asked for ahead, so a tree takes about as many
@@ -22,6 +24,7 @@ rounds; between, tasks apply the trees since then. A worker remembers margins it
 from __future__ import annotations
 
 import json
+import math
 import sys
 import time
 import types
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from ... import constants as C
 from ...session import scratch_path
+from .sums import Binned
 
 MAX_BINS = 64
 BLOCK_ROWS = 8192
@@ -46,7 +50,8 @@ CHUNK_ROWS = 200_000  # rows that a task works on at a time
 NODES = 32  # nodes of a model whose histograms one job takes
 KEYS = 16  # (model, node) whose sums one task adds up
 KEPT_BYTES = 128 << 20
-WHOLE_BYTES = 512 << 20  # that a task may take for all rows of a model
+MOST_CELLS = 4  # joint bins of all columns, for each row, up to which rows of equal bins are put together
+WHOLE_BYTES, CORE_BYTES = 1 << 30, 512 << 20  # that a task may take for all rows of a model, and all of them on average
 ROUNDS, PATIENCE = 1000, 100
 VALID = 1  # mark of a validation row
 MOST_FOLDS = 254  # marks are one byte
@@ -258,9 +263,22 @@ def bin_edges(train: DataFrame, columns: list[str], max_bins: int) -> list[np.nd
     return [np.unique(np.array(q if q is not None else [], dtype=np.float64)) for q in row]
 
 
-def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray], label: str, split: str, fold: str | None = None) -> DataFrame:
-    """(block, n, bins, label, mark, margins): rows in blocks, bins one byte each, feature by feature. The mark is
-    `VALID` or else, of a training row, its fold above that (0 without folds)."""
+def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray], label: str, split: str, fold: str | None = None, cells: int | None = None) -> DataFrame:
+    """(block, n, bins, runs, label, mark, margins): rows in blocks, bins one byte each, feature by feature. The mark is
+    `VALID` or else, of a training row, its fold above that (0 without folds).
+
+    With ``cells`` (parts) the rows are ordered by their bins first, those of a cell (equal bins) by a hash of the label, so
+    that a cell of any size may lie in several parts: bins are then there once a cell, and ``runs`` are its rows."""
+    sizes = [len(e) + 1 for e in edges]
+
+    def binned(x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(edges)]) if edges else np.zeros((0, len(x)), np.int64)
+
+    def celled(batches):
+        for batch in batches:
+            label, mark, *x = (c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns)
+            cell = np.ravel_multi_index(tuple(binned(np.column_stack(x))), sizes).astype(np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in (label, mark, cell)], ["label", "mark", "cell"])
 
     def run(batches):
         import pyspark
@@ -271,11 +289,15 @@ def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray],
 
         def packed(rows: np.ndarray):
             nonlocal number
-            bins = np.stack([np.searchsorted(e, rows[:, 2 + i]) for i, e in enumerate(edges)]).astype(np.uint8) if edges else np.zeros((0, len(rows)), np.uint8)
-            row = [part << 32 | number, len(rows), bins.tobytes(), rows[:, 0].tobytes(), rows[:, 1].astype(np.uint8).tobytes(), b""]
+            if cells:
+                starts = np.flatnonzero(np.diff(rows[:, 2], prepend=-1))
+                bins, runs = np.stack(np.unravel_index(rows[starts, 2].astype(np.int64), sizes)).astype(np.uint8), np.diff(np.append(starts, len(rows))).tobytes()
+            else:
+                bins, runs = binned(rows[:, 2:]).astype(np.uint8), b""
+            row = [part << 32 | number, len(rows), bins.tobytes(), runs, rows[:, 0].tobytes(), rows[:, 1].astype(np.uint8).tobytes(), b""]
             number += 1
-            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "n", "bins", "label", "mark", "margins"])
+            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["block", "n", "bins", "runs", "label", "mark", "margins"])
 
         for batch in batches:
             held.append(np.column_stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns]))
@@ -290,7 +312,10 @@ def block_table(matrix: DataFrame, columns: list[str], edges: list[np.ndarray],
     rows = matrix.where(F.col(split).isin("train", "validation"))
     train = F.lit(0) if fold is None else F.coalesce(F.col(fold).cast("int") + VALID + 1, F.lit(0))
     rows = rows.select(F.col(label).cast("double"), F.when(F.col(split) == "validation", VALID).otherwise(train).cast("double"), *[F.col(f"`{c}`").cast("double") for c in columns])
-    return rows.mapInArrow(run, "block long, n long, bins binary, label binary, mark binary, margins binary")
+    if cells:
+        rows = rows.mapInArrow(celled, "label double, mark double, cell double").withColumn("at", F.xxhash64("label", "mark"))
+        rows = rows.repartitionByRange(cells, "cell", "at").sortWithinPartitions("cell", "at").drop("at")
+    return rows.mapInArrow(run, "block long, n long, bins binary, runs binary, label binary, mark binary, margins binary")
 
 
 # ---- what a task does ---------------------------------------------------------------------------
@@ -349,75 +374,113 @@ def rows_of(mark: np.ndarray, p: TreeParams) -> tuple[np.ndarray, np.ndarray]:
     return valid, ~valid & (mark != VALID)
 
 
-def joined(rows: list) -> tuple:
-    """Blocks as one: (blocks, rows of each, bins, label, mark and, where there are any, margins)."""
-    block, n, bins, label, mark, *margins = zip(*rows)
-    side = lambda parts, kind: np.concatenate([np.frombuffer(x, kind).reshape(-1, k) for x, k in zip(parts, n)], axis=1)
-    return block, n, side(bins, np.uint8), side(label, np.float64)[0], side(mark, np.uint8)[0], *(side(m, np.float64) for m in margins)
+@dataclass
+class Chunk:
+    """Blocks as one. A column of ``bins`` and a margin belong to a row or, where there are ``runs``, to the rows of a cell."""
+
+    blocks: tuple
+    sizes: tuple  # rows of each
+    bins: np.ndarray
+    runs: np.ndarray | None
+    label: np.ndarray
+    mark: np.ndarray
+    stored: np.ndarray  # margins
+    cells: tuple  # columns of ``bins`` of each block
+
+    def __post_init__(self):
+        self.first = None if self.runs is None else np.cumsum(self.runs) - self.runs
+
+    def of_cells(self, values: np.ndarray) -> np.ndarray:
+        """Sums of the rows' values."""
+        return np.add.reduceat(values, self.first, dtype=np.float64)
+
+    def of_rows(self, values: np.ndarray) -> np.ndarray:
+        return values if self.runs is None else np.repeat(values, self.runs)
+
+
+def joined(rows: list) -> Chunk:
+    block, n, bins, runs, label, mark, *margins = zip(*rows)
+    runs = [np.frombuffer(x, np.int64) for x in runs]
+    cells = tuple(len(r) or k for r, k in zip(runs, n))
+    side = lambda parts, kind, sizes: np.concatenate([np.frombuffer(x, kind).reshape(-1, k) for x, k in zip(parts, sizes)], axis=1)
+    stored = side(margins[0], np.float64, cells) if margins else np.zeros((0, sum(cells)))
+    return Chunk(block, n, side(bins, np.uint8, cells), np.concatenate(runs) if len(runs[0]) else None, side(label, np.float64, n)[0], side(mark, np.uint8, n)[0], stored, cells)
 
 
 def chunks(rows):
-    """Blocks, about CHUNK_ROWS rows at a time."""
+    """Blocks, about CHUNK_ROWS rows at a time, as what a `Chunk` is made of."""
+    plain = lambda c: (c.blocks, c.sizes, c.bins, c.runs, c.label, c.mark, c.stored, c.cells)
     held, size = [], 0
     for row in rows:
         if held and size + row[1] > CHUNK_ROWS:
-            yield joined(held)
+            yield plain(joined(held))
             held, size = [], 0
         held.append(row)
         size += row[1]
     if held:
-        yield joined(held)
+        yield plain(joined(held))
 
 
-def sums_of(run: tuple[str, int], steps: list[Step], width: int):
+def sums_of(run: tuple[str, int], steps: list[Step], sizes: list[int]):
     """((model, node), (block, sums)): the sums of a task. Node -1: a whole level; -2: metric sums."""
 
     def work(part):
         out: dict[tuple[int, int], np.ndarray] = {}
         first = None
-        for blocks, sizes, bins, label, mark, stored in part:
-            first = blocks[0] if first is None else first
+        for c in part:
+            c = Chunk(*c)
+            first = c.blocks[0] if first is None else first
             for s in steps:
-                add(out, s, blocks, sizes, bins, label, *rows_of(mark, s.params), margins_of(run, blocks, bins, stored, s), width)
+                add(out, s, c, margins_of(run, c.blocks, c.bins, c.stored, s), sizes)
         return [(key, (first, sums.tobytes())) for key, sums in out.items()]
 
     return work
 
 
-def add(out: dict, s: Step, blocks: tuple, sizes: tuple, bins, label, valid, learned, margin, width: int) -> None:
+def add(out: dict, s: Step, c: Chunk, margin: np.ndarray, sizes: list[int]) -> None:
+    """Adds the sums of a chunk: (nodes, gradient / hessian where it is not 1 / rows, columns, bins)."""
     p = s.params
+    valid, learned = rows_of(c.mark, p)
     if s.measure:
+        guess = c.of_rows(margin)
         with np.errstate(over="ignore", invalid="ignore"):  # a label that is no logarithm
-            truth, guess = np.maximum(np.expm1(label), C.SMAPE_EPS), np.maximum(np.expm1(margin), C.SMAPE_EPS)
-            smape = np.abs(guess - truth) / ((truth + guess) / 2 + C.SMAPE_EPS)
-        square = (margin - label) ** 2
-        got = np.array([valid.sum(), square[valid].sum(), smape[valid].sum(), learned.sum(), smape[learned].sum()], dtype=np.float64)
+            smape = np.abs(np.maximum(np.expm1(guess), C.SMAPE_EPS) - (truth := np.maximum(np.expm1(c.label), C.SMAPE_EPS)))
+            smape /= (truth + np.maximum(np.expm1(guess), C.SMAPE_EPS)) / 2 + C.SMAPE_EPS
+        v = np.flatnonzero(valid)
+        got = np.array([len(v), np.square(guess.take(v) - c.label.take(v)).sum(), smape.take(v).sum(), learned.sum(), smape.take(np.flatnonzero(learned)).sum()], dtype=np.float64)
         out[s.model, -2] = out.get((s.model, -2), 0) + got
     if not s.nodes:
         return
     use = learned
     if p.row_share < 1:
-        draw = [np.random.default_rng([p.seed & 0xFFFFFFFF, s.round // p.row_every, b & 0xFFFFFFFF, b >> 32]).random(n) for b, n in zip(blocks, sizes)]
+        draw = [np.random.default_rng([p.seed & 0xFFFFFFFF, s.round // p.row_every, b & 0xFFFFFFFF, b >> 32]).random(n) for b, n in zip(c.blocks, c.sizes)]
         use = use & (np.concatenate(draw) < p.row_share)
-    place = {node: i for i, node in enumerate(s.nodes)}
-    used = np.flatnonzero(use)
-    parts = sorted((place[node], rows) for node, rows in s.tree.leaves(bins, used) if node in place) if len(used) else []
-    rows = np.concatenate([r for _, r in parts]) if parts else used[:0]
-    first = np.repeat([i * width for i, _ in parts], [len(r) for _, r in parts]).astype(np.int64)
-    g, h = gradients(margin[rows], label[rows], p.objective)
-    found = np.empty((len(s.nodes), 3, len(s.columns), width))
-    size, shape = len(s.nodes) * width, (len(s.nodes), width)
-    for k, f in enumerate(s.columns):
-        key = first + bins[f].take(rows)
-        n = np.bincount(key, minlength=size)
-        found[:, 0, k] = np.bincount(key, g, size).reshape(shape)
-        found[:, 1, k] = (n if p.objective == "squared" else np.bincount(key, h, size)).reshape(shape)
-        found[:, 2, k] = n.reshape(shape)
+    squared = p.objective == "squared"
+    if c.runs is None:
+        used = np.flatnonzero(use)
+    else:  # a cell learns from as many rows as it has
+        n = c.of_cells(use)
+        used = np.flatnonzero(n)
+    wanted = set(s.nodes)
+    parts = {node: rows for node, rows in s.tree.leaves(c.bins, used) if node in wanted} if len(used) else {}
+    rows = np.concatenate(list(parts.values())) if parts else used[:0]
+    if c.runs is None:
+        values = [*gradients(margin.take(rows), c.label.take(rows), p.objective)[: 1 if squared else 2], None]
+    elif squared:
+        values = [(n * margin - c.of_cells(np.where(use, c.label, 0.0))).take(rows), n.take(rows)]
+    else:
+        values = [*(c.of_cells(np.where(use, x, 0.0)).take(rows) for x in gradients(c.of_rows(margin), c.label, p.objective)), n.take(rows)]
+    binned = Binned(c.bins.take(s.columns, axis=0).take(rows, axis=1), [sizes[f] for f in s.columns], max(sizes))
+    found, at = {}, 0
+    for node, own in parts.items():  # neighbours now
+        found[node] = binned.sums(slice(at, at + len(own)), values)
+        at += len(own)
+    zero = np.zeros((len(values), len(s.columns), max(sizes)))
     if p.growth == "symmetric":
-        out[s.model, -1] = out.get((s.model, -1), 0) + found
+        out[s.model, -1] = out.get((s.model, -1), 0) + np.stack([found.get(node, zero) for node in s.nodes])
     else:
-        for node, x in zip(s.nodes, found):
-            out[s.model, node] = out.get((s.model, node), 0) + x
+        for node in s.nodes:
+            out[s.model, node] = out.get((s.model, node), 0) + found.get(node, zero)
 
 
 def decided(steps: list[Step], width: int):
@@ -431,27 +494,27 @@ def decided(steps: list[Step], width: int):
         if node == -2:
             return total.tobytes()
         s = known[model]
-        shape = (3, len(s.columns), width)
+        total = total.reshape(len(s.nodes) if node == -1 else 1, -1, len(s.columns), width)
+        if total.shape[1] == 2:  # the hessian is 1
+            total = total[:, [0, 1, 1]]
         if node == -1:
-            total = total.reshape(len(s.nodes), *shape)
             found = best_level_split(total, s.params)
             if found is None:
                 return total[:, :, 0].sum(axis=2).tobytes() if len(s.columns) else b""
             gain, f, b, left, whole = found
             return np.concatenate([[gain, s.columns[f], b], left.ravel(), whole.ravel()]).tobytes()
-        total = total.reshape(shape)
-        found = best_split(total, s.params)
+        found = best_split(total[0], s.params)
         if found is None:
-            return total[:, 0].sum(axis=1).tobytes()
+            return total[0, :, 0].sum(axis=1).tobytes()
         gain, f, b, left, whole = found
         return np.concatenate([[gain, s.columns[f], b], left, whole]).tobytes()
 
     return decide
 
 
-def run_steps(data: RDD, parts: int, run: tuple[str, int], steps: list[Step], width: int) -> dict[tuple[int, int], np.ndarray]:
+def run_steps(data: RDD, parts: int, run: tuple[str, int], steps: list[Step], sizes: list[int]) -> dict[tuple[int, int], np.ndarray]:
     """One job."""
-    work, decide = sums_of(run, steps, width), decided(steps, width)
+    work, decide = sums_of(run, steps, sizes), decided(steps, max(sizes, default=1))
     keys = sum(s.measure + (1 if s.params.growth == "symmetric" else len(s.nodes)) for s in steps)
     summed = data.mapPartitions(work).groupByKey(min(-(-keys // KEYS), parts))
     found = summed.map(lambda x: (x[0], decide(*x[0], [sums for _, sums in sorted(x[1])])))
@@ -462,12 +525,14 @@ def with_margins(run: tuple[str, int], steps: list[Step]):
     """The blocks with the margins that the models have now."""
 
     def work(part):
-        for blocks, sizes, bins, label, mark, stored in part:
-            ends = np.cumsum(sizes)[:-1]
-            margins = [np.split(margins_of(run, blocks, bins, stored, s), ends) for s in steps]
-            cut = (np.split(x, ends, axis=-1) for x in (bins, label, mark))
-            for block, n, *x, i in zip(blocks, sizes, *cut, range(len(blocks))):
-                yield block, n, *(y.tobytes() for y in x), b"".join(m[i].tobytes() for m in margins)
+        for c in part:
+            c = Chunk(*c)
+            rows, cells = np.cumsum(c.sizes)[:-1], np.cumsum(c.cells)[:-1]
+            margins = [np.split(margins_of(run, c.blocks, c.bins, c.stored, s), cells) for s in steps]
+            bins, label, mark = np.split(c.bins, cells, axis=1), np.split(c.label, rows), np.split(c.mark, rows)
+            runs = [np.zeros(0, np.int64)] * len(c.blocks) if c.runs is None else np.split(c.runs, cells)
+            for i, (block, n) in enumerate(zip(c.blocks, c.sizes)):
+                yield block, n, *(x[i].tobytes() for x in (bins, runs, label, mark)), b"".join(m[i].tobytes() for m in margins)
 
     return work
 
@@ -663,19 +728,20 @@ def parts_of(rows: int, blocks: int, cores: int) -> int:
 
 
 def fits_a_task(rows: int, columns: int, models: int, cores: int) -> bool:
-    """Whether a task is to take all rows of a model: they are few, or there is a model for every core and no task holds
-    more than WHOLE_BYTES (bins five times, and 25 numbers a row)."""
-    return rows < PART_ROWS or (models >= cores and rows * (5 * columns + 200) <= WHOLE_BYTES)
+    """Whether a task is to take all rows of a model: they are few, or there are several models to deal and the rows take
+    (bins three times, and ten numbers a row) no more than WHOLE_BYTES, and CORE_BYTES a core where models are many."""
+    need = rows * (3 * columns + 80)
+    return rows < PART_ROWS or (models > 1 and need <= WHOLE_BYTES and need * min(models, cores) <= CORE_BYTES * cores)
 
 
-def grow_by_level(read: DataFrame, parts: int, boosters: list[Booster], width: int, until: float | None) -> None:
+def grow_by_level(read: DataFrame, parts: int, boosters: list[Booster], sizes: list[int], until: float | None) -> None:
     """A job takes every live model a step further, over rows dealt to ``parts`` tasks."""
     spark, run = read.sparkSession, (uuid.uuid4().hex, 0)
     schema = read.schema
     data = read.repartition(parts).rdd.mapPartitions(chunks).persist(StorageLevel.MEMORY_AND_DISK)  # rebuilt from the table if an executor is lost
     while live := [b for b in boosters if not b.done]:
         steps = [b.step() for b in live]
-        found = run_steps(data, parts, run, steps, width)
+        found = run_steps(data, parts, run, steps, sizes)
         for b, s in zip(live, steps):
             b.take(s, found)
         if until is not None and time.time() > until:
@@ -720,19 +786,21 @@ def fit_fleet(matrix: DataFrame, columns: list[str], fleet: list[TreeParams], la
         return s / n
 
     inits = [init_of(p) for p in fleet]
+    sizes, cores = [len(e) + 1 for e in edges], spark.sparkContext.defaultParallelism
+    boosters = [Booster(i, p, float(init), len(columns)) for i, (p, init) in enumerate(zip(fleet, inits))]
+    rows = matrix.where(F.col(split) == "validation").count() + sum(n for n, _ in means.values())
+    whole = fits_a_task(rows, len(columns), len(fleet), cores)
+    cells = parts_of(rows, rows, cores) if sizes and not whole and math.prod(sizes) <= MOST_CELLS * rows else None
     path = scratch_path(spark, "hist-blocks")
-    block_table(matrix, columns, edges, label, split, fold).write.parquet(path)
+    block_table(matrix, columns, edges, label, split, fold, cells).write.parquet(path)
     read = spark.read.parquet(path)
-    size = read.agg(F.sum("n"), F.count(F.lit(1))).first()
-    rows, cores = int(size[0] or 0), spark.sparkContext.defaultParallelism
-    boosters = [Booster(i, p, float(init), len(columns)) for i, (p, init) in enumerate(zip(fleet, inits))]
-    if fits_a_task(rows, len(columns), len(fleet), cores):
+    if whole:
         from .whole import grow_apart
 
         left = None if timeout_s is None else timeout_s - (time.time() - began)
-        grow_apart(read.drop("margins"), boosters, [len(e) + 1 for e in edges], left)
+        grow_apart(read.drop("margins"), boosters, sizes, left)
     else:
-        grow_by_level(read, parts_of(rows, int(size[1]), cores), boosters, max([len(e) for e in edges], default=0) + 1, None if timeout_s is None else began + timeout_s)
+        grow_by_level(read, parts_of(rows, read.count(), cores), boosters, sizes, None if timeout_s is None else began + timeout_s)
     out = []
     for b in boosters:
         if not b.history:

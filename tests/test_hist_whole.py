@@ -4,8 +4,10 @@ import dataclasses
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pricelab.plans.models import hist as H
+from pricelab.plans.models import sums as S
 from pricelab.plans.models import whole as W
 
 COLUMNS = ["a", "b", "c", "d"]
@@ -35,7 +37,7 @@ def by_level(monkeypatch, rows, fleet, columns=COLUMNS, **kw):
 
 
 def test_whole_models_equal_those_grown_level_by_level(rows, monkeypatch):
-    monkeypatch.setattr(W, "FEW", 100)  # both ways of counting
+    monkeypatch.setattr(S, "FEW", 100)  # both ways of counting
     x = np.array([r[:4] for r in rows.collect()])
     for p, whole, level in zip(FLEET, H.fit_fleet(rows, COLUMNS, FLEET, max_bins=32), by_level(monkeypatch, rows, FLEET, max_bins=32)):
         assert np.allclose(whole.history, level.history, rtol=1e-9), p
@@ -43,6 +45,34 @@ def test_whole_models_equal_those_grown_level_by_level(rows, monkeypatch):
         assert np.allclose(whole.importance, level.importance)
 
 
+@pytest.mark.parametrize("objective", ["squared", "smape"])
+def test_rows_of_equal_bins_count_as_one_cell(rows, monkeypatch, objective):
+    fleet = [dataclasses.replace(p, objective=objective, fold=k % 3) for k, p in enumerate(FLEET)]
+    few = rows.select("b", "c", "label", F.lit("train").alias("split"), F.pmod(F.hash("a", "d"), F.lit(3)).alias("fold"))
+    columns = ["b", "c"]
+    monkeypatch.setattr(H, "PART_ROWS", 100)
+    monkeypatch.setattr(H, "BLOCK_ROWS", 128)
+    monkeypatch.setattr(H, "RESTAGE", 2)
+    level = by_level(monkeypatch, few, fleet, columns, max_bins=16, fold="fold")
+    monkeypatch.setattr(H, "MOST_CELLS", 0)
+    plain = by_level(monkeypatch, few, fleet, columns, max_bins=16, fold="fold")
+    x = np.array([[r.b, r.c] for r in few.collect()])
+    for p, a, b in zip(fleet, level, plain):
+        if p.row_share >= 1:  # blocks, and so the rows drawn, are others
+            assert np.allclose(a.history, b.history, rtol=1e-9) and np.allclose(a.score(x), b.score(x), rtol=1e-9) and len(a.trees) == len(b.trees)
+        assert np.isclose(a.history[0][1], b.history[0][1]) and min(h[1] for h in a.history) < a.history[0][1]
+
+
+def test_a_block_of_cells_has_its_bins_once_a_cell(rows):
+    few = rows.select("b", "c", "label", "split")
+    edges = H.bin_edges(few, ["b", "c"], 16)
+    table = H.block_table(few, ["b", "c"], edges, "label", "split", cells=2)
+    chunk = H.joined([tuple(r) for r in table.collect()])
+    assert sum(chunk.runs) == len(chunk.label) == 900 and chunk.bins.shape[1] == len(chunk.runs) < 120
+    want = sorted(zip(*(np.searchsorted(e, [r[c] for r in few.collect()]).tolist() for c, e in zip("bc", edges)), [r.label for r in few.collect()]))
+    assert sorted(zip(*np.repeat(chunk.bins, chunk.runs, axis=1).tolist(), chunk.label.tolist())) == want
+
+
 def test_a_model_takes_no_job_a_level(spark, rows, monkeypatch):
     monkeypatch.setattr(H, "PART_ROWS", 100)  # not few rows, but a model for every core
     cores = spark.sparkContext.defaultParallelism
@@ -56,8 +86,8 @@ def test_a_model_takes_no_job_a_level(spark, rows, monkeypatch):
 
 
 def test_only_bounded_rows_go_to_one_task():
-    assert H.fits_a_task(20_000, 16, 1, 12) and H.fits_a_task(1_200_000, 16, 50, 12)
-    assert not H.fits_a_task(1_200_000, 16, 3, 12) and not H.fits_a_task(7_200_000, 16, 50, 12)
+    assert H.fits_a_task(20_000, 16, 1, 12) and H.fits_a_task(1_200_000, 16, 50, 12) and H.fits_a_task(7_200_000, 16, 3, 12)
+    assert not H.fits_a_task(7_200_000, 16, 50, 12) and not H.fits_a_task(9_000_000, 16, 3, 12) and not H.fits_a_task(1_200_000, 16, 1, 12) and not H.fits_a_task(43_000_000, 4, 6, 12)
 
 
 def test_a_time_limit_is_shared(rows):
@@ -66,14 +96,14 @@ def test_a_time_limit_is_shared(rows):
 
 
 def test_columns_are_counted_together_up_to_a_number_of_cells():
-    groups = W.together([64, 2, 64, 64, 2, 30, 300], 4096)
+    groups = S.together([64, 2, 64, 64, 2, 30, 300], 4096)
     assert sorted(c for g in groups for c in g) == list(range(7)) and groups[0][0] == 6 and len(groups) == 3
     rng = np.random.default_rng(1)
     sizes = [5, 64, 2, 40]
     bins = np.stack([rng.integers(0, s, 5000) for s in sizes]).astype(np.uint8)
     g, unit = W.rounded(rng.normal(size=5000))
-    for some in (None, np.arange(0, 5000, 2), np.arange(7)):
-        sums = W.Binned(bins, sizes, 64).sums(some, [g])
-        at = np.arange(5000) if some is None else some
+    for some in (slice(None), slice(5, 4000), np.arange(0, 5000, 2), np.arange(7)):
+        sums = S.Binned(bins, sizes, 64).sums(some, [g, None])
+        at = np.arange(5000)[some]
         assert all(np.array_equal(sums[0, c], np.bincount(b[at], g[at], 64)) and np.array_equal(sums[1, c], np.bincount(b[at], minlength=64)) for c, b in enumerate(bins))
     assert (g * unit).sum() * 2 == (np.sort(g) * unit * 2).sum()  # in any order
