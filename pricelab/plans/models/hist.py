@@ -110,6 +110,45 @@ class Tree:
         return node
 
 
+@dataclass
+class LeafMasks:
+    """A tree of up to 64 leaves without a walk. A bit is a leaf, from left to right; a bin takes the bits of the left side
+    from every node on its feature where it goes right. The lowest bit that all features leave is the row's leaf."""
+
+    tables: list[tuple[int, np.ndarray]]  # feature, bits by bin
+    leaf_values: np.ndarray
+
+    @staticmethod
+    def of(t: Tree, sizes: list[int]) -> "LeafMasks | None":
+        if (t.feature < 0).sum() > 64 or not hasattr(np, "bitwise_count"):
+            return None
+        feature, left, right = t.feature.tolist(), t.left.tolist(), t.right.tolist()
+        tables: dict[int, np.ndarray] = {}
+        values: list[float] = []
+        stack = [(0, 0, False)]  # node, first leaf under it, whether its left side is done
+        while stack:
+            node, first, seen = stack.pop()
+            f = feature[node]
+            if f < 0:
+                values.append(float(t.value[node]))
+            elif not seen:
+                stack += [(node, len(values), True), (left[node], 0, False)]
+            else:
+                bits = tables.setdefault(f, np.full(sizes[f], 2**64 - 1, np.uint64))
+                bits[t.threshold[node] + 1 :] &= np.uint64(2**64 - 1 - ((1 << len(values)) - (1 << first)))
+                stack.append((right[node], 0, False))
+        return LeafMasks(sorted(tables.items()), np.array(values))
+
+    def values(self, bins: np.ndarray) -> np.ndarray:
+        if not self.tables:
+            return np.full(bins.shape[1], self.leaf_values[0])
+        bits = None
+        for f, table in self.tables:
+            x = table.take(bins[f])
+            bits = x if bits is None else np.bitwise_and(bits, x, out=bits)
+        return self.leaf_values.take(np.bitwise_count((bits & (~bits + np.uint64(1))) - np.uint64(1)))
+
+
 @dataclass
 class HistModel:
     """A fitted model: ``trees`` up to the best round. ``edges[f]`` are the upper bounds of feature f's bins."""
@@ -129,34 +168,37 @@ class HistModel:
     def at_best(self) -> tuple[int, float, float, float]:
         return self.history[self.best_iteration]
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Predictions of raw features (rows, columns)."""
-        bins = np.stack([np.searchsorted(e, x[:, i]) for i, e in enumerate(self.edges)]) if len(self.edges) else np.zeros((0, len(x)), np.int64)
+    def score(self, x: np.ndarray, masks: list[LeafMasks | None] | None = None) -> np.ndarray:
+        """Predictions of raw features (rows, columns); ``masks`` are those of ``masks_of``, for who asks many times."""
+        bins = np.stack([np.searchsorted(e, x[:, i]).astype(np.uint8) for i, e in enumerate(self.edges)]) if len(self.edges) else np.zeros((0, len(x)), np.uint8)
         out = np.full(len(x), self.init)
-        for t in self.trees:
-            out += t.value[t.apply(bins)]
+        for t, m in zip(self.trees, self.masks_of() if masks is None else masks):
+            out += t.value[t.apply(bins)] if m is None else m.values(bins)
         return out
 
+    def masks_of(self) -> list[LeafMasks | None]:
+        return [LeafMasks.of(t, [len(e) + 1 for e in self.edges]) for t in self.trees]
+
     def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         """``df`` with the prediction of its ``features`` vector or of its columns; rows go through in Arrow batches."""
         from pyspark.ml.functions import vector_to_array
 
         x = vector_to_array("features") if "features" in df.columns else F.array(*[F.col(c).cast("double") for c in self.columns])
-        if self.params.growth == "symmetric":
-            return df.withColumn(out, self.expression(x))
         model = HistModel(self.params, self.init, self.columns, self.edges, self.trees)
+        masks: list = []
 
         @F.pandas_udf("double")
         def predict(values):
             import pandas as pd
 
-            return pd.Series(model.score(np.stack(values.to_numpy())) if len(values) else np.zeros(0))
+            masks[:] = masks or model.masks_of()  # once a task
+            return pd.Series(model.score(np.stack(values.to_numpy()), masks) if len(values) else np.zeros(0))
 
         return df.withColumn(out, predict(x))
 
     def expression(self, x: Column) -> Column:
-        """Symmetric trees as one expression of the features array: per tree, the bits of its conditions are the
-        place in its array of leaf values."""
+        """Symmetric trees as one expression of the features array, for where there is no Python: per tree, the bits of its
+        conditions are the place in its array of leaf values."""
         trees = []
         for t in self.trees:
             splits, node = [], 0
