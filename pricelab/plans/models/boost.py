@@ -70,17 +70,14 @@ def train_variants(matrix: DataFrame, columns: list[str], variants=("lightgbm",
 
 
 def predictions_long(models: dict, matrix: DataFrame, key: str = "sample_id") -> DataFrame:
-    """One long table (model, split, sample_id, pred) of back-transformed predictions."""
-    from functools import reduce
-
-    parts = []
-    for name, m in sorted(models.items()):
-        if not hasattr(m, "transform"):
-            continue  # unknown entries are skipped
-        p = m.transform(matrix).select(F.lit(name).alias("model"), "split", key, F.expm1("prediction").alias("pred"),
-                                       F.expm1("label").alias("y_true"))
-        parts.append(p)
-    return reduce(DataFrame.unionByName, parts)
+    """One long table (model, split, sample_id, pred) of back-transformed predictions. The matrix is read once: a row
+    has the predictions of all models before it becomes a row a model."""
+    known = [(name, m) for name, m in sorted(models.items()) if hasattr(m, "transform")]  # unknown entries are skipped
+    for i, (_, m) in enumerate(known):
+        matrix = m.transform(matrix, f"_pred{i}")
+    preds = F.explode(F.array(*[F.struct(F.lit(name).alias("model"), F.expm1(f"_pred{i}").alias("pred")) for i, (name, _) in enumerate(known)]))
+    rows = matrix.select("split", key, F.expm1("label").alias("y_true"), preds.alias("_p"))
+    return rows.select("_p.model", "split", key, "_p.pred", "y_true")
 
 
 def feature_importance(model: HistModel, spark) -> DataFrame:
